@@ -7,25 +7,29 @@ from pyspark.sql import functions as F
 
 from .ranking import exact_quantiles
 
-EDGE_DIGITS = 9
 QUINTILE_LABELS = ("Very Low", "Low", "Medium", "High", "Very High")
 
 
+def right_closed_pick(x: Column, edges: list[float], outputs: list, kind: str, include_lowest: bool = True) -> Column:
+    """outputs[i] for the interval (edge[i], edge[i+1]] holding x; NULL outside the edges."""
+    nothing = F.lit(None).cast(kind)
+    if len(edges) < 2:
+        return nothing
+    below = (x < F.lit(float(edges[0]))) if include_lowest else (x <= F.lit(float(edges[0])))
+    out = F.when(x.isNull() | below | (x > F.lit(float(edges[-1]))), nothing)
+    for hi, value in zip(edges[1:-1], outputs):
+        out = out.when(x <= F.lit(float(hi)), F.lit(value).cast(kind))
+    return out.otherwise(F.lit(outputs[len(edges) - 2]).cast(kind))
+
+
 def right_closed_bin(x: Column, edges: list[float], include_lowest: bool = True) -> Column:
     """0-based index of the interval (edge[i], edge[i+1]] holding x; NULL outside the edges."""
-    if len(edges) < 2:
-        return F.lit(None).cast("int")
-    floor = (x < edges[0]) if include_lowest else (x <= edges[0])
-    out = F.when(x.isNull() | floor | (x > edges[-1]), F.lit(None).cast("int"))
-    for i, hi in enumerate(edges[1:-1]):
-        out = out.when(x <= F.lit(float(hi)), F.lit(i))
-    return out.otherwise(F.lit(len(edges) - 2))
+    return right_closed_pick(x, edges, list(range(len(edges))), "int", include_lowest)
 
 
 def interval_labels(x: Column, edges: list[float], labels: list[str], include_lowest: bool = False) -> Column:
     """Label of the right-closed interval holding x, NULL outside."""
-    bin_id = right_closed_bin(x, [float(e) for e in edges], include_lowest)
-    return F.element_at(F.array(*[F.lit(v) for v in labels]), bin_id + 1)
+    return right_closed_pick(x, edges, labels, "string", include_lowest)
 
 
 def linspace(lo: float, hi: float, bins: int) -> list[float]:
@@ -50,7 +54,7 @@ def equal_width_bin(x: Column, lo, hi, bins: int) -> Column:
 
 def unique_edges(edges: list[float]) -> list[float]:
     out: list[float] = []
-    for e in sorted(round(float(v), EDGE_DIGITS) for v in edges):
+    for e in sorted(float(v) for v in edges):
         if not out or e != out[-1]:
             out.append(e)
     return out

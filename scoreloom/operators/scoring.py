@@ -143,8 +143,10 @@ def request_features(df: DataFrame, keep=(), profile: str = "service") -> DataFr
 
 
 def _category_mean(column: str, table: dict[str, float], default: float) -> Column:
-    pairs = [x for k, v in table.items() for x in (F.lit(k), F.lit(v))]
-    return F.coalesce(F.element_at(F.create_map(*pairs), F.col(column)), F.lit(default))
+    out = F.lit(default)
+    for name, mean in table.items():
+        out = F.when(F.col(column) == name, F.lit(mean)).otherwise(out)
+    return out
 
 
 def _form_features(c, loan: Column, annuity: Column, e: list[Column]) -> dict[str, Column]:

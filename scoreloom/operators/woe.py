@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scores import BASE_ODDS, BASE_SCORE, PDO, iv_label, scale
-from .binning import quantile_edges, right_closed_bin
+from .binning import quantile_edges, right_closed_bin, right_closed_pick
 from .encoding import category_counts
 from .lookups import local_if_small
 
@@ -114,9 +114,8 @@ class WoeModel:
         numeric = {f: b for f, b in self.numeric_bins().items() if f in chosen and f in df.columns}
         exprs = {}
         for f, bins in numeric.items():
-            idx = right_closed_bin(F.col(f).cast("double"), [b[0] for b in bins] + [bins[-1][1]])
-            woe = F.element_at(F.array(*[F.lit(float(b[2])) for b in bins]), idx + 1)
-            exprs[f"{f}{suffix}"] = woe
+            edges = [b[0] for b in bins] + [bins[-1][1]]
+            exprs[f"{f}{suffix}"] = right_closed_pick(F.col(f).cast("double"), edges, [b[2] for b in bins], "double")
         types = dict(df.dtypes)
         texts = [f for f in self.features if f in chosen and f in types and types[f] == "string" and f not in numeric]
         out = df

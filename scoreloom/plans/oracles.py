@@ -7,11 +7,11 @@ M = "DECIMAL(8,2)"
 
 
 def _days(x: str, as_of: str = AS_OF) -> str:
-    return f"date_diff('day', {as_of}, CAST({x} AS DATE))"
+    return f"CAST(date_diff('day', {as_of}, CAST({x} AS DATE)) AS INTEGER)"
 
 
 def _months(x: str) -> str:
-    return f"((year({x}) - 2002) * 12 + month({x}) - 1)"
+    return f"CAST((year({x}) - 2002) * 12 + month({x}) - 1 AS INTEGER)"
 
 
 PREV = f"""prev AS (
@@ -26,7 +26,7 @@ PREV = f"""prev AS (
   FROM orders)"""
 
 _PART = "CAST(CAST(value AS {m}) * CAST({s} AS DECIMAL(3,2)) AS {m})"
-_EV = "date_diff('day', DATE '2024-02-01', CAST(ts AS DATE))"
+_EV = _days("ts", "DATE '2024-02-01'")
 BUREAU = f"""bureau AS (
   SELECT user_id AS SK_ID_CURR, event_id AS SK_ID_BUREAU,
     CASE WHEN event_type IN ('purchase','signup') THEN 'Active' WHEN event_type = 'error' THEN 'Bad debt' ELSE 'Closed' END AS CREDIT_ACTIVE,

@@ -213,17 +213,45 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     price, day = F.col("o_totalprice"), _days(F.col("o_orderdate"))
     s = F.col("o_orderstatus")
+    part = lambda share, kind="decimal(12,2)": (
+        (money(price) * F.lit(share).cast("decimal(8,7)")).cast(kind).cast("string")
+    )
     return o.select(
         F.col("o_orderkey").alias("request_id"),
         F.floor(-day / 25).cast("int").cast("string").alias("age"),
         F.when(price > 20000, price - 20000.0).otherwise(-price).cast("decimal(12,2)").cast("string").alias("income"),
         price.cast("decimal(12,2)").cast("string").alias("loan_amount"),
-        F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", (price / 16).cast("decimal(12,2)").cast("string"))
+        F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", part("0.0625"))
         .otherwise(F.when(day > -1000, "unknown")).alias("annuity"),
-        F.when(s != "O", (price * 0.75).cast("decimal(12,2)").cast("string")).alias("goods_price"),
+        F.when(s != "O", part("0.75")).alias("goods_price"),
         F.when(s == "O", "Higher education").when(s == "F", "Lower secondary").alias("education_type"),
-        F.when(s == "P", (price / 400000).cast("decimal(8,4)").cast("string")).alias("ext_source_2"),
+        F.when(s == "P", part("0.0000025", "decimal(8,4)")).alias("ext_source_2"),
         F.floor(-day / 500).cast("int").cast("string").alias("bureau_loan_count"),
         F.floor(-day / 900).cast("int").cast("string").alias("active_credits"),
-        (price / 8).cast("decimal(12,2)").cast("string").alias("total_debt"),
+        part("0.125").alias("total_debt"),
     )
+
+
+ACCOUNT_FEATURES = ["price", "quantity", "discount", "tax"]
+ACCOUNT_CATEGORIES = ["status", "line"]
+
+
+def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as labelled rows with numeric and text features, NULLs among both."""
+    l = table(spark, sf_dir, "lineitem")
+    return l.select(
+        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("TARGET"),
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_extendedprice").alias("price"), F.col("l_quantity").alias("quantity"),
+        F.nullif("l_discount", F.lit(0.0)).alias("discount"), F.col("l_tax").alias("tax"),
+        F.col("l_linestatus").alias("status"),
+        F.when(F.col("l_linenumber") > 1, F.col("l_linenumber").cast("string")).alias("line"),
+    )
+
+
+APPLICANT_NUMERIC = [
+    "AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE", "CNT_FAM_MEMBERS", "DAYS_BIRTH",
+    "DAYS_ID_PUBLISH", "DAYS_LAST_PHONE_CHANGE", "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3",
+    "AMT_REQ_CREDIT_BUREAU_YEAR",
+]
+APPLICANT_TEXT = ["NAME_INCOME_TYPE", "NAME_HOUSING_TYPE", "NAME_EDUCATION_TYPE", "CODE_GENDER", "OCCUPATION_TYPE"]
