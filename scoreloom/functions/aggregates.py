@@ -1,4 +1,4 @@
-"""Aggregate shapes shared by the history features.
+"""Aggregate shapes shared by the history features, written as SQL expression text.
 
 ``Rollup`` splits an aggregate into a partial per child key (one row per loan) and a merge per
 applicant. The partials are computed before the child table meets its parent, so a loan with a huge
@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Below this share of the raw second moment a centred sum of squares is rounding noise of doubles.
-_NOISE = 1e-13
+_NOISE = "1e-13D"
 
 
 def dbl(x: Column) -> Column:
@@ -24,79 +24,97 @@ def ratio(num: Column, den: Column, otherwise: Column | None = None) -> Column:
     return out if otherwise is None else out.otherwise(otherwise)
 
 
-def mean_of(total: Column, n: Column) -> Column:
+def double(x: str) -> str:
+    return f"CAST({x} AS DOUBLE)"
+
+
+def share(num: str, den: str, otherwise: str = "NULL") -> str:
+    """num / den where den > 0, else ``otherwise``."""
+    return f"CASE WHEN {den} > 0 THEN {double(num)} / {double(den)} ELSE {otherwise} END"
+
+
+def mean_of(total: str, n: str) -> str:
     """Mean from an (exact when the input is exact) sum and a count; NULL for no rows."""
-    return F.when(n != 0, dbl(total) / dbl(n))
+    return f"CASE WHEN {n} <> 0 THEN {double(total)} / {double(n)} END"
 
 
-def avg(x: Column) -> Column:
-    return mean_of(F.sum(x), F.count(x))
+def avg(x: str) -> str:
+    return mean_of(f"sum({x})", f"count({x})")
 
 
-def avg_if(p: Column, x: Column) -> Column:
-    return avg(F.when(p, x))
+def avg_if(p: str, x: str) -> str:
+    return avg(f"CASE WHEN {p} THEN {x} END")
 
 
-def sum0_if(p: Column, x: Column) -> Column:
+def sum0_if(p: str, x: str) -> str:
     """Conditional sum with ELSE 0: NULL only when every matching value is NULL and none fails p."""
-    return F.sum(F.when(p, x).otherwise(F.lit(0)))
+    return f"sum(CASE WHEN {p} THEN {x} ELSE 0 END)"
 
 
-def recent_minus_older(recent_hits: Column, recent: Column, older_hits: Column, older: Column) -> Column:
+def recent_minus_older(recent_hits: str, recent: str, older_hits: str, older: str) -> str:
     """Hit ratio of recent rows minus that of older rows; NULL when either side has no rows."""
-    return ratio(recent_hits, recent) - ratio(older_hits, older)
+    return f"({share(recent_hits, recent)}) - ({share(older_hits, older)})"
 
 
-def std_from_sums(n: Column, s: Column, ss: Column) -> Column:
+def std(x: str) -> str:
+    return f"stddev_samp({double(x)})"
+
+
+def std_from_sums(n: str, s: str, ss: str) -> str:
     """Sample standard deviation from count, sum and sum of squares; NULL for n < 2."""
-    centred = ss - s * s / F.when(n != 0, dbl(n))
-    centred = F.when(centred > ss * _NOISE, centred).otherwise(F.lit(0.0))
-    return F.when(n > 1, F.sqrt(centred / (dbl(n) - 1)))
+    centred = f"({ss} - {s} * {s} / {double(n)})"
+    return (
+        f"CASE WHEN {n} > 1 THEN sqrt(CASE WHEN {centred} > {ss} * {_NOISE} THEN {centred} ELSE 0.0D END"
+        f" / ({double(n)} - 1)) END"
+    )
 
 
-def latest(value: Column, *order: Column) -> Column:
+def latest(value: str, *order: str) -> str:
     """Value of the last row by ``order``; later entries of ``order`` break ties."""
-    return F.max_by(value, F.struct(*order))
+    return f"max_by({value}, struct({', '.join(order)}))"
+
+
+def named(outputs: dict[str, str]) -> list[Column]:
+    return [F.expr(f"{expr} AS `{name}`") for name, expr in outputs.items()]
 
 
 class Rollup:
     """Collects per-child partials; each method returns the applicant-level merged expression."""
 
     def __init__(self) -> None:
-        self._partials: dict[str, Column] = {}
+        self._partials: dict[str, str] = {}
 
     def partials(self) -> list[Column]:
-        return [expr.alias(name) for name, expr in self._partials.items()]
+        return named(self._partials)
 
-    def _keep(self, name: str, partial: Column, merge) -> Column:
+    def _keep(self, name: str, partial: str, merge: str) -> str:
         self._partials.setdefault(name, partial)
-        return merge(F.col(name))
+        return f"{merge}({name})"
 
-    def rows(self) -> Column:
-        return self._keep("p_rows", F.count(F.lit(1)), F.sum)
+    def rows(self) -> str:
+        return self._keep("p_rows", "count(1)", "sum")
 
-    def count_if(self, name: str, p: Column) -> Column:
-        return self._keep(f"p_{name}_hits", F.count_if(p), F.sum)
+    def count_if(self, name: str, p: str) -> str:
+        return self._keep(f"p_{name}_hits", f"count_if({p})", "sum")
 
-    def count(self, name: str, x: Column) -> Column:
-        return self._keep(f"p_{name}_n", F.count(x), F.sum)
+    def count(self, name: str, x: str) -> str:
+        return self._keep(f"p_{name}_n", f"count({x})", "sum")
 
-    def sum(self, name: str, x: Column) -> Column:
-        return self._keep(f"p_{name}_sum", F.sum(x), F.sum)
+    def sum(self, name: str, x: str) -> str:
+        return self._keep(f"p_{name}_sum", f"sum({x})", "sum")
 
-    def min(self, name: str, x: Column) -> Column:
-        return self._keep(f"p_{name}_min", F.min(x), F.min)
+    def min(self, name: str, x: str) -> str:
+        return self._keep(f"p_{name}_min", f"min({x})", "min")
 
-    def max(self, name: str, x: Column) -> Column:
-        return self._keep(f"p_{name}_max", F.max(x), F.max)
+    def max(self, name: str, x: str) -> str:
+        return self._keep(f"p_{name}_max", f"max({x})", "max")
 
-    def avg(self, name: str, x: Column) -> Column:
+    def avg(self, name: str, x: str) -> str:
         return mean_of(self.sum(name, x), self.count(name, x))
 
-    def std(self, name: str, x: Column) -> Column:
-        d = dbl(x)
+    def std(self, name: str, x: str) -> str:
         return std_from_sums(
             self.count(name, x),
-            self._keep(f"p_{name}_dsum", F.sum(d), F.sum),
-            self._keep(f"p_{name}_dsq", F.sum(d * d), F.sum),
+            self._keep(f"p_{name}_dsum", f"sum({double(x)})", "sum"),
+            self._keep(f"p_{name}_dsq", f"sum({double(x)} * {double(x)})", "sum"),
         )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,26 +12,42 @@ from .ranking import exact_quantiles
 QUINTILE_LABELS = ("Very Low", "Low", "Medium", "High", "Very High")
 
 
-def right_closed_pick(x: Column, edges: list[float], outputs: list, kind: str, include_lowest: bool = True) -> Column:
-    """outputs[i] for the interval (edge[i], edge[i+1]] holding x; NULL outside the edges."""
-    nothing = F.lit(None).cast(kind)
+def sql_double(v: float) -> str:
+    v = float(v)
+    return f"{v!r}D" if math.isfinite(v) else f"double('{v}')"
+
+
+def _search(x: str, cuts: list[float], outputs: list[str], right_closed: bool) -> str:
+    """Balanced tree of comparisons: outputs[i] where i cuts lie below x (or at x, for left-closed bins)."""
+    if not cuts:
+        return outputs[0]
+    m = len(cuts) // 2
+    left = _search(x, cuts[:m], outputs[: m + 1], right_closed)
+    right = _search(x, cuts[m + 1:], outputs[m + 1:], right_closed)
+    return f"CASE WHEN {x} {'<=' if right_closed else '<'} {sql_double(cuts[m])} THEN {left} ELSE {right} END"
+
+
+def number(column: str) -> str:
+    """SQL text of a column as a double."""
+    return f"CAST(`{column}` AS DOUBLE)"
+
+
+def right_closed_pick(x: str, edges: list[float], outputs: list[str], kind: str, include_lowest: bool = True) -> Column:
+    """outputs[i] (SQL literals) for the interval (edge[i], edge[i+1]] holding x; NULL outside the edges."""
     if len(edges) < 2:
-        return nothing
-    below = (x < F.lit(float(edges[0]))) if include_lowest else (x <= F.lit(float(edges[0])))
-    out = F.when(x.isNull() | below | (x > F.lit(float(edges[-1]))), nothing)
-    for hi, value in zip(edges[1:-1], outputs):
-        out = out.when(x <= F.lit(float(hi)), F.lit(value).cast(kind))
-    return out.otherwise(F.lit(outputs[len(edges) - 2]).cast(kind))
+        return F.lit(None).cast(kind)
+    inside = f"{x} {'>=' if include_lowest else '>'} {sql_double(edges[0])} AND {x} <= {sql_double(edges[-1])}"
+    return F.expr(f"CASE WHEN {inside} THEN {_search(x, edges[1:-1], outputs[: len(edges) - 1], True)} END").cast(kind)
 
 
-def right_closed_bin(x: Column, edges: list[float], include_lowest: bool = True) -> Column:
+def right_closed_bin(x: str, edges: list[float], include_lowest: bool = True) -> Column:
     """0-based index of the interval (edge[i], edge[i+1]] holding x; NULL outside the edges."""
-    return right_closed_pick(x, edges, list(range(len(edges))), "int", include_lowest)
+    return right_closed_pick(x, edges, [str(i) for i in range(len(edges))], "int", include_lowest)
 
 
-def interval_labels(x: Column, edges: list[float], labels: list[str], include_lowest: bool = False) -> Column:
+def interval_labels(x: str, edges: list[float], labels, include_lowest: bool = False) -> Column:
     """Label of the right-closed interval holding x, NULL outside."""
-    return right_closed_pick(x, edges, labels, "string", include_lowest)
+    return right_closed_pick(x, edges, [f"'{v}'" for v in labels], "string", include_lowest)
 
 
 def linspace(lo: float, hi: float, bins: int) -> list[float]:
@@ -37,19 +55,17 @@ def linspace(lo: float, hi: float, bins: int) -> list[float]:
     return [lo + i * step for i in range(bins)] + [hi]
 
 
-def equal_width_bin(x: Column, lo, hi, bins: int) -> Column:
+def equal_width_sql(x: str, lo: float, hi: float, bins: int) -> str:
+    cuts = linspace(float(lo), float(hi), bins)[1:-1]
+    return f"CASE WHEN {x} IS NOT NULL THEN {_search(x, cuts, [str(i) for i in range(bins)], False)} END"
+
+
+def equal_width_bin(x: str, lo: float, hi: float, bins: int) -> Column:
     """0-based bin over ``bins`` equal steps of [lo, hi], left-closed, the last bin closed.
 
-    The floor estimate is corrected against the exact edges lo + i * step; lo = hi puts every row in
-    the last bin.
+    lo = hi puts every row in the last bin.
     """
-    lo, hi = (v if isinstance(v, Column) else F.lit(float(v)) for v in (lo, hi))
-    step = (hi - lo) / bins
-    guess = F.when(step > 0, F.floor((x - lo) / step)).otherwise(F.lit(bins - 1)).cast("int")
-    guess = F.least(F.greatest(guess, F.lit(0)), F.lit(bins - 1))
-    guess = F.when((guess > 0) & (x < lo + guess * step), guess - 1).otherwise(guess)
-    guess = F.when((guess < bins - 1) & (x >= lo + (guess + 1) * step), guess + 1).otherwise(guess)
-    return F.when(x.isNotNull(), guess)
+    return F.expr(equal_width_sql(x, lo, hi, bins))
 
 
 def unique_edges(edges: list[float]) -> list[float]:
@@ -73,7 +89,7 @@ def quantile_bins(df: DataFrame, features: list[str], q: int, suffix: str = "_bi
     """``<feature><suffix>``: 0-based quantile bin with merged duplicate edges."""
     edges = quantile_edges(df, features, q)
     return df.withColumns({
-        f"{f}{suffix}": right_closed_bin(F.col(f).cast("double"), edges.get(f, [])) for f in features
+        f"{f}{suffix}": right_closed_bin(number(f), edges.get(f, [])) for f in features
     })
 
 
@@ -81,6 +97,6 @@ def quintile_bands(df: DataFrame, features: dict[str, str]) -> DataFrame:
     """Five labelled bands per feature: {feature: output name}."""
     edges = quantile_edges(df, list(features), 5)
     return df.withColumns({
-        out: interval_labels(F.col(f).cast("double"), edges.get(f, []), list(QUINTILE_LABELS), include_lowest=True)
+        out: interval_labels(number(f), edges.get(f, []), QUINTILE_LABELS, include_lowest=True)
         for f, out in features.items()
     })

@@ -23,8 +23,8 @@ MIN_GROUP = 50
 
 
 def with_age_band(df: DataFrame, profile=AUDIT_AGES, whole_years: bool = False, out: str = "AGE_BAND") -> DataFrame:
-    age = -F.col("DAYS_BIRTH") / 365.25
-    return df.withColumn(out, interval_labels(age.cast("int") if whole_years else age, *profile))
+    age = "-DAYS_BIRTH / 365.25D"
+    return df.withColumn(out, interval_labels(f"CAST({age} AS INT)" if whole_years else f"({age})", *profile))
 
 
 def fairness_auc(df: DataFrame, segments: list[str], scores: dict[str, str], target: str, min_n: int = 0) -> DataFrame:
@@ -62,8 +62,8 @@ def disparate_impact(df: DataFrame, segments: list[str], score: str, cut: float
     return agg.select("segment", "groups", di.alias("impact_ratio"), (di >= 0.8).cast("int").alias("passes_80_rule"))
 
 
-def banded_rate(df: DataFrame, value, profile, target: str) -> DataFrame:
-    """Count and default rate of every band, empty bands kept."""
+def banded_rate(df: DataFrame, value: str, profile, target: str) -> DataFrame:
+    """Count and default rate of every band of a SQL expression, empty bands kept."""
     edges, labels = profile
     y = F.col(target)
     agg = df.groupBy(interval_labels(value, edges, labels).alias("band")).agg(
@@ -78,4 +78,4 @@ def banded_rate(df: DataFrame, value, profile, target: str) -> DataFrame:
 
 
 def score_band_rate(df: DataFrame, score: str, target: str) -> DataFrame:
-    return banded_rate(df, F.col(score), SCORE_BANDS, target)
+    return banded_rate(df, f"`{score}`", SCORE_BANDS, target)

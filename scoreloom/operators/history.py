@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aggregates import (
-    Rollup, avg, avg_if, dbl, latest, ratio, recent_minus_older, sum0_if,
+    Rollup, avg, avg_if, double, latest, named, recent_minus_older, share, std, sum0_if,
 )
 
 APPLICANT = "SK_ID_CURR"
@@ -18,46 +18,44 @@ LOAN = "SK_ID_PREV"
 ACCOUNT = "SK_ID_BUREAU"
 
 
-def _per_applicant(child: DataFrame, loans: DataFrame, roll: Rollup, outputs) -> DataFrame:
+def _per_applicant(child: DataFrame, loans: DataFrame, roll: Rollup, outputs: dict[str, str]) -> DataFrame:
     per_loan = child.groupBy(LOAN).agg(*roll.partials())
     owners = loans.select(LOAN, APPLICANT)
-    return per_loan.join(owners, LOAN).groupBy(APPLICANT).agg(*outputs)
+    return per_loan.join(owners, LOAN).groupBy(APPLICANT).agg(*named(outputs))
 
 
 def bureau_history(bureau: DataFrame) -> DataFrame:
     """External credits: volume, amounts, overdue, timing, recency."""
-    c = F.col
-    recent = c("DAYS_CREDIT") >= -365
-    n = F.count(F.lit(1))
-    return bureau.groupBy(APPLICANT).agg(
-        n.alias("bureau_loan_count"),
-        F.count_if(c("CREDIT_ACTIVE") == "Active").alias("active_credits"),
-        F.count_if(c("CREDIT_ACTIVE") == "Closed").alias("closed_credits"),
-        avg(c("AMT_CREDIT_SUM")).alias("avg_credit_amount"),
-        dbl(F.sum("AMT_CREDIT_SUM")).alias("total_credit_amount"),
-        dbl(F.sum("AMT_CREDIT_SUM_DEBT")).alias("total_debt"),
-        avg(c("AMT_CREDIT_SUM_DEBT")).alias("avg_debt"),
-        dbl(F.sum("AMT_CREDIT_SUM_OVERDUE")).alias("total_overdue_amount"),
-        F.count_if(c("AMT_CREDIT_SUM_OVERDUE") > 0).alias("overdue_count"),
-        F.min("DAYS_CREDIT").alias("earliest_bureau_days"),
-        F.max("DAYS_CREDIT").alias("latest_bureau_days"),
-        F.max("DAYS_CREDIT_ENDDATE").alias("latest_credit_enddate"),
-        avg(c("DAYS_CREDIT_UPDATE")).alias("avg_days_since_update"),
-        ratio(F.sum("AMT_CREDIT_SUM_DEBT"), F.sum("AMT_CREDIT_SUM")).alias("debt_to_credit_ratio"),
-        F.stddev_samp(dbl(c("AMT_CREDIT_SUM"))).alias("std_credit_amount"),
-        F.stddev_samp(dbl(c("AMT_CREDIT_SUM_DEBT"))).alias("std_debt_amount"),
-        F.stddev_samp(dbl(c("DAYS_CREDIT"))).alias("std_bureau_days"),
-        F.count_if(recent).alias("bureau_loans_last_12m"),
-        F.count_if(c("DAYS_CREDIT") >= -730).alias("bureau_loans_last_24m"),
-        F.count_if(recent & (c("CREDIT_ACTIVE") == "Active")).alias("active_loans_last_12m"),
-        avg_if(recent, c("AMT_CREDIT_SUM_DEBT")).alias("avg_debt_last_12m"),
-        dbl(sum0_if(recent, c("AMT_CREDIT_SUM_OVERDUE"))).alias("overdue_amount_last_12m"),
-        F.count_distinct("CREDIT_TYPE").alias("bureau_credit_type_count"),
-        avg(c("AMT_ANNUITY")).alias("avg_bureau_annuity"),
-        F.count_if(c("CREDIT_DAY_OVERDUE") > 0).alias("bureau_day_overdue_count"),
-        F.max("CREDIT_DAY_OVERDUE").alias("max_bureau_day_overdue"),
-        ratio(F.count_if(recent), n, F.lit(0.0)).alias("bureau_recent_ratio"),
-    )
+    recent, active = "DAYS_CREDIT >= -365", "CREDIT_ACTIVE = 'Active'"
+    return bureau.groupBy(APPLICANT).agg(*named({
+        "bureau_loan_count": "count(1)",
+        "active_credits": f"count_if({active})",
+        "closed_credits": "count_if(CREDIT_ACTIVE = 'Closed')",
+        "avg_credit_amount": avg("AMT_CREDIT_SUM"),
+        "total_credit_amount": double("sum(AMT_CREDIT_SUM)"),
+        "total_debt": double("sum(AMT_CREDIT_SUM_DEBT)"),
+        "avg_debt": avg("AMT_CREDIT_SUM_DEBT"),
+        "total_overdue_amount": double("sum(AMT_CREDIT_SUM_OVERDUE)"),
+        "overdue_count": "count_if(AMT_CREDIT_SUM_OVERDUE > 0)",
+        "earliest_bureau_days": "min(DAYS_CREDIT)",
+        "latest_bureau_days": "max(DAYS_CREDIT)",
+        "latest_credit_enddate": "max(DAYS_CREDIT_ENDDATE)",
+        "avg_days_since_update": avg("DAYS_CREDIT_UPDATE"),
+        "debt_to_credit_ratio": share("sum(AMT_CREDIT_SUM_DEBT)", "sum(AMT_CREDIT_SUM)"),
+        "std_credit_amount": std("AMT_CREDIT_SUM"),
+        "std_debt_amount": std("AMT_CREDIT_SUM_DEBT"),
+        "std_bureau_days": std("DAYS_CREDIT"),
+        "bureau_loans_last_12m": f"count_if({recent})",
+        "bureau_loans_last_24m": "count_if(DAYS_CREDIT >= -730)",
+        "active_loans_last_12m": f"count_if({recent} AND {active})",
+        "avg_debt_last_12m": avg_if(recent, "AMT_CREDIT_SUM_DEBT"),
+        "overdue_amount_last_12m": double(sum0_if(recent, "AMT_CREDIT_SUM_OVERDUE")),
+        "bureau_credit_type_count": "count(DISTINCT CREDIT_TYPE)",
+        "avg_bureau_annuity": avg("AMT_ANNUITY"),
+        "bureau_day_overdue_count": "count_if(CREDIT_DAY_OVERDUE > 0)",
+        "max_bureau_day_overdue": "max(CREDIT_DAY_OVERDUE)",
+        "bureau_recent_ratio": share(f"count_if({recent})", "count(1)", "0.0D"),
+    }))
 
 
 def bureau_balance_history(balance: DataFrame, bureau: DataFrame) -> DataFrame:
@@ -66,186 +64,172 @@ def bureau_balance_history(balance: DataFrame, bureau: DataFrame) -> DataFrame:
     Rows collapse to (account, month) before the join, so an account repeated without end is bounded
     by its months.
     """
-    status = F.col("STATUS")
-    worst = F.lit(0)
-    for bucket in ("1", "2", "3", "4", "5"):
-        worst = F.when(status == bucket, F.lit(int(bucket))).otherwise(worst)
-    months = balance.groupBy(ACCOUNT, "MONTHS_BALANCE").agg(
-        F.count(F.lit(1)).alias("p_rows"),
-        F.count_if(status.isin("1", "2", "3", "4", "5")).alias("p_dpd"),
-        F.count_if(status == "C").alias("p_closed"),
-        F.count_if(status == "0").alias("p_current"),
-        F.count_if(status == "X").alias("p_unknown"),
-        F.max(worst).alias("p_worst"),
-    )
-    stats = months.join(bureau.select(ACCOUNT, APPLICANT), ACCOUNT).groupBy(APPLICANT).agg(
-        F.sum("p_rows").alias("bb_total_records"),
-        F.count_distinct(ACCOUNT).alias("bb_distinct_accounts"),
-        F.count_distinct("MONTHS_BALANCE").alias("bb_months_covered"),
-        F.min("MONTHS_BALANCE").alias("bb_earliest_month"),
-        F.max("MONTHS_BALANCE").alias("bb_latest_month"),
-        F.sum("p_dpd").alias("bb_dpd_count"),
-        F.sum("p_closed").alias("bb_closed_count"),
-        F.sum("p_current").alias("bb_current_count"),
-        F.sum("p_unknown").alias("bb_unknown_count"),
-        F.max("p_worst").alias("bb_worst_dpd_bucket"),
-    )
-    total = F.col("bb_total_records")
-    return stats.select(
-        "*",
-        *[
-            F.round(ratio(F.col(f"bb_{k}_count"), total), 4).alias(f"bb_{k}_ratio")
-            for k in ("dpd", "closed", "current")
-        ],
-    )
+    months = balance.groupBy(ACCOUNT, "MONTHS_BALANCE").agg(*named({
+        "p_rows": "count(1)",
+        "p_dpd": "count_if(STATUS IN ('1', '2', '3', '4', '5'))",
+        "p_closed": "count_if(STATUS = 'C')",
+        "p_current": "count_if(STATUS = '0')",
+        "p_unknown": "count_if(STATUS = 'X')",
+        "p_worst": "max(CASE WHEN STATUS IN ('1', '2', '3', '4', '5') THEN CAST(STATUS AS INT) ELSE 0 END)",
+    }))
+    stats = months.join(bureau.select(ACCOUNT, APPLICANT), ACCOUNT).groupBy(APPLICANT).agg(*named({
+        "bb_total_records": "sum(p_rows)",
+        "bb_distinct_accounts": f"count(DISTINCT {ACCOUNT})",
+        "bb_months_covered": "count(DISTINCT MONTHS_BALANCE)",
+        "bb_earliest_month": "min(MONTHS_BALANCE)",
+        "bb_latest_month": "max(MONTHS_BALANCE)",
+        "bb_dpd_count": "sum(p_dpd)",
+        "bb_closed_count": "sum(p_closed)",
+        "bb_current_count": "sum(p_current)",
+        "bb_unknown_count": "sum(p_unknown)",
+        "bb_worst_dpd_bucket": "max(p_worst)",
+    }))
+    return stats.select("*", *named({
+        f"bb_{k}_ratio": f"round({share(f'bb_{k}_count', 'bb_total_records')}, 4)" for k in ("dpd", "closed", "current")
+    }))
 
 
 def credit_card_history(cards: DataFrame, loans: DataFrame) -> DataFrame:
     """Monthly card snapshots: utilisation, drawings, payments, days past due, trends."""
-    c, r = F.col, Rollup()
-    month, balance, limit = c("MONTHS_BALANCE"), c("AMT_BALANCE"), c("AMT_CREDIT_LIMIT_ACTUAL")
-    use = F.when(limit > 0, dbl(balance) / dbl(limit))
-    recent, older = month >= -6, (month < -6) & (month >= -18)
-    past_due = c("SK_DPD") > 0
-    balance_6m = r.avg("bal6", F.when(recent, balance))
-    outputs = [
-        F.count_distinct(LOAN).alias("cc_count"),
-        r.rows().alias("cc_balance_records"),
-        r.avg("bal", balance).alias("avg_cc_balance"),
-        dbl(r.max("bal", balance)).alias("max_cc_balance"),
-        r.avg("lim", limit).alias("avg_credit_limit"),
-        ratio(r.avg("bal", balance), r.avg("lim", limit)).alias("avg_utilisation_ratio"),
-        r.avg("draw", c("AMT_DRAWINGS_CURRENT")).alias("avg_drawings"),
-        dbl(r.sum("draw", c("AMT_DRAWINGS_CURRENT"))).alias("total_drawings"),
-        r.avg("ndraw", c("CNT_DRAWINGS_CURRENT")).alias("avg_drawing_count"),
-        r.avg("pay", c("AMT_PAYMENT_CURRENT")).alias("avg_payment"),
-        dbl(r.sum("pay", c("AMT_PAYMENT_CURRENT"))).alias("total_payment"),
-        r.count_if("minpay", c("AMT_PAYMENT_CURRENT") < c("AMT_INST_MIN_REGULARITY")).alias("min_payment_misses"),
-        r.avg("dpd", c("SK_DPD")).alias("avg_cc_dpd"),
-        r.max("dpd", c("SK_DPD")).alias("max_cc_dpd"),
-        r.count_if("dpd", past_due).alias("cc_months_with_dpd"),
-        r.std("bal", balance).alias("std_cc_balance"),
-        r.std("draw", c("AMT_DRAWINGS_CURRENT")).alias("std_cc_drawings"),
-        r.max("use", use).alias("max_utilisation_ratio"),
-        balance_6m.alias("avg_balance_last_6m"),
-        r.avg("bal12", F.when(month >= -12, balance)).alias("avg_balance_last_12m"),
-        r.count_if("dpd12", (month >= -12) & past_due).alias("cc_dpd_last_12m"),
-        (balance_6m - r.avg("balold", F.when(older, balance))).alias("cc_balance_trend"),
-        (r.avg("use6", F.when(recent, use)) - r.avg("useold", F.when(older, use))).alias("cc_utilisation_trend"),
-    ]
-    return _per_applicant(cards, loans, r, outputs)
+    r = Rollup()
+    balance, limit = "AMT_BALANCE", "AMT_CREDIT_LIMIT_ACTUAL"
+    use = f"CASE WHEN {limit} > 0 THEN {double(balance)} / {double(limit)} END"
+    recent, older = "MONTHS_BALANCE >= -6", "MONTHS_BALANCE < -6 AND MONTHS_BALANCE >= -18"
+    when = lambda p, x: f"CASE WHEN {p} THEN {x} END"
+    balance_6m = r.avg("bal6", when(recent, balance))
+    return _per_applicant(cards, loans, r, {
+        "cc_count": f"count(DISTINCT {LOAN})",
+        "cc_balance_records": r.rows(),
+        "avg_cc_balance": r.avg("bal", balance),
+        "max_cc_balance": double(r.max("bal", balance)),
+        "avg_credit_limit": r.avg("lim", limit),
+        "avg_utilisation_ratio": share(r.avg("bal", balance), f"({r.avg('lim', limit)})"),
+        "avg_drawings": r.avg("draw", "AMT_DRAWINGS_CURRENT"),
+        "total_drawings": double(r.sum("draw", "AMT_DRAWINGS_CURRENT")),
+        "avg_drawing_count": r.avg("ndraw", "CNT_DRAWINGS_CURRENT"),
+        "avg_payment": r.avg("pay", "AMT_PAYMENT_CURRENT"),
+        "total_payment": double(r.sum("pay", "AMT_PAYMENT_CURRENT")),
+        "min_payment_misses": r.count_if("minpay", "AMT_PAYMENT_CURRENT < AMT_INST_MIN_REGULARITY"),
+        "avg_cc_dpd": r.avg("dpd", "SK_DPD"),
+        "max_cc_dpd": r.max("dpd", "SK_DPD"),
+        "cc_months_with_dpd": r.count_if("dpd", "SK_DPD > 0"),
+        "std_cc_balance": r.std("bal", balance),
+        "std_cc_drawings": r.std("draw", "AMT_DRAWINGS_CURRENT"),
+        "max_utilisation_ratio": r.max("use", use),
+        "avg_balance_last_6m": balance_6m,
+        "avg_balance_last_12m": r.avg("bal12", when("MONTHS_BALANCE >= -12", balance)),
+        "cc_dpd_last_12m": r.count_if("dpd12", "MONTHS_BALANCE >= -12 AND SK_DPD > 0"),
+        "cc_balance_trend": f"({balance_6m}) - ({r.avg('balold', when(older, balance))})",
+        "cc_utilisation_trend": f"({r.avg('use6', when(recent, use))}) - ({r.avg('useold', when(older, use))})",
+    })
 
 
 def installment_history(payments: DataFrame, loans: DataFrame) -> DataFrame:
     """Scheduled payments: lateness, shortfall, recency, trend."""
-    c, r = F.col, Rollup()
-    due_day, paid_day = c("DAYS_INSTALMENT"), c("DAYS_ENTRY_PAYMENT")
-    due, paid = c("AMT_INSTALMENT"), c("AMT_PAYMENT")
-    late, recent, older = paid_day > due_day, due_day >= -365, due_day < -365
-    on_time = paid_day <= due_day
+    r = Rollup()
+    due_day, paid_day, due, paid = "DAYS_INSTALMENT", "DAYS_ENTRY_PAYMENT", "AMT_INSTALMENT", "AMT_PAYMENT"
+    late, on_time = f"{paid_day} > {due_day}", f"{paid_day} <= {due_day}"
+    recent, older = f"{due_day} >= -365", f"{due_day} < -365"
     n, n_late = r.rows(), r.count_if("late", late)
-    n_recent, late_recent = r.count_if("recent", recent), r.count_if("late12", recent & late)
-    n_older, late_older = r.count_if("older", older), r.count_if("lateold", older & late)
-    days_late, short = paid_day - due_day, due - paid
-    outputs = [
-        n.alias("total_installments"),
-        n_late.alias("late_payments"),
-        r.count_if("ontime", on_time).alias("on_time_payments"),
-        ratio(n_late, n, F.lit(0.0)).alias("late_payment_ratio"),
-        r.avg("dl", days_late).alias("avg_days_late"),
-        r.max("dl", days_late).alias("max_days_late"),
-        r.avg("paid", paid).alias("avg_payment_amount"),
-        dbl(r.sum("paid", paid)).alias("total_paid"),
-        r.avg("due", due).alias("avg_instalment_amount"),
-        dbl(r.sum("due", due)).alias("total_due"),
-        dbl(r.sum("short", short)).alias("total_underpayment"),
-        r.avg("short", short).alias("avg_underpayment"),
-        ratio(r.sum("paid", paid), r.sum("due", due)).alias("payment_to_due_ratio"),
-        r.std("paid", paid).alias("std_payment_amount"),
-        r.std("dl", days_late).alias("std_days_late"),
-        late_recent.alias("late_payments_last_12m"),
-        n_recent.alias("total_installments_last_12m"),
-        ratio(late_recent, n_recent, F.lit(0.0)).alias("late_ratio_last_12m"),
-        recent_minus_older(late_recent, n_recent, late_older, n_older).alias("late_ratio_trend"),
-        r.count_if("early", paid_day < due_day - 5).alias("early_payment_count"),
-        r.avg("early", F.when(on_time, due_day - paid_day)).alias("avg_days_early"),
-    ]
-    return _per_applicant(payments, loans, r, outputs)
+    n_recent, late_recent = r.count_if("recent", recent), r.count_if("late12", f"{recent} AND {late}")
+    n_older, late_older = r.count_if("older", older), r.count_if("lateold", f"{older} AND {late}")
+    days_late, short = f"({paid_day} - {due_day})", f"({due} - {paid})"
+    return _per_applicant(payments, loans, r, {
+        "total_installments": n,
+        "late_payments": n_late,
+        "on_time_payments": r.count_if("ontime", on_time),
+        "late_payment_ratio": share(n_late, n, "0.0D"),
+        "avg_days_late": r.avg("dl", days_late),
+        "max_days_late": r.max("dl", days_late),
+        "avg_payment_amount": r.avg("paid", paid),
+        "total_paid": double(r.sum("paid", paid)),
+        "avg_instalment_amount": r.avg("due", due),
+        "total_due": double(r.sum("due", due)),
+        "total_underpayment": double(r.sum("short", short)),
+        "avg_underpayment": r.avg("short", short),
+        "payment_to_due_ratio": share(r.sum("paid", paid), r.sum("due", due)),
+        "std_payment_amount": r.std("paid", paid),
+        "std_days_late": r.std("dl", days_late),
+        "late_payments_last_12m": late_recent,
+        "total_installments_last_12m": n_recent,
+        "late_ratio_last_12m": share(late_recent, n_recent, "0.0D"),
+        "late_ratio_trend": recent_minus_older(late_recent, n_recent, late_older, n_older),
+        "early_payment_count": r.count_if("early", f"{paid_day} < {due_day} - 5"),
+        "avg_days_early": r.avg("early", f"CASE WHEN {on_time} THEN {due_day} - {paid_day} END"),
+    })
 
 
 def pos_cash_history(snapshots: DataFrame, loans: DataFrame) -> DataFrame:
     """Monthly point-of-sale and cash loan snapshots: completion, days past due, trend."""
-    c, r = F.col, Rollup()
-    month, past_due = c("MONTHS_BALANCE"), c("SK_DPD") > 0
-    recent, older = month >= -12, month < -12
+    r = Rollup()
+    past_due, recent, older = "SK_DPD > 0", "MONTHS_BALANCE >= -12", "MONTHS_BALANCE < -12"
     n, n_dpd = r.rows(), r.count_if("dpd", past_due)
-    n_recent, dpd_recent = r.count_if("recent", recent), r.count_if("dpd12", recent & past_due)
-    n_older, dpd_older = r.count_if("older", older), r.count_if("dpdold", older & past_due)
-    completed = r.count_if("done", c("NAME_CONTRACT_STATUS") == "Completed")
-    loan_count = F.count_distinct(LOAN)
-    left = c("CNT_INSTALMENT_FUTURE")
-    outputs = [
-        loan_count.alias("pos_loan_count"),
-        n.alias("pos_balance_records"),
-        completed.alias("completed_contracts"),
-        r.count_if("active", c("NAME_CONTRACT_STATUS") == "Active").alias("active_contracts"),
-        r.avg("dpd", c("SK_DPD")).alias("avg_dpd"),
-        r.max("dpd", c("SK_DPD")).alias("max_dpd"),
-        n_dpd.alias("months_with_dpd"),
-        r.avg("def", c("SK_DPD_DEF")).alias("avg_dpd_def"),
-        r.max("def", c("SK_DPD_DEF")).alias("max_dpd_def"),
-        r.avg("left", left).alias("avg_remaining_instalments"),
-        r.min("left", left).alias("min_remaining_instalments"),
-        ratio(completed, loan_count).alias("contract_completion_rate"),
-        ratio(n_dpd, n, F.lit(0.0)).alias("dpd_rate"),
-        r.std("dpd", c("SK_DPD")).alias("std_pos_dpd"),
-        r.std("left", left).alias("std_remaining_inst"),
-        dpd_recent.alias("pos_dpd_last_12m"),
-        n_recent.alias("pos_records_last_12m"),
-        ratio(dpd_recent, n_recent, F.lit(0.0)).alias("pos_dpd_rate_last_12m"),
-        recent_minus_older(dpd_recent, n_recent, dpd_older, n_older).alias("pos_dpd_trend"),
-    ]
-    return _per_applicant(snapshots, loans, r, outputs)
+    n_recent, dpd_recent = r.count_if("recent", recent), r.count_if("dpd12", f"{recent} AND {past_due}")
+    n_older, dpd_older = r.count_if("older", older), r.count_if("dpdold", f"{older} AND {past_due}")
+    completed = r.count_if("done", "NAME_CONTRACT_STATUS = 'Completed'")
+    loan_count, left = f"count(DISTINCT {LOAN})", "CNT_INSTALMENT_FUTURE"
+    return _per_applicant(snapshots, loans, r, {
+        "pos_loan_count": loan_count,
+        "pos_balance_records": n,
+        "completed_contracts": completed,
+        "active_contracts": r.count_if("active", "NAME_CONTRACT_STATUS = 'Active'"),
+        "avg_dpd": r.avg("dpd", "SK_DPD"),
+        "max_dpd": r.max("dpd", "SK_DPD"),
+        "months_with_dpd": n_dpd,
+        "avg_dpd_def": r.avg("def", "SK_DPD_DEF"),
+        "max_dpd_def": r.max("def", "SK_DPD_DEF"),
+        "avg_remaining_instalments": r.avg("left", left),
+        "min_remaining_instalments": r.min("left", left),
+        "contract_completion_rate": share(completed, loan_count),
+        "dpd_rate": share(n_dpd, n, "0.0D"),
+        "std_pos_dpd": r.std("dpd", "SK_DPD"),
+        "std_remaining_inst": r.std("left", left),
+        "pos_dpd_last_12m": dpd_recent,
+        "pos_records_last_12m": n_recent,
+        "pos_dpd_rate_last_12m": share(dpd_recent, n_recent, "0.0D"),
+        "pos_dpd_trend": recent_minus_older(dpd_recent, n_recent, dpd_older, n_older),
+    })
 
 
 def previous_application_history(loans: DataFrame) -> DataFrame:
     """Past applications: outcome mix, amounts, recency and the latest outcome."""
-    c = F.col
-    status, kind, day = c("NAME_CONTRACT_STATUS"), c("NAME_CONTRACT_TYPE"), c("DAYS_DECISION")
-    recent, approved = day >= -365, status == "Approved"
-    n = F.count(F.lit(1))
-    return loans.groupBy(APPLICANT).agg(
-        n.alias("prev_app_count"),
-        F.count_if(approved).alias("approved_apps"),
-        F.count_if(status == "Refused").alias("refused_apps"),
-        F.count_if(status == "Canceled").alias("canceled_apps"),
-        ratio(F.count_if(approved), n).alias("approval_rate"),
-        avg(c("AMT_APPLICATION")).alias("avg_application_amount"),
-        avg(c("AMT_CREDIT")).alias("avg_credit_amount"),
-        avg(c("AMT_ANNUITY")).alias("avg_annuity"),
-        ratio(F.sum("AMT_CREDIT"), F.sum("AMT_APPLICATION")).alias("credit_to_application_ratio"),
-        ratio(F.sum("AMT_ANNUITY"), F.sum("AMT_CREDIT")).alias("annuity_to_credit_ratio"),
-        F.count_if(kind == "Cash loans").alias("cash_loans"),
-        F.count_if(kind == "Consumer loans").alias("consumer_loans"),
-        F.count_if(kind == "Revolving loans").alias("revolving_loans"),
-        F.max(day).alias("latest_decision_days"),
-        F.min(day).alias("earliest_decision_days"),
-        F.stddev_samp(dbl(c("AMT_APPLICATION"))).alias("std_application_amount"),
-        F.stddev_samp(dbl(c("AMT_CREDIT"))).alias("std_prev_credit_amount"),
-        F.count_if(recent).alias("prev_apps_last_12m"),
-        F.count_if(recent & (status == "Refused")).alias("refusals_last_12m"),
-        F.count_if(recent & approved).alias("approvals_last_12m"),
-        ratio(F.count_if(recent & approved), F.count_if(recent)).alias("approval_rate_last_12m"),
-        latest(F.when(day.isNotNull(), status), day, c(LOAN)).alias("latest_app_status"),
-    )
+    status = lambda v: f"NAME_CONTRACT_STATUS = '{v}'"
+    kind = lambda v: f"count_if(NAME_CONTRACT_TYPE = '{v}')"
+    recent, approved = "DAYS_DECISION >= -365", status("Approved")
+    return loans.groupBy(APPLICANT).agg(*named({
+        "prev_app_count": "count(1)",
+        "approved_apps": f"count_if({approved})",
+        "refused_apps": f"count_if({status('Refused')})",
+        "canceled_apps": f"count_if({status('Canceled')})",
+        "approval_rate": share(f"count_if({approved})", "count(1)"),
+        "avg_application_amount": avg("AMT_APPLICATION"),
+        "avg_credit_amount": avg("AMT_CREDIT"),
+        "avg_annuity": avg("AMT_ANNUITY"),
+        "credit_to_application_ratio": share("sum(AMT_CREDIT)", "sum(AMT_APPLICATION)"),
+        "annuity_to_credit_ratio": share("sum(AMT_ANNUITY)", "sum(AMT_CREDIT)"),
+        "cash_loans": kind("Cash loans"),
+        "consumer_loans": kind("Consumer loans"),
+        "revolving_loans": kind("Revolving loans"),
+        "latest_decision_days": "max(DAYS_DECISION)",
+        "earliest_decision_days": "min(DAYS_DECISION)",
+        "std_application_amount": std("AMT_APPLICATION"),
+        "std_prev_credit_amount": std("AMT_CREDIT"),
+        "prev_apps_last_12m": f"count_if({recent})",
+        "refusals_last_12m": f"count_if({recent} AND {status('Refused')})",
+        "approvals_last_12m": f"count_if({recent} AND {approved})",
+        "approval_rate_last_12m": share(f"count_if({recent} AND {approved})", f"count_if({recent})"),
+        "latest_app_status": latest(
+            "CASE WHEN DAYS_DECISION IS NOT NULL THEN NAME_CONTRACT_STATUS END", "DAYS_DECISION", LOAN
+        ),
+    }))
 
 
 def latest_status(loans: DataFrame) -> DataFrame:
     """Outcome of each applicant's last decision; equal days are decided by the loan id."""
-    return loans.groupBy(APPLICANT).agg(
-        latest(F.col("NAME_CONTRACT_STATUS"), F.col("DAYS_DECISION"), F.col(LOAN)).alias("latest_app_status"),
-        F.max("DAYS_DECISION").alias("latest_decision_days"),
-    )
+    return loans.groupBy(APPLICANT).agg(*named({
+        "latest_app_status": latest("NAME_CONTRACT_STATUS", "DAYS_DECISION", LOAN),
+        "latest_decision_days": "max(DAYS_DECISION)",
+    }))
 
 
 def merge_features(base: DataFrame, aggregates: dict[str, DataFrame], key: str = APPLICANT) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.aggregates import dbl, ratio
-from .binning import quantile_edges, right_closed_bin
+from .binning import number, quantile_edges, right_closed_bin
 from .features import numeric_columns
 from .ranking import cumulate, discrimination, score_counts
 
@@ -26,7 +26,7 @@ def decile_table(df: DataFrame, score: str, target: str, q: int = 10) -> DataFra
     y = F.col(target)
     per = (
         df.where(F.col(score).isNotNull() & y.isNotNull())
-        .groupBy((F.lit(bins) - right_closed_bin(F.col(score).cast("double"), edges)).alias("decile"))
+        .groupBy((F.lit(bins) - right_closed_bin(number(score), edges)).alias("decile"))
         .agg(F.count(F.lit(1)).alias("count"), F.count_if(y == 1).alias("bads"))
     )
     whole = Window.partitionBy(F.lit(0))  # over at most q rows
@@ -54,14 +54,15 @@ def gains_lift(deciles: DataFrame) -> DataFrame:
 def cdf_grid(df: DataFrame, score: str, target: str, points: int = 500) -> DataFrame:
     """Class CDFs (strictly below) on ``points`` thresholds from 0 to 1 with their absolute gap."""
     step = 1.0 / (points - 1)
-    s, y = F.col(score), F.col(target)
-    # First threshold strictly above the score; the estimate is corrected against the exact grid value.
-    guess = F.least(F.greatest(F.floor(s / step) + 1, F.lit(0)), F.lit(points)).cast("int")
+    s, y = F.col(score).cast("double"), F.col(target)
     at = lambda i: F.when(i == points - 1, F.lit(1.0)).otherwise(i * F.lit(step))
-    guess = F.when((guess > 0) & (at(guess - 1) > s), guess - 1).otherwise(guess)
-    guess = F.when((guess < points) & (at(guess) <= s), guess + 1).otherwise(guess)
+    # First threshold strictly above the score: the estimate is off by at most one step, so the two
+    # thresholds around it settle the index against the exact grid values.
+    low = F.least(F.greatest(F.floor(s / step) - 1, F.lit(-1)), F.lit(points - 1)).cast("int")
+    passed = lambda i: F.when((i < points) & (at(i) <= s), 1).otherwise(0)
+    first_above = low + passed(low) + passed(low + 1) + passed(low + 2)
     counts = (
-        df.where(s.isNotNull() & y.isNotNull()).groupBy(guess.alias("_g"))
+        df.where(s.isNotNull() & y.isNotNull()).groupBy(first_above.alias("_g"))
         .agg(F.count_if(y == 0).alias("_n"), F.count_if(y == 1).alias("_p"))
     )
     grid = df.sparkSession.range(points + 1).select(F.col("id").cast("int").alias("point"))
@@ -112,7 +113,7 @@ def calibration(df: DataFrame, score: str, target: str, bins: int = 10) -> DataF
     s, y = F.col(score).cast("double"), F.col(target)
     return (
         df.where(s.isNotNull() & y.isNotNull())
-        .groupBy(right_closed_bin(s, edges).alias("bin"))
+        .groupBy(right_closed_bin(number(score), edges).alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"), F.avg(s).alias("mean_predicted"),
              ratio(F.count_if(y == 1), F.count(F.lit(1))).alias("observed_rate"))
         .where(F.col("bin").isNotNull())
@@ -125,7 +126,7 @@ def brier_ece(df: DataFrame, score: str, target: str, bins: int = 10) -> DataFra
     s, y = F.col(score).cast("double"), F.col(target).cast("double")
     per = (
         df.where(s.isNotNull() & y.isNotNull())
-        .groupBy(right_closed_bin(s, edges).alias("bin"))
+        .groupBy(right_closed_bin(number(score), edges).alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum((s - y) * (s - y)).alias("sq"), F.avg(s).alias("p"), F.avg(y).alias("o"))
     )
     gap = F.when(F.col("bin").isNotNull(), F.abs(F.col("o") - F.col("p")))

@@ -85,7 +85,7 @@ def psi_features(
     ranged = {c: (span[f"lo_{i}"], span[f"hi_{i}"]) for i, c in enumerate(features) if span[f"lo_{i}"] is not None}
     if not ranged:
         return spark.createDataFrame([], empty)
-    binned = both.select("side", *[equal_width_bin(F.col(c), lo, hi, bins).alias(c) for c, (lo, hi) in ranged.items()])
+    binned = both.select("side", *[equal_width_bin(f"`{c}`", lo, hi, bins).alias(c) for c, (lo, hi) in ranged.items()])
     counts = (
         binned.unpivot(["side"], list(ranged), "feature", "bin").where(F.col("bin").isNotNull())
         .groupBy("feature", "bin")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aggregates import dbl, ratio
-from .binning import equal_width_bin
+from .binning import equal_width_sql
 from .fairness import HISTORY_BANDS, banded_rate
 from .features import numeric_columns
 from .metrics import unpivot_text
@@ -27,7 +27,7 @@ def segment_default_rate(df: DataFrame, segments: list[str], target: str) -> Dat
 
 def history_band_rate(df: DataFrame, count_col: str, overdue_col: str, target: str) -> DataFrame:
     """Default rate by band of history records and by presence of overdue amounts."""
-    bands = banded_rate(df, F.coalesce(F.col(count_col), F.lit(0)), HISTORY_BANDS, target)
+    bands = banded_rate(df, f"coalesce(`{count_col}`, 0)", HISTORY_BANDS, target)
     y = F.col(target)
     has = F.when(F.coalesce(F.col(overdue_col), F.lit(0.0)) > 0, "Has overdue").otherwise("No overdue")
     flags = df.groupBy(has.alias("band")).agg(F.count(y).alias("n"), F.count_if(y == 1).alias("defaults"))
@@ -135,14 +135,13 @@ def hist_by_class(df: DataFrame, features: list[str], target: str, bins: int = 5
                 lo, hi = r[f"lo{i}"], r[f"hi{i}"]
                 bounds[r["cls"], c] = (lo - 0.5, hi + 0.5) if lo == hi else (lo, hi)
 
-    def pick(c: str, which: int):
-        out = F.lit(None).cast("double")
-        for cls in (0, 1):
-            if (cls, c) in bounds:
-                out = F.when(F.col("cls") == cls, F.lit(float(bounds[cls, c][which]))).otherwise(out)
-        return out
+    def own_bin(c: str):
+        branches = [
+            f"WHEN cls = {cls} THEN {equal_width_sql(f'`{c}`', *bounds[cls, c], bins)}" for cls in (0, 1) if (cls, c) in bounds
+        ]
+        return F.expr(f"CASE {' '.join(branches)} END") if branches else F.lit(None).cast("int")
 
-    long = base.select("cls", *[equal_width_bin(F.col(c), pick(c, 0), pick(c, 1), bins).alias(c) for c in features])
+    long = base.select("cls", *[own_bin(c).alias(c) for c in features])
     counts = (
         long.unpivot(["cls"], features, "feature", "bin").where(F.col("bin").isNotNull())
         .groupBy("feature", "cls", "bin").agg(F.count(F.lit(1)).alias("n"))

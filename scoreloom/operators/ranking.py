@@ -12,15 +12,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lookups import local_if_small
+
 CELLS_PER_DECADE = 5000
 _EXPONENT_SHIFT = 330  # above the largest decimal exponent of a double, keeps cell numbers positive
 
 
 def value_cell(x: Column, per_decade: int = CELLS_PER_DECADE) -> Column:
     """Monotone integer cell of a value: logarithmic grid mirrored around zero."""
-    up = (F.floor((F.log10(x) + _EXPONENT_SHIFT) * per_decade) + 1).cast("int")
-    down = -(F.floor((F.log10(-x) + _EXPONENT_SHIFT) * per_decade) + 1).cast("int")
-    return F.when(x > 0, up).when(x < 0, down).otherwise(F.lit(0))
+    size = F.least(F.log10(F.abs(x)), F.lit(float(_EXPONENT_SHIFT)))  # infinities share the outermost cell
+    cell = (F.floor((size + _EXPONENT_SHIFT) * per_decade) + 1).cast("int")
+    return F.when(x == 0, F.lit(0)).otherwise(cell * F.signum(x).cast("int"))
 
 
 def distinct_counts(df: DataFrame, keys: list[str], value: str, totals: dict[str, Column]) -> DataFrame:
@@ -37,8 +39,8 @@ def cumulate(
 ) -> DataFrame:
     """Add ``<t>_before`` (sum over strictly smaller values of the key) and ``<t>_all`` for each total.
 
-    ``counts`` must hold one row per (keys, value). ``cell`` must not decrease as the value grows;
-    the default fits numbers.
+    ``counts`` must hold one row per (keys, value) and no NULL key. ``cell`` must not decrease as the
+    value grows; the default fits numbers. The join reuses the partitioning and order of the window.
     """
     celled = counts.withColumn("_cell", value_cell(F.col(value).cast("double")) if cell is None else cell)
     cells = celled.groupBy(*keys, "_cell").agg(*[F.sum(t).alias(f"_c_{t}") for t in totals])
@@ -60,7 +62,7 @@ def cumulate(
     )
     match = F.col("_cell") == F.col("_k_cell")
     for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        match = match & (F.col(k) == F.col(f"_k_{k}"))
     return ranked.join(cells, match).select(
         *counts.columns,
         *[(F.col(f"_o_{t}") + F.col(f"_i_{t}")).alias(f"{t}_before") for t in totals],
@@ -69,8 +71,10 @@ def cumulate(
 
 
 def score_counts(df: DataFrame, keys: list[str], score: str, target: str) -> DataFrame:
-    """Distinct scores per key with positives and negatives."""
+    """Distinct scores per key with positives and negatives; rows with a NULL key or outcome are left out."""
     y = F.col(target)
+    for k in keys:
+        df = df.where(F.col(k).isNotNull())
     return distinct_counts(df.where(y.isNotNull()), keys, score, {"pos": F.count_if(y == 1), "neg": F.count_if(y == 0)})
 
 
@@ -139,48 +143,54 @@ def two_sample_ks(df: DataFrame, features: list[str], flag: str) -> DataFrame:
     )
 
 
-def quantiles_of_counts(counts: DataFrame, keys: list[str], value: str, n: str, probs: list[float]) -> DataFrame:
-    """Linear-interpolated quantiles per key from distinct-value counts, as an array ``edges``.
+def exact_quantiles(df: DataFrame, features: list[str], probs: list[float], keys: list[str] | None = None) -> DataFrame:
+    """Frame (keys, feature, edges) of exact linear-interpolated quantiles, all features in one plan.
 
-    Each distinct value answers only for the order statistics that fall inside its own run, so at
-    most two rows per quantile leave the ranked frame.
+    Selection in two passes: rows are counted per cell, the prefix sums of the cells tell which cells
+    hold a wanted order statistic, and only the rows of those cells (at most two per quantile) are
+    counted by value. No pass shuffles more than cell counts and the values of the picked cells.
     """
-    r = cumulate(counts, keys, value, [n])
-    before, here, total = F.col(f"{n}_before"), F.col(n), F.col(f"{n}_all")
-    wanted = F.array(*[
-        F.struct(F.lit(i).alias("i"), ((total - 1).cast("double") * F.lit(float(q))).alias("h"))
-        for i, q in enumerate(probs)
-    ])
-    inside = lambda rank: (rank >= before) & (rank < before + here)
-    hits = r.select(
-        *keys,
-        F.col(value).cast("double").alias("_v"),
-        F.explode(F.filter(wanted, lambda w: inside(F.floor(w["h"])) | inside(F.ceil(w["h"])))).alias("_w"),
-        before.alias("_b"),
-        here.alias("_n"),
-    )
-    i, h = F.col("_w.i"), F.col("_w.h")
-    lo, hi = F.floor(h), F.ceil(h)
-    here_is = lambda rank: (rank >= F.col("_b")) & (rank < F.col("_b") + F.col("_n"))
-    points = hits.groupBy(*keys, i.alias("_i")).agg(
-        F.max(F.when(here_is(lo), F.col("_v"))).alias("_lo"),
-        F.max(F.when(here_is(hi), F.col("_v"))).alias("_hi"),
-        F.max(h - lo).alias("_f"),
+    keys = keys or []
+    long = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in features]).unpivot(
+        keys, features, "feature", "value"
+    )
+    long = long.where(F.col("value").isNotNull()).withColumn("_cell", value_cell(F.col("value")))
+    by = [*keys, "feature"]
+    cells = long.groupBy(*by, "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    of_key = Window.partitionBy(*by)  # over the cell table
+    upto = of_key.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cells = cells.select(
+        *by, "_cell", "_n", (F.sum("_n").over(upto) - F.col("_n")).alias("_before"), F.sum("_n").over(of_key).alias("_all")
+    )
+    picked = _with_wanted(cells, probs).where(F.size("_w") > 0).select(*by, "_cell", "_before", "_all")
+    # Without keys the picked cells number at most 2 x quantiles x features.
+    picked = local_if_small(picked) if keys else F.broadcast(picked)
+    values = long.join(picked, [*by, "_cell"]).groupBy(*by, "_cell", "_before", "_all", "value").agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    inner = Window.partitionBy(*by, "_cell").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    values = values.withColumn("_before", F.col("_before") + F.sum("_n").over(inner) - F.col("_n"))
+    hits = _with_wanted(values, probs).select(*by, "value", "_before", "_n", F.explode("_w").alias("_w"))
+    lo, hi = F.floor("_w.h"), F.ceil("_w.h")
+    here = lambda rank: (rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_n"))
+    points = hits.groupBy(*by, F.col("_w.i").alias("_i")).agg(
+        F.max(F.when(here(lo), F.col("value"))).alias("_lo"),
+        F.max(F.when(here(hi), F.col("value"))).alias("_hi"),
+        F.max(F.col("_w.h") - lo).alias("_f"),
     )
     edge = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f")
-    # collect_list is bounded by the number of requested quantiles.
+    # The list is bounded by the number of requested quantiles.
     listed = F.array_sort(F.collect_list(F.struct(F.col("_i").alias("i"), edge.alias("v"))))
-    return points.groupBy(*keys).agg(F.transform(listed, lambda s: s["v"]).alias("edges"))
+    return points.groupBy(*by).agg(F.transform(listed, lambda s: s["v"]).alias("edges"))
 
 
-def exact_quantiles(df: DataFrame, features: list[str], probs: list[float], keys: list[str] | None = None) -> DataFrame:
-    """Frame (keys, feature, edges) of exact quantiles of every feature, all features in one plan."""
-    keys = keys or []
-    long = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in features]).unpivot(
-        keys, features, "feature", "value"
+def _with_wanted(counted: DataFrame, probs: list[float]) -> DataFrame:
+    """Add ``_w``: the quantiles (index i, fractional rank h) whose neighbours fall in this row's run of ranks."""
+    wanted = ", ".join(f"named_struct('i', {i}, 'h', (_all - 1) * {float(q)!r}D)" for i, q in enumerate(probs))
+    inside = "({0}(w.h) >= _before AND {0}(w.h) < _before + _n)"
+    return counted.withColumn(
+        "_w", F.expr(f"filter(array({wanted}), w -> {inside.format('floor')} OR {inside.format('ceil')})")
     )
-    counts = distinct_counts(long, [*keys, "feature"], "value", {"n": F.count(F.lit(1))})
-    return quantiles_of_counts(counts, [*keys, "feature"], "value", "n", probs)
 
 
 def approx_quantiles(df: DataFrame, features: list[str], probs: list[float], accuracy: int = 10000) -> DataFrame:

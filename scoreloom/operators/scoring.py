@@ -73,31 +73,38 @@ def validate(df: DataFrame, keep=()) -> DataFrame:
     violations. Accepted rows have an empty list.
     """
     have = set(df.columns)
-    typed: dict[str, Column] = {}
-    broken: list[Column] = []
+    typed: list[Column] = []
+    broken: list[str] = []
     for name, kind, default, low, low_open, high in FIELDS:
         source = name if name in have else ALIASES.get(name)
+        absent = source not in have
         empty = None if default == "NULL" else default
-        if source not in have:
-            typed[name] = F.lit(empty).cast(kind)
-            if default is None:
-                broken.append(F.lit(f"{name}: missing"))
-            continue
-        raw = F.col(source)
-        value = raw.try_cast(kind)
-        if kind == "double":
-            value = F.when(~F.isnan(value), value)
-        given = raw.isNotNull() & (raw.cast("string") != "")
-        typed[name] = value if default is None else F.when(given, value).otherwise(F.lit(empty).cast(kind))
+        if absent:
+            typed.append(F.lit(empty).cast(kind).alias(name))
+        else:
+            value = F.expr(f"try_cast(`{source}` AS {kind})")
+            typed.append((F.nanvl(value, F.lit(None).cast("double")) if kind == "double" else value).alias(name))
+            typed.append(F.expr(f"nullif(CAST(`{source}` AS string), '') IS NOT NULL").alias(f"_given_{name}"))
+            broken.append(f"CASE WHEN _given_{name} AND {name} IS NULL THEN '{name}: not {kind}' END")
         if default is None:
-            broken.append(F.when(~given, F.lit(f"{name}: missing")))
-        broken.append(F.when(given & value.isNull(), F.lit(f"{name}: not {kind}")))
+            broken.insert(len(broken) - (not absent), "'%s: missing'" % name if absent else
+                          f"CASE WHEN NOT _given_{name} THEN '{name}: missing' END")
         if low is not None:
-            broken.append(F.when(value <= low if low_open else value < low, F.lit(f"{name}: too small")))
+            broken.append(f"CASE WHEN {name} {'<=' if low_open else '<'} {low} THEN '{name}: too small' END")
         if high is not None:
-            broken.append(F.when(value > high, F.lit(f"{name}: too large")))
-    return df.select(
-        *keep, *[v.alias(k) for k, v in typed.items()], F.array_compact(F.array(*broken)).alias("violations")
+            broken.append(f"CASE WHEN {name} > {int(high)} THEN '{name}: too large' END")
+    # One generated row per request: the parsed values are computed once and not repeated in every rule.
+    parsed = df.select(*keep, F.inline(F.array(F.struct(*typed))))
+
+    def final(name, kind, default):
+        if default in (None, "NULL") or f"_given_{name}" not in parsed.columns:
+            return F.col(name)
+        fallback = f"'{default}'" if kind == "string" else f"CAST({default} AS {kind})"
+        return F.expr(f"CASE WHEN _given_{name} THEN {name} ELSE {fallback} END AS {name}")
+
+    return parsed.select(
+        *keep, *[final(n, k, d) for n, k, d, *_ in FIELDS],
+        F.expr(f"array_compact(array({', '.join(broken)}))").alias("violations"),
     )
 
 
@@ -243,7 +250,7 @@ def first_high_risk(df: DataFrame, prob: str, key: str, cut: float = HIGH_PD) ->
 
 def tier_mix(scored: DataFrame, bins: int = 30) -> DataFrame:
     """Histogram of the score per tier over the whole 300..850 scale."""
-    b = equal_width_bin(F.col("credit_score").cast("double"), scores.SCORE_MIN, scores.SCORE_MAX, bins)
+    b = equal_width_bin("credit_score", scores.SCORE_MIN, scores.SCORE_MAX, bins)
     return scored.where(F.col("credit_score").isNotNull()).groupBy("risk_tier", b.alias("bin")).agg(
         F.count(F.lit(1)).alias("n")
     )

@@ -26,29 +26,37 @@ def class_rank(df: DataFrame, key: str, target: str, seed: int = SEED) -> DataFr
 
     The order is total because the token is followed by the key; cells are token prefixes.
     """
-    keyed = df.groupBy(target, key).agg(F.max(F.lit(1).cast("long")).alias("_one"))
-    token = F.concat(hash_token(key, seed), F.lit("|"), F.col(key).cast("string"))
+    keyed = df.groupBy(_class(target).alias("_t"), F.col(key).alias("_k")).agg(F.max(F.lit(1).cast("long")).alias("_one"))
+    token = F.concat(hash_token("_k", seed), F.lit("|"), F.col("_k").cast("string"))
     ranked = cumulate(
-        keyed.withColumn("_token", token), [target], "_token", ["_one"], cell=F.substring("_token", 1, 3)
+        keyed.withColumn("_token", token), ["_t"], "_token", ["_one"], cell=F.substring("_token", 1, 3)
     )
-    return ranked.select(target, key, F.col("_one_before").alias("_rank"), F.col("_one_all").alias("_size"))
+    return ranked.select("_t", "_k", F.col("_one_before").alias("_rank"), F.col("_one_all").alias("_size"))
+
+
+def _class(target: str) -> Column:
+    """Class number; rows without an outcome form a class of their own."""
+    return F.coalesce(F.col(target).cast("long"), F.lit(-1))
+
+
+def _on_class(df: DataFrame, key: str, target: str) -> Column:
+    return (df[key] == F.col("_k")) & (F.coalesce(df[target].cast("long"), F.lit(-1)) == F.col("_t"))
 
 
 def stratified_split(df: DataFrame, key: str, target: str, test_share: float = 0.2, seed: int = SEED) -> DataFrame:
     """``is_test``: exactly round(share * class size) keys of each class, chosen by hash order."""
     r = class_rank(df, key, target, seed).select(
-        F.col(key).alias("_k"), F.col(target).alias("_t"),
-        (F.col("_rank") < F.round(F.col("_size") * F.lit(test_share), 0)).cast("int").alias("is_test"),
+        "_k", "_t", (F.col("_rank") < F.round(F.col("_size") * F.lit(test_share), 0)).cast("int").alias("is_test"),
     )
-    return df.join(r, (df[key] == F.col("_k")) & df[target].eqNullSafe(F.col("_t"))).drop("_k", "_t")
+    return df.join(r, _on_class(df, key, target)).drop("_k", "_t")
 
 
 def stratified_folds(df: DataFrame, key: str, target: str, k: int = 5, seed: int = SEED) -> DataFrame:
     """``fold`` 0..k-1 with class sizes equal up to one key."""
     r = class_rank(df, key, target, seed).select(
-        F.col(key).alias("_k"), F.col(target).alias("_t"), (F.col("_rank") % k).cast("int").alias("fold")
+        "_k", "_t", (F.col("_rank") % k).cast("int").alias("fold")
     )
-    return df.join(r, (df[key] == F.col("_k")) & df[target].eqNullSafe(F.col("_t"))).drop("_k", "_t")
+    return df.join(r, _on_class(df, key, target)).drop("_k", "_t")
 
 
 def hash_split(df: DataFrame, key: str, share: float, seed: int = SEED, out: str = "is_test") -> DataFrame:
@@ -77,10 +85,8 @@ def stratified_sample(df: DataFrame, key: str, target: str, n: int, seed: int =
     sizes = df.groupBy(target).agg(F.countDistinct(key).alias("_c")).collect()  # one row per class
     total = sum(x["_c"] for x in sizes)
     quota = min(1.0, n / total) if total else 0.0
-    kept = r.where(F.col("_rank") < F.round(F.col("_size") * F.lit(quota), 0)).select(
-        F.col(key).alias("_k"), F.col(target).alias("_t")
-    )
-    return df.join(kept, (df[key] == F.col("_k")) & df[target].eqNullSafe(F.col("_t")), "left_semi")
+    kept = r.where(F.col("_rank") < F.round(F.col("_size") * F.lit(quota), 0)).select("_k", "_t")
+    return df.join(kept, _on_class(df, key, target), "left_semi")
 
 
 def class_counts(df: DataFrame, target: str) -> tuple[int, int]:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scores import BASE_ODDS, BASE_SCORE, PDO, iv_label, scale
-from .binning import quantile_edges, right_closed_bin, right_closed_pick
+from .binning import number, quantile_edges, right_closed_bin, right_closed_pick, sql_double
 from .encoding import category_counts
 from .lookups import local_if_small
 
@@ -42,7 +42,7 @@ def fit_numeric(
     y = F.col(target)
     binned = df.where(y.isNotNull()).select(
         y.cast("int").alias("_y"),
-        *[right_closed_bin(F.col(f).cast("double"), e).alias(f) for f, e in edges.items()],
+        *[right_closed_bin(number(f), e).alias(f) for f, e in edges.items()],
     )
     if edges:
         counted = (
@@ -115,7 +115,7 @@ class WoeModel:
         exprs = {}
         for f, bins in numeric.items():
             edges = [b[0] for b in bins] + [bins[-1][1]]
-            exprs[f"{f}{suffix}"] = right_closed_pick(F.col(f).cast("double"), edges, [b[2] for b in bins], "double")
+            exprs[f"{f}{suffix}"] = right_closed_pick(number(f), edges, [sql_double(b[2]) for b in bins], "double")
         types = dict(df.dtypes)
         texts = [f for f in self.features if f in chosen and f in types and types[f] == "string" and f not in numeric]
         out = df
