@@ -77,8 +77,8 @@ def target_encode_oof(df: DataFrame, columns: list[str], target: str, fold: str,
 
 def category_code_table(df: DataFrame, columns: list[str]) -> DataFrame:
     """Alphabetical 0-based code of each category; fit once and reuse for every frame."""
-    seen = category_counts(df.select(*columns), columns, F.max(F.lit(1).cast("long")).alias("one"))
-    ranked = cumulate(seen, ["feature"], "category", ["one"], cell=F.substring("category", 1, 3))
+    seen = category_counts(df.select(*columns), columns, F.count(F.lit(1)).alias("n"))
+    ranked = cumulate(seen, ["feature"], "category", {"one": F.lit(1)}, cell=F.substring("category", 1, 3))
     return ranked.select("feature", "category", F.col("one_before").cast("int").alias("code"))
 
 

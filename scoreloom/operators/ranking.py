@@ -1,10 +1,9 @@
 """Exact ranking over data of any size.
 
-Scores are first collapsed to distinct values (map-side combine absorbs any repeated value), then
-every value is placed in a cell by a monotone function of the value alone. Offsets of cells are
-prefix sums over the small cell table; ranks inside a cell come from a window over that cell. No
-window ever covers a whole key, and because cells depend only on the value, recomputing a lost task
-always gives the same placement.
+Every value is placed in a cell by a monotone function of the value alone. Offsets of cells are prefix
+sums over the small cell table; rows collapse to distinct values (map-side combine absorbs any repeated
+value) and are ranked inside their cell. No window ever covers a whole key, and because cells depend
+only on the value, recomputing a lost task always gives the same placement.
 """
 
 from __future__ import annotations
@@ -25,61 +24,50 @@ def value_cell(x: Column, per_decade: int = CELLS_PER_DECADE) -> Column:
     return F.when(x == 0, F.lit(0)).otherwise(cell * F.signum(x).cast("int"))
 
 
-def distinct_counts(df: DataFrame, keys: list[str], value: str, totals: dict[str, Column]) -> DataFrame:
-    """One row per (keys, value) with the named sums; NULL values are left out."""
-    return (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(*[expr.alias(name) for name, expr in totals.items()])
-    )
-
-
 def cumulate(
-    counts: DataFrame, keys: list[str], value: str, totals: list[str], cell: Column | None = None
+    rows: DataFrame, keys: list[str], value: str, totals: dict[str, Column], cell: Column | None = None
 ) -> DataFrame:
-    """Add ``<t>_before`` (sum over strictly smaller values of the key) and ``<t>_all`` for each total.
+    """One row per (keys, value) with each total ``t``, its ``<t>_before`` (sum over strictly smaller values
+    of the key) and ``<t>_all``; rows with a NULL key or value are left out.
 
-    ``counts`` must hold one row per (keys, value) and no NULL key. ``cell`` must not decrease as the
-    value grows; the default fits numbers. The join reuses the partitioning and order of the window.
+    ``cell`` must not decrease as the value grows; the default fits numbers. The cell table comes from
+    the rows themselves: its map-side combine leaves a few thousand cells per key and task, so the large
+    set of distinct values is shuffled for the ranking alone. The join keeps the partitioning and order
+    of the window.
     """
-    celled = counts.withColumn("_cell", value_cell(F.col(value).cast("double")) if cell is None else cell)
-    cells = celled.groupBy(*keys, "_cell").agg(*[F.sum(t).alias(f"_c_{t}") for t in totals])
-    # A key has at most as many cells as the grid: this window runs over the cell table, not the data.
+    given = rows.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*keys, value]))
+    base = given.select(
+        *keys, value, (value_cell(F.col(value).cast("double")) if cell is None else cell).alias("_cell"),
+        *[t.alias(name) for name, t in totals.items()],
+    )
+    names = list(totals)
+    cells = base.groupBy(*keys, "_cell").agg(*[F.sum(t).alias(f"_c_{t}") for t in names])
+    # A key has at most as many cells as the grid: these windows run over the cell table, not the data.
     by_key = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     upto = by_key.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cells = cells.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.col("_cell").alias("_k_cell"),
-        *[(F.sum(f"_c_{t}").over(upto) - F.col(f"_c_{t}")).alias(f"_o_{t}") for t in totals],
-        *[F.sum(f"_c_{t}").over(by_key).alias(f"{t}_all") for t in totals],
+        *keys, "_cell",
+        *[(F.sum(f"_c_{t}").over(upto) - F.col(f"_c_{t}")).alias(f"_o_{t}") for t in names],
+        *[F.sum(f"_c_{t}").over(by_key).alias(f"{t}_all") for t in names],
     )
+    counts = base.groupBy(*keys, "_cell", value).agg(*[F.sum(t).alias(t) for t in names])
     inner = (
         Window.partitionBy(*keys, "_cell").orderBy(value)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ranked = celled.select(
-        "*", *[(F.sum(t).over(inner) - F.col(t)).alias(f"_i_{t}") for t in totals]
-    )
-    match = F.col("_cell") == F.col("_k_cell")
-    for k in keys:
-        match = match & (F.col(k) == F.col(f"_k_{k}"))
-    return ranked.join(cells, match).select(
-        *counts.columns,
-        *[(F.col(f"_o_{t}") + F.col(f"_i_{t}")).alias(f"{t}_before") for t in totals],
-        *[f"{t}_all" for t in totals],
+    ranked = counts.select("*", *[(F.sum(t).over(inner) - F.col(t)).alias(f"_i_{t}") for t in names])
+    return ranked.join(cells, [*keys, "_cell"]).select(
+        *keys, value, *names,
+        *[(F.col(f"_o_{t}") + F.col(f"_i_{t}")).alias(f"{t}_before") for t in names],
+        *[f"{t}_all" for t in names],
     )
 
 
-def score_counts(df: DataFrame, keys: list[str], score: str, target: str) -> DataFrame:
-    """Distinct scores per key with positives and negatives; rows with a NULL key or outcome are left out."""
-    y = F.col(target)
-    for k in keys:
-        df = df.where(F.col(k).isNotNull())
-    return distinct_counts(df.where(y.isNotNull()), keys, score, {"pos": F.count_if(y == 1), "neg": F.count_if(y == 0)})
-
-
 def ranked_scores(df: DataFrame, keys: list[str], score: str, target: str) -> DataFrame:
-    return cumulate(score_counts(df, keys, score, target), keys, score, ["pos", "neg"])
+    """Distinct scores per key with positives and negatives, cumulated; rows without an outcome are left out."""
+    y = F.col(target)
+    totals = {"pos": F.when(y == 1, 1).otherwise(0), "neg": F.when(y == 0, 1).otherwise(0)}
+    return cumulate(df.where(y.isNotNull()), keys, score, totals)
 
 
 def discrimination(df: DataFrame, score: str, target: str, keys: list[str] | None = None) -> DataFrame:

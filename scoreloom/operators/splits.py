@@ -22,16 +22,13 @@ def hash_unit(key: str, seed: int = SEED) -> Column:
 
 
 def class_rank(df: DataFrame, key: str, target: str, seed: int = SEED) -> DataFrame:
-    """0-based position ``_rank`` and size ``_size`` of each key inside its class, in hash order.
+    """0-based position ``_rank`` of each key inside its class of ``_size`` rows, in hash order.
 
     The order is total because the token is followed by the key; cells are token prefixes.
     """
-    keyed = df.groupBy(_class(target).alias("_t"), F.col(key).alias("_k")).agg(F.max(F.lit(1).cast("long")).alias("_one"))
-    token = F.concat(hash_token("_k", seed), F.lit("|"), F.col("_k").cast("string"))
-    ranked = cumulate(
-        keyed.withColumn("_token", token), ["_t"], "_token", ["_one"], cell=F.substring("_token", 1, 3)
-    )
-    return ranked.select("_t", "_k", F.col("_one_before").alias("_rank"), F.col("_one_all").alias("_size"))
+    rows = df.select(_class(target).alias("_t"), _token(key, seed).alias("_token"))
+    ranked = cumulate(rows, ["_t"], "_token", {"_one": F.lit(1)}, cell=F.substring("_token", 1, 3))
+    return ranked.select("_t", "_token", F.col("_one_before").alias("_rank"), F.col("_one_all").alias("_size"))
 
 
 def _class(target: str) -> Column:
@@ -39,24 +36,28 @@ def _class(target: str) -> Column:
     return F.coalesce(F.col(target).cast("long"), F.lit(-1))
 
 
-def _on_class(df: DataFrame, key: str, target: str) -> Column:
-    return (df[key] == F.col("_k")) & (F.coalesce(df[target].cast("long"), F.lit(-1)) == F.col("_t"))
+def _token(key: str, seed: int) -> Column:
+    return F.concat(hash_token(key, seed), F.lit("|"), F.col(key).cast("string"))
+
+
+def _attach(df: DataFrame, ranks: DataFrame, key: str, target: str, seed: int, how: str = "inner") -> DataFrame:
+    """Join per-key results of ``class_rank`` back to the rows."""
+    tagged = df.withColumns({"_t": _class(target), "_token": _token(key, seed)})
+    return tagged.join(ranks, ["_t", "_token"], how).drop("_t", "_token")
 
 
 def stratified_split(df: DataFrame, key: str, target: str, test_share: float = 0.2, seed: int = SEED) -> DataFrame:
     """``is_test``: exactly round(share * class size) keys of each class, chosen by hash order."""
     r = class_rank(df, key, target, seed).select(
-        "_k", "_t", (F.col("_rank") < F.round(F.col("_size") * F.lit(test_share), 0)).cast("int").alias("is_test"),
+        "_t", "_token", (F.col("_rank") < F.round(F.col("_size") * F.lit(test_share), 0)).cast("int").alias("is_test"),
     )
-    return df.join(r, _on_class(df, key, target)).drop("_k", "_t")
+    return _attach(df, r, key, target, seed)
 
 
 def stratified_folds(df: DataFrame, key: str, target: str, k: int = 5, seed: int = SEED) -> DataFrame:
     """``fold`` 0..k-1 with class sizes equal up to one key."""
-    r = class_rank(df, key, target, seed).select(
-        "_k", "_t", (F.col("_rank") % k).cast("int").alias("fold")
-    )
-    return df.join(r, _on_class(df, key, target)).drop("_k", "_t")
+    r = class_rank(df, key, target, seed).select("_t", "_token", (F.col("_rank") % k).cast("int").alias("fold"))
+    return _attach(df, r, key, target, seed)
 
 
 def hash_split(df: DataFrame, key: str, share: float, seed: int = SEED, out: str = "is_test") -> DataFrame:
@@ -71,8 +72,7 @@ def hash_folds(df: DataFrame, key: str, k: int = 5, seed: int = SEED) -> DataFra
 
 def ordered_split(df: DataFrame, order: str, test_share: float = 0.2) -> DataFrame:
     """``is_test`` = 1 for the last share of rows by a unique order column."""
-    counts = df.groupBy(order).agg(F.count(F.lit(1)).alias("_n"))
-    r = cumulate(counts, [], order, ["_n"]).select(
+    r = cumulate(df, [], order, {"_n": F.lit(1)}).select(
         F.col(order).alias("_o"),
         (F.col("_n_before") >= F.floor(F.col("_n_all") * F.lit(1.0 - test_share))).cast("int").alias("is_test"),
     )
@@ -82,11 +82,10 @@ def ordered_split(df: DataFrame, order: str, test_share: float = 0.2) -> DataFra
 def stratified_sample(df: DataFrame, key: str, target: str, n: int, seed: int = SEED) -> DataFrame:
     """About ``n`` rows with the class shares kept: exact per-class quotas by hash order."""
     r = class_rank(df, key, target, seed)
-    sizes = df.groupBy(target).agg(F.countDistinct(key).alias("_c")).collect()  # one row per class
-    total = sum(x["_c"] for x in sizes)
+    total = df.count()
     quota = min(1.0, n / total) if total else 0.0
-    kept = r.where(F.col("_rank") < F.round(F.col("_size") * F.lit(quota), 0)).select("_k", "_t")
-    return df.join(kept, _on_class(df, key, target), "left_semi")
+    kept = r.where(F.col("_rank") < F.round(F.col("_size") * F.lit(quota), 0)).select("_t", "_token")
+    return _attach(df, kept, key, target, seed, "left_semi")
 
 
 def class_counts(df: DataFrame, target: str) -> tuple[int, int]:

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions import scores as fs
 from ..operators import binning, encoding, fairness, features, history, metrics, monitoring, profile, ranking, scoring
-from ..operators import splits, woe
+from ..operators import models, splits, woe
+from ..session import fresh_checkpoint_path, reliable
 from ..sources import roles
+from ..streaming import psi as stream_psi_ops
+from ..streaming import score as stream_score_ops
 from . import oracles as sql
 from .features import history_aggregates
 
@@ -1029,3 +1032,120 @@ def shadow_split(spark, sf_dir):
 def class_weights(spark, sf_dir):
     app = roles.application(spark, sf_dir).select("SK_ID_CURR", "TARGET")
     return splits.positive_weight(splits.balanced_weight(app, "TARGET", "balanced"), "TARGET", "positive")
+
+
+# -- models -----------------------------------------------------------------------------------------
+# The outcome of the test tables is independent of every feature, so the IV floor is lifted here.
+
+_MODEL_FEATURES = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "DAYS_BIRTH", "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3"]
+
+
+def _training(spark, sf_dir):
+    app = roles.application(spark, sf_dir).select("SK_ID_CURR", "TARGET", *_MODEL_FEATURES)
+    return reliable(splits.stratified_folds(app, "SK_ID_CURR", "TARGET"))
+
+
+def _scorecard(spark, sf_dir, df=None, c_grid=(0.01, 1.0)):
+    df = _training(spark, sf_dir) if df is None else df
+    return models.train_scorecard(df, _MODEL_FEATURES, "TARGET", "SK_ID_CURR", c_grid=c_grid, iv_floor=0.0)
+
+
+@query()
+def scorecard_cv(spark, sf_dir):
+    return _scorecard(spark, sf_dir).cv
+
+
+@query()
+def scorecard_fit(spark, sf_dir):
+    card = _scorecard(spark, sf_dir, c_grid=(0.1,))
+    return woe.scorecard_points(card.woe.table, card.coefficients, card.intercept)
+
+
+@query()
+def gbt_cv(spark, sf_dir):
+    df = _training(spark, sf_dir)
+    oof = models.out_of_fold(df, {"boosted": models.boosted(max_iter=5, max_depth=3)}, _MODEL_FEATURES, "TARGET", "SK_ID_CURR")
+    return models.fold_metrics(oof, "TARGET")
+
+
+@query()
+def grid_search(spark, sf_dir):
+    df = _training(spark, sf_dir)
+    return models.grid_search(df, _MODEL_FEATURES, "TARGET", "SK_ID_CURR", depths=(2, 3), steps=(0.1,), max_iter=3)
+
+
+def _bases():
+    return {"boosted": models.boosted(max_iter=5, max_depth=3), "forest": models.forest(trees=10, max_depth=4)}
+
+
+@query()
+def stacking(spark, sf_dir):
+    return models.train_stacking(_training(spark, sf_dir), _bases(), _MODEL_FEATURES, "TARGET", "SK_ID_CURR").cv
+
+
+def _holdout(spark, sf_dir):
+    """Models fitted without the last fold, judged on it."""
+    df = _training(spark, sf_dir)
+    train, test = df.where(F.col("fold") < 4), df.where(F.col("fold") == 4)
+    card = _scorecard(spark, sf_dir, train, c_grid=(0.1,))
+    tree = models.fit_tree(train, models.boosted(max_iter=5, max_depth=3), _MODEL_FEATURES, "TARGET", "SK_ID_CURR")
+    scored = tree.predict(card.predict(test, "p_scorecard"), "p_boosted")
+    return card, metrics.compare_models(scored, {"scorecard": "p_scorecard", "boosted": "p_boosted"}, "TARGET")
+
+
+@query()
+def holdout_metrics(spark, sf_dir):
+    return _holdout(spark, sf_dir)[1]
+
+
+@query()
+def overfit_gap(spark, sf_dir):
+    card, holdout = _holdout(spark, sf_dir)
+    return metrics.overfit_gap(card.cv, holdout)
+
+
+# -- streaming --------------------------------------------------------------------------------------
+
+
+def _stream(spark, sf_dir, name):
+    """One table as a file stream."""
+    schema = roles.table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
+@query(ORACLES["batch_score"])
+def stream_score(spark, sf_dir):
+    predict = lambda df: df.withColumn("p", scoring.linear_probability(LINEAR, LINEAR_INTERCEPT))
+    requests = roles.requests_of(_stream(spark, sf_dir, "orders"))
+    scored = stream_score_ops.score_requests(requests, predict, "p", ["request_id"]).select(
+        "request_id", "default_probability", "credit_score", "risk_tier", "recommendation"
+    )
+    out = fresh_checkpoint_path(spark, "stream-score")
+    stream_score_ops.start_file_sink(scored, f"{out}/rows", f"{out}/state").awaitTermination()
+    return spark.read.schema(scored.schema).parquet(f"{out}/rows")
+
+
+_WEEKS = """edges AS (SELECT MIN(value) AS lo, MAX(value) AS hi FROM events),
+binned AS (SELECT CAST(floor(epoch(ts) / 604800) AS BIGINT) AS week, STEPS AS bin FROM events, edges),
+base AS (SELECT bin, COUNT(*) AS e FROM binned GROUP BY bin),
+cells AS (SELECT w.week, b.bin, b.e, COUNT(x.bin) AS a FROM (SELECT DISTINCT week FROM binned) w CROSS JOIN base b
+  LEFT JOIN binned x ON x.week = w.week AND x.bin = b.bin GROUP BY 1, 2, 3),
+shares AS (SELECT *, greatest(CAST(e AS DOUBLE) / SUM(e) OVER (PARTITION BY week), 1e-4::DOUBLE) AS es,
+  greatest(CAST(a AS DOUBLE) / SUM(a) OVER (PARTITION BY week), 1e-4::DOUBLE) AS s FROM cells)""".replace(
+    "STEPS", " + ".join(f"CASE WHEN value >= lo + {i} * ((hi - lo) / 10) THEN 1 ELSE 0 END" for i in range(1, 10)))
+
+
+@query(sql.with_([_WEEKS], f"""SELECT week, n_expected, n_actual, psi, {_PSI_STATUS} AS status FROM (SELECT week, CAST(SUM(e) AS BIGINT) AS n_expected,
+  CAST(SUM(a) AS BIGINT) AS n_actual, round(SUM((s - es) * ln(s / es)), 4) AS psi FROM shares GROUP BY week)"""))
+def stream_psi(spark, sf_dir):
+    base = roles.table(spark, sf_dir, "events").select("ts", "value")
+    lo, hi = stream_psi_ops.baseline_range(base, "value")
+    counts = stream_psi_ops.windowed_counts(_stream(spark, sf_dir, "events").select("ts", "value"), "ts", "value", lo, hi)
+    name = "psi_" + fresh_checkpoint_path(spark, "x").rsplit("-", 1)[-1]
+    # Complete mode keeps one row per window and bin, also for windows still open.
+    counts.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).option(
+        "checkpointLocation", fresh_checkpoint_path(spark, "stream-psi")
+    ).start().awaitTermination()
+    out = stream_psi_ops.psi_by_window(spark.table(name), stream_psi_ops.bin_counts(base, "value", lo, hi, 10))
+    week = F.floor(F.unix_timestamp("window_start") / 604800).cast("long")
+    return out.select(week.alias("week"), "n_expected", "n_actual", "psi", "status")

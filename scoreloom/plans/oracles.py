@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 AS_OF = "DATE '2002-01-01'"
-M = "DECIMAL(8,2)"
 
 
 def _days(x: str, as_of: str = AS_OF) -> str:
@@ -14,27 +13,34 @@ def _months(x: str) -> str:
     return f"CAST((year({x}) - 2002) * 12 + month({x}) - 1 AS INTEGER)"
 
 
+def _cents(x: str) -> str:
+    return f"CAST(floor({x} * 100 + 0.5::DOUBLE) AS BIGINT)"
+
+
+def _share(x: str, percent: str) -> str:
+    return f"(({_cents(x)} * ({percent}) + 50) // 100)"
+
+
 PREV = f"""prev AS (
   SELECT o_orderkey AS SK_ID_PREV, o_custkey AS SK_ID_CURR,
     CASE o_orderstatus WHEN 'O' THEN 'Approved' WHEN 'F' THEN 'Refused' ELSE 'Canceled' END AS NAME_CONTRACT_STATUS,
     CASE WHEN o_orderpriority IN ('1-URGENT','2-HIGH') THEN 'Cash loans' WHEN o_orderpriority = '3-MEDIUM'
       THEN 'Consumer loans' ELSE 'Revolving loans' END AS NAME_CONTRACT_TYPE,
-    CAST(o_totalprice AS {M}) AS AMT_APPLICATION,
-    CASE WHEN o_orderstatus = 'P' THEN CAST(0 AS {M}) ELSE CAST(o_totalprice AS {M}) END AS AMT_CREDIT,
-    CASE WHEN o_orderstatus <> 'F' THEN CAST(CAST(o_totalprice AS {M}) * CAST(0.08 AS DECIMAL(3,2)) AS {M}) END AS AMT_ANNUITY,
+    {_cents('o_totalprice')} AS AMT_APPLICATION,
+    CASE WHEN o_orderstatus = 'P' THEN 0 ELSE {_cents('o_totalprice')} END AS AMT_CREDIT,
+    CASE WHEN o_orderstatus <> 'F' THEN {_share('o_totalprice', '8')} END AS AMT_ANNUITY,
     {_days('o_orderdate')} AS DAYS_DECISION
   FROM orders)"""
 
-_PART = "CAST(CAST(value AS {m}) * CAST({s} AS DECIMAL(3,2)) AS {m})"
 _EV = _days("ts", "DATE '2024-02-01'")
 BUREAU = f"""bureau AS (
   SELECT user_id AS SK_ID_CURR, event_id AS SK_ID_BUREAU,
     CASE WHEN event_type IN ('purchase','signup') THEN 'Active' WHEN event_type = 'error' THEN 'Bad debt' ELSE 'Closed' END AS CREDIT_ACTIVE,
-    event_type AS CREDIT_TYPE, CAST(value AS {M}) AS AMT_CREDIT_SUM,
-    CASE WHEN event_type IN ('purchase','signup') THEN {_PART.format(m=M, s='0.4')}
-         WHEN event_type <> 'error' THEN CAST(0 AS {M}) END AS AMT_CREDIT_SUM_DEBT,
-    CASE WHEN event_type = 'error' THEN {_PART.format(m=M, s='0.1')} ELSE CAST(0 AS {M}) END AS AMT_CREDIT_SUM_OVERDUE,
-    CASE WHEN event_type = 'purchase' THEN {_PART.format(m=M, s='0.05')} END AS AMT_ANNUITY,
+    event_type AS CREDIT_TYPE, {_cents('value')} AS AMT_CREDIT_SUM,
+    CASE WHEN event_type IN ('purchase','signup') THEN {_share('value', '40')}
+         WHEN event_type <> 'error' THEN 0 END AS AMT_CREDIT_SUM_DEBT,
+    CASE WHEN event_type = 'error' THEN {_share('value', '10')} ELSE 0 END AS AMT_CREDIT_SUM_OVERDUE,
+    CASE WHEN event_type = 'purchase' THEN {_share('value', '5')} END AS AMT_ANNUITY,
     {_EV} * 40 AS DAYS_CREDIT,
     CASE WHEN event_type IN ('purchase','signup') THEN {_EV} * 40 + 365 END AS DAYS_CREDIT_ENDDATE,
     {_EV} AS DAYS_CREDIT_UPDATE,
@@ -52,8 +58,8 @@ _UNPAID = "(l_returnflag = 'N' AND l_linestatus = 'O')"
 INSTALLMENTS = f"""ip AS (
   SELECT l_orderkey AS SK_ID_PREV, {_days('l_shipdate')} AS DAYS_INSTALMENT,
     CASE WHEN NOT {_UNPAID} THEN {_days('l_shipdate')} + CAST(l_quantity AS INTEGER) - 25 END AS DAYS_ENTRY_PAYMENT,
-    CAST(l_extendedprice AS {M}) AS AMT_INSTALMENT,
-    CASE WHEN NOT {_UNPAID} THEN CAST(CAST(l_extendedprice AS {M}) * (1 - CAST(l_discount AS DECIMAL(3,2))) AS {M}) END AS AMT_PAYMENT
+    {_cents('l_extendedprice')} AS AMT_INSTALMENT,
+    CASE WHEN NOT {_UNPAID} THEN {_share('l_extendedprice', '100 - ' + _cents('l_discount'))} END AS AMT_PAYMENT
   FROM lineitem)"""
 
 POS = f"""pc AS (
@@ -63,12 +69,11 @@ POS = f"""pc AS (
     CAST(l_linenumber AS DOUBLE) AS CNT_INSTALMENT_FUTURE
   FROM lineitem)"""
 
-_SHARE = "CAST(CAST(l_extendedprice AS {m}) * CAST({c} AS DECIMAL(3,2)) AS {m})"
 CARD = f"""cc AS (
-  SELECT l_orderkey AS SK_ID_PREV, {_months('l_shipdate')} AS MONTHS_BALANCE, CAST(l_extendedprice AS {M}) AS AMT_BALANCE,
+  SELECT l_orderkey AS SK_ID_PREV, {_months('l_shipdate')} AS MONTHS_BALANCE, {_cents('l_extendedprice')} AS AMT_BALANCE,
     CASE WHEN l_returnflag <> 'R' THEN CAST(l_quantity AS INTEGER) * 1000 ELSE 0 END AS AMT_CREDIT_LIMIT_ACTUAL,
-    {_SHARE.format(m=M, c='l_discount')} AS AMT_DRAWINGS_CURRENT, l_linenumber AS CNT_DRAWINGS_CURRENT,
-    {_SHARE.format(m=M, c='l_tax')} AS AMT_PAYMENT_CURRENT, {_SHARE.format(m=M, c='0.04')} AS AMT_INST_MIN_REGULARITY,
+    {_share('l_extendedprice', _cents('l_discount'))} AS AMT_DRAWINGS_CURRENT, l_linenumber AS CNT_DRAWINGS_CURRENT,
+    {_share('l_extendedprice', _cents('l_tax'))} AS AMT_PAYMENT_CURRENT, {_share('l_extendedprice', '4')} AS AMT_INST_MIN_REGULARITY,
     greatest(CAST(l_quantity AS INTEGER) - 42, 0) AS SK_DPD
   FROM lineitem)"""
 
@@ -189,19 +194,19 @@ FROM prev GROUP BY SK_ID_CURR"""
 
 
 def _mean_if(p: str) -> str:
-    x = f"CASE WHEN {p} THEN CAST(o_totalprice AS {M}) END"
-    return f"CAST(SUM({x}) AS DOUBLE) / NULLIF(COUNT({x}), 0) / 500000.0::DOUBLE"
+    x = f"CASE WHEN {p} THEN {_cents('o_totalprice')} END"
+    return f"CAST(SUM({x}) AS DOUBLE) / NULLIF(COUNT({x}), 0) / 50000000.0::DOUBLE"
 
 
 _URG, _DAY = "o_orderpriority = '1-URGENT'", _days("o_orderdate")
-_PRICE = f"CAST(o_totalprice AS {M})"
+_PRICE = _cents("o_totalprice")
 APPLICATION = f"""application AS (
   SELECT c_custkey AS SK_ID_CURR, CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS TARGET, c_mktsegment AS NAME_INCOME_TYPE,
     n_name AS NAME_HOUSING_TYPE, r_name AS NAME_EDUCATION_TYPE, CASE WHEN c_nationkey < 12 THEN 'M' ELSE 'F' END AS CODE_GENDER,
     h.* EXCLUDE (o_custkey)
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-  LEFT JOIN (SELECT o_custkey, CAST(SUM({_PRICE}) AS DOUBLE) AS AMT_INCOME_TOTAL, CAST(MAX({_PRICE}) AS DOUBLE) AS AMT_CREDIT,
-    CAST(MIN({_PRICE}) AS DOUBLE) AS AMT_ANNUITY, CAST(MAX(CASE WHEN o_orderstatus = 'F' THEN {_PRICE} END) AS DOUBLE) AS AMT_GOODS_PRICE,
+  LEFT JOIN (SELECT o_custkey, CAST(SUM({_PRICE}) AS DOUBLE) / 100 AS AMT_INCOME_TOTAL, CAST(MAX({_PRICE}) AS DOUBLE) / 100 AS AMT_CREDIT,
+    CAST(MIN({_PRICE}) AS DOUBLE) / 100 AS AMT_ANNUITY, CAST(MAX(CASE WHEN o_orderstatus = 'F' THEN {_PRICE} END) AS DOUBLE) / 100 AS AMT_GOODS_PRICE,
     NULLIF({_n_if(_URG)}, 0) AS CNT_FAM_MEMBERS, MIN({_DAY}) * 6 - 6570 AS DAYS_BIRTH,
     COALESCE(MAX(CASE WHEN {_URG} THEN {_DAY} END), 365243) AS DAYS_EMPLOYED, MIN({_DAY}) AS DAYS_REGISTRATION,
     MAX({_DAY}) AS DAYS_ID_PUBLISH, MAX(CASE WHEN o_orderstatus = 'P' THEN {_DAY} END) AS DAYS_LAST_PHONE_CHANGE,
@@ -219,7 +224,7 @@ SCORED = f"""scored AS (
   SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS TARGET,
     l_extendedprice / (l_extendedprice + 50000.0::DOUBLE) AS PRED_CHAMPION,
     l_quantity / (l_quantity + 25.0::DOUBLE) AS PRED_XGB, l_tax / (l_tax + 0.04::DOUBLE) AS PRED_LGB,
-    CAST(l_extendedprice AS {M}) AS EAD, l_linestatus AS CODE_GENDER,
+    l_extendedprice AS EAD, l_linestatus AS CODE_GENDER,
     CASE WHEN year(l_shipdate) < 1997 THEN 'early' WHEN year(l_shipdate) < 2000 THEN 'middle' ELSE 'late' END AS AGE_BAND,
     CASE WHEN l_linenumber > 1 THEN CAST(l_linenumber AS VARCHAR) END AS INCOME_BAND
   FROM lineitem)"""

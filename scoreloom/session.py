@@ -22,6 +22,7 @@ def build_session(app_name: str = "scoreloom", master: str | None = None, **conf
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call-site capture per expression
     )
     if master:
         builder = builder.master(master)

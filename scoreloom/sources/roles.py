@@ -1,6 +1,6 @@
 """Credit roles played by the star-schema test tables.
 
-Every function reads whole tables. Money is DECIMAL(8,2), so its sums are exact in any order.
+Every function reads whole tables. Money is whole cents, so its sums are exact in any order.
 Days and months are negative offsets from AS_OF.
 """
 
@@ -12,15 +12,23 @@ from pyspark.sql import functions as F
 AS_OF = "2002-01-01"
 EVENTS_AS_OF = "2024-02-01"
 HALF = "2024-01-16"
-MONEY = "decimal(8,2)"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def money(x: Column) -> Column:
-    return x.cast(MONEY)
+def cents(column: str) -> Column:
+    return F.expr(f"floor({column} * 100 + 0.5D)")
+
+
+def cent_share(column: str, percent: str) -> Column:
+    """Percent (SQL text, a whole number) of the cents of a column, rounded half up."""
+    return F.expr(f"(floor({column} * 100 + 0.5D) * ({percent}) + 50) div 100")
+
+
+def percent_of(column: str) -> str:
+    return f"floor({column} * 100 + 0.5D)"
 
 
 def _days(x: Column, as_of: str = AS_OF) -> Column:
@@ -33,7 +41,7 @@ def _months(x: Column) -> Column:
 
 def previous_application(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
-    s, k, price = F.col("o_orderstatus"), F.col("o_orderpriority"), money(F.col("o_totalprice"))
+    s, k, price = F.col("o_orderstatus"), F.col("o_orderpriority"), cents("o_totalprice")
     return o.select(
         F.col("o_orderkey").alias("SK_ID_PREV"),
         F.col("o_custkey").alias("SK_ID_CURR"),
@@ -41,8 +49,8 @@ def previous_application(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k.isin("1-URGENT", "2-HIGH"), "Cash loans").when(k == "3-MEDIUM", "Consumer loans")
         .otherwise("Revolving loans").alias("NAME_CONTRACT_TYPE"),
         price.alias("AMT_APPLICATION"),
-        F.when(s == "P", money(F.lit(0))).otherwise(price).alias("AMT_CREDIT"),
-        F.when(s != "F", money(price * F.lit(0.08).cast("decimal(3,2)"))).alias("AMT_ANNUITY"),
+        F.when(s == "P", 0).otherwise(price).alias("AMT_CREDIT"),
+        F.when(s != "F", cent_share("o_totalprice", "8")).alias("AMT_ANNUITY"),
         _days(F.col("o_orderdate")).alias("DAYS_DECISION"),
     )
 
@@ -50,8 +58,8 @@ def previous_application(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bureau(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as external credits: most applicants have none."""
     e = table(spark, sf_dir, "events")
-    kind, value = F.col("event_type"), money(F.col("value"))
-    part = lambda share: money(value * F.lit(share).cast("decimal(3,2)"))
+    kind, value = F.col("event_type"), cents("value")
+    part = lambda percent: cent_share("value", percent)
     active = kind.isin("purchase", "signup")
     day = _days(F.col("ts"), EVENTS_AS_OF)
     return e.select(
@@ -60,9 +68,9 @@ def bureau(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(active, "Active").when(kind == "error", "Bad debt").otherwise("Closed").alias("CREDIT_ACTIVE"),
         kind.alias("CREDIT_TYPE"),
         value.alias("AMT_CREDIT_SUM"),
-        F.when(active, part(0.4)).when(kind != "error", money(F.lit(0))).alias("AMT_CREDIT_SUM_DEBT"),
-        F.when(kind == "error", part(0.1)).otherwise(money(F.lit(0))).alias("AMT_CREDIT_SUM_OVERDUE"),
-        F.when(kind == "purchase", part(0.05)).alias("AMT_ANNUITY"),
+        F.when(active, part("40")).when(kind != "error", F.lit(0)).alias("AMT_CREDIT_SUM_DEBT"),
+        F.when(kind == "error", part("10")).otherwise(F.lit(0)).alias("AMT_CREDIT_SUM_OVERDUE"),
+        F.when(kind == "purchase", part("5")).alias("AMT_ANNUITY"),
         (day * 40).alias("DAYS_CREDIT"),
         F.when(active, day * 40 + 365).alias("DAYS_CREDIT_ENDDATE"),
         day.alias("DAYS_CREDIT_UPDATE"),
@@ -86,14 +94,14 @@ def bureau_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def installments(spark: SparkSession, sf_dir: str) -> DataFrame:
     l = table(spark, sf_dir, "lineitem")
     unpaid = (F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O")
-    due, price = _days(F.col("l_shipdate")), money(F.col("l_extendedprice"))
-    kept = F.lit(1) - F.col("l_discount").cast("decimal(3,2)")
+    due, price = _days(F.col("l_shipdate")), cents("l_extendedprice")
+    paid = cent_share("l_extendedprice", f"100 - {percent_of('l_discount')}")
     return l.select(
         F.col("l_orderkey").alias("SK_ID_PREV"),
         due.alias("DAYS_INSTALMENT"),
         F.when(~unpaid, due + F.col("l_quantity").cast("int") - 25).alias("DAYS_ENTRY_PAYMENT"),
         price.alias("AMT_INSTALMENT"),
-        F.when(~unpaid, money(price * kept)).alias("AMT_PAYMENT"),
+        F.when(~unpaid, paid).alias("AMT_PAYMENT"),
     )
 
 
@@ -112,17 +120,17 @@ def pos_cash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def credit_card(spark: SparkSession, sf_dir: str) -> DataFrame:
     l = table(spark, sf_dir, "lineitem")
-    q, price = F.col("l_quantity").cast("int"), money(F.col("l_extendedprice"))
-    share = lambda c: money(price * c.cast("decimal(3,2)"))
+    q, price = F.col("l_quantity").cast("int"), cents("l_extendedprice")
+    share = lambda percent: cent_share("l_extendedprice", percent)
     return l.select(
         F.col("l_orderkey").alias("SK_ID_PREV"),
         _months(F.col("l_shipdate")).alias("MONTHS_BALANCE"),
         price.alias("AMT_BALANCE"),
         F.when(F.col("l_returnflag") != "R", q * 1000).otherwise(0).alias("AMT_CREDIT_LIMIT_ACTUAL"),
-        share(F.col("l_discount")).alias("AMT_DRAWINGS_CURRENT"),
+        share(percent_of("l_discount")).alias("AMT_DRAWINGS_CURRENT"),
         F.col("l_linenumber").alias("CNT_DRAWINGS_CURRENT"),
-        share(F.col("l_tax")).alias("AMT_PAYMENT_CURRENT"),
-        share(F.lit(0.04)).alias("AMT_INST_MIN_REGULARITY"),
+        share(percent_of("l_tax")).alias("AMT_PAYMENT_CURRENT"),
+        share("4").alias("AMT_INST_MIN_REGULARITY"),
         F.greatest(q - 42, F.lit(0)).alias("SK_DPD"),
     )
 
@@ -130,19 +138,19 @@ def credit_card(spark: SparkSession, sf_dir: str) -> DataFrame:
 def application(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One applicant per customer: the target is a negative balance, features come from the order history."""
     o = table(spark, sf_dir, "orders")
-    s, k, price, day = F.col("o_orderstatus"), F.col("o_orderpriority"), money(F.col("o_totalprice")), _days(F.col("o_orderdate"))
+    s, k, price, day = F.col("o_orderstatus"), F.col("o_orderpriority"), cents("o_totalprice"), _days(F.col("o_orderdate"))
     urgent = k == "1-URGENT"
     n = F.count(F.lit(1))
 
     def mean_if(p: Column) -> Column:
         x = F.when(p, price)
-        return F.when(F.count(x) > 0, F.sum(x).cast("double") / F.count(x) / 500000.0)
+        return F.when(F.count(x) > 0, F.sum(x).cast("double") / F.count(x) / 50000000.0)
 
     per = o.groupBy("o_custkey").agg(
-        F.sum(price).cast("double").alias("AMT_INCOME_TOTAL"),
-        F.max(price).cast("double").alias("AMT_CREDIT"),
-        F.min(price).cast("double").alias("AMT_ANNUITY"),
-        F.max(F.when(s == "F", price)).cast("double").alias("AMT_GOODS_PRICE"),
+        (F.sum(price).cast("double") / 100).alias("AMT_INCOME_TOTAL"),
+        (F.max(price).cast("double") / 100).alias("AMT_CREDIT"),
+        (F.min(price).cast("double") / 100).alias("AMT_ANNUITY"),
+        (F.max(F.when(s == "F", price)).cast("double") / 100).alias("AMT_GOODS_PRICE"),
         F.nullif(F.count_if(urgent), F.lit(0)).alias("CNT_FAM_MEMBERS"),
         (F.min(day) * 6 - 6570).alias("DAYS_BIRTH"),
         F.coalesce(F.max(F.when(urgent, day)), F.lit(365243)).alias("DAYS_EMPLOYED"),
@@ -187,7 +195,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
         sat(F.col("l_extendedprice"), 50000.0).alias("PRED_CHAMPION"),
         sat(F.col("l_quantity"), 25.0).alias("PRED_XGB"),
         sat(F.col("l_tax"), 0.04).alias("PRED_LGB"),
-        money(F.col("l_extendedprice")).alias("EAD"),
+        F.col("l_extendedprice").alias("EAD"),
         F.col("l_linestatus").alias("CODE_GENDER"),
         F.when(year < 1997, "early").when(year < 2000, "middle").otherwise("late").alias("AGE_BAND"),
         F.when(F.col("l_linenumber") > 1, F.col("l_linenumber").cast("string")).alias("INCOME_BAND"),
@@ -209,12 +217,15 @@ def event_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return requests_of(table(spark, sf_dir, "orders"))
+
+
+def requests_of(o: DataFrame) -> DataFrame:
     """Orders as scoring requests, with values that break every kind of rule."""
-    o = table(spark, sf_dir, "orders")
     price, day = F.col("o_totalprice"), _days(F.col("o_orderdate"))
     s = F.col("o_orderstatus")
     part = lambda share, kind="decimal(12,2)": (
-        (money(price) * F.lit(share).cast("decimal(8,7)")).cast(kind).cast("string")
+        (price.cast("decimal(8,2)") * F.lit(share).cast("decimal(8,7)")).cast(kind).cast("string")
     )
     return o.select(
         F.col("o_orderkey").alias("request_id"),
