@@ -79,7 +79,10 @@ def named(outputs: dict[str, str]) -> list[Column]:
 
 
 class Rollup:
-    """Collects per-child partials; each method returns the applicant-level merged expression."""
+    """Collects per-child partials; each method returns the applicant-level merged expression.
+
+    Sums are weighted by ``p_copies``, the number of times the parent lists the loan for the applicant.
+    """
 
     def __init__(self) -> None:
         self._partials: dict[str, str] = {}
@@ -89,7 +92,7 @@ class Rollup:
 
     def _keep(self, name: str, partial: str, merge: str) -> str:
         self._partials.setdefault(name, partial)
-        return f"{merge}({name})"
+        return f"sum({name} * p_copies)" if merge == "sum" else f"{merge}({name})"
 
     def rows(self) -> str:
         return self._keep("p_rows", "count(1)", "sum")

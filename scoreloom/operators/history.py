@@ -18,10 +18,15 @@ LOAN = "SK_ID_PREV"
 ACCOUNT = "SK_ID_BUREAU"
 
 
+def _owners(parent: DataFrame, key: str) -> DataFrame:
+    """Each (key, applicant) once with its number of copies, so a repeated parent row never multiplies the join."""
+    return parent.groupBy(key, APPLICANT).agg(F.count(F.lit(1)).alias("p_copies"))
+
+
 def _per_applicant(child: DataFrame, loans: DataFrame, roll: Rollup, outputs: dict[str, str]) -> DataFrame:
+    """One row per (loan, applicant) after the join, hence ``count(1)`` is the number of distinct loans."""
     per_loan = child.groupBy(LOAN).agg(*roll.partials())
-    owners = loans.select(LOAN, APPLICANT)
-    return per_loan.join(owners, LOAN).groupBy(APPLICANT).agg(*named(outputs))
+    return per_loan.join(_owners(loans, LOAN), LOAN).groupBy(APPLICANT).agg(*named(outputs))
 
 
 def bureau_history(bureau: DataFrame) -> DataFrame:
@@ -72,16 +77,16 @@ def bureau_balance_history(balance: DataFrame, bureau: DataFrame) -> DataFrame:
         "p_unknown": "count_if(STATUS = 'X')",
         "p_worst": "max(CASE WHEN STATUS IN ('1', '2', '3', '4', '5') THEN CAST(STATUS AS INT) ELSE 0 END)",
     }))
-    stats = months.join(bureau.select(ACCOUNT, APPLICANT), ACCOUNT).groupBy(APPLICANT).agg(*named({
-        "bb_total_records": "sum(p_rows)",
+    stats = months.join(_owners(bureau, ACCOUNT), ACCOUNT).groupBy(APPLICANT).agg(*named({
+        "bb_total_records": "sum(p_rows * p_copies)",
         "bb_distinct_accounts": f"count(DISTINCT {ACCOUNT})",
         "bb_months_covered": "count(DISTINCT MONTHS_BALANCE)",
         "bb_earliest_month": "min(MONTHS_BALANCE)",
         "bb_latest_month": "max(MONTHS_BALANCE)",
-        "bb_dpd_count": "sum(p_dpd)",
-        "bb_closed_count": "sum(p_closed)",
-        "bb_current_count": "sum(p_current)",
-        "bb_unknown_count": "sum(p_unknown)",
+        "bb_dpd_count": "sum(p_dpd * p_copies)",
+        "bb_closed_count": "sum(p_closed * p_copies)",
+        "bb_current_count": "sum(p_current * p_copies)",
+        "bb_unknown_count": "sum(p_unknown * p_copies)",
         "bb_worst_dpd_bucket": "max(p_worst)",
     }))
     return stats.select("*", *named({
@@ -98,7 +103,7 @@ def credit_card_history(cards: DataFrame, loans: DataFrame) -> DataFrame:
     when = lambda p, x: f"CASE WHEN {p} THEN {x} END"
     balance_6m = r.avg("bal6", when(recent, balance))
     return _per_applicant(cards, loans, r, {
-        "cc_count": f"count(DISTINCT {LOAN})",
+        "cc_count": "count(1)",
         "cc_balance_records": r.rows(),
         "avg_cc_balance": r.avg("bal", balance),
         "max_cc_balance": double(r.max("bal", balance)),
@@ -167,7 +172,7 @@ def pos_cash_history(snapshots: DataFrame, loans: DataFrame) -> DataFrame:
     n_recent, dpd_recent = r.count_if("recent", recent), r.count_if("dpd12", f"{recent} AND {past_due}")
     n_older, dpd_older = r.count_if("older", older), r.count_if("dpdold", f"{older} AND {past_due}")
     completed = r.count_if("done", "NAME_CONTRACT_STATUS = 'Completed'")
-    loan_count, left = f"count(DISTINCT {LOAN})", "CNT_INSTALMENT_FUTURE"
+    loan_count, left = "count(1)", "CNT_INSTALMENT_FUTURE"
     return _per_applicant(snapshots, loans, r, {
         "pos_loan_count": loan_count,
         "pos_balance_records": n,
