@@ -2,21 +2,15 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sqltext import number, sql_double
 from .ranking import exact_quantiles
 
 QUINTILE_LABELS = ("Very Low", "Low", "Medium", "High", "Very High")
 
 
-def sql_double(v: float) -> str:
-    v = float(v)
-    return f"{v!r}D" if math.isfinite(v) else f"double('{v}')"
-
-
 def _search(x: str, cuts: list[float], outputs: list[str], right_closed: bool) -> str:
     """Balanced tree of comparisons: outputs[i] where i cuts lie below x (or at x, for left-closed bins)."""
     if not cuts:
@@ -27,11 +21,6 @@ def _search(x: str, cuts: list[float], outputs: list[str], right_closed: bool) -
     return f"CASE WHEN {x} {'<=' if right_closed else '<'} {sql_double(cuts[m])} THEN {left} ELSE {right} END"
 
 
-def number(column: str) -> str:
-    """SQL text of a column as a double."""
-    return f"CAST(`{column}` AS DOUBLE)"
-
-
 def right_closed_pick(x: str, edges: list[float], outputs: list[str], kind: str, include_lowest: bool = True) -> Column:
     """outputs[i] (SQL literals) for the interval (edge[i], edge[i+1]] holding x; NULL outside the edges."""
     if len(edges) < 2:

@@ -5,22 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .lookups import local_if_small
+from .lookups import CategoryLookup, local_if_small
 from .ranking import cumulate
 
 
-def _attach(df: DataFrame, table: DataFrame, column: str, value: str, alias: str, default=None, extra=()) -> DataFrame:
-    """Left-join one feature's part of a (feature, category, ...) table."""
-    part = table.where(F.col("feature") == column).select(
-        F.col("category").alias("_cat"), *[F.col(e).alias(f"_e_{e}") for e in extra], F.col(value).alias(alias)
-    )
-    cond = df[column] == part["_cat"]
-    for e in extra:
-        cond = cond & (df[e] == part[f"_e_{e}"])
-    out = df.join(part, cond, "left").drop("_cat", *[f"_e_{e}" for e in extra])
-    return out.withColumn(alias, F.coalesce(F.col(alias), F.lit(default))) if default is not None else out
-
-
 def category_counts(df: DataFrame, columns: list[str], *aggs: Column, by=()) -> DataFrame:
     long = df.unpivot([c for c in df.columns if c not in columns], columns, "feature", "category")
     return long.where(F.col("category").isNotNull()).groupBy("feature", "category", *by).agg(*aggs)
@@ -37,10 +25,9 @@ def frequency_table(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def frequency_encode(df: DataFrame, columns: list[str]) -> DataFrame:
     """``FREQ_<column>``; NULL and unseen categories give 0."""
-    table = local_if_small(frequency_table(df, columns))
-    for c in columns:
-        df = _attach(df, table, c, "freq", f"FREQ_{c}", default=0.0)
-    return df
+    if not columns:
+        return df
+    return CategoryLookup(frequency_table(df, columns), "freq").attach(df, {c: f"FREQ_{c}" for c in columns}, "0.0D")
 
 
 def target_encode_oof(df: DataFrame, columns: list[str], target: str, fold: str, m: float = 20.0) -> DataFrame:
@@ -60,19 +47,13 @@ def target_encode_oof(df: DataFrame, columns: list[str], target: str, fold: str,
     other_n = F.sum("fn").over(everything) - F.col("fn")
     other_s = F.sum("fs").over(everything) - F.col("fs")
     priors = folds.select(F.col(fold).alias("_pf"), F.when(other_n > 0, other_s / other_n).alias("_prior"))
-    own = cells.join(totals, ["feature", "category"]).select(
-        "feature", "category", fold, (F.col("n_t") - F.col("n")).alias("n_o"), (F.col("s_t") - F.col("s")).alias("s_o")
-    )
-    own = own.join(priors, F.col(fold) == F.col("_pf")).select(
+    own = cells.join(totals, ["feature", "category"]).join(F.broadcast(priors), F.col(fold) == F.col("_pf")).select(
         "feature", "category", fold,
-        ((F.col("s_o") + F.col("_prior") * m) / (F.col("n_o") + F.lit(m))).alias("te"),
+        ((F.col("s_t") - F.col("s") + F.col("_prior") * m) / (F.col("n_t") - F.col("n") + F.lit(m))).alias("te"),
     )
-    own, priors = local_if_small(own), local_if_small(priors)
-    out = df.join(priors, F.col(fold) == F.col("_pf"), "left").drop("_pf")
-    for c in columns:
-        out = _attach(out, own, c, "te", f"TE_{c}", extra=(fold,))
-        out = out.withColumn(f"TE_{c}", F.coalesce(F.col(f"TE_{c}"), F.col("_prior")))
-    return out.drop("_prior")
+    tagged = df.join(F.broadcast(priors), F.col(fold) == F.col("_pf"), "left").drop("_pf")
+    lookup = CategoryLookup(own, "te", by=fold)
+    return lookup.attach(tagged, {c: f"TE_{c}" for c in columns}, "_prior").drop("_prior")
 
 
 def category_code_table(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -84,7 +65,4 @@ def category_code_table(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def apply_category_codes(df: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
     """``CODE_<column>``; NULL and unseen categories give -1."""
-    table = local_if_small(table)
-    for c in columns:
-        df = _attach(df, table, c, "code", f"CODE_{c}", default=-1)
-    return df
+    return CategoryLookup(table, "code").attach(df, {c: f"CODE_{c}" for c in columns}, "-1")

@@ -1,11 +1,14 @@
-"""Size-checked lookup joins."""
+"""Size-checked lookups of a per-category value."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sqltext import literal
+
 BROADCAST_ROWS = 100_000
+EXPRESSION_ROWS = 128
 
 
 def local_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -18,3 +21,58 @@ def local_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     if len(rows) > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, schema=df.schema))
+
+
+class CategoryLookup:
+    """Values of a (feature, category, ...) table, by generated expression, broadcast or shuffle join by size.
+
+    ``by`` names a further key column, equal on both sides.
+    """
+
+    def __init__(self, table: DataFrame, value: str, by: str | None = None):
+        self.value, self.by = value, by
+        self.frame = table.select("feature", "category", *([by] if by else []), value)
+        rows = self.frame.limit(BROADCAST_ROWS + 1).collect()
+        self.rows = rows if len(rows) <= BROADCAST_ROWS else None
+        if self.rows is not None:
+            self.frame = F.broadcast(table.sparkSession.createDataFrame(rows, schema=self.frame.schema))
+
+    def _expression(self, column: str) -> str | None:
+        mine = [r for r in self.rows or [] if r["feature"] == column]
+        if self.rows is None or len(mine) > EXPRESSION_ROWS:
+            return None
+        if not mine:
+            return "NULL"
+
+        def chain(rows) -> str:
+            branches = " ".join(f"WHEN {literal(r['category'])} THEN {literal(r[self.value])}" for r in rows)
+            return f"CASE `{column}` {branches} END"
+
+        if self.by is None:
+            return chain(mine)
+        groups: dict = {}
+        for r in mine:
+            groups.setdefault(r[self.by], []).append(r)
+        return f"CASE `{self.by}` " + " ".join(f"WHEN {literal(k)} THEN {chain(v)}" for k, v in groups.items()) + " END"
+
+    def attach(self, df: DataFrame, columns: dict[str, str], default: str = "NULL") -> DataFrame:
+        """Add {column: output}; NULL and unknown categories give ``default`` (SQL text)."""
+        kind = dict(self.frame.dtypes)[self.value]
+        ready, joined = {}, {}
+        for column, out in columns.items():
+            text = self._expression(column)
+            if text is None:
+                joined[column] = out
+            else:
+                ready[out] = F.expr(f"CAST(coalesce({text}, {default}) AS {kind})")
+        for i, (column, out) in enumerate(joined.items()):
+            part = self.frame.where(F.col("feature") == column).select(
+                F.col("category").alias("_cat"), *([F.col(self.by).alias("_by")] if self.by else []),
+                F.col(self.value).alias(f"_hit_{i}"),
+            )
+            match = df[column] == part["_cat"]
+            if self.by:
+                match = match & (df[self.by] == part["_by"])
+            df = df.join(part, match, "left").drop("_cat", "_by")
+            ready[out] = F.expr(f"CAST(coalesce(_hit_{i}, {default}) AS {kind})")
+        return df.withColumns(ready).drop(*[f"_hit_{i}" for i in range(len(joined))])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scores import BASE_ODDS, BASE_SCORE, PDO, iv_label, scale
 from .binning import number, quantile_edges, right_closed_bin, right_closed_pick, sql_double
 from .encoding import category_counts
-from .lookups import local_if_small
+from .lookups import CategoryLookup
 
 REGULARIZATION = 0.5
 COLUMNS = (
@@ -118,23 +118,17 @@ class WoeModel:
             exprs[f"{f}{suffix}"] = right_closed_pick(number(f), edges, [sql_double(b[2]) for b in bins], "double")
         types = dict(df.dtypes)
         texts = [f for f in self.features if f in chosen and f in types and types[f] == "string" and f not in numeric]
-        out = df
         if texts:
-            cats = self.table.where(F.col("kind") == "categorical").select("feature", "category", "woe")
-            cats = local_if_small(cats.where(F.col("feature").isin(texts)))
-            for f in texts:
-                part = cats.where(F.col("feature") == f).select(
-                    F.col("category").alias("_c"), F.col("woe").alias(f"_woe_{f}")
-                )
-                out = out.join(part, out[f] == part["_c"], "left").drop("_c")
-                exprs[f"{f}{suffix}"] = F.col(f"_woe_{f}")
+            cats = self.table.where((F.col("kind") == "categorical") & F.col("feature").isin(texts))
+            df = CategoryLookup(cats, "woe").attach(df, {f: f"_woe_{f}" for f in texts})
+            exprs.update({f"{f}{suffix}": F.col(f"_woe_{f}") for f in texts})
         if fill is not None:
             exprs = {k: F.coalesce(v, F.lit(fill)) for k, v in exprs.items()}
         # A constant feature has no bins: its evidence is missing, not its raw value.
         for f in chosen - set(numeric) - set(texts):
             if f in df.columns:
                 exprs[f"{f}{suffix}"] = F.lit(fill).cast("double")
-        return out.withColumns(exprs).drop(*[f"_woe_{f}" for f in texts])
+        return df.withColumns(exprs).drop(*[f"_woe_{f}" for f in texts])
 
     def iv_summary(self) -> DataFrame:
         """Information value and its label per feature; order by ``iv`` to rank."""

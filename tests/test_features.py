@@ -49,6 +49,20 @@ def test_frequency_and_codes_for_null_and_unseen(spark):
     assert [r["CODE_k"] for r in encoding.apply_category_codes(other, table, ["k"]).collect()] == [1, -1, -1]
 
 
+@pytest.mark.parametrize("expression_rows, broadcast_rows", [(0, 100), (0, 1)])
+def test_lookup_sizes_agree(spark, monkeypatch, expression_rows, broadcast_rows):
+    """Generated expression, broadcast join and shuffle join give the same values."""
+    from scoreloom.operators import lookups
+
+    rows = [("it's", 0, 1), ("a\\b", 1, 0), (None, 0, 1), ("it's", 1, 0), ("c", 0, 0)] * 3
+    df = spark.createDataFrame(rows, "k string, fold int, y int")
+    run = lambda: sorted(map(str, encoding.target_encode_oof(encoding.frequency_encode(df, ["k"]), ["k"], "y", "fold").collect()))
+    want = run()
+    monkeypatch.setattr(lookups, "EXPRESSION_ROWS", expression_rows)
+    monkeypatch.setattr(lookups, "BROADCAST_ROWS", broadcast_rows)
+    assert run() == want
+
+
 def test_target_encoding_ignores_the_own_fold(spark):
     rows = [("a", 0, 1), ("a", 0, 1), ("a", 1, 0), ("b", 1, 0)]
     df = spark.createDataFrame(rows, "k string, fold int, y int")
