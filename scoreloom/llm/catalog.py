@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from scoreloom.llm import queries_text
+from scoreloom.llm import queries_pairs, queries_text
 
-MODULES = (queries_text,)
+MODULES = (queries_text, queries_pairs)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}

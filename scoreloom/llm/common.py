@@ -33,8 +33,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def row_key(docs: DataFrame) -> DataFrame:
-    """Add `_key`, a long that is unique per distinct (doc_id, text) and sorts like (doc_id, text), NULL ids last.
+def row_key(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """`docs` with `_key` and whether the ids are unique. `_key` is a long that is unique per distinct (doc_id, text) and sorts like (doc_id, text), NULL ids last.
 
     With unique non-NULL ids, the normal case, that is the id itself. Otherwise the distinct rows are numbered
     by a range-partitioned sort, so that rows sharing an id are different documents and repeated rows are one.
@@ -43,11 +43,11 @@ def row_key(docs: DataFrame) -> DataFrame:
         docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").limit(1).count()
     )
     if not odd:
-        return docs.withColumn("_key", F.col("doc_id").cast("long"))
+        return docs.withColumn("_key", F.col("doc_id").cast("long")), True
     order = docs.select("doc_id", "text").distinct().orderBy(F.col("doc_id").asc_nulls_last(), F.col("text"))
     keys = order.rdd.zipWithIndex().map(lambda x: (x[0][0], x[0][1], x[1])).toDF("i long, t string, _key long")
     keys = stored(keys, "row-keys")
-    return docs.join(keys, docs.doc_id.eqNullSafe(keys.i) & docs.text.eqNullSafe(keys.t)).drop("i", "t")
+    return docs.join(keys, docs.doc_id.eqNullSafe(keys.i) & docs.text.eqNullSafe(keys.t)).drop("i", "t"), False
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

@@ -1,11 +1,18 @@
-"""Queries over documents that need no join between documents: decontamination (5) and packing (7)."""
+"""Queries over documents that need no join between documents: language (4), decontamination (5) and packing (7)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scoreloom.llm import decontamination, packing
-from scoreloom.llm.common import table
+from scoreloom.llm import decontamination, language_id, packing
+from scoreloom.llm.common import fold, held_out, table
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(fold(docs.doc_id) != 0))
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(found.doc_id).alias("held_out"), "lang_pred", "score")
 
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,5 +53,5 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op5_benchmark_decontamination": op5_benchmark_decontamination, "op7_packing": op7_packing}
+QUERIES = {"op4_language_id": op4_language_id, "op5_benchmark_decontamination": op5_benchmark_decontamination, "op7_packing": op7_packing}
 ORACLES = {"op5_benchmark_decontamination": ORACLE_OP5}
