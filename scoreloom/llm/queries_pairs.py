@@ -1,10 +1,10 @@
-"""Queries that compare documents with each other: Jaccard join (8)."""
+"""Queries that compare documents with each other: suffix-array dedup (6) and Jaccard join (8)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scoreloom.llm import jaccard
+from scoreloom.llm import jaccard, suffix_dedup
 from scoreloom.llm.common import table
 
 
@@ -12,6 +12,11 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 SQL_COMPONENTS = r"""
   sw AS MATERIALIZED (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x20\x09-\x0D]+') AS w FROM {docs}),
@@ -29,5 +34,5 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
 FROM documents d LEFT JOIN sn USING (doc_id) JOIN comp USING (doc_id)
 """
 
-QUERIES = {"op8_jaccard_join": op8_jaccard_join}
+QUERIES = {"op6_suffix_dedup": op6_suffix_dedup, "op8_jaccard_join": op8_jaccard_join}
 ORACLES = {"op8_jaccard_join": ORACLE_OP8}
