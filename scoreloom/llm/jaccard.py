@@ -9,6 +9,9 @@ extended until its signatures outnumber those losses:
   hash; of a class of m prefix shingles any two shared ones give a common pair, so it counts m - 1 and is indexed as
   all its pairs. The number of classes follows the size of the set, so pairs stay in proportion to the prefix.
 
+Every further signature in the prefix is one more that linked sets are bound to share. Long sets, which a sketch of
+fixed size cannot tell apart, extend their prefixes in proportion and are compared only if they share that many.
+
 Rare shingles come first in the global order, so most documents never need a pair, and a passage that a third of
 the documents share yields no long postings. Candidates of a posting are screened by size and by a 1,024-bit parity
 sketch, whose Hamming distance bounds the symmetric difference from below, so no true link is lost; then the
@@ -27,7 +30,8 @@ from scoreloom.llm.common import MIX, chunks, mixed, row_key, stored, word_hashe
 WIDTH, PERCENT = 4, 85
 SKETCH = 1024
 CLASS_LEVEL = 5  # sets of 2**5 to 2**6 shingles use two classes, twice as many for every doubling
-FREQUENT_LIMIT, FREQUENT_IN_TASK = 50_000, 8
+LONG, LONG_STEP = 512, 16  # sets above LONG extend their prefix by a signature for every LONG_STEP shingles more
+FREQUENT_LIMIT, FREQUENT_IN_TASK = 50_000, 4
 BLOCK = 4096  # members of a posting that meet in one group
 PAIRS = 1_000_000  # pairs of members screened at once
 BROADCAST_PAIRS = 250_000
@@ -76,11 +80,16 @@ def losses(n: int, percent: int) -> int:
     return n + (-percent * n) // 100
 
 
+def shared(n):
+    """Signatures that two linked sets share at least, given the size of the smaller."""
+    return 1 + np.maximum(n - LONG, 0) // LONG_STEP
+
+
 def signatures(s: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Signatures of a set: any two linked sets have one in common."""
+    """Signatures of a set: two linked sets have `shared` of the smaller size in common."""
     if not len(s):
         return s
-    need = losses(len(s), percent) + 1
+    need = losses(len(s), percent) + int(shared(len(s)))
     where = np.searchsorted(frequent, s)
     often = np.zeros(len(s), bool)
     inside = where < len(frequent)
@@ -139,7 +148,7 @@ def frequent_shingles(base: DataFrame, width: int = WIDTH, limit: int = FREQUENT
     """
 
     def run(batches):
-        for rows in chunks(batches, 8_000_000):
+        for rows in chunks(batches, 3_000_000):
             found, n = np.unique(np.concatenate(shingle_sets([r[1] for r in rows], width)), return_counts=True)
             keep = n >= in_task
             yield pa.RecordBatch.from_arrays([pa.array(found[keep].view(np.int64)), pa.array(n[keep].astype(np.int64))], ["s", "n"])
@@ -151,7 +160,8 @@ def frequent_shingles(base: DataFrame, width: int = WIDTH, limit: int = FREQUENT
 def _screen(percent: int, across: bool):
     """Pairs of a posting that size and sketch allow.
 
-    across=False: for each member the smallest key among those before it. across=True: all pairs of different labels.
+    across=False: for each member the one of smaller key that shares most signatures here, ties to the smallest.
+    across=True: all pairs of different labels. Both with the signatures they share here and those they need to share.
     """
 
     def pairs(key, n, bits, label, block, group):
@@ -170,9 +180,9 @@ def _screen(percent: int, across: bool):
             i, j = i[ok], j[ok]
             apart = np.bitwise_count(bits[i] ^ bits[j]).sum(1, dtype=np.int64)
             ok = (100 + percent) * apart <= (100 - percent) * (n[i] + n[j])
-            a, b = np.minimum(key[i[ok]], key[j[ok]]), np.maximum(key[i[ok]], key[j[ok]])
-            if len(a):
-                yield a, b
+            i, j = i[ok], j[ok]
+            if len(i):
+                yield np.stack([np.maximum(key[i], key[j]), np.minimum(key[i], key[j]), shared(np.minimum(n[i], n[j]))], 1)
             lo = hi
 
     def run(batches):
@@ -187,10 +197,12 @@ def _screen(percent: int, across: bool):
             group = np.r_[0, np.cumsum((ids[1:] != ids[:-1]).any(1))]
             found = list(pairs(col("key"), col("n").astype(np.int64), bits, col("label"), block, group))
             if found:
-                ab = np.unique(np.stack([np.concatenate([x[k] for x in found]) for k in (1, 0)], 1), axis=0)
+                bad, count = np.unique(np.concatenate(found), axis=0, return_counts=True)
                 if not across:
-                    ab = ab[np.r_[True, ab[1:, 0] != ab[:-1, 0]]]
-                yield pa.RecordBatch.from_arrays([pa.array(ab[:, 1]), pa.array(ab[:, 0])], ["a", "b"])
+                    o = np.lexsort((bad[:, 1], -count, bad[:, 0]))
+                    o = o[np.r_[True, bad[o[1:], 0] != bad[o[:-1], 0]]]
+                    bad, count = bad[o], count[o]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (bad[:, 1], bad[:, 0], count, bad[:, 2])], ["a", "b", "n", "need"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -216,8 +228,12 @@ def _candidates(postings: DataFrame, sketches: DataFrame, percent: int, across:
     dealt = dealt.selectExpr("sig", "key", "n", "block", "explode(sequence(0, blocks)) AS other")
     dealt = dealt.selectExpr("sig", "key", "n", "block", "least(block, other) AS bi", "greatest(block, other) AS bj")
     rows = dealt.join(sketches, "key").repartition("sig", "bi", "bj").sortWithinPartitions("sig", "bi", "bj")
-    found = rows.select("sig", "key", "n", "block", "bi", "bj", "bits", "label").mapInArrow(_screen(percent, across), "a long, b long")
-    return found.distinct() if across else found.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    found = rows.select("sig", "key", "n", "block", "bi", "bj", "bits", "label").mapInArrow(_screen(percent, across), "a long, b long, n long, need long")
+    found = found.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("need").alias("need"))
+    if across:
+        return found.where("n >= need").select("a", "b")
+    # any choice is right here, since pairs across components follow; one that shares little is not worth a look
+    return found.where("4 * n >= need").groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", "b")
 
 
 def verified(pairs: DataFrame, base: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
@@ -266,7 +282,7 @@ def similar(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> Data
     frequent = base.sparkSession.sparkContext.broadcast(frequent_shingles(base, width))
 
     def rows(batches):
-        yield from _set_rows(frequent.value, percent, width, 4_000_000)(batches)
+        yield from _set_rows(frequent.value, percent, width, 2_000_000)(batches)
 
     sets = stored(base.mapInArrow(rows, "key long, n int, h1 long, h2 long, bits binary, sigs array<long>"), "sets")
     same = ["n", "h1", "h2"]
