@@ -1,13 +1,25 @@
-"""Queries over documents that need no join between documents: language (4), decontamination (5) and packing (7)."""
+"""Queries that judge each row by itself: main text (2), quality (3), language (4), decontamination (5), packing (7)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scoreloom.llm import decontamination, language_id, packing
+from scoreloom.llm import decontamination, html_text, language_id, packing, rule_ensemble
 from scoreloom.llm.common import fold, held_out, table
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    model = rule_ensemble.fit(docs, labels.where(fold(labels.doc_id) != 0))
+    scored = rule_ensemble.score(docs, model)
+    return scored.select("doc_id", held_out(scored.doc_id).alias("held_out"), "score", "predicted")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs.where(fold(docs.doc_id) != 0))
@@ -53,5 +65,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op4_language_id": op4_language_id, "op5_benchmark_decontamination": op5_benchmark_decontamination, "op7_packing": op7_packing}
+QUERIES = {
+    "op2_html_extraction": op2_html_extraction,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op4_language_id": op4_language_id,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op7_packing": op7_packing,
+}
 ORACLES = {"op5_benchmark_decontamination": ORACLE_OP5}
