@@ -1,10 +1,11 @@
-"""Queries that compare documents with each other: suffix-array dedup (6) and Jaccard join (8)."""
+"""Queries that compare documents with each other: suffix-array dedup (6) Jaccard join (8), nearest
+neighbours (9)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scoreloom.llm import jaccard, suffix_dedup
+from scoreloom.llm import jaccard, suffix_dedup, vector_search
 from scoreloom.llm.common import table
 
 
@@ -34,5 +35,9 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
 FROM documents d LEFT JOIN sn USING (doc_id) JOIN comp USING (doc_id)
 """
 
-QUERIES = {"op6_suffix_dedup": op6_suffix_dedup, "op8_jaccard_join": op8_jaccard_join}
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+QUERIES = {"op6_suffix_dedup": op6_suffix_dedup, "op8_jaccard_join": op8_jaccard_join, "op9_nearest_neighbours": op9_nearest_neighbours}
 ORACLES = {"op8_jaccard_join": ORACLE_OP8}

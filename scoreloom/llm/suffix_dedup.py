@@ -376,7 +376,7 @@ def _removed(base: DataFrame, length: int, gram: int) -> DataFrame:
     marks = stored(found.mapInArrow(_refine_runs(length), MARKS), "marks")
     opened = marks.where(f"kind <> {REPEATED}").groupBy("key").agg(F.collect_list(F.struct("kind", "id", "begin", "upto")).alias("found"))
     pieces = base.join(opened, "key").select("key", "text", "found").mapInArrow(_cut_pieces(length), PIECES)
-    pieces = pieces.repartition("id").sortWithinPartitions("id", "ident", "key", "pos")
+    pieces = pieces.repartition("id", "ident").sortWithinPartitions("id", "ident", "key", "pos")
     more = pieces.mapInArrow(_refine_pieces(length), MARKS)
     all_marks = marks.where(f"kind = {REPEATED}").union(more).groupBy("key").agg(F.collect_list(F.struct("begin", "upto")).alias("found"))
     return base.join(all_marks, "key", "left").select("key", "text", "found").mapInArrow(
