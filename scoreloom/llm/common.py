@@ -82,15 +82,21 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _CACHE["p"][:n], _CACHE["i"][:n]
 
 
+def rows_of(batches, at_once: int = 256):
+    """Rows of Arrow batches as tuples, turned into Python values a few at a time."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, at_once):
+            yield from zip(*(c.to_pylist() for c in batch.slice(i, at_once).columns), strict=True)
+
+
 def chunks(batches, most_bytes: int):
     """Regroup Arrow batches of (key, text, ...) into lists of rows of about `most_bytes` of text; one row at least."""
     rows, size = [], 0
-    for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            rows.append(row)
-            size += len(row[1]) if row[1] else 0
-            if size >= most_bytes:
-                yield rows
-                rows, size = [], 0
+    for row in rows_of(batches):
+        rows.append(row)
+        size += len(row[1]) if row[1] else 0
+        if size >= most_bytes:
+            yield rows
+            rows, size = [], 0
     if rows:
         yield rows

@@ -13,7 +13,7 @@ Every further signature in the prefix is one more that linked sets are bound to
 fixed size cannot tell apart, extend their prefixes in proportion and are compared only if they share that many.
 
 Rare shingles come first in the global order, so most documents never need a pair, and a passage that a third of
-the documents share yields no long postings. Candidates of a posting are screened by size and by a 1,024-bit parity
+the documents share yields no long postings. Candidates of a posting are screened by size and by a 512-bit parity
 sketch, whose Hamming distance bounds the symmetric difference from below, so no true link is lost; then the
 shingle sets themselves decide. Equal sets are represented by one document throughout.
 """
@@ -28,12 +28,14 @@ from pyspark.sql import functions as F
 from scoreloom.llm.common import MIX, chunks, mixed, row_key, stored, word_hashes
 
 WIDTH, PERCENT = 4, 85
-SKETCH = 1024
+WORDS = 8  # 64-bit words of a sketch
 CLASS_LEVEL = 5  # sets of 2**5 to 2**6 shingles use two classes, twice as many for every doubling
 LONG, LONG_STEP = 512, 16  # sets above LONG extend their prefix by a signature for every LONG_STEP shingles more
 FREQUENT_LIMIT, FREQUENT_IN_TASK = 50_000, 4
 BLOCK = 4096  # members of a posting that meet in one group
-PAIRS = 1_000_000  # pairs of members screened at once
+SMALL = 16  # members of a posting up to which its pairs are counted before they are screened
+PAIRS = 100_000  # pairs of members screened at once
+SKETCH = [f"s{i}" for i in range(WORDS)]
 BROADCAST_PAIRS = 250_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -69,10 +71,10 @@ def shingle_sets(texts: list, width: int = WIDTH) -> list[np.ndarray]:
     return out
 
 
-def sketch(s: np.ndarray) -> bytes:
-    """Parity of the shingles that fall on each of SKETCH bits."""
-    bits = np.bincount((mixed(s) >> np.uint64(40)).astype(np.int64) & (SKETCH - 1), minlength=SKETCH) & 1
-    return np.packbits(bits.astype(np.uint8)).tobytes()
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Parity of the shingles that fall on each of 64 * WORDS bits."""
+    bits = np.bincount((mixed(s) >> np.uint64(40)).astype(np.int64) & (64 * WORDS - 1), minlength=64 * WORDS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
 def losses(n: int, percent: int) -> int:
@@ -134,8 +136,9 @@ def _set_rows(frequent: np.ndarray, percent: int, width: int, most: int):
             ident = np.array([[mixed(s).sum(dtype=np.uint64), mixed(s ^ MIX).sum(dtype=np.uint64)] for s in sets], np.uint64).view(np.int64)
             lists = pa.ListArray.from_arrays(np.r_[0, np.cumsum([len(x) for x in sigs])].astype(np.int32), np.concatenate(sigs))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array(ident[:, 0]), pa.array(ident[:, 1]), pa.array([sketch(s) for s in sets], pa.binary()), lists],
-                ["key", "n", "h1", "h2", "bits", "sigs"],
+                [pa.array([r[0] for r in rows], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array(ident[:, 0]), pa.array(ident[:, 1]), lists]
+                + [pa.array(c) for c in np.stack([sketch(s) for s in sets], 1)],
+                ["key", "n", "h1", "h2", "sigs", *SKETCH],
             )
 
     return run
@@ -182,7 +185,7 @@ def _screen(percent: int, across: bool):
             ok = (100 + percent) * apart <= (100 - percent) * (n[i] + n[j])
             i, j = i[ok], j[ok]
             if len(i):
-                yield np.stack([np.maximum(key[i], key[j]), np.minimum(key[i], key[j]), shared(np.minimum(n[i], n[j]))], 1)
+                yield np.stack([np.maximum(key[i], key[j]), np.minimum(key[i], key[j]), shared(np.minimum(n[i], n[j])), n[i] + n[j]], 1)
             lo = hi
 
     def run(batches):
@@ -191,7 +194,7 @@ def _screen(percent: int, across: bool):
         def flush(t: pa.Table):
             t = t.combine_chunks()
             col = lambda c: t.column(c).to_numpy()
-            bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(-1, SKETCH // 64)
+            bits = np.stack([col(c) for c in SKETCH], 1).view(np.uint64)
             block = np.stack([col(c) for c in ("block", "bi", "bj")], 1)
             ids = np.stack([col("sig"), block[:, 1].astype(np.int64), block[:, 2].astype(np.int64)], 1)
             group = np.r_[0, np.cumsum((ids[1:] != ids[:-1]).any(1))]
@@ -202,7 +205,7 @@ def _screen(percent: int, across: bool):
                     o = np.lexsort((bad[:, 1], -count, bad[:, 0]))
                     o = o[np.r_[True, bad[o[1:], 0] != bad[o[:-1], 0]]]
                     bad, count = bad[o], count[o]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (bad[:, 1], bad[:, 0], count, bad[:, 2])], ["a", "b", "n", "need"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (bad[:, 1], bad[:, 0], count, bad[:, 2], bad[:, 3])], ["a", "b", "n", "need", "total"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -223,17 +226,33 @@ def _screen(percent: int, across: bool):
 
 
 def _candidates(postings: DataFrame, sketches: DataFrame, percent: int, across: bool) -> DataFrame:
-    """a < b: pairs worth verifying, from postings (sig, key, n, place, size) and sketches (key, bits, label)."""
-    dealt = postings.withColumns({"block": F.expr(f"int(place DIV {BLOCK})"), "blocks": F.expr(f"int((size - 1) DIV {BLOCK})")})
-    dealt = dealt.selectExpr("sig", "key", "n", "block", "explode(sequence(0, blocks)) AS other")
-    dealt = dealt.selectExpr("sig", "key", "n", "block", "least(block, other) AS bi", "greatest(block, other) AS bj")
+    """a < b: pairs worth verifying, from postings (sig, key, n, label, place, size) and sketches (key, s0, ...).
+
+    Pairs of small postings are counted first and screened by sketch after that. Members of larger postings meet with
+    their sketches, block by block, so a posting may hold any share of the documents.
+    """
+    few = postings.where(f"size <= {SMALL}").groupBy("sig").agg(F.sort_array(F.collect_list(F.struct("key", "n", "label"))).alias("m"))
+    few = few.selectExpr("posexplode(m) AS (p, y)", "m").selectExpr("y", "explode(slice(m, 1, p)) AS x")
+    few = few.where(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)" + (" AND x.label <> y.label" if across else ""))
+    few = few.selectExpr("x.key AS a", "y.key AS b", "1L AS n", f"bigint(1 + greatest(least(x.n, y.n) - {LONG}, 0) DIV {LONG_STEP}) AS need", "bigint(x.n + y.n) AS total")
+
+    dealt = postings.where(f"size > {SMALL}").withColumns({"block": F.expr(f"int(place DIV {BLOCK})"), "blocks": F.expr(f"int((size - 1) DIV {BLOCK})")})
+    dealt = dealt.selectExpr("sig", "key", "n", "label", "block", "explode(sequence(0, blocks)) AS other")
+    dealt = dealt.selectExpr("sig", "key", "n", "label", "block", "least(block, other) AS bi", "greatest(block, other) AS bj")
     rows = dealt.join(sketches, "key").repartition("sig", "bi", "bj").sortWithinPartitions("sig", "bi", "bj")
-    found = rows.select("sig", "key", "n", "block", "bi", "bj", "bits", "label").mapInArrow(_screen(percent, across), "a long, b long, n long, need long")
-    found = found.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("need").alias("need"))
+    rows = rows.select("sig", "key", "n", "block", "bi", "bj", "label", *SKETCH)
+    many = rows.mapInArrow(_screen(percent, across), "a long, b long, n long, need long, total long")
+
+    found = few.union(many).groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("need").alias("need"), F.max("total").alias("total"))
+    # across components the count decides; within them any choice is right, since those pairs follow later
+    found = found.where("n >= need" if across else "4 * n >= need")
+    for side in "ab":
+        found = found.join(sketches.select(F.col("key").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in SKETCH]), side)
+    apart = " + ".join(f"bit_count(a_{c} ^ b_{c})" for c in SKETCH)
+    found = found.where(f"{100 + percent} * ({apart}) <= {100 - percent} * total")
     if across:
-        return found.where("n >= need").select("a", "b")
-    # any choice is right here, since pairs across components follow; one that shares little is not worth a look
-    return found.where("4 * n >= need").groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", "b")
+        return found.select("a", "b")
+    return found.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", "b")
 
 
 def verified(pairs: DataFrame, base: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
@@ -284,10 +303,10 @@ def similar(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> Data
     def rows(batches):
         yield from _set_rows(frequent.value, percent, width, 2_000_000)(batches)
 
-    sets = stored(base.mapInArrow(rows, "key long, n int, h1 long, h2 long, bits binary, sigs array<long>"), "sets")
+    sets = stored(base.mapInArrow(rows, "key long, n int, h1 long, h2 long, sigs array<long>, " + ", ".join(f"{c} long" for c in SKETCH)), "sets")
     same = ["n", "h1", "h2"]
     first = sets.where("n > 0").groupBy(*same).agg(F.min("key").alias("rep"))
-    own = sets.join(first.select(F.col("rep").alias("key")), "key", "left_semi")
+    own = sets.select("key", "n", "sigs").join(first.select(F.col("rep").alias("key")), "key", "left_semi")
     posting = "PARTITION BY sig"
     postings = stored(
         own.selectExpr("key", "n", "explode(sigs) AS sig")
@@ -295,16 +314,16 @@ def similar(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> Data
         .where("size > 1"),
         "postings",
     )
-    bare = sets.select("key", "bits")
-    pairs = stored(_candidates(postings, bare.withColumn("label", F.col("key")), percent, False), "pairs")
+    bare = sets.select("key", *SKETCH)
+    pairs = stored(_candidates(postings.withColumn("label", F.col("key")), bare, percent, False), "pairs")
     tested = stored(verified(pairs, base, percent, width), "tested")
     label = components(tested.where("linked"))
     labelled = sets.select("key").join(label, "key", "left").selectExpr("key", "coalesce(label, key) AS label")
     split = (
         postings.join(labelled, "key")
-        .selectExpr("sig", "key", "n", "place", "size", f"min(label) OVER ({posting}) <> max(label) OVER ({posting}) AS several").where("several")
+        .selectExpr("sig", "key", "n", "label", "place", "size", f"min(label) OVER ({posting}) <> max(label) OVER ({posting}) AS several").where("several")
     )
-    more = _candidates(split.drop("several"), bare.join(labelled, "key"), percent, True)
+    more = _candidates(split.drop("several"), bare, percent, True)
     more = stored(more.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
     links = tested.where("linked").select("a", "b").union(verified(more, base, percent, width).where("linked").select("a", "b"))
     label = components(stored(links, "links"))

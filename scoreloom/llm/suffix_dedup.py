@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scoreloom.llm.common import _BYTE, _powers, mixed, row_key, stored
+from scoreloom.llm.common import _BYTE, _powers, mixed, row_key, rows_of, stored
 
 LENGTH, GRAM = 100, 32
 PART = 2_000_000  # bytes that a task handles at once
@@ -63,16 +63,15 @@ class Bytes:
 def slices(batches, length: int, most: int = PART):
     """(key, offset, bytes) lists of about `most` bytes; long texts are cut so that every window lies in one slice."""
     held, size = [], 0
-    for batch in batches:
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            raw = (text or "").encode("utf-8", "surrogatepass")
-            for at in range(0, max(1, len(raw) - length + 1), most):
-                piece = raw[at : at + most + length - 1]
-                held.append((key, at, piece))
-                size += len(piece)
-                if size >= most:
-                    yield held
-                    held, size = [], 0
+    for key, text in rows_of(batches):
+        raw = (text or "").encode("utf-8", "surrogatepass")
+        for at in range(0, max(1, len(raw) - length + 1), most):
+            piece = raw[at : at + most + length - 1]
+            held.append((key, at, piece))
+            size += len(piece)
+            if size >= most:
+                yield held
+                held, size = [], 0
     if held:
         yield held
 
@@ -252,20 +251,19 @@ def _cut_pieces(length: int):
                     np.r_[start[first] << 8 | 1, begin << 8 | MARKED], none,
                 )
 
-        for batch in batches:
-            for key, text, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                raw = text.encode("utf-8", "surrogatepass")
-                for m in found:
-                    begin, upto = m["begin"], m["upto"]
-                    size += upto - begin
-                    if m["kind"] == BY_RUN:
-                        pieces.append((m["id"], 0, key, begin << 8 | upto - begin - length + 1, raw[begin:upto]))
-                    else:
-                        wide.append((key, begin, raw[begin:upto]))
-                        buckets.append(m["id"])
-                    if size >= PART:
-                        yield from flush()
-                        pieces, wide, buckets, size = [], [], [], 0
+        for key, text, found in rows_of(batches):
+            raw = text.encode("utf-8", "surrogatepass")
+            for m in found:
+                begin, upto = m["begin"], m["upto"]
+                size += upto - begin
+                if m["kind"] == BY_RUN:
+                    pieces.append((m["id"], 0, key, begin << 8 | upto - begin - length + 1, raw[begin:upto]))
+                else:
+                    wide.append((key, begin, raw[begin:upto]))
+                    buckets.append(m["id"])
+                if size >= PART:
+                    yield from flush()
+                    pieces, wide, buckets, size = [], [], [], 0
         yield from flush()
 
     return run
