@@ -45,9 +45,9 @@ def row_key(docs: DataFrame) -> tuple[DataFrame, bool]:
     if not odd:
         return docs.withColumn("_key", F.col("doc_id").cast("long")), True
     order = docs.select("doc_id", "text").distinct().orderBy(F.col("doc_id").asc_nulls_last(), F.col("text"))
-    keys = order.rdd.zipWithIndex().map(lambda x: (x[0][0], x[0][1], x[1])).toDF("i long, t string, _key long")
+    keys = order.rdd.zipWithIndex().map(lambda x: (x[0][0], x[0][1], x[1])).toDF("_key_id long, _key_text string, _key long")
     keys = stored(keys, "row-keys")
-    return docs.join(keys, docs.doc_id.eqNullSafe(keys.i) & docs.text.eqNullSafe(keys.t)).drop("i", "t"), False
+    return docs.join(keys, docs.doc_id.eqNullSafe(keys._key_id) & docs.text.eqNullSafe(keys._key_text)).drop("_key_id", "_key_text"), False
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

@@ -298,6 +298,7 @@ def similar(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> Data
     docs = docs.drop("n_shingles", "is_first", "component_id", "_key")
     keyed, unique = row_key(docs)
     base = keyed.select(F.col("_key").alias("key"), "text")
+    base = base if unique else base.distinct()
     frequent = base.sparkSession.sparkContext.broadcast(frequent_shingles(base, width))
 
     def rows(batches):
@@ -328,9 +329,9 @@ def similar(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> Data
     links = tested.where("linked").select("a", "b").union(verified(more, base, percent, width).where("linked").select("a", "b"))
     label = components(stored(links, "links"))
     of_set = sets.where("n > 0").join(first, same).select("key", "n", "rep")
-    of_set = of_set.join(label.withColumnRenamed("key", "rep"), "rep", "left").selectExpr("key", "n", "coalesce(label, rep) AS label")
-    out = keyed.join(of_set, keyed._key == of_set.key, "left").selectExpr(
-        *[f"`{c}`" for c in docs.columns], "bigint(coalesce(n, 0)) AS n_shingles", "coalesce(label, _key) AS _label", "coalesce(label, _key) = _key AS is_first"
+    of_set = of_set.join(label.withColumnRenamed("key", "rep"), "rep", "left").selectExpr("key AS _set", "n AS _n", "coalesce(label, rep) AS _of")
+    out = keyed.join(of_set, keyed._key == of_set._set, "left").selectExpr(
+        *[f"`{c}`" for c in docs.columns], "bigint(coalesce(_n, 0)) AS n_shingles", "coalesce(_of, _key) AS _label", "coalesce(_of, _key) = _key AS is_first"
     )
     if unique:
         return out.withColumnRenamed("_label", "component_id")

@@ -357,8 +357,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     if unique and set(docs.columns) == {"doc_id", "text"}:
         return _removed(keyed, length, gram).withColumnRenamed("key", "doc_id").withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
     base = keyed.select("_key", "text")
-    cut = _removed(base if unique else base.distinct(), length, gram)
-    return keyed.join(cut, keyed._key == cut.key, "left").drop("_key", "key")
+    cut = _removed(base if unique else base.distinct(), length, gram).withColumnRenamed("key", "_of")
+    return keyed.join(cut, keyed._key == cut._of, "left").drop("_key", "_of")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
