@@ -10,9 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Below this share of the raw second moment a centred sum of squares is rounding noise of doubles.
-_NOISE = "1e-13D"
-
 
 def dbl(x: Column) -> Column:
     return x.cast("double")
@@ -60,15 +57,6 @@ def std(x: str) -> str:
     return f"stddev_samp({double(x)})"
 
 
-def std_from_sums(n: str, s: str, ss: str) -> str:
-    """Sample standard deviation from count, sum and sum of squares; NULL for n < 2."""
-    centred = f"({ss} - {s} * {s} / {double(n)})"
-    return (
-        f"CASE WHEN {n} > 1 THEN sqrt(CASE WHEN {centred} > {ss} * {_NOISE} THEN {centred} ELSE 0.0D END"
-        f" / ({double(n)} - 1)) END"
-    )
-
-
 def latest(value: str, *order: str) -> str:
     """Value of the last row by ``order``; later entries of ``order`` break ties."""
     return f"max_by({value}, struct({', '.join(order)}))"
@@ -116,8 +104,26 @@ class Rollup:
         return mean_of(self.sum(name, x), self.count(name, x))
 
     def std(self, name: str, x: str) -> str:
-        return std_from_sums(
-            self.count(name, x),
-            self._keep(f"p_{name}_dsum", f"sum({double(x)})", "sum"),
-            self._keep(f"p_{name}_dsq", f"sum({double(x)} * {double(x)})", "sum"),
-        )
+        """Sample deviation over all rows from count, mean and centred square sum of each child key.
+
+        The part between child keys is a sum over (mean - centre) squared. It is taken from exact integer sums of
+        millionths, so nothing cancels however far the values lie from zero. Means beyond 1e13 do not fit and fall
+        back to doubles.
+        """
+        n = self.count(name, x)
+        mean, inner, micro = f"p_{name}_mean", f"p_{name}_m2", f"p_{name}_micro"
+        self._partials.setdefault(mean, f"avg({double(x)})")
+        self._partials.setdefault(inner, f"var_pop({double(x)}) * count({x})")
+        self._partials.setdefault(micro, f"try_cast(round(avg({double(x)}) * 1e6D) AS DECIMAL(20, 0))")
+        rows = f"CAST(p_{name}_n * p_copies AS DECIMAL(18, 0))"
+        s, q = f"try_sum(try_multiply({micro}, {rows}))", f"try_sum(try_multiply(try_multiply({micro}, {micro}), {rows}))"
+        count = f"CAST({n} AS DECIMAL(18, 0))"
+        centre = f"try_cast(round(CAST({s} AS DOUBLE) / CAST({n} AS DOUBLE)) AS DECIMAL(20, 0))"
+        twice = f"try_multiply(try_multiply({centre}, {s}), CAST(2 AS DECIMAL(1, 0)))"
+        around = f"try_add(try_subtract({q}, {twice}), try_multiply(try_multiply({centre}, {centre}), {count}))"
+        off = f"CAST(try_subtract({s}, try_multiply({centre}, {count})) AS DOUBLE)"
+        exact = f"(CAST({around} AS DOUBLE) - {off} * {off} / {double(n)}) * 1e-12D"
+        weighted = f"sum({mean} * p_{name}_n * p_copies)"
+        rough = f"sum({mean} * {mean} * p_{name}_n * p_copies) - {weighted} * {weighted} / {double(n)}"
+        between = f"greatest(0.0D, coalesce({exact}, {rough}))"
+        return f"CASE WHEN {n} > 1 THEN sqrt((coalesce(sum({inner} * p_copies), 0.0D) + {between}) / ({double(n)} - 1)) END"

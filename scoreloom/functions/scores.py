@@ -101,16 +101,17 @@ def overfit_status(gap: Column) -> Column:
 
 
 def affordability_flags(loan: Column, income: Column, annuity: Column, goods: Column) -> dict[str, Column]:
-    """Ratios of the request and their warning labels."""
-    one = F.lit(1.0)
-    lti = loan / F.greatest(income, one)
-    ati = annuity / F.greatest(income, one)
-    ctg = loan / F.greatest(goods, one)
+    """Ratios of the request and their warning labels; a missing amount gives neither."""
+    at_least_one = lambda x: F.when(x.isNotNull(), F.greatest(x, F.lit(1.0)))  # noqa: E731  greatest() skips NULLs
+    lti = loan / at_least_one(income)
+    ati = annuity / at_least_one(income)
+    ctg = loan / at_least_one(goods)
+    flag = lambda x, bound, label: F.when(x > bound, label).when(x.isNotNull(), "OK")
     return {
         "loan_to_income": lti,
-        "loan_to_income_flag": F.when(lti > 5, "High").otherwise("OK"),
+        "loan_to_income_flag": flag(lti, 5, "High"),
         "annuity_to_income": ati,
-        "annuity_to_income_flag": F.when(ati > 0.4, "High").otherwise("OK"),
+        "annuity_to_income_flag": flag(ati, 0.4, "High"),
         "credit_to_goods": ctg,
-        "credit_to_goods_flag": F.when(ctg > 1.2, "Over-financed").otherwise("OK"),
+        "credit_to_goods_flag": flag(ctg, 1.2, "Over-financed"),
     }

@@ -19,8 +19,11 @@ ACCOUNT = "SK_ID_BUREAU"
 
 
 def _owners(parent: DataFrame, key: str) -> DataFrame:
-    """Each (key, applicant) once with its number of copies, so a repeated parent row never multiplies the join."""
-    return parent.groupBy(key, APPLICANT).agg(F.count(F.lit(1)).alias("p_copies"))
+    """Each (key, applicant) once with its number of copies, so a repeated parent row never multiplies the join.
+
+    Dealt by the key alone, which serves the grouping and the join that follows.
+    """
+    return parent.select(key, APPLICANT).repartition(key).groupBy(key, APPLICANT).agg(F.count(F.lit(1)).alias("p_copies"))
 
 
 def _per_applicant(child: DataFrame, loans: DataFrame, roll: Rollup, outputs: dict[str, str]) -> DataFrame:
@@ -66,29 +69,35 @@ def bureau_history(bureau: DataFrame) -> DataFrame:
 def bureau_balance_history(balance: DataFrame, bureau: DataFrame) -> DataFrame:
     """Monthly status of external credits: history depth, delinquency mix, worst bucket.
 
-    Rows collapse to (account, month) before the join, so an account repeated without end is bounded
-    by its months.
+    Rows collapse to one per account before the join; an account carries its distinct months, which
+    are as many as its history is long. Months of an applicant are counted from (applicant, month) pairs.
     """
-    months = balance.groupBy(ACCOUNT, "MONTHS_BALANCE").agg(*named({
+    accounts = balance.groupBy(ACCOUNT).agg(*named({
         "p_rows": "count(1)",
         "p_dpd": "count_if(STATUS IN ('1', '2', '3', '4', '5'))",
         "p_closed": "count_if(STATUS = 'C')",
         "p_current": "count_if(STATUS = '0')",
         "p_unknown": "count_if(STATUS = 'X')",
         "p_worst": "max(CASE WHEN STATUS IN ('1', '2', '3', '4', '5') THEN CAST(STATUS AS INT) ELSE 0 END)",
-    }))
-    stats = months.join(_owners(bureau, ACCOUNT), ACCOUNT).groupBy(APPLICANT).agg(*named({
+        "p_first": "min(MONTHS_BALANCE)",
+        "p_last": "max(MONTHS_BALANCE)",
+        "p_months": "collect_set(MONTHS_BALANCE)",
+    })).join(_owners(bureau, ACCOUNT), ACCOUNT)
+    stats = accounts.groupBy(APPLICANT).agg(*named({
         "bb_total_records": "sum(p_rows * p_copies)",
-        "bb_distinct_accounts": f"count(DISTINCT {ACCOUNT})",
-        "bb_months_covered": "count(DISTINCT MONTHS_BALANCE)",
-        "bb_earliest_month": "min(MONTHS_BALANCE)",
-        "bb_latest_month": "max(MONTHS_BALANCE)",
+        "bb_distinct_accounts": "count(1)",
+        "bb_earliest_month": "min(p_first)",
+        "bb_latest_month": "max(p_last)",
         "bb_dpd_count": "sum(p_dpd * p_copies)",
         "bb_closed_count": "sum(p_closed * p_copies)",
         "bb_current_count": "sum(p_current * p_copies)",
         "bb_unknown_count": "sum(p_unknown * p_copies)",
         "bb_worst_dpd_bucket": "max(p_worst)",
     }))
+    months = accounts.select(APPLICANT, F.explode("p_months").alias("_m")).distinct().groupBy(APPLICANT).agg(
+        F.count(F.lit(1)).alias("_months")
+    )
+    stats = stats.join(months, APPLICANT, "left").withColumn("bb_months_covered", F.coalesce("_months", F.lit(0))).drop("_months")
     return stats.select("*", *named({
         f"bb_{k}_ratio": f"round({share(f'bb_{k}_count', 'bb_total_records')}, 4)" for k in ("dpd", "closed", "current")
     }))

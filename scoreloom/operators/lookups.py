@@ -24,7 +24,9 @@ def local_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 class CategoryLookup:
-    """Values of a (feature, category, ...) table, by generated expression, broadcast or shuffle join by size.
+    """Values of a (feature, category, ...) table, by generated expression, broadcast or shuffle join.
+
+    Each column is decided by itself, smallest first: one wide column is joined by shuffle and leaves the others alone.
 
     ``by`` names a further key column, equal on both sides.
     """
@@ -32,14 +34,20 @@ class CategoryLookup:
     def __init__(self, table: DataFrame, value: str, by: str | None = None):
         self.value, self.by = value, by
         self.frame = table.select("feature", "category", *([by] if by else []), value)
-        rows = self.frame.limit(BROADCAST_ROWS + 1).collect()
-        self.rows = rows if len(rows) <= BROADCAST_ROWS else None
-        if self.rows is not None:
-            self.frame = F.broadcast(table.sparkSession.createDataFrame(rows, schema=self.frame.schema))
+        size = self.frame.groupBy("feature").count().collect()  # a row per column
+        small, left = [], BROADCAST_ROWS
+        for feature, n in sorted(((r[0], r[1]) for r in size), key=lambda x: x[1]):
+            if n <= left:
+                small.append(feature)
+                left -= n
+        self.small = set(small)
+        self.sizes = {r[0]: r[1] for r in size}
+        self.rows = self.frame.where(F.col("feature").isin(small)).collect() if small else []
+        self.local = F.broadcast(table.sparkSession.createDataFrame(self.rows, schema=self.frame.schema)) if self.rows else None
 
     def _expression(self, column: str) -> str | None:
-        mine = [r for r in self.rows or [] if r["feature"] == column]
-        if self.rows is None or len(mine) > EXPRESSION_ROWS:
+        mine = [r for r in self.rows if r["feature"] == column]
+        if len(mine) > EXPRESSION_ROWS or not mine and column not in self.small and column in self.sizes:
             return None
         if not mine:
             return "NULL"
@@ -66,7 +74,8 @@ class CategoryLookup:
             else:
                 ready[out] = F.expr(f"CAST(coalesce({text}, {default}) AS {kind})")
         for i, (column, out) in enumerate(joined.items()):
-            part = self.frame.where(F.col("feature") == column).select(
+            source = self.local if column in self.small else self.frame
+            part = source.where(F.col("feature") == column).select(
                 F.col("category").alias("_cat"), *([F.col(self.by).alias("_by")] if self.by else []),
                 F.col(self.value).alias(f"_hit_{i}"),
             )

@@ -21,9 +21,9 @@ def decile_table(df: DataFrame, score: str, target: str, q: int = 10) -> DataFra
 
     When ties merge quantile edges there are fewer deciles, still numbered from 1.
     """
-    edges = quantile_edges(df, [score], q).get(score, [])
-    bins = max(len(edges) - 1, 0)
     y = F.col(target)
+    edges = quantile_edges(df.where(y.isNotNull()), [score], q).get(score, [])
+    bins = max(len(edges) - 1, 0)
     per = (
         df.where(F.col(score).isNotNull() & y.isNotNull())
         .groupBy((F.lit(bins) - right_closed_bin(number(score), edges)).alias("decile"))
@@ -152,37 +152,32 @@ def expected_loss(df: DataFrame, pd_col: str, ead: str | float = 1.0, lgd: float
     )
 
 
-def vif(df: DataFrame, features: list[str] | None = None, max_features: int = 50) -> DataFrame:
-    """Variance inflation of numeric features that have no NULL, the ``max_features`` widest by variance.
+def vif(df: DataFrame, features: list[str] | None = None, max_features: int | None = None) -> DataFrame:
+    """Variance inflation of all numeric features that have no NULL (or of the ``max_features`` widest by variance).
 
-    Means come from a first pass, the centred cross products from a second one; only the
-    ``max_features`` x ``max_features`` matrix reaches the driver. A constant feature has no VIF.
+    Only the matrix of correlations reaches the driver. A constant feature has no VIF.
     """
+    from .profile import corr_pairs
+
     features = features or numeric_columns(df)
     first = df.agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.count(c).alias(f"n_{i}") for i, c in enumerate(features)],
         *[F.var_samp(F.col(c).cast("double")).alias(f"v_{i}") for i, c in enumerate(features)],
-        *[F.avg(F.col(c).cast("double")).alias(f"m_{i}") for i, c in enumerate(features)],
     ).first()
-    whole = [i for i in range(len(features)) if first[f"n_{i}"] == first["_n"] and first[f"v_{i}"] is not None]
-    whole = sorted(whole, key=lambda i: (-first[f"v_{i}"], features[i]))[:max_features]
-    moving = [i for i in whole if first[f"v_{i}"] > 0]
+    whole = [i for i in range(len(features)) if first[f"n_{i}"] == first["_n"] and (first[f"v_{i}"] or 0) > 0]
+    moving = [features[i] for i in sorted(whole, key=lambda i: (-first[f"v_{i}"], features[i]))[:max_features]]
     if not moving:
         return df.sparkSession.createDataFrame([], "feature string, vif double")
-    z = {i: (F.col(features[i]).cast("double") - first[f"m_{i}"]) / float(np.sqrt(first[f"v_{i}"])) for i in moving}
-    pairs = [(a, b) for x, a in enumerate(moving) for b in moving[x:]]
-    second = df.agg(*[F.sum(z[a] * z[b]).alias(f"p_{a}_{b}") for a, b in pairs]).first()
-    at = {i: k for k, i in enumerate(moving)}
-    r = np.zeros((len(moving), len(moving)))
-    for a, b in pairs:
-        r[at[a], at[b]] = r[at[b], at[a]] = second[f"p_{a}_{b}"] / (first["_n"] - 1)
+    at = {f: k for k, f in enumerate(moving)}
+    r = np.eye(len(moving))
+    for a, b, corr in corr_pairs(df, moving).collect():
+        r[at[a], at[b]] = r[at[b], at[a]] = corr
     try:
         diag = np.diag(np.linalg.inv(r))
     except np.linalg.LinAlgError:
         diag = np.diag(np.linalg.pinv(r))
-    rows = [(features[i], round(float(diag[at[i]]), 2)) for i in moving]
-    return df.sparkSession.createDataFrame(rows, "feature string, vif double")
+    return df.sparkSession.createDataFrame([(f, round(float(diag[at[f]]), 2)) for f in moving], "feature string, vif double")
 
 
 def unpivot_text(df: DataFrame, columns: list[str], names: tuple[str, str], keep: list[str]) -> DataFrame:

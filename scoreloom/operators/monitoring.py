@@ -115,6 +115,10 @@ def drift_table(
 ) -> DataFrame:
     """Per shared numeric column: PSI, two-sample KS, moments, missing share, distinct values, range."""
     features = features or shared_numeric(baseline, current)
+    if not features:
+        columns = [f"{m}_{tag} double" for tag in ("base", "cur") for m in ("mean", "std", "min", "max", "missing")]
+        rest = "ks double, distinct_base long, distinct_cur long, psi double, status string, mean_shift double"
+        return baseline.sparkSession.createDataFrame([], f"feature string, {', '.join(columns)}, {rest}")
     both = stack_sides(baseline, current, features)
     long = both.unpivot(["side"], features, "feature", "value")
     v, base, cur = F.col("value"), F.col("side") == 0, F.col("side") == 1

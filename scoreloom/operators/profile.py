@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,16 +71,53 @@ def missing_summary(df: DataFrame, columns: list[str] | None = None) -> DataFram
     )
 
 
-def comissing_pairs(df: DataFrame, columns: list[str], limit: int = 30) -> DataFrame:
-    """Rows in which two columns are NULL together, for the first ``limit`` columns, in one aggregate."""
-    pairs = list(combinations(columns[:limit], 2))
-    null = {c: F.col(c).isNull() for c in columns}
-    row = df.agg(*[F.count_if(null[a] & null[b]).alias(f"n{i}") for i, (a, b) in enumerate(pairs)])
-    per = F.array(*[
-        F.struct(F.lit(a).alias("left_feature"), F.lit(b).alias("right_feature"), F.col(f"n{i}").alias("both_missing"))
-        for i, (a, b) in enumerate(pairs)
-    ])
-    return row.select(F.explode(per).alias("r")).select("r.*")
+PAIR_SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy")
+
+
+def pair_sums(df: DataFrame, features: list[str]) -> DataFrame:
+    """left_feature, right_feature and, over rows where both are given: n, sums, squares and products.
+
+    Values are taken from the feature's mean, so nothing cancels. Each task multiplies blocks of rows as matrices
+    and sends one row per pair, whatever the number of columns; NULL and NaN count as missing. The sums of masks
+    over rows where both are missing are in ``both_missing``.
+    """
+    if len(features) < 2:
+        return df.sparkSession.createDataFrame([], "left_feature string, right_feature string, " + ", ".join(f"{s} double" for s in (*PAIR_SUMS, "both_missing")))
+    given = df.select(*[F.expr(f"nanvl(CAST(`{c}` AS DOUBLE), NULL)").alias(f"c{i}") for i, c in enumerate(features)])
+    mean = given.agg(*[F.avg(c) for c in given.columns]).first()
+    centre = np.array([0.0 if m is None else m for m in mean])
+    left, right = np.triu_indices(len(features), 1)
+    names = ["i", "j", *PAIR_SUMS, "both_missing"]
+
+    def run(batches):
+        total = None
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in part.columns], 1) - centre
+                here = ~np.isnan(x)
+                x = np.where(here, x, 0.0)
+                m = here.astype(float)
+                gram = np.stack([m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x, (1 - m).T @ (1 - m)])
+                total = gram if total is None else total + gram
+        if total is not None:
+            columns = [left.astype(np.int32), right.astype(np.int32), *(g[left, right] for g in total)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+    parts = given.mapInArrow(run, "i int, j int, " + ", ".join(f"{s} double" for s in names[2:]))
+    sums = parts.groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in names[2:]])
+    # As many rows as features, so this is a bounded broadcast.
+    label = F.broadcast(df.sparkSession.createDataFrame(list(enumerate(features)), "k int, f string"))
+    for side, out in (("i", "left_feature"), ("j", "right_feature")):
+        sums = sums.join(label.select(F.col("k").alias(side), F.col("f").alias(out)), side)
+    return sums.select("left_feature", "right_feature", *names[2:])
+
+
+def comissing_pairs(df: DataFrame, columns: list[str], limit: int | None = None) -> DataFrame:
+    """Rows in which two columns are NULL together, for all pairs of the columns (or of the first ``limit``)."""
+    columns = columns if limit is None else columns[:limit]
+    masks = df.select(*[F.when(F.col(c).isNotNull(), 1.0).alias(c) for c in columns])
+    return pair_sums(masks, columns).select("left_feature", "right_feature", F.col("both_missing").cast("long").alias("both_missing"))
 
 
 def class_balance(df: DataFrame, target: str) -> DataFrame:
@@ -109,15 +146,12 @@ def top_corr(df: DataFrame, features: list[str], target: str, k: int = 20) -> Da
 
 
 def corr_pairs(df: DataFrame, features: list[str], threshold: float | None = None) -> DataFrame:
-    """Correlation of every feature pair in one aggregate, optionally only |r| above the threshold."""
-    pairs = list(combinations(features, 2))
-    d = {c: F.col(c).cast("double") for c in features}
-    row = df.agg(*[F.corr(d[a], d[b]).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    per = F.array(*[
-        F.struct(F.lit(a).alias("left_feature"), F.lit(b).alias("right_feature"), F.col(f"c{i}").alias("corr"))
-        for i, (a, b) in enumerate(pairs)
-    ])
-    out = row.select(F.explode(per).alias("r")).select("r.*")
+    """Correlation of every feature pair over pairwise complete rows, optionally only |r| above the threshold."""
+    sums = pair_sums(df, features)
+    spread = lambda s, ss: F.greatest(F.col(ss) - F.col(s) * F.col(s) / F.col("n"), F.lit(0.0))
+    both = F.sqrt(spread("sx", "sxx") * spread("sy", "syy"))
+    corr = F.when((F.col("n") > 0) & (both > 0), (F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")) / both)
+    out = sums.select("left_feature", "right_feature", corr.alias("corr"))
     return out if threshold is None else out.where(F.abs("corr") > threshold)
 
 

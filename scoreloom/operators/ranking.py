@@ -1,9 +1,10 @@
 """Exact ranking over data of any size.
 
-Every value is placed in a cell by a monotone function of the value alone. Offsets of cells are prefix
+Every value is placed in a cell by a monotone function of the value, and cells that hold more than
+``CELL_ROWS`` rows are split between their own smallest and largest value. Offsets of cells are prefix
 sums over the small cell table; rows collapse to distinct values (map-side combine absorbs any repeated
 value) and are ranked inside their cell. No window ever covers a whole key, and because cells depend
-only on the value, recomputing a lost task always gives the same placement.
+only on the values, recomputing a lost task always gives the same placement. NaN counts as NULL.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from .lookups import local_if_small
 
 CELLS_PER_DECADE = 5000
+CELL_ROWS = 500_000  # rows of a cell beyond which it is split; at most rows / CELL_ROWS cells are broadcast
 _EXPONENT_SHIFT = 330  # above the largest decimal exponent of a double, keeps cell numbers positive
 
 
@@ -24,22 +26,59 @@ def value_cell(x: Column, per_decade: int = CELLS_PER_DECADE) -> Column:
     return F.when(x == 0, F.lit(0)).otherwise(cell * F.signum(x).cast("int"))
 
 
+def number_of(df: DataFrame, column: str) -> Column | None:
+    """A column as a double in the same order: numbers, booleans, dates and timestamps; None for text."""
+    kind = dict(df.dtypes)[column]
+    x = F.col(column)
+    if kind == "date":
+        return F.unix_date(x).cast("double")
+    if kind.startswith("timestamp"):
+        return F.unix_micros(x.cast("timestamp")).cast("double")
+    return None if kind.startswith(("string", "varchar", "char")) else x.cast("double")
+
+
+def with_cells(rows: DataFrame, keys: list[str], value: str, cell: Column | None = None) -> DataFrame:
+    """Add ``_cell``, a struct in the order of the values: the grid cell, and the part of it for crowded cells.
+
+    Parts of numbers are equal slices of the cell's own range; parts of text are the two characters after what its
+    smallest and largest value have in common. Values that are not NULL are expected.
+    """
+    number = number_of(rows, value)
+    if cell is None:
+        cell = F.substring(value, 1, 3) if number is None else value_cell(number)
+    based = rows.withColumns({"_grid": cell, "_v": F.col(value) if number is None else number})
+    crowded = based.groupBy(*keys, "_grid").agg(F.count(F.lit(1)).alias("_rows"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    crowded = F.broadcast(crowded.where((F.col("_rows") > CELL_ROWS) & (F.col("_lo") < F.col("_hi"))))
+    if number is None:
+        same = "aggregate(sequence(1, greatest(1, length(_lo))), 0, (n, i) -> IF(n = i - 1 AND substr(_lo, i, 1) = substr(_hi, i, 1), i, n))"
+        part = F.expr(f"CASE WHEN _rows IS NULL THEN '' ELSE substr(_v, 1 + {same}, 2) END")
+    else:
+        inside = "_rows IS NOT NULL AND _hi - _lo < double('infinity')"
+        part = F.expr(f"CASE WHEN {inside} THEN bigint(floor((_v - _lo) / (_hi - _lo) * ceil(_rows / {CELL_ROWS}))) ELSE 0L END")
+    joined = based.join(crowded, [*keys, "_grid"], "left")
+    return joined.withColumn("_cell", F.struct(F.col("_grid"), part.alias("_part"))).drop("_grid", "_v", "_rows", "_lo", "_hi")
+
+
+def present(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows without NULL or NaN in the columns."""
+    kinds = dict(df.dtypes)
+    tests = [f"`{c}` IS NOT NULL" + (f" AND NOT isnan(`{c}`)" if kinds[c] in ("double", "float") else "") for c in columns]
+    return df.where(" AND ".join(tests))
+
+
 def cumulate(
     rows: DataFrame, keys: list[str], value: str, totals: dict[str, Column], cell: Column | None = None
 ) -> DataFrame:
     """One row per (keys, value) with each total ``t``, its ``<t>_before`` (sum over strictly smaller values
-    of the key) and ``<t>_all``; rows with a NULL key or value are left out.
+    of the key) and ``<t>_all``; rows with a NULL or NaN key or value are left out.
 
-    ``cell`` must not decrease as the value grows; the default fits numbers. The cell table comes from
-    the rows themselves: its map-side combine leaves a few thousand cells per key and task, so the large
-    set of distinct values is shuffled for the ranking alone. The join keeps the partitioning and order
-    of the window.
+    ``cell`` must not decrease as the value grows; the default fits numbers, dates, timestamps and text. The
+    cell table comes from the rows themselves: its map-side combine leaves a few thousand cells per key and
+    task, so the large set of distinct values is shuffled for the ranking alone.
     """
-    given = rows.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*keys, value]))
-    base = given.select(
-        *keys, value, (value_cell(F.col(value).cast("double")) if cell is None else cell).alias("_cell"),
-        *[t.alias(name) for name, t in totals.items()],
-    )
+    given = present(rows, [*keys, value])
+    based = given.select(*keys, value, *([cell.alias("_given")] if cell is not None else []), *[t.alias(name) for name, t in totals.items()])
+    base = with_cells(based, keys, value, F.col("_given") if cell is not None else None)
     names = list(totals)
     cells = base.groupBy(*keys, "_cell").agg(*[F.sum(t).alias(f"_c_{t}") for t in names])
     # A key has at most as many cells as the grid: these windows run over the cell table, not the data.
@@ -142,8 +181,8 @@ def exact_quantiles(df: DataFrame, features: list[str], probs: list[float], keys
     long = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in features]).unpivot(
         keys, features, "feature", "value"
     )
-    long = long.where(F.col("value").isNotNull()).withColumn("_cell", value_cell(F.col("value")))
     by = [*keys, "feature"]
+    long = with_cells(present(long, ["value"]), by, "value")
     cells = long.groupBy(*by, "_cell").agg(F.count(F.lit(1)).alias("_n"))
     of_key = Window.partitionBy(*by)  # over the cell table
     upto = of_key.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)

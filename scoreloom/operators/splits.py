@@ -71,7 +71,7 @@ def hash_folds(df: DataFrame, key: str, k: int = 5, seed: int = SEED) -> DataFra
 
 
 def ordered_split(df: DataFrame, order: str, test_share: float = 0.2) -> DataFrame:
-    """``is_test`` = 1 for the last share of rows by a unique order column."""
+    """``is_test`` = 1 for the last share of rows by a unique order column: a number, date, timestamp or text."""
     r = cumulate(df, [], order, {"_n": F.lit(1)}).select(
         F.col(order).alias("_o"),
         (F.col("_n_before") >= F.floor(F.col("_n_all") * F.lit(1.0 - test_share))).cast("int").alias("is_test"),

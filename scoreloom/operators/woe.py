@@ -34,7 +34,7 @@ def fit_numeric(
     A feature without values or with a single distinct value has no bins.
     """
     spark = df.sparkSession
-    edges = {f: e for f, e in quantile_edges(df, features, bins).items() if len(e) > 1}
+    edges = {f: e for f, e in quantile_edges(df.where(F.col(target).isNotNull()), features, bins).items() if len(e) > 1}
     grid_rows = [
         (f, i, float(e[i]), float(e[i + 1])) for f, e in edges.items() for i in range(len(e) - 1)
     ]

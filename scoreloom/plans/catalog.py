@@ -599,19 +599,19 @@ def _moments_sql() -> str:
     for tag, side in (("base", 0), ("cur", 1)):
         w = f"FILTER (WHERE side = {side})"
         parts.append(
-            f"round(AVG(v) {w}, 6) AS mean_{tag}, round(stddev_samp(v) {w}, 6) AS std_{tag}, MIN(v) {w} AS min_{tag}, MAX(v) {w} AS max_{tag}, "
+            f"round(AVG(v) {w}, 9) AS mean_{tag}, round(stddev_samp(v) {w}, 9) AS std_{tag}, MIN(v) {w} AS min_{tag}, MAX(v) {w} AS max_{tag}, "
             f"CAST(COUNT(*) FILTER (WHERE side = {side} AND v IS NULL) AS DOUBLE) / COUNT(*) {w} AS missing_{tag}"
         )
     return ", ".join(parts)
 
 
 @query(sql.with_([*_PSI_CTES, _KS2], f"""SELECT feature, m.* EXCLUDE (feature), ks, distinct_base, distinct_cur, psi, {_PSI_STATUS} AS status FROM (
-  SELECT feature, {_moments_sql()}, round((AVG(v) FILTER (WHERE side = 1) - AVG(v) FILTER (WHERE side = 0)) / stddev_samp(v) FILTER (WHERE side = 0), 6) AS mean_shift
+  SELECT feature, {_moments_sql()}, round((AVG(v) FILTER (WHERE side = 1) - AVG(v) FILTER (WHERE side = 0)) / stddev_samp(v) FILTER (WHERE side = 0), 9) AS mean_shift
   FROM long GROUP BY feature) m JOIN ks2 USING (feature) JOIN psi USING (feature)"""))
 def drift_table(spark, sf_dir):
     base, cur = roles.event_halves(spark, sf_dir)
     out = monitoring.drift_table(base, cur)
-    return rounded(out, mean_base=6, mean_cur=6, std_base=6, std_cur=6, mean_shift=6)
+    return rounded(out, mean_base=9, mean_cur=9, std_base=9, std_cur=9, mean_shift=9)
 
 
 _TRIGGER_SQL = f"""m AS (SELECT feature AS subject, 'feature_psi' AS metric, psi AS value FROM psi UNION ALL
@@ -789,12 +789,12 @@ def ks_two_sample(spark, sf_dir):
 _DESC_LONG = "long AS (UNPIVOT (SELECT price, quantity, discount, tax FROM accounts) ON price, quantity, discount, tax INTO NAME feature VALUE v)"
 
 
-@query(sql.with_([_ACCOUNTS, _DESC_LONG], """SELECT feature, COUNT(*) AS "count", round(AVG(v), 6) AS mean, round(stddev_samp(v), 6) AS std, MIN(v) AS min,
+@query(sql.with_([_ACCOUNTS, _DESC_LONG], """SELECT feature, COUNT(*) AS "count", round(AVG(v), 9) AS mean, round(stddev_samp(v), 9) AS std, MIN(v) AS min,
   round(quantile_cont(v, 0.25), 9) AS q25, round(quantile_cont(v, 0.5), 9) AS q50, round(quantile_cont(v, 0.75), 9) AS q75, MAX(v) AS max,
   CAST((SELECT COUNT(*) FROM accounts) - COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM accounts) AS missing_pct FROM long GROUP BY feature"""))
 def describe(spark, sf_dir):
     acc = roles.accounts(spark, sf_dir)
-    return rounded(profile.describe(acc, roles.ACCOUNT_FEATURES), mean=6, std=6, q25=9, q50=9, q75=9)
+    return rounded(profile.describe(acc, roles.ACCOUNT_FEATURES), mean=9, std=9, q25=9, q50=9, q75=9)
 
 
 @query(sql.with_([_ACCOUNTS], """SELECT 'discount' AS feature, round(AVG(discount), 9) AS mean, round(quantile_cont(discount, 0.5), 9) AS median, round(stddev_samp(discount), 9) AS std,

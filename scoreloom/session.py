@@ -32,13 +32,15 @@ def build_session(app_name: str = "scoreloom", master: str | None = None, **conf
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for checkpoints: the one the cluster names, or a temporary one where unset."""
+    """Shared folder for checkpoints: the one the cluster names, or, on a local master alone, a temporary one."""
     named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if named:
         return named.rstrip("/")
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError(f"{CHECKPOINT_DIR} must name a folder that the driver and all executors share")
     made = tempfile.mkdtemp(prefix="scoreloom-ckpt-")
     spark.sparkContext.setCheckpointDir(made)
     return made

@@ -200,3 +200,53 @@ def test_build_features_end_to_end(spark, sf_dir, tmp_path):
     assert df.count() == roles.application(spark, sf_dir).count()
     assert "FREQ_NAME_INCOME_TYPE" in cols and "PAYMENT_DISCIPLINE" in cols and "MISS_bureau_loan_count" in cols
     assert all(t in ("bigint", "int", "double") for _, t in df.dtypes) and "NAME_INCOME_TYPE" not in cols
+
+
+def test_all_column_pairs(spark):
+    import numpy as np
+    import pandas as pd
+
+    from scoreloom.operators import metrics, profile
+
+    rng = np.random.default_rng(4)
+    x = pd.DataFrame(rng.normal(1e6, 1, (200, 55)), columns=[f"c{i}" for i in range(55)])
+    x.iloc[:, 50] = x.iloc[:, 3] + 0.1 * x.iloc[:, 50]
+    df = spark.createDataFrame(x)
+    assert metrics.vif(df).count() == 55
+    want = x.corr()
+    got = profile.corr_pairs(df, list(x.columns)).toPandas()
+    assert len(got) == 55 * 54 // 2 and all(abs(want.loc[r.left_feature, r.right_feature] - r.corr) < 1e-9 for r in got.itertuples())
+    holes = x.mask(rng.random(x.shape) < 0.3).iloc[:, :35]
+    miss = profile.comissing_pairs(spark.createDataFrame(holes.astype(object).where(holes.notna(), None)), list(holes.columns)).toPandas()
+    assert len(miss) == 595
+    assert all((holes[r.left_feature].isna() & holes[r.right_feature].isna()).sum() == r.both_missing for r in miss.itertuples())
+
+
+def test_one_wide_column_leaves_the_others(spark, monkeypatch):
+    from scoreloom.operators import lookups
+
+    monkeypatch.setattr(lookups, "BROADCAST_ROWS", 10)
+    table = spark.createDataFrame([("wide", str(i), float(i)) for i in range(50)] + [("narrow", c, 1.0) for c in "ab"], "feature string, category string, v double")
+    look = lookups.CategoryLookup(table, "v")
+    assert look._expression("narrow") is not None and look._expression("wide") is None
+    df = spark.createDataFrame([("7", "a"), ("99", "z"), (None, None)], "wide string, narrow string")
+    out = look.attach(df, {"wide": "w", "narrow": "n"}, "-1.0D").collect()
+    assert {(r.w, r.n) for r in out} == {(7.0, 1.0), (-1.0, -1.0)}
+
+
+def test_missing_amounts_give_no_flag(spark):
+    from pyspark.sql import functions as F
+
+    from scoreloom.functions.scores import affordability_flags
+
+    df = spark.createDataFrame([(100.0, 10.0, None), (None, 10.0, 50.0)], "loan double, income double, goods double")
+    flags = affordability_flags(F.col("loan"), F.col("income"), F.lit(1.0), F.col("goods"))
+    rows = df.select(*[v.alias(k) for k, v in flags.items()]).collect()
+    assert rows[0].credit_to_goods_flag is None and rows[1].loan_to_income_flag is None and rows[0].loan_to_income_flag == "High"
+
+
+def test_drift_without_shared_columns(spark):
+    from scoreloom.operators import monitoring
+
+    a, b = spark.createDataFrame([(1.0,)], "a double"), spark.createDataFrame([(1.0,)], "b double")
+    assert monitoring.drift_table(a, b).count() == 0

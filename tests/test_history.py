@@ -82,3 +82,20 @@ def test_merge_renames_clashes_and_keeps_all_applicants(spark):
     out = history.merge_features(base, {"a": a, "b": b, "c": no_key}).orderBy("SK_ID_CURR").collect()
     assert out[0].asDict() == {"SK_ID_CURR": 1, "x": 5.0, "a_amount": 1.0, "a_x": 10.0, "b_amount": 2.0}
     assert out[1]["a_amount"] is None
+
+
+@pytest.mark.parametrize("loan", [lambda i: 1, lambda i: i])
+def test_deviation_far_from_zero(spark, loan):
+    """A spread of 1 around 1e7, within one loan and across three."""
+    rows = [(loan(i), -10 - i, -10, 1.0, 1e7 + i) for i in range(3)]
+    row = history.installment_history(spark.createDataFrame(rows, PAYMENTS), loans(spark, [(i, 7) for i in range(3)])).first()
+    assert row["std_payment_amount"] == pytest.approx(1.0, rel=1e-9)
+
+
+def test_balance_plan_reads_balances_once(spark):
+    balance = spark.createDataFrame([(1, -1, "0"), (1, -2, "3"), (2, -1, "C"), (2, None, "X")], "SK_ID_BUREAU long, MONTHS_BALANCE int, STATUS string")
+    bureau = spark.createDataFrame([(1, 9), (2, 9), (2, 9)], "SK_ID_BUREAU long, SK_ID_CURR long")
+    out = history.bureau_balance_history(balance, bureau)
+    row = out.first()
+    assert (row.bb_distinct_accounts, row.bb_months_covered, row.bb_total_records, row.bb_worst_dpd_bucket) == (2, 2, 6, 3)
+    assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()

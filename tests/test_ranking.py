@@ -149,3 +149,41 @@ def test_splits_are_stratified_and_stable(spark):
     assert [r["p"] for r in folds] == [20] * 5
     again = splits.stratified_split(df.repartition(7), "id", "y")
     assert parts.join(again, ["id", "is_test"]).count() == 1000
+
+
+def test_crowded_cells_are_split(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from scoreloom.operators import ranking
+
+    monkeypatch.setattr(ranking, "CELL_ROWS", 100)
+    secs = spark.range(5000).select((F.col("id") * 397 % 5000 + 1_700_000_000).alias("x"))
+    cells = ranking.with_cells(secs, [], "x")
+    assert cells.groupBy("_cell").count().agg(F.max("count")).first()[0] <= 110
+    ranks = ranking.cumulate(secs, [], "x", {"n": F.lit(1)})
+    assert ranks.where(F.col("n_before") != F.col("x") - 1_700_000_000).count() == 0 and ranks.count() == 5000
+    names = secs.select(F.format_string("Customer#%09d", F.col("x")).alias("x"))
+    assert ranking.with_cells(names, [], "x").select("_cell").distinct().count() > 20
+    r = ranking.cumulate(names, [], "x", {"n": F.lit(1)})
+    assert r.where("n_before != int(substr(x, 10)) - 1700000000").count() == 0
+    edges = ranking.exact_quantiles(secs, ["x"], [0.0, 0.5, 1.0]).first().edges
+    assert edges == [1_700_000_000.0, 1_700_002_499.5, 1_700_004_999.0]
+
+
+def test_nan_counts_as_null(spark):
+    from scoreloom.operators import ranking
+
+    df = spark.createDataFrame([(0.1, 0), (float("nan"), 1), (0.9, 1), (None, 0), (0.2, 0)], "s double, y int")
+    assert ranking.discrimination(df, "s", "y").first().auc == 1.0
+    assert ranking.exact_quantiles(df, ["s"], [0.5]).first().edges == [0.2]
+
+
+def test_ordered_split_by_time_and_text(spark):
+    from pyspark.sql import functions as F
+
+    from scoreloom.operators import splits
+
+    df = spark.range(100).select(F.col("id"), F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(id)").alias("t"), F.format_string("k%05d", F.col("id")).alias("s"))
+    df = df.withColumn("d", F.col("t").cast("date"))
+    for c in ("t", "s", "d"):
+        assert {r.id for r in splits.ordered_split(df, c).where("is_test = 1").collect()} == set(range(80, 100))
