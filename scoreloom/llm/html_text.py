@@ -43,10 +43,13 @@ IMPLIED = {
 MARKED = re.compile(
     r"(?:^|[\s_-])(?:ads?|adv|advert\w*|adsense|adslot|banner\w*|sponsor\w*|promo\w*|menu\w*|nav|navbar|navigation|breadcrumbs?|sidebar\w*|side|aside|widgets?"
     r"|footer\w*|foot|masthead|topbar|toolbar|header|site-header|page-header|cookie\w*|consent|gdpr|notice\w*|alert\w*|popup\w*|modal\w*|overlay|newsletter\w*|subscri\w*"
-    r"|signup|login|social\w*|share\w*|sharing|related\w*|recommend\w*|comments?|commentlist|comment-\w+|disqus\w*|replies|reply|respond|discussion|pagination|pager|copyright"
-    r"|legal|disclaimer|search\w*|skip-?link|sr-only|hidden|tags|tagcloud|trending|popular|most-read|outbrain|taboola)(?:$|[\s_-])", re.I,
+    r"|signup|login|social\w*|share\w*|sharing|related\w*|recommend\w*|comment\w*|disqus\w*|replies|reply|respond|discussion|pagination|pager|copyright"
+    r"|legal|disclaimer|adblock|adbox|adunit|adwrap\w*|search\w*|skip-?link|sr-only|hidden|tags|tagcloud|trending|popular|most-read|outbrain|taboola)(?:$|[\s_-])", re.I,
 )
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
+#: Marks of headers, which may hold a title inside a main part, and marks that an article of its own has.
+TITLE = re.compile(r"(?:^|[\s_-])(?:header|masthead)(?:$|[\s_-])", re.I)
+OTHER = re.compile(r"(?:^|[\s_-])(?:comment\w*|repl(?:y|ies)|related\w*|promo\w*|ads?|advert\w*|sponsor\w*|teaser\w*|recommend\w*)(?:$|[\s_-])", re.I)
 MAIN = frozenset("article main".split())
 WITH_MAIN = frozenset("h1 h2 h3 h4 h5 h6 hgroup header p br hr figure time".split())
 _TOKEN = re.compile(
@@ -81,17 +84,26 @@ def _skipped(tag: str, raw: str, parent: Node) -> bool:
     if tag in NOT_TEXT:
         return True
     if tag == "header":  # that of an article may hold its title
-        while parent and parent.tag not in MAIN:
-            parent = parent.parent
-        return parent is None
-    if not raw.strip() or tag in ("body", "html", "article", "main", "h1"):
+        return not _in_main(parent)
+    if not raw.strip() or tag in ("body", "html", "main", "h1"):
         return False
     at = _attributes(raw)
+    if tag == "article":
+        return any(OTHER.search(at[k]) for k in ("class", "id") if k in at)
     if "hidden" in at or at.get("aria-hidden", "").lower() == "true" or at.get("role", "").lower() in ROLES:
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", at.get("style", ""), re.I):
         return True
-    return any(MARKED.search(at[k]) for k in ("class", "id") if k in at)
+    marks = " ".join(at[k] for k in ("class", "id") if k in at)
+    if TITLE.search(marks) and _in_main(parent):
+        marks = TITLE.sub(" ", marks)
+    return bool(MARKED.search(marks))
+
+
+def _in_main(node: Node | None) -> bool:
+    while node and node.tag not in MAIN:
+        node = node.parent
+    return node is not None
 
 
 def tree(page: str) -> Node:

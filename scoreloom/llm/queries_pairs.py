@@ -18,6 +18,23 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+ORACLE_OP6 = """
+WITH d AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+  w AS MATERIALIZED (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS s FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM d)),
+  f AS MATERIALIZED (SELECT s, min((doc_id, i)) AS first FROM w GROUP BY s HAVING count(*) > 1),
+  dup AS MATERIALIZED (SELECT doc_id, i FROM w JOIN f USING (s) WHERE (doc_id, i) <> first),
+  runs AS MATERIALIZED (SELECT doc_id, min(i) AS b, max(i) + 100 AS e FROM (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS k
+    FROM (SELECT doc_id, i, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 1 ELSE 0 END AS fresh FROM dup)) GROUP BY doc_id, k),
+  gaps AS (SELECT doc_id, e AS a, coalesce(lead(b) OVER (PARTITION BY doc_id ORDER BY b), 1000000000) AS z FROM runs
+    UNION ALL SELECT doc_id, 0, min(b) FROM runs GROUP BY doc_id),
+  kept AS (SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (z - a)), '' ORDER BY a) AS k FROM gaps JOIN d USING (doc_id) GROUP BY doc_id),
+  removed AS (SELECT doc_id, sum(e - b) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
+"""
+
+
 SQL_COMPONENTS = r"""
   sw AS MATERIALIZED (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x20\x09-\x0D]+') AS w FROM {docs}),
@@ -40,4 +57,4 @@ def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op6_suffix_dedup": op6_suffix_dedup, "op8_jaccard_join": op8_jaccard_join, "op9_nearest_neighbours": op9_nearest_neighbours}
-ORACLES = {"op8_jaccard_join": ORACLE_OP8}
+ORACLES = {"op6_suffix_dedup": ORACLE_OP6, "op8_jaccard_join": ORACLE_OP8}

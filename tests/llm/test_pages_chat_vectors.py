@@ -24,6 +24,12 @@ def test_main_text(wrap):
     assert html_text.main_text(PAGE % (wrap % BODY)) == want
 
 
+def test_marked_parts():
+    page = PAGE % f'<article><div class="post-header"><h1>Head</h1></div>{BODY}<div class="user-comments">c</div></article><article class="comment">long comment {"words " * 50}</article>'
+    assert html_text.main_text(page) == "Head\n" + WANT
+    assert html_text.main_text(f'<body><div class="site-header">x</div><h1>T</h1><div id=c>{BODY}</div><ul class=pagination><li>1</ul></body>') == "T\n" + WANT
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "<!--", "<script>alert(1)", "<div class='", "</p></p>", "<a href=x>", "<nav>only menu</nav>", "&#x110000;&bogus;", "<![CDATA[x]]>"])
 def test_broken_pages(page):
     assert isinstance(html_text.main_text(page), str)
