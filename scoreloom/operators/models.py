@@ -89,6 +89,9 @@ class Scorecard:
         prob = F.lit(1.0) / (F.lit(1.0) + F.exp(-linear_logit(coefs, self.intercept)))
         return enc.withColumn(out, prob).drop(*coefs)
 
+    def inputs(self) -> list[str]:
+        return list(self.coefficients)
+
     def save(self, path: str) -> None:
         spark = self.woe.table.sparkSession
         self.woe.save(f"{path}/woe")
@@ -218,6 +221,9 @@ class TreeModel:
         scored = self.model.transform(va).withColumn(out, vector_to_array("probability")[1])
         return scored.drop("vec", "rawPrediction", "probability", "prediction")
 
+    def inputs(self) -> list[str]:
+        return list(self.features)
+
     def save(self, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/model")
         state = json.dumps({"features": self.features, "fill": self.fill, "flags": self.flags, "kind": type(self.model).__name__})
@@ -282,6 +288,21 @@ class Stacking:
         prob = F.lit(1.0) / (F.lit(1.0) + F.exp(-linear_logit(coefs, self.intercept)))
         return df.withColumn(out, prob).drop(*coefs)
 
+    def inputs(self) -> list[str]:
+        return sorted({f for b in self.bases.values() for f in b.features})
+
+    def save(self, path: str) -> None:
+        for name, base in self.bases.items():
+            base.save(f"{path}/{name}")
+        rows = [(n, float(c)) for n, c in self.coefficients.items()] + [("(intercept)", float(self.intercept))]
+        TreeModel.spark().createDataFrame(rows, "base string, coefficient double").write.mode("overwrite").parquet(f"{path}/coefficients")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "Stacking":
+        rows = {r["base"]: r["coefficient"] for r in spark.read.parquet(f"{path}/coefficients").collect()}
+        intercept = rows.pop("(intercept)")
+        return cls({n: TreeModel.load(spark, f"{path}/{n}") for n in rows}, rows, intercept)
+
 
 def train_stacking(
     df: DataFrame, estimators: dict, features: list[str], target: str, key: str, fold: str = "fold"

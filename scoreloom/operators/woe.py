@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scores import BASE_ODDS, BASE_SCORE, PDO, iv_label, scale
+from ..session import reliable
 from .binning import number, quantile_edges, right_closed_bin, right_closed_pick, sql_double
 from .encoding import category_counts
 from .lookups import CategoryLookup
@@ -79,7 +80,11 @@ def fit_categorical(df: DataFrame, features: list[str], target: str, r: float =
 
 
 class WoeModel:
-    """Fitted encoder: a WoE table plus the features it was asked to fit."""
+    """Fitted encoder: a WoE table plus the features it was asked to fit.
+
+    The table is finished when ``fit`` returns, so no later use reads the training data again: numeric bins are a
+    local table of features x bins rows, categories are written to the shared checkpoint folder.
+    """
 
     def __init__(self, table: DataFrame, features: list[str]):
         self.table = table
@@ -89,9 +94,10 @@ class WoeModel:
     def fit(cls, df: DataFrame, target: str, numeric=(), categorical=(), bins: int = 10, r: float = REGULARIZATION):
         parts = []
         if numeric:
-            parts.append(fit_numeric(df, list(numeric), target, bins, r))
+            made = fit_numeric(df, list(numeric), target, bins, r)
+            parts.append(df.sparkSession.createDataFrame(made.collect(), made.schema))
         if categorical:
-            parts.append(fit_categorical(df, list(categorical), target, r))
+            parts.append(reliable(fit_categorical(df, list(categorical), target, r)))
         table = parts[0]
         for p in parts[1:]:
             table = table.unionByName(p)
