@@ -151,7 +151,7 @@ def frequent_shingles(base: DataFrame, width: int = WIDTH, limit: int = FREQUENT
     """
 
     def run(batches):
-        for rows in chunks(batches, 3_000_000):
+        for rows in chunks(batches, 2_000_000):
             found, n = np.unique(np.concatenate(shingle_sets([r[1] for r in rows], width)), return_counts=True)
             keep = n >= in_task
             yield pa.RecordBatch.from_arrays([pa.array(found[keep].view(np.int64)), pa.array(n[keep].astype(np.int64))], ["s", "n"])
@@ -263,7 +263,7 @@ def verified(pairs: DataFrame, base: DataFrame, percent: int = PERCENT, width: i
     right = base.join(few(hubs), base.key == hubs.a).select("a", F.col("text").alias("ta"))
 
     def run(batches):
-        for rows in chunks((b.select(["b", "tb", "a", "ta"]) for b in batches), 2_000_000):
+        for rows in chunks((b.select(["b", "tb", "a", "ta"]) for b in batches), 500_000):
             x, y = shingle_sets([r[1] for r in rows], width), shingle_sets([r[3] for r in rows], width)
             both = [len(np.intersect1d(p, q, assume_unique=True)) for p, q in zip(x, y, strict=True)]
             ok = [100 * o >= percent * (len(p) + len(q) - o) and o > 0 for o, p, q in zip(both, x, y, strict=True)]
@@ -302,7 +302,7 @@ def similar(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> Data
     frequent = base.sparkSession.sparkContext.broadcast(frequent_shingles(base, width))
 
     def rows(batches):
-        yield from _set_rows(frequent.value, percent, width, 2_000_000)(batches)
+        yield from _set_rows(frequent.value, percent, width, 1_000_000)(batches)
 
     sets = stored(base.mapInArrow(rows, "key long, n int, h1 long, h2 long, sigs array<long>, " + ", ".join(f"{c} long" for c in SKETCH)), "sets")
     same = ["n", "h1", "h2"]

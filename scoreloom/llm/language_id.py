@@ -30,11 +30,10 @@ _TABLES: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 def _unicode() -> tuple[np.ndarray, np.ndarray]:
     """Per code point: whether it is a letter, and its lower-case code point where that is a single one."""
     if not _TABLES:
-        points = [chr(i) for i in range(0x110000)]
-        letter = np.fromiter((c.isalpha() for c in points), bool, 0x110000)
+        letter = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
         lower = np.arange(0x110000, dtype=np.uint32)
         for i in np.flatnonzero(letter):
-            small = points[i].lower()
+            small = chr(i).lower()
             if len(small) == 1:
                 lower[i] = ord(small)
         _TABLES["u"] = letter, lower
@@ -220,7 +219,7 @@ def fit(labelled: DataFrame, chars: int = 24_000, documents: int = 60) -> Model:
     return build(sample(docs, [(r[0], r[1]) for r in counts], chars, documents) if counts else {})
 
 
-def identify(docs: DataFrame, model: Model, most_chars: int = 2_000_000) -> DataFrame:
+def identify(docs: DataFrame, model: Model, most_chars: int = 1_000_000) -> DataFrame:
     """`docs` with lang_pred and score (0 to 1), which replace input columns of these names.
 
     NULL texts, texts without a letter, and any text when no language was learned give `und` with score 0. Ties go

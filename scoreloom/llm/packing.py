@@ -136,25 +136,29 @@ def encoder(json_path: str, rank_path: str | None):
     """
     if (json_path, rank_path) not in _ENCODERS:
         import base64
+        import json
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        slow = Tokenizer.from_file(json_path)
-        added = [t.content for t in slow.get_added_tokens_decoder().values()]
+        with open(json_path, encoding="utf-8") as f:
+            added = [t["content"] for t in json.load(f)["added_tokens"]]
+        slow: list = []  # loaded when a text needs it
+        fast = None
         if rank_path:
             import public_tokenizers
             import tiktoken
 
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(rank_path, "rb"))}
+            with open(rank_path, "rb") as f:
+                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        else:
-            fast = None
 
         def encode(text: str) -> list[int]:
             if fast is None or any(t in text for t in added):
-                return slow.encode(text, add_special_tokens=False).ids
+                if not slow:
+                    from tokenizers import Tokenizer
+
+                    slow.append(Tokenizer.from_file(json_path))
+                return slow[0].encode(text, add_special_tokens=False).ids
             return fast(text)
 
         _ENCODERS[json_path, rank_path] = encode

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from scoreloom.llm.common import _BYTE, _powers, mixed, row_key, rows_of, stored
 
 LENGTH, GRAM = 100, 32
-PART = 2_000_000  # bytes that a task handles at once
+PART = 1_000_000  # bytes that a task handles at once
 HOT = 2_000  # identifiers of a bucket up to which its runs are compared byte by byte in one group
 MARKED = 255  # number of windows that marks a row as an interval; a run has fewer
 REPEATED, BY_RUN, BY_WINDOW = 0, 1, 2
