@@ -133,6 +133,11 @@ def class_balance(df: DataFrame, target: str) -> DataFrame:
     return row.select(F.explode(per).alias("r")).select("r.*")
 
 
+def top(df: DataFrame, by: str, k: int, name: str = "feature") -> DataFrame:
+    """The ``k`` rows of the largest ``by``, ties by name: ranked missing rates, information values, VIF, segments, coefficients."""
+    return df.where(F.col(by).isNotNull()).orderBy(F.desc(by), name).limit(k)
+
+
 def corr_target(df: DataFrame, features: list[str], target: str) -> DataFrame:
     """Pearson correlation with the target over pairwise complete rows, all features in one aggregate."""
     y = F.col(target).cast("double")

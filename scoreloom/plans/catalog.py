@@ -359,8 +359,14 @@ def iv_label_counts(spark, sf_dir):
 
 @query(sql.with_([*_WOE_CTES, _CAT_WOE], f"SELECT feature FROM ({_IV}) WHERE iv >= 0.00005"))
 def iv_select(spark, sf_dir):
-    kept = _full_woe(spark, sf_dir).iv_summary().where(F.col("iv") >= 0.00005)
-    return kept.select("feature")
+    # The outcome of the test tables is independent of every feature, hence the low floor.
+    kept = _full_woe(spark, sf_dir).select_by_iv(0.00005)
+    return spark.createDataFrame([(f,) for f in kept], "feature string")
+
+
+@query(sql.with_([*_WOE_CTES, _CAT_WOE], f"SELECT feature, round(iv, 9) AS iv FROM ({_IV}) ORDER BY iv DESC, feature LIMIT 3"))
+def top_iv(spark, sf_dir):
+    return profile.top(rounded(_full_woe(spark, sf_dir).iv_summary(), iv=9), "iv", 3).select("feature", "iv")
 
 
 _COEFS = {"price": 0.5, "quantity": -0.3, "discount": 0.2, "tax": 0.1}
@@ -725,6 +731,45 @@ def missing_summary(spark, sf_dir):
     return profile.missing_summary(roles.application(spark, sf_dir), _APP_COLS)
 
 
+@query(sql.with_([sql.APPLICATION], f"SELECT feature, missing_rate FROM ({_MISSING}) WHERE missing > 0 ORDER BY missing_rate DESC, feature LIMIT 3"))
+def top_missing(spark, sf_dir):
+    return profile.top(profile.missing_rate(roles.application(spark, sf_dir), _APP_COLS), "missing_rate", 3).select("feature", "missing_rate")
+
+
+@query(sql.with_([sql.APPLICATION], "SELECT SK_ID_CURR, TARGET, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in roles.APPLICANT_NUMERIC) + " FROM application"))
+def numeric_only(spark, sf_dir):
+    app = roles.application(spark, sf_dir).select("SK_ID_CURR", "TARGET", *roles.APPLICANT_NUMERIC, *roles.APPLICANT_TEXT)
+    return features.numeric_only(app)
+
+
+_KIND_COLS = [*roles.APPLICANT_NUMERIC, *roles.APPLICANT_TEXT]
+
+
+@query(sql.with_([sql.APPLICATION], f"SELECT {len(_KIND_COLS) + 1} AS \"columns\", {len(roles.APPLICANT_NUMERIC)} AS numeric, 1 AS missing_flags, 0 AS target_encoded, 2 AS derived, "
+                 + " + ".join(f"COUNT(*) - COUNT({c})" for c in _KIND_COLS) + " AS null_cells FROM application"))
+def feature_kinds(spark, sf_dir):
+    app = roles.application(spark, sf_dir).select(*_KIND_COLS)
+    flagged = app.withColumn("MISS_EXT_SOURCE_1", F.col("EXT_SOURCE_1").isNull())
+    return profile.feature_kinds(flagged, ["AMT_CREDIT", "DAYS_BIRTH", "absent"])
+
+
+_BANDS = """aged AS (SELECT TARGET, CODE_GENDER, NAME_EDUCATION_TYPE, CAST(trunc(-DAYS_BIRTH / 365.25::DOUBLE) AS INTEGER) AS years, -DAYS_BIRTH / 365.25::DOUBLE AS age FROM application),
+banded AS (SELECT *, CASE WHEN years > 18 AND years <= 30 THEN '18-30' WHEN years > 30 AND years <= 40 THEN '31-40' WHEN years > 40 AND years <= 50 THEN '41-50'
+    WHEN years > 50 AND years <= 60 THEN '51-60' WHEN years > 60 AND years <= 100 THEN '60+' END AS REPORT_BAND,
+  CASE WHEN age > 18 AND age <= 30 THEN '18-30' WHEN age > 30 AND age <= 45 THEN '31-45' WHEN age > 45 AND age <= 60 THEN '46-60' WHEN age > 60 AND age <= 100 THEN '60+' END AS AUDIT_BAND FROM aged)"""
+_BAND_COLS = ["REPORT_BAND", "AUDIT_BAND", "CODE_GENDER", "NAME_EDUCATION_TYPE"]
+
+
+@query(sql.with_([sql.APPLICATION, _BANDS], " UNION ALL ".join(
+    f"SELECT '{c}' AS segment, {c} AS segment_value, COUNT(TARGET) AS n, COUNT(*) FILTER (WHERE TARGET = 1) AS defaults,"
+    f" CAST(COUNT(*) FILTER (WHERE TARGET = 1) AS DOUBLE) / COUNT(TARGET) AS default_rate FROM banded WHERE {c} IS NOT NULL GROUP BY {c}" for c in _BAND_COLS)))
+def age_report(spark, sf_dir):
+    app = roles.application(spark, sf_dir).select("TARGET", "DAYS_BIRTH", "CODE_GENDER", "NAME_EDUCATION_TYPE")
+    app = fairness.with_age_band(app, fairness.REPORT_AGES, whole_years=True, out="REPORT_BAND")
+    app = fairness.with_age_band(app, fairness.AUDIT_AGES, out="AUDIT_BAND")
+    return profile.segment_default_rate(app, _BAND_COLS, "TARGET")
+
+
 _HOLES = ["AMT_GOODS_PRICE", "CNT_FAM_MEMBERS", "DAYS_LAST_PHONE_CHANGE", "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3"]
 
 
@@ -1125,6 +1170,16 @@ def stream_score(spark, sf_dir):
     return spark.read.schema(scored.schema).parquet(f"{out}/rows")
 
 
+@query(ORACLES["rejected_reasons"])
+def stream_rejected(spark, sf_dir):
+    requests = roles.requests_of(_stream(spark, sf_dir, "orders"))
+    bad = stream_score_ops.rejected_requests(requests, ["request_id"]).select("request_id", "violations")
+    out = fresh_checkpoint_path(spark, "stream-rejected")
+    stream_score_ops.start_file_sink(bad, f"{out}/rows", f"{out}/state").awaitTermination()
+    rows = spark.read.schema(bad.schema).parquet(f"{out}/rows")
+    return rows.select(F.explode("violations").alias("violation")).groupBy("violation").agg(F.count(F.lit(1)).alias("n"))
+
+
 _WEEKS = """edges AS (SELECT MIN(value) AS lo, MAX(value) AS hi FROM events),
 binned AS (SELECT CAST(floor(epoch(ts) / 604800) AS BIGINT) AS week, STEPS AS bin FROM events, edges),
 base AS (SELECT bin, COUNT(*) AS e FROM binned GROUP BY bin),
@@ -1141,11 +1196,8 @@ def stream_psi(spark, sf_dir):
     base = roles.table(spark, sf_dir, "events").select("ts", "value")
     lo, hi = stream_psi_ops.baseline_range(base, "value")
     counts = stream_psi_ops.windowed_counts(_stream(spark, sf_dir, "events").select("ts", "value"), "ts", "value", lo, hi)
-    name = "psi_" + fresh_checkpoint_path(spark, "x").rsplit("-", 1)[-1]
-    # Complete mode keeps one row per window and bin, also for windows still open.
-    counts.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).option(
-        "checkpointLocation", fresh_checkpoint_path(spark, "stream-psi")
-    ).start().awaitTermination()
-    out = stream_psi_ops.psi_by_window(spark.table(name), stream_psi_ops.bin_counts(base, "value", lo, hi, 10))
+    out = fresh_checkpoint_path(spark, "stream-psi")
+    stream_psi_ops.start_counts_sink(counts, f"{out}/rows", f"{out}/state").awaitTermination()
+    out = stream_psi_ops.psi_by_window(stream_psi_ops.stored_counts(spark, f"{out}/rows"), stream_psi_ops.bin_counts(base, "value", lo, hi, 10))
     week = F.floor(F.unix_timestamp("window_start") / 604800).cast("long")
     return out.select(week.alias("week"), "n_expected", "n_actual", "psi", "status")

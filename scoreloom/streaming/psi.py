@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scores import psi_status
@@ -31,6 +31,26 @@ def windowed_counts(
     )
 
 
+def start_counts_sink(counts: DataFrame, path: str, checkpoint: str, available_now: bool = True):
+    """Store the windows and bins that each batch changes (update mode), under the number of the batch.
+
+    A batch that is run again after a failure overwrites its own folder, so counts are exact. State of a window is
+    dropped when the watermark passes it.
+    """
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    writer = counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(put)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def stored_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The latest count of every window and bin."""
+    rows = spark.read.schema("window_start timestamp, bin int, n long, batch long").parquet(path)
+    return rows.groupBy("window_start", "bin").agg(F.max_by("n", "batch").alias("n"))
+
+
 def psi_by_window(counts: DataFrame, baseline_counts: DataFrame, bins: int = 10) -> DataFrame:
     """PSI of every window against the baseline. Both inputs hold at most one row per bin (and window)."""
     base = baseline_counts.select(F.col("bin").alias("_b"), F.col("n").alias("_e"))
