@@ -1090,7 +1090,7 @@ def _training(spark, sf_dir):
     return reliable(splits.stratified_folds(app, "SK_ID_CURR", "TARGET"))
 
 
-def _scorecard(spark, sf_dir, df=None, c_grid=(0.01, 1.0)):
+def _scorecard(spark, sf_dir, df=None, c_grid=models.C_GRID):
     df = _training(spark, sf_dir) if df is None else df
     return models.train_scorecard(df, _MODEL_FEATURES, "TARGET", "SK_ID_CURR", c_grid=c_grid, iv_floor=0.0)
 
@@ -1102,25 +1102,25 @@ def scorecard_cv(spark, sf_dir):
 
 @query()
 def scorecard_fit(spark, sf_dir):
-    card = _scorecard(spark, sf_dir, c_grid=(0.1,))
+    card = _scorecard(spark, sf_dir)
     return woe.scorecard_points(card.woe.table, card.coefficients, card.intercept)
 
 
 @query()
 def gbt_cv(spark, sf_dir):
     df = _training(spark, sf_dir)
-    oof = models.out_of_fold(df, {"boosted": models.boosted(max_iter=5, max_depth=3)}, _MODEL_FEATURES, "TARGET", "SK_ID_CURR")
+    oof = models.out_of_fold(df, {"boosted": models.boosted()}, _MODEL_FEATURES, "TARGET", "SK_ID_CURR")
     return models.fold_metrics(oof, "TARGET")
 
 
 @query()
 def grid_search(spark, sf_dir):
     df = _training(spark, sf_dir)
-    return models.grid_search(df, _MODEL_FEATURES, "TARGET", "SK_ID_CURR", depths=(2, 3), steps=(0.1,), max_iter=3)
+    return models.grid_search(df, _MODEL_FEATURES, "TARGET", "SK_ID_CURR")
 
 
 def _bases():
-    return {"boosted": models.boosted(max_iter=5, max_depth=3), "forest": models.forest(trees=10, max_depth=4)}
+    return {"boosted": models.boosted(), "forest": models.forest()}
 
 
 @query()
@@ -1132,8 +1132,8 @@ def _holdout(spark, sf_dir):
     """Models fitted without the last fold, judged on it."""
     df = _training(spark, sf_dir)
     train, test = df.where(F.col("fold") < 4), df.where(F.col("fold") == 4)
-    card = _scorecard(spark, sf_dir, train, c_grid=(0.1,))
-    tree = models.fit_tree(train, models.boosted(max_iter=5, max_depth=3), _MODEL_FEATURES, "TARGET", "SK_ID_CURR")
+    card = _scorecard(spark, sf_dir, train)
+    tree = models.fit_tree(train, models.boosted(), _MODEL_FEATURES, "TARGET", "SK_ID_CURR")
     scored = tree.predict(card.predict(test, "p_scorecard"), "p_boosted")
     return card, metrics.compare_models(scored, {"scorecard": "p_scorecard", "boosted": "p_boosted"}, "TARGET")
 
