@@ -96,10 +96,6 @@ def gap_status(gap: Column) -> Column:
     return step_label(gap, GAP_CUTS, GAP_LABELS)
 
 
-def overfit_status(gap: Column) -> Column:
-    return F.when(F.abs(gap) < 0.08, "OK").otherwise("Check")
-
-
 def affordability_flags(loan: Column, income: Column, annuity: Column, goods: Column) -> dict[str, Column]:
     """Ratios of the request and their warning labels; a missing amount gives neither."""
     at_least_one = lambda x: F.when(x.isNotNull(), F.greatest(x, F.lit(1.0)))  # noqa: E731  greatest() skips NULLs

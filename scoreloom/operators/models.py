@@ -35,10 +35,6 @@ def fold_metrics(oof: DataFrame, target: str, score: str = PROB) -> DataFrame:
     return discrimination(oof, score, target, ["model", "fold"])
 
 
-def mean_metrics(per_fold: DataFrame) -> DataFrame:
-    return per_fold.groupBy("model").agg(*[F.avg(m).alias(m) for m in ("auc", "gini", "ks")])
-
-
 def _scaler(df: DataFrame, features: list[str]) -> tuple[dict[str, float], dict[str, float]]:
     """Mean and population standard deviation of every feature from one aggregate; a flat feature scales by 1."""
     row = df.agg(*[

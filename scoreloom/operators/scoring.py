@@ -220,7 +220,7 @@ def batch_summary(scored: DataFrame) -> DataFrame:
     )
 
 
-def reason_codes(df: DataFrame, coefficients: dict[str, float], means: dict[str, float], n: int = 3) -> Column:
+def reason_codes(coefficients: dict[str, float], means: dict[str, float], n: int = 3) -> Column:
     """Top ``n`` signed contributions coef * (x - mean) of each row with their direction.
 
     Equal magnitudes are ordered by feature name; a NULL input contributes nothing.

@@ -1009,7 +1009,7 @@ _CONTRIB = ", ".join(f"{{'o': -abs(({c!r})::DOUBLE * ({k} - {LINEAR_MEANS[k]!r}:
 @query(sql.with_([_VALID, _FEAT], f"""SELECT request_id, CAST(i AS INTEGER) AS rank, t[i].feature AS feature, round(t[i].v, 4) AS value, CASE WHEN t[i].v > 0 THEN 'increases risk' ELSE 'decreases risk' END AS direction
 FROM (SELECT request_id, list_sort([{_CONTRIB}]) AS t FROM feat), range(1, 4) r(i)"""))
 def reason_codes(spark, sf_dir):
-    codes = scoring.reason_codes(_request_frame(spark, sf_dir), LINEAR, LINEAR_MEANS, 3)
+    codes = scoring.reason_codes(LINEAR, LINEAR_MEANS, 3)
     frame = _request_frame(spark, sf_dir)
     return frame.select("request_id", F.posexplode(codes).alias("pos", "r")).select(
         "request_id", (F.col("pos") + 1).alias("rank"), "r.feature", "r.value", "r.direction"

@@ -159,7 +159,7 @@ def test_absent_required_column_is_a_violation(spark):
 
 def test_reason_codes_order_and_direction(spark):
     df = spark.createDataFrame([(1.0, 5.0, None)], "a double, b double, c double")
-    codes = df.select(scoring.reason_codes(df, {"a": 1.0, "b": -1.0, "c": 9.0}, {"a": 0.0, "b": 0.0, "c": 0.0}, 2)).first()[0]
+    codes = df.select(scoring.reason_codes({"a": 1.0, "b": -1.0, "c": 9.0}, {"a": 0.0, "b": 0.0, "c": 0.0}, 2)).first()[0]
     assert [(c["feature"], c["value"], c["direction"]) for c in codes] == [("b", -5.0, "decreases risk"), ("a", 1.0, "increases risk")]
 
 
