@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
+from scoreloom.llm.common import sliced
+
 ROLES = ("system", "user", "assistant")
 STATES = [(r, begins) for r in ROLES for begins in (True, False)]
 SAMPLE = 2_000
@@ -168,7 +170,7 @@ def parse(transcripts: DataFrame, model: Model) -> DataFrame:
     kinds = [pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())])), pa.list_(pa.string()), pa.string(), pa.float64()]
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
             for text in batch.column(where).to_pylist():
                 lines = (text or "").split("\n")

@@ -82,11 +82,17 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _CACHE["p"][:n], _CACHE["i"][:n]
 
 
-def rows_of(batches, at_once: int = 256):
-    """Rows of Arrow batches as tuples, turned into Python values a few at a time."""
+def sliced(batches, at_once: int = 256):
+    """Arrow batches cut into small ones, so that a task holds few rows as Python values."""
     for batch in batches:
         for i in range(0, batch.num_rows, at_once):
-            yield from zip(*(c.to_pylist() for c in batch.slice(i, at_once).columns), strict=True)
+            yield batch.slice(i, at_once)
+
+
+def rows_of(batches):
+    """Rows of Arrow batches as tuples."""
+    for batch in sliced(batches):
+        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
 
 
 def chunks(batches, most_bytes: int):

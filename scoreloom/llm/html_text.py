@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from scoreloom.llm.common import sliced
+
 # Element names and their roles in HTML.
 VOID = frozenset("area base basefont bgsound br col embed frame hr img input keygen link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template svg math object select canvas audio video".split())
@@ -260,7 +262,7 @@ def extract(pages: DataFrame) -> DataFrame:
     schema = StructType([*[pages.schema[c] for c in kept], StructField("text", StringType()), StructField("n_chars", LongType())])
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [main_text(p) for p in batch.column(len(kept)).to_pylist()]
             made = [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], [*kept, "text", "n_chars"])

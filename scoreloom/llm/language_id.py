@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from scoreloom.llm.common import sliced
+
 BLOCK = 256
 UNDETERMINED = "und"
 EVIDENCE = 50  # characters at most that the posterior counts as independent
@@ -234,7 +236,7 @@ def identify(docs: DataFrame, model: Model, most_chars: int = 1_000_000) -> Data
 
     def run(batches):
         parser = None
-        for batch in batches:
+        for batch in sliced(batches, 1024):
             texts = batch.column(at).to_pylist()
             if parser is None:
                 parser = Parser(shared.value)

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from scoreloom.llm.common import rows_of
+
 POOL = 4096  # items that a task holds at once
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long, loss_tokens long, sequence_id long, offset long"
 
@@ -201,10 +203,9 @@ def pack_documents(
                 yield (doc, item.start, len(item.ids), zlib.crc32(item.ids), n, item.demand()[2], base + number, offset, *extra)
 
         def placed():
-            for batch in batches:
-                for doc, text, *free in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    ids = np.concatenate([np.array(encode(text or ""), "<u4"), tail])
-                    yield from rows(packer.add(doc, ids, max(0, free[0] or 0) if free else 0))
+            for doc, text, *free in rows_of(batches):
+                ids = np.concatenate([np.array(encode(text or ""), "<u4"), tail])
+                yield from rows(packer.add(doc, ids, max(0, free[0] or 0) if free else 0))
             yield from rows(packer.finish())
 
         out = []

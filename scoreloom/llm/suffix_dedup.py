@@ -23,14 +23,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from scoreloom.llm.common import _BYTE, _powers, mixed, row_key, rows_of, stored
+from scoreloom.llm.common import _BYTE, _powers, mixed, row_key, rows_of, sliced, stored
 
 LENGTH, GRAM = 100, 32
 PART = 1_000_000  # bytes that a task handles at once
 HOT = 2_000  # identifiers of a bucket up to which its runs are compared byte by byte in one group
 MARKED = 255  # number of windows that marks a row as an interval; a run has fewer
 REPEATED, BY_RUN, BY_WINDOW = 0, 1, 2
+RESULTS = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
 RUNS = "bucket long, ident long, key long, pos long"
 MARKS = "key long, kind byte, id long, begin long, upto long"
 PIECES = "id long, ident long, key long, pos long, piece binary"
@@ -251,7 +253,7 @@ def _cut_pieces(length: int):
                     np.r_[start[first] << 8 | 1, begin << 8 | MARKED], none,
                 )
 
-        for key, text, found in rows_of(batches):
+        for key, text, found in rows_of(b.select([0, 1, 2]) for b in batches):
             raw = text.encode("utf-8", "surrogatepass")
             for m in found:
                 begin, upto = m["begin"], m["upto"]
@@ -316,30 +318,29 @@ def _refine_pieces(length: int):
     return run
 
 
-def _cut_text():
-    """Per document: bytes, removed bytes, spans, digest of what is kept, and the kept text."""
+def _cut_text(names: list[str]):
+    """Per document: its own columns, bytes, removed bytes, spans, digest of what is kept, and the kept text."""
+
+    def cut(text, found):
+        raw = (text or "").encode("utf-8", "surrogatepass")
+        kept, spans, at = [], [], 0
+        for m in sorted((f["begin"], f["upto"]) for f in found or ()):
+            if spans and m[0] <= spans[-1][1]:
+                spans[-1][1] = max(spans[-1][1], m[1])
+            else:
+                spans.append([*m])
+        for begin, upto in spans:
+            kept.append(raw[at:begin])
+            at = upto
+        left = b"".join([*kept, raw[at:]])
+        return len(raw), len(raw) - len(left), len(spans), hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore")
 
     def run(batches):
-        for batch in batches:
-            out = []
-            for key, text, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                raw = (text or "").encode("utf-8", "surrogatepass")
-                kept, spans, at = [], [], 0
-                for m in sorted((f["begin"], f["upto"]) for f in found or ()):
-                    if spans and m[0] <= spans[-1][1]:
-                        spans[-1][1] = max(spans[-1][1], m[1])
-                    else:
-                        spans.append([*m])
-                for begin, upto in spans:
-                    kept.append(raw[at:begin])
-                    at = upto
-                left = b"".join([*kept, raw[at:]])
-                out.append((key, len(raw), len(raw) - len(left), len(spans), hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore")))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int64()] * 4 + [pa.string()] * 2, strict=True)],
-                    ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
-                )
+        kinds = [*[pa.int64()] * 3, pa.string(), pa.string()]
+        for batch in sliced(batches):
+            out = [cut(*r) for r in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            made = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[3:], *made], names)
 
     return run
 
@@ -352,12 +353,12 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     NULL texts are empty. Rows that repeat an id and a text are one document and get the same result; different
     texts under one id are different documents, in the order of the texts; NULL ids come last.
     """
-    docs = docs.drop("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "_key")
+    docs = docs.drop(*RESULTS, "_key", "_found")
     keyed, unique = row_key(docs)
-    if unique and set(docs.columns) == {"doc_id", "text"}:
-        return _removed(keyed, length, gram).withColumnRenamed("key", "doc_id").withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
-    base = keyed.select("_key", "text")
-    cut = _removed(base if unique else base.distinct(), length, gram).withColumnRenamed("key", "_of")
+    if unique:
+        return _removed(keyed, docs, length, gram)
+    distinct = keyed.select("_key", "text").distinct()
+    cut = _removed(distinct, distinct.select("_key"), length, gram).withColumnRenamed("_key", "_of")
     return keyed.join(cut, keyed._key == cut._of, "left").drop("_key", "_of")
 
 
@@ -367,16 +368,21 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     return cut.withColumn("text", F.when(F.col("text").isNotNull(), F.col("kept"))).select(*docs.columns)
 
 
-def _removed(base: DataFrame, length: int, gram: int) -> DataFrame:
-    base = base.select(F.col("_key").alias("key"), "text").where("key IS NOT NULL")
-    found = base.mapInArrow(_find_runs(length, gram), RUNS)
+def _removed(keyed: DataFrame, carried: DataFrame, length: int, gram: int) -> DataFrame:
+    """The columns of `carried` with the results, one row per key.
+
+    Both joins deal out the same columns of the documents by key, so Spark shuffles the texts once for the two.
+    """
+    base = keyed.where("_key IS NOT NULL")
+    own = [F.col("_key").alias("_k"), F.col("text").alias("_t"), "_found", *[F.col(f"`{c}`") for c in carried.columns]]
+    found = base.select("_key", "text").mapInArrow(_find_runs(length, gram), RUNS)
     found = found.repartition("bucket").sortWithinPartitions("bucket", "ident", "key", "pos")
     marks = stored(found.mapInArrow(_refine_runs(length), MARKS), "marks")
-    opened = marks.where(f"kind <> {REPEATED}").groupBy("key").agg(F.collect_list(F.struct("kind", "id", "begin", "upto")).alias("found"))
-    pieces = base.join(opened, "key").select("key", "text", "found").mapInArrow(_cut_pieces(length), PIECES)
+    opened = marks.where(f"kind <> {REPEATED}").groupBy(F.col("key").alias("_key")).agg(F.collect_list(F.struct("kind", "id", "begin", "upto")).alias("_found"))
+    pieces = base.join(opened, "_key").select(*own).mapInArrow(_cut_pieces(length), PIECES)
     pieces = pieces.repartition("id", "ident").sortWithinPartitions("id", "ident", "key", "pos")
     more = pieces.mapInArrow(_refine_pieces(length), MARKS)
-    all_marks = marks.where(f"kind = {REPEATED}").union(more).groupBy("key").agg(F.collect_list(F.struct("begin", "upto")).alias("found"))
-    return base.join(all_marks, "key", "left").select("key", "text", "found").mapInArrow(
-        _cut_text(), "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
-    )
+    all_marks = marks.where(f"kind = {REPEATED}").union(more).groupBy(F.col("key").alias("_key")).agg(F.collect_list(F.struct("begin", "upto")).alias("_found"))
+    made = [StructField(c, StringType() if c in ("kept_sha256", "kept") else LongType()) for c in RESULTS]
+    schema = StructType([*carried.schema.fields, *made])
+    return base.join(all_marks, "_key", "left").select(*own).mapInArrow(_cut_text(schema.names), schema)

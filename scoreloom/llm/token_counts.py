@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
+from scoreloom.llm.common import sliced
+
 LEAF = 32  # pre-tokens of a leaf
 CACHE = 500_000  # pre-tokens whose counts a task remembers
 Edit = tuple[int, int, str]  # characters [start, end) become a text
@@ -171,7 +173,7 @@ def build_trees(docs: DataFrame, rank_path: str) -> DataFrame:
 
     def run(batches):
         c = counter(rank_path)
-        for batch in batches:
+        for batch in sliced(batches):
             made = [leaves(t or "", c) for t in batch.column(at).to_pylist()]
             kind = pa.list_(pa.int32())
             new = [pa.array([m[0] for m in made], kind), pa.array([m[1] for m in made], kind), pa.array([sum(m[1]) for m in made], pa.int64())]
@@ -196,7 +198,7 @@ def recount(trees: DataFrame, rank_path: str, find: Callable[[str], Iterable[Edi
 
     def run(batches):
         c = counter(rank_path)
-        for batch in batches:
+        for batch in sliced(batches):
             column = {n: batch.column(i) for i, n in enumerate(names)}
             texts, chars, tokens = (column[n].to_pylist() for n in ("text", "leaf_chars", "leaf_tokens"))
             given = column["edits"].to_pylist() if find is None else [find(t) if t else () for t in texts]
