@@ -6,9 +6,11 @@ LC and LT. Its composite density is
     C / T * log(C * T / (LC * LT)) / log(log(1 + C * LC / (C - LC) + C of the page * LC / the page's C + e))
 
 so text in few tags weighs much and text in links little. The density sum of a node adds up the densities of its
-children. The threshold is the smallest density on the path from the body to the densest node; of the nodes on that
-path that reach it, the one with the largest density sum anywhere below holds the main text. Parts that are marked as
-something else (menus, forms, comments, adverts) hold no main text and are left out of the tree's sums.
+children and, for text of its own, that share of its own density. The threshold is the smallest density on the path
+from the body to the node of the largest sum. From the top down, each node that reaches it marks the node of the
+largest sum anywhere below as main text, so a text in several places is found in all of them. Parts that are marked as
+something else (menus, forms, comments, adverts) hold no main text and are left out of the tree's sums. Where `article`
+and `main` hold half of the text, the selection is made among them and the sections beside them, by the same threshold.
 """
 
 from __future__ import annotations
@@ -53,6 +55,9 @@ ROLES = frozenset("navigation banner contentinfo complementary search dialog ale
 TITLE = re.compile(r"(?:^|[\s_-])(?:header|masthead)(?:$|[\s_-])", re.I)
 OTHER = re.compile(r"(?:^|[\s_-])(?:comment\w*|repl(?:y|ies)|related\w*|promo\w*|ads?|advert\w*|sponsor\w*|teaser\w*|recommend\w*)(?:$|[\s_-])", re.I)
 MAIN = frozenset("article main".split())
+PARTS = frozenset("article main section".split())
+PEER = 0.5  # density of a part beside a part of its kind that leads to the densest node, relative to that part's
+HEADING = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
 WITH_MAIN = frozenset("h1 h2 h3 h4 h5 h6 hgroup header p br hr figure time".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S,
@@ -64,7 +69,7 @@ _SPACE = re.compile(r"[\s\xa0]+")
 class Node:
     """An element; parts are texts and child elements in page order."""
 
-    __slots__ = ("tag", "parts", "skip", "link", "chars", "tags", "link_chars", "link_tags", "density", "total", "parent")
+    __slots__ = ("tag", "parts", "skip", "link", "chars", "tags", "link_chars", "link_tags", "density", "total", "peak", "parent")
 
     def __init__(self, tag: str, parent: Node | None, skip: bool):
         self.tag, self.parent, self.skip = tag, parent, skip
@@ -72,6 +77,7 @@ class Node:
         self.parts: list = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
+        self.peak = self  # node of the largest density sum of the subtree
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -175,6 +181,7 @@ def _walk(root: Node) -> list[Node]:
 
 def _measure(nodes: list[Node]) -> None:
     """Counts, densities and density sums, children first."""
+    own: dict[Node, int] = {}
     for n in reversed(nodes):
         for c in n.parts:
             if isinstance(c, str):
@@ -184,6 +191,7 @@ def _measure(nodes: list[Node]) -> None:
                 n.tags += c.tags + 1
                 n.link_chars += c.chars if c.link else c.link_chars
                 n.link_tags += c.link_tags + c.link
+        own[n] = n.chars - sum(c.chars for c in n.parts if isinstance(c, Node) and not c.skip)
     page = nodes[0]
     share = page.link_chars / max(1, page.chars)
     for n in reversed(nodes):
@@ -191,31 +199,98 @@ def _measure(nodes: list[Node]) -> None:
         if c:
             base = math.log(c / max(1, c - n.link_chars) * n.link_chars + share * c + math.e)
             n.density = max(0.0, c / t * math.log(max(1.0, c / lc * t / lt)) / math.log(base + math.e - 1))
-        n.total = sum(x.density for x in n.parts if isinstance(x, Node) and not x.skip)
+        below = [x for x in n.parts if isinstance(x, Node) and not x.skip]
+        n.total = sum(x.density for x in below) + n.density * own[n] / max(1, c)
+        n.peak = max([n, *(x.peak for x in below)], key=lambda x: x.total)
 
 
-def main_node(root: Node) -> Node:
-    """The subtree of largest density sum among those that reach the threshold of the path to the densest node."""
+def _scope(root: Node, nodes: list[Node]) -> list[Node]:
+    """Topmost elements in which main text is looked for, in page order: the page, or its articles, mains and sections beside them."""
+    tops, todo = [], [root]
+    while todo:
+        n = todo.pop()
+        if n.tag in MAIN and n.chars:
+            tops.append(n)
+        else:
+            todo += [c for c in reversed(n.parts) if isinstance(c, Node) and not c.skip]
+    if 2 * sum(n.chars - n.link_chars for n in tops) < root.chars - root.link_chars or not tops:
+        return [root]
+    beside, known = {n.parent for n in tops}, set(tops)
+    above = set(beside)
+    for n in tops:
+        while (n := n.parent) and n not in above:
+            above.add(n)
+    known |= {c for n in beside for c in n.parts if isinstance(c, Node) and not c.skip and c.chars and c.tag in PARTS and c not in above}
+    return [n for n in nodes if n in known]
+
+
+def main_nodes(root: Node) -> list[Node]:
+    """Subtrees of largest density sum below the nodes that reach the threshold of the path to the densest node, in page order."""
     nodes = _walk(root)
     _measure(nodes)
-    marked = [n for n in nodes if n.tag in MAIN and n.chars]
-    if marked:  # what the page itself calls its main part bounds the search
-        top = max(marked, key=lambda n: n.chars - n.link_chars)
-        if 2 * (top.chars - top.link_chars) >= root.chars - root.link_chars:
-            return top
-    best = max(nodes, key=lambda n: n.total)
+    tops = _scope(root, nodes)
+    best = max((n.peak for n in tops), key=lambda n: n.total)
     path, n = [], best
     while n:
         path.append(n)
         n = n.parent
     threshold = min(x.density for x in path)
-    fit = [n for n in nodes if n.density >= threshold and n.tag != "html"]
-    chosen = max(fit, key=lambda n: (n.total, n.chars)) if fit and max(x.total for x in fit) > 0 else best
-    while chosen.parent and all(isinstance(x, Node) and (x is chosen or x.skip or not x.chars or x.tag in WITH_MAIN) or isinstance(x, str) and x.isspace() for x in chosen.parent.parts):
-        chosen = chosen.parent  # nothing but headings and paragraphs beside it
+    peers: dict[tuple, float] = {}
+    inside, known = set(path), set(tops)
+    for x in path:
+        if x.tag in PARTS:
+            for place in [x.parent] + [None] * (x in known):
+                peers[place, x.tag] = min(threshold, PEER * x.density)
+    chosen: set[Node] = set()
+    todo = list(tops)
+    while todo:
+        n = todo.pop()
+        need = min(peers.get((n.parent, n.tag), threshold), peers.get((None, n.tag), threshold) if n in known else threshold)
+        if n in inside or n.density and n.density >= need:
+            chosen.add(n.peak)
+            if n.peak is not n:
+                todo += [c for c in n.parts if isinstance(c, Node) and not c.skip]
+    return _outermost(tops, _widened(tops, chosen))
+
+
+def _below(tops: list[Node]) -> Iterator[Node]:
+    for top in tops:
+        yield from _walk(top)
+
+
+def _widened(tops: list[Node], chosen: set[Node]) -> set[Node]:
+    """Chosen nodes with the headings before them; whole parents that hold but headings and paragraphs beside them."""
+    chosen = set(chosen)
+    holds: set[Node] = set()
+    for n in reversed(list(_below(tops))):
+        parts = [x for x in n.parts if (not x.isspace() if isinstance(x, str) else not x.skip and x.chars)]
+        if n in chosen or not any(isinstance(x, Node) and x in holds for x in parts):
+            if n in chosen:
+                holds.add(n)
+            continue
+        holds.add(n)
+        if all(isinstance(x, Node) and (x in chosen or x.tag in WITH_MAIN) for x in parts):
+            chosen.add(n)
+            continue
+        follows = False
+        for x in reversed(parts):
+            follows = isinstance(x, Node) and (x in holds or follows and x.tag in HEADING)
+            if follows and x not in holds:
+                chosen.add(x)
     return chosen
 
 
+def _outermost(tops: list[Node], chosen: set[Node]) -> list[Node]:
+    out, todo = [], tops[::-1]
+    while todo:
+        n = todo.pop()
+        if n in chosen:
+            out.append(n)
+        else:
+            todo += [c for c in reversed(n.parts) if isinstance(c, Node) and not c.skip]
+    return out
+
+
 def _blocks(node: Node) -> Iterator[str]:
     """Texts of blocks in page order, character references decoded and white space folded."""
     line: list[str] = []
@@ -248,7 +323,7 @@ def main_text(page: str | None) -> str:
     """Main text of a page; NULL, empty and text-free pages give an empty text."""
     if not page:
         return ""
-    return "\n".join(_blocks(main_node(tree(page))))
+    return "\n".join(line for n in main_nodes(tree(page)) for line in _blocks(n))
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -30,6 +30,17 @@ def test_marked_parts():
     assert html_text.main_text(f'<body><div class="site-header">x</div><h1>T</h1><div id=c>{BODY}</div><ul class=pagination><li>1</ul></body>') == "T\n" + WANT
 
 
+def test_density_decides_inside_main():
+    box = "<div class=x7>" + "".join(f"<div class=r><b>user{i}</b><span>now</span><p>Great post!</p></div>" for i in range(8)) + "</div>"
+    assert html_text.main_text(PAGE % f"<main><h1>Head</h1><div id=story>{BODY}</div>{box}</main>") == "Head\n" + WANT
+    assert html_text.main_text(PAGE % f"<article><section>{BODY}</section>{box}</article>") == WANT
+
+
+@pytest.mark.parametrize("wrap", ["<article>%s</article><article>%s</article>", "<article>%s</article><section>%s</section>", "<main><section>%s</section><section>%s</section></main>", "<div><div>%s</div><div>%s</div></div>"])
+def test_text_in_several_parts(wrap):
+    assert html_text.main_text(PAGE % (wrap % (BODY, BODY))) == WANT + "\n" + WANT
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "<!--", "<script>alert(1)", "<div class='", "</p></p>", "<a href=x>", "<nav>only menu</nav>", "&#x110000;&bogus;", "<![CDATA[x]]>"])
 def test_broken_pages(page):
     assert isinstance(html_text.main_text(page), str)
