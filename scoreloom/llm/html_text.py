@@ -8,9 +8,14 @@ LC and LT. Its composite density is
 so text in few tags weighs much and text in links little. The density sum of a node adds up the densities of its
 children and, for text of its own, that share of its own density. The threshold is the smallest density on the path
 from the body to the node of the largest sum. From the top down, each node that reaches it marks the node of the
-largest sum anywhere below as main text, so a text in several places is found in all of them. Parts that are marked as
-something else (menus, forms, comments, adverts) hold no main text and are left out of the tree's sums. Where `article`
-and `main` hold half of the text, the selection is made among them and the sections beside them, by the same threshold.
+largest sum anywhere below as main text, so a text in several places is found in all of them. Where `article` and
+`main` hold half of the text, the selection is made among them and the sections beside them, by the same threshold.
+
+Navigation, footers and hidden parts are left out of the tree's sums. Class names and ids of menus, comments, adverts
+are evidence only: a whole name or its leading part leaves an element out too, unless it holds an h1, a main, an article
+among the longest of the page or most of the page's text (forms likewise). The last part of a name (`user-comments`)
+leaves an element out of the text if its density is below the threshold; states and topics (`has-sidebar`,
+`category-legal`) say nothing.
 """
 
 from __future__ import annotations
@@ -44,16 +49,20 @@ IMPLIED = {
     "tbody": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}), "tfoot": ({"tbody", "thead", "tr", "td", "th"}, {"table"}),
     "option": ({"option"}, {"select"}),
 }
-MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adv|advert\w*|adsense|adslot|banner\w*|sponsor\w*|promo\w*|menu\w*|nav|navbar|navigation|breadcrumbs?|sidebar\w*|side|aside|widgets?"
+MARKS = (
+    r"(?:ads?|adv|advert\w*|adsense|adslot|banner\w*|sponsor\w*|promo\w*|menu\w*|nav|navbar|navigation|breadcrumbs?|sidebar\w*|side|aside|widgets?"
     r"|footer\w*|foot|masthead|topbar|toolbar|header|site-header|page-header|cookie\w*|consent|gdpr|notice\w*|alert\w*|popup\w*|modal\w*|overlay|newsletter\w*|subscri\w*"
     r"|signup|login|social\w*|share\w*|sharing|related\w*|recommend\w*|comment\w*|disqus\w*|replies|reply|respond|discussion|pagination|pager|copyright"
-    r"|legal|disclaimer|adblock|adbox|adunit|adwrap\w*|search\w*|skip-?link|sr-only|hidden|tags|tagcloud|trending|popular|most-read|outbrain|taboola)(?:$|[\s_-])", re.I,
+    r"|legal|disclaimer|adblock|adbox|adunit|adwrap\w*|search\w*|skip-?link|sr-only|hidden|tags|tagcloud|trending|popular|most-read|outbrain|taboola)"
 )
+OTHER_MARKS = r"(?:comment\w*|repl(?:y|ies)|related\w*|promo\w*|ads?|advert\w*|sponsor\w*|teaser\w*|recommend\w*)"
+#: First parts of names that tell a state, a layout or a topic of an element, not what it is.
+STATE = r"(?:has|have|no|not|non|with|without|is|in|on|js|show|hide|category|cat|tag|topic|type|format|layout|template|single|page-with)[_-]"
+MARKED, LAST = re.compile(rf"{MARKS}(?:$|[_-])", re.I), re.compile(rf"(?!{STATE}).*[_-]{MARKS}$", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 #: Marks of headers, which may hold a title inside a main part, and marks that an article of its own has.
-TITLE = re.compile(r"(?:^|[\s_-])(?:header|masthead)(?:$|[\s_-])", re.I)
-OTHER = re.compile(r"(?:^|[\s_-])(?:comment\w*|repl(?:y|ies)|related\w*|promo\w*|ads?|advert\w*|sponsor\w*|teaser\w*|recommend\w*)(?:$|[\s_-])", re.I)
+TITLE = re.compile(r"(?:.*[_-])?(?:header|masthead)(?:$|[_-])", re.I)
+OTHER, LAST_OTHER = re.compile(rf"{OTHER_MARKS}(?:$|[_-])", re.I), re.compile(rf"(?!{STATE}).*[_-]{OTHER_MARKS}$", re.I)
 MAIN = frozenset("article main".split())
 PARTS = frozenset("article main section".split())
 PEER = 0.5  # density of a part beside a part of its kind that leads to the densest node, relative to that part's
@@ -66,13 +75,18 @@ _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([
 _SPACE = re.compile(r"[\s\xa0]+")
 
 
+#: What an element's names say against it: nothing, doubt (their last parts), a firm mark, or that it is no text at all.
+NONE, DOUBT, FIRM, NEVER = range(4)
+
+
 class Node:
     """An element; parts are texts and child elements in page order."""
 
-    __slots__ = ("tag", "parts", "skip", "link", "chars", "tags", "link_chars", "link_tags", "density", "total", "peak", "parent")
+    __slots__ = ("tag", "parts", "skip", "link", "chars", "tags", "link_chars", "link_tags", "density", "total", "peak", "parent", "mark")
 
-    def __init__(self, tag: str, parent: Node | None, skip: bool):
-        self.tag, self.parent, self.skip = tag, parent, skip
+    def __init__(self, tag: str, parent: Node | None, mark: int):
+        self.tag, self.parent, self.mark = tag, parent, mark
+        self.skip = mark >= FIRM
         self.link = tag == "a"
         self.parts: list = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
@@ -87,25 +101,64 @@ def _attributes(text: str) -> dict[str, str]:
     return out
 
 
-def _skipped(tag: str, raw: str, parent: Node) -> bool:
-    """Whether an element is marked as something other than main text."""
+def _marked(tag: str, raw: str, parent: Node) -> int:
+    """How far an element is marked as something other than main text."""
+    if tag == "form":
+        return FIRM
     if tag in NOT_TEXT:
-        return True
+        return NEVER
     if tag == "header":  # that of an article may hold its title
-        return not _in_main(parent)
+        return NONE if _in_main(parent) else NEVER
     if not raw.strip() or tag in ("body", "html", "main", "h1"):
-        return False
+        return NONE
     at = _attributes(raw)
+    names = [x for k in ("class", "id") for x in at.get(k, "").split()]
     if tag == "article":
-        return any(OTHER.search(at[k]) for k in ("class", "id") if k in at)
+        return FIRM if any(OTHER.match(x) for x in names) else DOUBT if any(LAST_OTHER.match(x) for x in names) else NONE
     if "hidden" in at or at.get("aria-hidden", "").lower() == "true" or at.get("role", "").lower() in ROLES:
-        return True
+        return NEVER
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", at.get("style", ""), re.I):
-        return True
-    marks = " ".join(at[k] for k in ("class", "id") if k in at)
-    if TITLE.search(marks) and _in_main(parent):
-        marks = TITLE.sub(" ", marks)
-    return bool(MARKED.search(marks))
+        return NEVER
+    if any(map(TITLE.match, names)) and _in_main(parent):
+        names = [x for x in names if not TITLE.match(x)]
+    return FIRM if any(map(MARKED.match, names)) else DOUBT if any(map(LAST.match, names)) else NONE
+
+
+def _acquit(root: Node) -> None:
+    """Take the marks from elements that hold an h1, the main part or most of the text of a page."""
+    nodes, todo = [], [root]
+    while todo:
+        n = todo.pop()
+        nodes.append(n)
+        todo += [c for c in n.parts if isinstance(c, Node) and c.mark != NEVER]
+    if all(n.mark == NONE for n in nodes):
+        return
+    chars: dict[Node, int] = {}
+    heads: set[Node] = set()
+    for n in reversed(nodes):
+        below = [c for c in n.parts if isinstance(c, Node) and c.mark != NEVER]
+        # text of links is no sign of a main part
+        chars[n] = 0 if n.link else sum(len(x) - x.count(" ") for x in n.parts if isinstance(x, str) and not x.isspace()) + sum(chars[c] for c in below)
+        if n.tag == "h1" or any(c in heads for c in below):
+            heads.add(n)
+    parts = [n for n in nodes if n.tag in MAIN and n.mark == NONE and chars[n]]
+    longest = max((chars[n] for n in parts), default=0)
+    main: set[Node] = set()
+    for n in parts:
+        if n.tag == "main" or 2 * chars[n] >= longest:
+            while n and n not in main:
+                main.add(n)
+                n = n.parent
+    outside = {n for n in parts if not _below_mark(n)}
+    for n in nodes:
+        if n.mark != NONE and (n in main or n in heads or not outside and 2 * chars[n] > chars[root]):
+            n.mark, n.skip = NONE, False
+
+
+def _below_mark(node: Node | None) -> bool:
+    while node and node.mark == NONE:
+        node = node.parent
+    return node is not None
 
 
 def _in_main(node: Node | None) -> bool:
@@ -116,7 +169,7 @@ def _in_main(node: Node | None) -> bool:
 
 def tree(page: str) -> Node:
     """Element tree of a page, however broken; raw elements and comments are left out."""
-    root = node = Node("html", None, False)
+    root = node = Node("html", None, NONE)
     at = 0
     m = _TOKEN.search(page)
     while m:
@@ -134,7 +187,7 @@ def tree(page: str) -> Node:
             if open_.parent and open_.tag == tag:
                 node = open_.parent
             elif tag == "br":
-                node.parts.append(Node("br", node, False))
+                node.parts.append(Node("br", node, NONE))
         elif tag in RAW:
             if not m[3].rstrip().endswith("/") or tag not in ("svg", "math"):
                 end = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -159,13 +212,14 @@ def tree(page: str) -> Node:
                     node = open_.parent
             if node.tag == "head" and tag not in HEAD:
                 node = node.parent
-            child = Node(tag, node, _skipped(tag, m[3], node))
+            child = Node(tag, node, _marked(tag, m[3], node))
             node.parts.append(child)
             if tag not in VOID:
                 node = child
         m = _TOKEN.search(page, at)
     if at < len(page):
         node.parts.append(page[at:])
+    _acquit(root)
     return root
 
 
@@ -235,8 +289,12 @@ def main_nodes(root: Node) -> list[Node]:
         path.append(n)
         n = n.parent
     threshold = min(x.density for x in path)
+    inside = set(path)
+    for n in nodes:  # doubtful elements have to be as dense as main text
+        n.skip = n.mark == DOUBT and n not in inside and n.density < threshold
+    tops = [n for n in tops if not n.skip]
     peers: dict[tuple, float] = {}
-    inside, known = set(path), set(tops)
+    known = set(tops)
     for x in path:
         if x.tag in PARTS:
             for place in [x.parent] + [None] * (x in known):

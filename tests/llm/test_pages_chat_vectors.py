@@ -30,6 +30,17 @@ def test_marked_parts():
     assert html_text.main_text(f'<body><div class="site-header">x</div><h1>T</h1><div id=c>{BODY}</div><ul class=pagination><li>1</ul></body>') == "T\n" + WANT
 
 
+@pytest.mark.parametrize(
+    "wrap",
+    ['<div class="content has-sidebar">%s</div>', '<div id="no-sidebar">%s</div>', '<div class="post category-legal tag-popular">%s</div>', '<article class="post category-promotions">%s</article>',
+     '<div class="sidebar-layout"><article>%s</article></div>', '<div class="search-page"><main>%s</main></div>', "<form action=/><div>%s</div></form>", '<div class="popular">%s</div>'],
+)
+def test_marks_are_evidence(wrap):
+    assert html_text.main_text(PAGE % (wrap % BODY)) == WANT
+    plain = BODY.replace("<h1>", "<h2>").replace("</h1>", "</h2>")
+    assert html_text.main_text(PAGE % (wrap % plain)) == WANT
+
+
 def test_density_decides_inside_main():
     box = "<div class=x7>" + "".join(f"<div class=r><b>user{i}</b><span>now</span><p>Great post!</p></div>" for i in range(8)) + "</div>"
     assert html_text.main_text(PAGE % f"<main><h1>Head</h1><div id=story>{BODY}</div>{box}</main>") == "Head\n" + WANT
