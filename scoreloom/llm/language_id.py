@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from scoreloom.llm.common import sliced
+from scoreloom.llm.common import MIX, sliced
 
 BLOCK = 256
 UNDETERMINED = "und"
@@ -94,46 +94,77 @@ class Model:
     edges: np.ndarray  # state, code, next state
     bits: list[float]  # per phrase
 
-    def table(self) -> np.ndarray:
-        """Dense transitions, states x codes; -1 where there is none. Codes: 0 unknown letter, then the alphabet."""
-        t = np.full((self.states, len(self.alphabet) + 1), -1, np.int32)
-        t[self.edges[:, 0], self.edges[:, 1]] = self.edges[:, 2]
-        return t
 
-
-def build(texts: dict[str, str], alphabet_size: int = 250) -> Model:
-    """Model of normalised reference texts by language, in the order of the languages' names."""
+def build(texts: dict[str, str]) -> Model:
+    """Model of normalised reference texts by language, in the order of the languages' names; every letter of them has a code."""
     languages = sorted(texts)
-    seen: dict[str, int] = {}
-    for name in languages:
-        for c in texts[name]:
-            seen[c] = seen.get(c, 0) + 1
-    alphabet = "".join(sorted(sorted(seen, key=lambda c: (-seen[c], c))[:alphabet_size]))
+    alphabet = "".join(sorted(set().union(*texts.values())))
     code = {c: i + 1 for i, c in enumerate(alphabet)}
     roots, edges, n = [], [], 0
     for name in languages:
-        go = suffix_automaton("".join(c for c in texts[name] if c in code))
+        go = suffix_automaton(texts[name])
         roots.append(n)
         edges += [(n + s, code[c], n + to) for s, out in enumerate(go) for c, to in out.items()]
         n += len(go)
     return Model(languages, alphabet, roots, n, np.array(edges, np.int32).reshape(-1, 3), [math.log2(max(2, len(texts[x]))) for x in languages])
 
 
+class Transitions:
+    """Next states by state and code, as a hash table with linear probing: memory follows the edges, not states x alphabet."""
+
+    def __init__(self, edges: np.ndarray, width: int):
+        self.width = width
+        bits = max(4, (4 * len(edges)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.next = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
+        key = edges[:, 0].astype(np.int64) * width + edges[:, 1]
+        slot, left = self.slots(key), np.arange(len(key))
+        while len(left):
+            free = left[self.keys[slot[left]] < 0]
+            self.keys[slot[free]] = key[free]  # of several on one slot the last stays
+            placed = self.keys[slot[left]] == key[left]
+            self.next[slot[left[placed]]] = edges[left[placed], 2]
+            left = left[~placed]
+            slot[left] = slot[left] + 1 & self.mask
+
+    def slots(self, key: np.ndarray) -> np.ndarray:
+        return (key.astype(np.uint64) * MIX >> self.shift).astype(np.int64)
+
+    def __call__(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """Next states, -1 where there is none."""
+        key = (state * self.width + code).ravel()
+        slot = self.slots(key)
+        found = self.keys[slot]
+        to = self.next[slot].astype(np.int64)
+        wrong = np.flatnonzero(found != key)
+        to[wrong] = -1
+        wrong = wrong[found[wrong] >= 0]
+        while len(wrong):
+            at = slot[wrong] = slot[wrong] + 1 & self.mask
+            found = self.keys[at]
+            hit = found == key[wrong]
+            to[wrong[hit]] = self.next[at[hit]]
+            wrong = wrong[~hit & (found >= 0)]
+        return to.reshape(state.shape)
+
+
 class Parser:
     """Counts phrases of many texts at once."""
 
     def __init__(self, model: Model):
-        self.model, self.go = model, model.table().ravel()
-        self.width = len(model.alphabet) + 1
+        self.model = model
+        width = len(model.alphabet) + 1
+        self.go = Transitions(model.edges, width)
         letter, lower = _unicode()
-        known = np.zeros(0x110000, np.uint8)
-        known[[ord(c) for c in model.alphabet]] = np.arange(1, self.width)
-        self.code = np.where(letter, known[lower], known[32]).astype(np.uint8)
+        known = np.zeros(0x110000, np.uint32)
+        known[[ord(c) for c in model.alphabet]] = np.arange(1, width)
+        self.code = np.where(letter, known[lower], known[32])  # 0: unknown letter
         self.blank = ~letter
         root = np.array(model.roots, np.int64)
         self.root = root[:, None]
-        start = model.table()[root]  # language x code
-        self.restart = np.where(start < 0, self.root, start)
+        self.restart = np.repeat(self.root, width, 1)  # language x code
+        first = model.edges[np.isin(model.edges[:, 0], root)]
+        self.restart[np.searchsorted(root, first[:, 0]), first[:, 1]] = first[:, 2]
 
     def codes(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Codes of all normalised texts one after the other, and where each begins (one more at the end)."""
@@ -171,7 +202,7 @@ class Parser:
         length = np.minimum(BLOCK, where[owner + 1] - begin)
         order = np.argsort(-length, kind="stable")
         owner, begin, length = owner[order], begin[order], length[order]
-        grid = np.zeros((BLOCK, len(owner)), np.uint8)  # step x block: what a step reads is contiguous
+        grid = np.zeros((BLOCK, len(owner)), np.uint32)  # step x block: what a step reads is contiguous
         live = np.searchsorted(-length, -np.arange(1, BLOCK + 1), side="right")
         for step in range(BLOCK):
             grid[step, : live[step]] = codes[begin[: live[step]] + step]
@@ -182,7 +213,7 @@ class Parser:
             if not k:
                 break
             c = grid[step, :k]
-            to = self.go[state[:, :k] * self.width + c].astype(np.int64)
+            to = self.go(state[:, :k], c)
             which, block = np.nonzero(to < 0)
             if len(which):
                 again = self.restart[which, c[block]]

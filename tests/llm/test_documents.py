@@ -227,6 +227,16 @@ def test_language_against_brute_force():
     assert count.tolist() == [[phrases(t, language_id.normalised(REFERENCE[k])) for k in model.languages] for t in texts]
 
 
+def test_language_keeps_every_letter():
+    ideographs = "".join(chr(0x4E00 + i) for i in range(3000))
+    rare = "ᏣᎳᎩ ᎦᏬᏂᎯᏍᏗ ᎠᏂᏴᏫᏯ"
+    model = language_id.build({k: language_id.normalised(v) for k, v in {**REFERENCE, "chr": rare, "zh": ideographs * 3}.items()})
+    assert set(model.alphabet) >= set(ideographs) | set(language_id.normalised(rare))
+    assert language_id._judge(language_id.Parser(model), [rare, ideographs[2000:2100], "der hund"])[0] == ["chr", "zh", "de"]
+    count, _ = language_id.Parser(model).phrases([ideographs[2000:2100]])
+    assert count[0, model.languages.index("zh")] == 1
+
+
 def test_language_awkward(spark):
     model = language_id.fit(spark.createDataFrame([(i, t, k) for i, (k, t) in enumerate(REFERENCE.items())] + [(None, "x", "en"), (9, None, "de"), (10, "y", None), (11, "123", "es")], "doc_id long, text string, lang string"))
     assert model.languages == ["de", "en", "fr"]
