@@ -3,7 +3,8 @@
 For each language the suffix automaton of a bounded piece of labelled text accepts exactly the substrings of that
 text. A document is parsed against it greedily: every phrase is the longest match that continues from where the
 last one ended. Few phrases mean a good description; phrases are normalised to bits per character,
-phrases * log2(length of the reference) / characters, and the language with the fewest bits wins.
+(phrases * log2(length of the longest reference) + LITERAL * letters that the reference lacks) / characters, and the
+language with the fewest bits wins. A phrase costs the same in every language, so a short reference is no advantage.
 
 Texts are parsed in blocks of `BLOCK` normalised characters, so that all blocks of a batch advance together, one
 character a step, as array operations; a phrase ends with its block in every language alike.
@@ -24,6 +25,7 @@ from scoreloom.llm.common import MIX, sliced
 
 BLOCK = 256
 UNDETERMINED = "und"
+LITERAL = 8.0  # bits of a letter that a reference lacks, on top of its phrase
 EVIDENCE = 50  # characters at most that the posterior counts as independent
 
 _TABLES: dict[str, tuple[np.ndarray, np.ndarray]] = {}
@@ -92,7 +94,7 @@ class Model:
     roots: list[int]
     states: int
     edges: np.ndarray  # state, code, next state
-    bits: list[float]  # per phrase
+    bits: float  # per phrase, whatever the language
 
 
 def build(texts: dict[str, str]) -> Model:
@@ -106,7 +108,7 @@ def build(texts: dict[str, str]) -> Model:
         roots.append(n)
         edges += [(n + s, code[c], n + to) for s, out in enumerate(go) for c, to in out.items()]
         n += len(go)
-    return Model(languages, alphabet, roots, n, np.array(edges, np.int32).reshape(-1, 3), [math.log2(max(2, len(texts[x]))) for x in languages])
+    return Model(languages, alphabet, roots, n, np.array(edges, np.int32).reshape(-1, 3), math.log2(max([2, *map(len, texts.values())])))
 
 
 class Transitions:
@@ -159,6 +161,7 @@ class Parser:
         known = np.zeros(0x110000, np.uint32)
         known[[ord(c) for c in model.alphabet]] = np.arange(1, width)
         self.code = np.where(letter, known[lower], known[32])  # 0: unknown letter
+        self.space = known[32]
         self.blank = ~letter
         root = np.array(model.roots, np.int64)
         self.root = root[:, None]
@@ -193,6 +196,11 @@ class Parser:
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases (text x language) and normalised lengths of texts."""
+        count, _, size = self.parse(texts)
+        return count, size
+
+    def parse(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Phrases and letters that the reference lacks (text x language), and normalised lengths of texts."""
         codes, where = self.codes(texts)
         size = np.diff(where)
         blocks = -(-size // BLOCK)
@@ -207,7 +215,7 @@ class Parser:
         for step in range(BLOCK):
             grid[step, : live[step]] = codes[begin[: live[step]] + step]
         state = np.repeat(self.root, len(owner), 1)
-        count = np.zeros(state.shape, np.int32)
+        count, missed = np.zeros(state.shape, np.int32), np.zeros(state.shape, np.int32)
         for step in range(BLOCK):
             k = live[step]
             if not k:
@@ -218,14 +226,16 @@ class Parser:
             if len(which):
                 again = self.restart[which, c[block]]
                 old, root = state[which, block], self.root[which, 0]
-                np.add.at(count, (which, block), (old != root).astype(np.int32) + (again == root))
+                count[which, block] += (old != root).astype(np.int32) + (again == root)
+                missed[which, block] += (again == root) & (c[block] != self.space)
                 to[which, block] = again
             state[:, :k] = to
         count += state != self.root
-        total = np.zeros((len(self.model.languages), len(texts)), np.int64)
-        for i in range(len(total)):
-            total[i] = np.bincount(owner, count[i], len(texts))
-        return total.T, size
+        total = np.zeros((2, len(self.model.languages), len(texts)), np.int64)
+        for i in range(len(state)):
+            total[0, i] = np.bincount(owner, count[i], len(texts))
+            total[1, i] = np.bincount(owner, missed[i], len(texts))
+        return total[0].T, total[1].T, size
 
 
 def sample(docs: DataFrame, languages: list[tuple[str, int]], chars: int, documents: int) -> dict[str, str]:
@@ -297,8 +307,8 @@ def _judge(parser: Parser, texts: list[str]) -> tuple[list[str], list[float]]:
     model = parser.model
     if not model.languages:
         return [UNDETERMINED] * len(texts), [0.0] * len(texts)
-    phrases, size = parser.phrases(texts)
-    bits = phrases * np.array(model.bits) / np.maximum(size, 1)[:, None]
+    phrases, missed, size = parser.parse(texts)
+    bits = (phrases * model.bits + missed * LITERAL) / np.maximum(size, 1)[:, None]
     best = bits.argmin(1)
     odds = np.exp2(-(bits - bits.min(1, keepdims=True)) * np.minimum(size, EVIDENCE)[:, None])
     score = 1 / odds.sum(1)

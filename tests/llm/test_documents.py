@@ -237,6 +237,17 @@ def test_language_keeps_every_letter():
     assert count[0, model.languages.index("zh")] == 1
 
 
+def test_short_reference_is_no_advantage():
+    rng = cases.random.Random(11)
+    full = {k: " ".join(rng.choices(v.split(), k=4000)) for k, v in REFERENCE.items()}
+    texts = [" ".join(rng.choices(v.split(), k=40)) + " unseen words follow" for v in REFERENCE.values()]
+    for word in ("ok", "okay", "hello", "goodbye"):
+        model = language_id.build({k: language_id.normalised(v) for k, v in {**full, "aa": word}.items()})
+        assert language_id._judge(language_id.Parser(model), texts)[0] == list(REFERENCE)
+    own = language_id.build({**full, "zz": language_id.normalised("ᏣᎳᎩ")})
+    assert language_id._judge(language_id.Parser(own), ["Ꮳ Ꮃ Ꭹ"])[0] == ["zz"]
+
+
 def test_language_awkward(spark):
     model = language_id.fit(spark.createDataFrame([(i, t, k) for i, (k, t) in enumerate(REFERENCE.items())] + [(None, "x", "en"), (9, None, "de"), (10, "y", None), (11, "123", "es")], "doc_id long, text string, lang string"))
     assert model.languages == ["de", "en", "fr"]
