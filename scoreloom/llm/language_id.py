@@ -25,6 +25,7 @@ from scoreloom.llm.common import MIX, sliced
 
 BLOCK = 256
 UNDETERMINED = "und"
+PIECES = 8  # places of a long document that a reference is taken from
 LITERAL = 8.0  # bits of a letter that a reference lacks, on top of its phrase
 EVIDENCE = 50  # characters at most that the posterior counts as independent
 
@@ -238,23 +239,52 @@ class Parser:
         return total[0].T, total[1].T, size
 
 
+def shares(sizes: list[int], total: int) -> list[int]:
+    """Equal shares of a total; what a small size leaves unused passes on to the others."""
+    out = [0] * len(sizes)
+    order = sorted(range(len(sizes)), key=lambda i: (sizes[i], i))
+    for k, i in enumerate(order):
+        out[i] = min(sizes[i], total // (len(sizes) - k))
+        total -= out[i]
+    return out
+
+
 def sample(docs: DataFrame, languages: list[tuple[str, int]], chars: int, documents: int) -> dict[str, str]:
-    """Normalised reference text per language: about `documents` documents by hash of the id, at most `chars` characters."""
+    """Normalised reference text per language: about `documents` documents by hash of the id, at most `chars` characters.
+
+    All sampled documents share the characters equally. Of a long one, `PIECES` pieces spread evenly over its whole length are read.
+    """
     rate = F.create_map(*[F.lit(x) for name, n in languages for x in (name, min(1.0, documents / n) * 2**20)])
     picked = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(2**20)) < rate[F.col("lang")])
-    rows = picked.select("lang", "doc_id", F.substring("text", 1, chars).alias("text")).collect()
-    out: dict[str, str] = {}
-    for r in sorted(rows, key=lambda r: (r.lang, r.doc_id, r.text)):
-        if len(out.get(r.lang, "")) < chars:
-            out[r.lang] = (out.get(r.lang, "") + " " + normalised(r.text)).strip()[:chars]
+    piece = -(-chars // PIECES)
+    at = f"1 + bigint(i) * (length(text) - {piece}) div {max(1, PIECES - 1)}"
+    pieces = f"CASE WHEN length(text) <= {chars} THEN array(text) ELSE transform(sequence(0, {PIECES - 1}), i -> substring(text, int({at}), {piece})) END"
+    rows = picked.selectExpr("lang", "doc_id", f"{pieces} AS pieces").collect()
+    by: dict[str, list[str]] = {}
+    for r in sorted(rows, key=lambda r: (r.lang, r.doc_id, r.pieces)):
+        by.setdefault(r.lang, []).append(" ".join(normalised(p) for p in r.pieces).strip())
+    out = {}
+    for name, texts in by.items():
+        texts = [t for t in texts if t]
+        room = max(0, chars - len(texts) + 1)  # blanks between texts
+        out[name] = " ".join(_spread(t, n) for t, n in zip(texts, shares([len(t) for t in texts], room), strict=True) if n)
     return {k: v for k, v in out.items() if v}
 
 
+def _spread(text: str, chars: int) -> str:
+    """`chars` characters of a text, blanks between pieces included, in up to `PIECES` pieces from its beginning to its end."""
+    if len(text) <= chars:
+        return text
+    n = max(1, min(PIECES, chars // 50))
+    size = (chars - n + 1) // n
+    return " ".join(text[k * (len(text) - size) // max(1, n - 1) :][:size].strip() for k in range(n))
+
+
 def fit(labelled: DataFrame, chars: int = 24_000, documents: int = 60) -> Model:
     """Learn from doc_id, text, lang; rows with a NULL in any of them teach nothing.
 
     The sample is bounded whatever the table holds: per language about `documents` documents, chosen by a hash of
-    the id, of which `chars` characters are kept. Rows are counted per language first, so every language that has
+    the id, of which `chars` characters are kept, an equal share of each from all over its length. Rows are counted per language first, so every language that has
     text is learned, rare ones from all their rows.
     """
     docs = labelled.select("doc_id", "text", "lang").dropna().where(r"text RLIKE '\\p{L}'")

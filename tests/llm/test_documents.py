@@ -248,6 +248,15 @@ def test_short_reference_is_no_advantage():
     assert language_id._judge(language_id.Parser(own), ["Ꮳ Ꮃ Ꭹ"])[0] == ["zz"]
 
 
+def test_reference_is_shared_by_documents(spark):
+    long = "start " * 20_000 + "end " * 20_000
+    rows = [(1, long, "en"), (2, "few words", "en"), *[(i, f"{chr(97 + i) * 9} " * 300, "en") for i in range(3, 20)]]
+    text = language_id.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), [("en", len(rows))], 24_000, 60)["en"]
+    assert 23_000 < len(text) <= 24_000 and "few words" in text and "start start" in text and "end end" in text
+    assert all(chr(97 + i) * 9 in text for i in range(3, 20))
+    assert language_id.shares([2, 100, 100], 22) == [2, 10, 10] and language_id.shares([], 5) == [] and language_id.shares([3, 3], 10) == [3, 3]
+
+
 def test_language_awkward(spark):
     model = language_id.fit(spark.createDataFrame([(i, t, k) for i, (k, t) in enumerate(REFERENCE.items())] + [(None, "x", "en"), (9, None, "de"), (10, "y", None), (11, "123", "es")], "doc_id long, text string, lang string"))
     assert model.languages == ["de", "en", "fr"]
