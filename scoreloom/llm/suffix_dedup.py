@@ -1,7 +1,11 @@
-"""Removal of long repeated byte strings by distributed bucket-pointer refinement.
+"""Removal of long repeated byte strings by minimiser runs with hash grouping.
+
+This stands in for bucket-pointer refinement: no bucket is sorted on the bucket identifiers of later offsets and nothing
+recurses. Whether a window of fixed length occurred before is decided by equality alone, so a full suffix order is not
+needed, and every round of looking up identifiers at later offsets would shuffle a row per byte.
 
 A string of `length` bytes is to be removed wherever it occurs again. Sorting all suffixes of a corpus would shuffle
-every byte many times over, so the suffixes are bucketed and refined only as far as a decision needs:
+every byte many times over, so the suffixes are grouped only as far as a decision needs:
 
 1. Initial buckets. Every window of `length` bytes belongs to the bucket of the smallest q-gram hash inside it;
    equal windows choose the same q-gram at the same offset. Neighbouring windows that choose the same occurrence form
