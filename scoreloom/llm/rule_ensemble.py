@@ -131,10 +131,9 @@ def fit_rows(x: np.ndarray, y: np.ndarray) -> Model:
     if not len(y) or y.min() == y.max():
         return Model(0.0 if not len(y) else (4.0 if y[0] else -4.0), [])
     rng = np.random.default_rng(SEED)
-    small = rng.permutation(len(y))[:4_000]
     seen: dict[bytes, Rule] = {}
     for _ in range(TREES):
-        for rule in grow(x[small], y[small], rng):
+        for rule in grow(x, y, rng):
             seen.setdefault(np.packbits(rule.holds(x)).tobytes(), rule)  # rules that pick the same rows are one
     rules = list(seen.values())
     a = np.stack([r.holds(x) for r in rules], 1).astype(np.float64)

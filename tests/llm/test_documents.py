@@ -271,6 +271,13 @@ def test_language_awkward(spark):
     assert language_id.identify(cases.docs(spark, []), model).count() == 0
 
 
+def test_trees_see_the_whole_sample(monkeypatch):
+    rows, grow = [], rule_ensemble.grow
+    monkeypatch.setattr(rule_ensemble, "grow", lambda x, y, rng: rows.append(len(y)) or grow(x, y, rng, depth=1))
+    x = packing.np.random.default_rng(4).normal(size=(6_000, len(rule_ensemble.FEATURES)))
+    assert rule_ensemble.fit_rows(x, (x[:, 0] > 0).astype(int)).rules and set(rows) == {6_000}
+
+
 def test_rules_awkward(spark):
     good = [(i, f"Plain words make a sentence here number {i}. And one more follows.") for i in range(200)]
     bad = [(1000 + i, f"JUNK!! {i}$$$ ### *** " * 5) for i in range(200)]
