@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .lookups import CategoryLookup, local_if_small
@@ -30,30 +30,40 @@ def frequency_encode(df: DataFrame, columns: list[str]) -> DataFrame:
     return CategoryLookup(frequency_table(df, columns), "freq").attach(df, {c: f"FREQ_{c}" for c in columns}, "0.0D")
 
 
+MOST_FOLDS = 1000
+
+
 def target_encode_oof(df: DataFrame, columns: list[str], target: str, fold: str, m: float = 20.0) -> DataFrame:
     """``TE_<column>``: smoothed target mean of the row's category over all other folds.
 
     (n * mean + m * prior) / (n + m), with n, mean and prior taken outside the row's own fold.
-    NULL categories and categories seen in no other fold give the prior.
+    NULL categories and categories seen in no other fold give the prior. One aggregation counts every category with its
+    totals per fold side by side; the priors are a literal per fold, of which there are at most ``MOST_FOLDS``.
     """
     y = F.col(target).cast("double")
+    rows = df.groupBy(fold).agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("s")).limit(MOST_FOLDS + 1).collect()
+    if len(rows) > MOST_FOLDS:
+        raise ValueError(f"more than {MOST_FOLDS} folds in {fold}")
+    all_n, all_s = sum(r["n"] for r in rows), sum(r["s"] or 0.0 for r in rows)
+    priors = {r[fold]: (all_s - (r["s"] or 0.0)) / (all_n - r["n"]) if all_n > r["n"] else None for r in rows if r[fold] is not None}
+    at = lambda k: F.col(fold) == F.lit(k)
     cells = category_counts(
-        df.select(fold, target, *columns), columns, F.count(F.lit(1)).alias("n"), F.sum(y).alias("s"), by=(fold,)
-    )
-    cells = local_if_small(cells)
-    totals = cells.groupBy("feature", "category").agg(F.sum("n").alias("n_t"), F.sum("s").alias("s_t"))
-    folds = local_if_small(df.groupBy(fold).agg(F.count(F.lit(1)).alias("fn"), F.sum(y).alias("fs")))
-    everything = Window.partitionBy(F.lit(0))  # over the fold table: one row per fold
-    other_n = F.sum("fn").over(everything) - F.col("fn")
-    other_s = F.sum("fs").over(everything) - F.col("fs")
-    priors = folds.select(F.col(fold).alias("_pf"), F.when(other_n > 0, other_s / other_n).alias("_prior"))
-    own = cells.join(totals, ["feature", "category"]).join(F.broadcast(priors), F.col(fold) == F.col("_pf")).select(
-        "feature", "category", fold,
-        ((F.col("s_t") - F.col("s") + F.col("_prior") * m) / (F.col("n_t") - F.col("n") + F.lit(m))).alias("te"),
+        df.select(fold, target, *columns), columns, F.count(F.lit(1)).alias("n"), F.sum(y).alias("s"),
+        *[x for i, k in enumerate(priors) for x in (F.count_if(at(k)).alias(f"n{i}"), F.sum(F.when(at(k), y)).alias(f"s{i}"))],
     )
-    tagged = df.join(F.broadcast(priors), F.col(fold) == F.col("_pf"), "left").drop("_pf")
-    lookup = CategoryLookup(own, "te", by=fold)
-    return lookup.attach(tagged, {c: f"TE_{c}" for c in columns}, "_prior").drop("_prior")
+    kind = dict(df.dtypes)[fold]
+    others = [
+        F.when(F.col(f"n{i}") > 0, F.struct(
+            F.lit(k).cast(kind).alias(fold),
+            ((F.col("s") - F.coalesce(f"s{i}", F.lit(0.0)) + F.lit(p).cast("double") * m) / (F.col("n") - F.col(f"n{i}") + F.lit(m))).alias("te"),
+        ))
+        for i, (k, p) in enumerate(priors.items())
+    ]
+    none = f"CAST(NULL AS struct<`{fold}`: {kind}, te: double>)"
+    own = cells.select("feature", "category", F.explode(F.array_compact(F.array(*others, F.expr(none)))).alias("o")).select("feature", "category", f"o.{fold}", "o.te")
+    prior = F.coalesce(*[F.when(at(k), F.lit(p)) for k, p in priors.items()], F.lit(None).cast("double"))
+    lookup = CategoryLookup(local_if_small(own), "te", by=fold)
+    return lookup.attach(df.withColumn("_prior", prior), {c: f"TE_{c}" for c in columns}, "_prior").drop("_prior")
 
 
 def category_code_table(df: DataFrame, columns: list[str]) -> DataFrame:

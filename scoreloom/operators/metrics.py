@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from ..functions.aggregates import dbl, ratio
 from .binning import number, quantile_edges, right_closed_bin
 from .features import numeric_columns
-from .ranking import discrimination
+from .ranking import discrimination, discrimination_of_groups
 
 THRESHOLDS = (0.3, 0.4, 0.5, 0.6, 0.7)
 LGD = 0.45
+REACH = 39  # bandwidths; exp(-39 ** 2 / 2) is below the smallest double
 
 
 def decile_table(df: DataFrame, score: str, target: str, q: int = 10) -> DataFrame:
@@ -184,17 +185,33 @@ def unpivot_text(df: DataFrame, columns: list[str], names: tuple[str, str], keep
     return df.select(*keep, *[F.col(c).cast("string").alias(c) for c in columns]).unpivot(keep, columns, *names)
 
 
+GROUPS_AT_ONCE = 64  # segment values that one ranking carries
+
+
 def segment_performance(
     df: DataFrame, segments: list[str], scores: dict[str, str], target: str, min_n: int = 0
 ) -> DataFrame:
-    """N, default rate, AUC and Gini per model and segment value in one plan.
+    """N, default rate, AUC and Gini per model and segment value.
 
-    Absent segment columns, NULL values, one-class groups and groups of at most ``min_n`` rows are left out.
+    One ranking per model serves all segment values; only with more than ``GROUPS_AT_ONCE`` of them rows are copied per
+    segment and ranked by value. Absent segment columns, NULL values, one-class groups and groups of at most ``min_n``
+    rows are left out.
     """
     segments = [s for s in segments if s in df.columns]
-    long = unpivot_text(df, segments, ("segment", "segment_value"), [target, *scores.values()])
-    by_model = _unpivot_scores(long, scores, [target, "segment", "segment_value"])
-    out = discrimination(by_model, "score", target, ["model", "segment", "segment_value"])
+    text = [F.col(s).cast("string").alias(s) for s in segments]
+    known = df.select(*text).groupBy(*segments).agg(F.lit(1)).limit(GROUPS_AT_ONCE ** 2).collect()
+    values = sorted({(s, r[s]) for r in known for s in segments if r[s] is not None})
+    if not values or len(values) > GROUPS_AT_ONCE or len(known) == GROUPS_AT_ONCE ** 2:
+        long = unpivot_text(df, segments, ("segment", "segment_value"), [target, *scores.values()])
+        by_model = _unpivot_scores(long, scores, [target, "segment", "segment_value"])
+        out = discrimination(by_model, "score", target, ["model", "segment", "segment_value"])
+    else:
+        named = df.select(target, *text, *[F.col(c).cast("double").alias(m) for m, c in scores.items()])
+        by_model = named.unpivot([target, *segments], list(scores), "model", "score")
+        groups = [(str(i), F.col(s) == v) for i, (s, v) in enumerate(values)]
+        out = discrimination_of_groups(by_model, "score", target, groups, ["model"])
+        name = lambda k: F.element_at(F.array(*[F.lit(x[k]) for x in values]), F.col("group").cast("int") + 1)
+        out = out.withColumns({"segment": name(0), "segment_value": name(1)})
     return out.where(F.col("auc").isNotNull() & (F.col("n") > min_n)).select(
         "model", "segment", "segment_value", "n",
         (dbl(F.col("n_pos")) / F.col("n")).alias("default_rate"),
@@ -238,7 +255,8 @@ def score_overlap(df: DataFrame, scores: dict[str, str], target: str, points: in
     """Overlap of the two class densities: integral of min(f_good, f_bad) over [0, 1], Gaussian kernels.
 
     Every task adds the kernels of its own distinct scores to one vector of ``points`` values per
-    (model, class), so tasks emit grid rows and never score x grid rows.
+    (model, class), so tasks emit grid rows and never score x grid rows. A kernel is exactly 0 in double precision beyond
+    ``REACH`` bandwidths, so sorted scores are added to the grid points within their reach only.
     """
     long = _unpivot_scores(df, scores, [target]).where(F.col("score").isNotNull() & F.col(target).isin(0, 1))
     stats = long.groupBy("model", F.col(target).cast("int").alias("cls")).agg(
@@ -255,10 +273,13 @@ def score_overlap(df: DataFrame, scores: dict[str, str], target: str, points: in
                 if h <= 0:
                     continue
                 total = acc.setdefault(key, np.zeros(points))
+                part = part.sort_values("score")
                 x, w = part["score"].to_numpy(), part["k"].to_numpy()
-                for at in range(0, len(x), 2000):
-                    u = (grid[:, None] - x[None, at:at + 2000]) / h
-                    total += np.exp(-0.5 * u * u) @ w[at:at + 2000] / (n * h * np.sqrt(2 * np.pi))
+                for at in range(0, len(x), 500):
+                    near = x[at:at + 500]
+                    lo, hi = np.searchsorted(grid, [near[0] - REACH * h, near[-1] + REACH * h])
+                    u = (grid[lo:hi, None] - near[None, :]) / h
+                    total[lo:hi] += np.exp(-0.5 * u * u) @ w[at:at + 500] / (n * h * np.sqrt(2 * np.pi))
         for (model, cls), total in acc.items():
             yield pd.DataFrame({"model": model, "cls": cls, "point": np.arange(points), "f": total})
 

@@ -1,21 +1,27 @@
 """Exact ranking over data of any size.
 
-Every value is placed in a cell by a monotone function of the value, and cells that hold more than
-``CELL_ROWS`` rows are split between their own smallest and largest value. Offsets of cells are prefix
-sums over the small cell table; rows collapse to distinct values (map-side combine absorbs any repeated
-value) and are ranked inside their cell. No window ever covers a whole key, and because cells depend
-only on the values, recomputing a lost task always gives the same placement. NaN counts as NULL.
+Every value is placed in a cell by a monotone function of the value. The table of cells (rows, smallest and largest
+value, totals) is counted once and stored; cells with too many rows are sliced between their own smallest and largest
+value, again and again, until each fits or holds one value. Offsets of cells are prefix sums over the cell table. A large
+cell of one value is ranked by the table alone; the rows of all others are exchanged once, by cell, and that exchange
+serves both the grouping by value and the order inside the cell. No window ever covers a whole key, and because cells
+depend only on the values, recomputing a lost task always gives the same placement. NaN counts as NULL.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
 from .lookups import local_if_small
 
 CELLS_PER_DECADE = 5000
-CELL_ROWS = 500_000  # rows of a cell beyond which it is split; at most rows / CELL_ROWS cells are broadcast
+CELL_ROWS = 50_000  # rows of a cell beyond which it is split, or the share of all rows below, if that is more
+CROWDED_CELLS = 50_000  # cells that are split at once at most; they are broadcast
+SLICES = 64  # of a crowded cell, at least
 _EXPONENT_SHIFT = 330  # above the largest decimal exponent of a double, keeps cell numbers positive
 
 
@@ -37,26 +43,66 @@ def number_of(df: DataFrame, column: str) -> Column | None:
     return None if kind.startswith(("string", "varchar", "char")) else x.cast("double")
 
 
-def with_cells(rows: DataFrame, keys: list[str], value: str, cell: Column | None = None) -> DataFrame:
-    """Add ``_cell``, a struct in the order of the values: the grid cell, and the part of it for crowded cells.
+class Cells(NamedTuple):
+    """Rows with ``_cell``, the stored table of cells with ``_rows``, ``_first``, ``_last`` and the totals, and the rows
+    that only a cell of one value may exceed (None if no cell does)."""
+
+    rows: DataFrame
+    table: DataFrame
+    limit: int | None
 
-    Parts of numbers are equal slices of the cell's own range; parts of text are the two characters after what its
-    smallest and largest value have in common. Values that are not NULL are expected.
+
+def settled_cells(
+    rows: DataFrame, keys: list[str], value: str, totals: dict[str, Column] | None = None, cell: Column | None = None,
+    extra: dict[str, Column] | None = None,
+) -> Cells:
+    """Cells in the order of the values, split until each holds at most ``limit`` rows or a single value.
+
+    A slice of numbers is an equal part of the cell's own range, a slice of text the two characters after what its
+    smallest and largest value have in common; either way both ends part, so the splitting ends. Values that are not
+    NULL are expected, unless ``cell`` has a place for them. ``extra`` are further aggregates of the cell table.
     """
+    aggregates = [F.sum(t).alias(n) for n, t in (totals or {}).items()] + [x.alias(n) for n, x in (extra or {}).items()]
     number = number_of(rows, value)
     if cell is None:
         cell = F.substring(value, 1, 3) if number is None else value_cell(number)
-    based = rows.withColumns({"_grid": cell, "_v": F.col(value) if number is None else number})
-    crowded = based.groupBy(*keys, "_grid").agg(F.count(F.lit(1)).alias("_rows"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    crowded = F.broadcast(crowded.where((F.col("_rows") > CELL_ROWS) & (F.col("_lo") < F.col("_hi"))))
-    if number is None:
-        same = "aggregate(sequence(1, greatest(1, length(_lo))), 0, (n, i) -> IF(n = i - 1 AND substr(_lo, i, 1) = substr(_hi, i, 1), i, n))"
-        part = F.expr(f"CASE WHEN _rows IS NULL THEN '' ELSE substr(_v, 1 + {same}, 2) END")
-    else:
-        inside = "_rows IS NOT NULL AND _hi - _lo < double('infinity')"
-        part = F.expr(f"CASE WHEN {inside} THEN bigint(floor((_v - _lo) / (_hi - _lo) * ceil(_rows / {CELL_ROWS}))) ELSE 0L END")
-    joined = based.join(crowded, [*keys, "_grid"], "left")
-    return joined.withColumn("_cell", F.struct(F.col("_grid"), part.alias("_part"))).drop("_grid", "_v", "_rows", "_lo", "_hi")
+    v = F.col(value) if number is None else number
+
+    def counted(df: DataFrame) -> DataFrame:
+        ends = [F.min(v).alias("_lo"), F.max(v).alias("_hi"), F.min(value).alias("_first"), F.max(value).alias("_last")]
+        return stored(df.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_rows"), *ends, *aggregates), "cells")
+
+    rows = rows.withColumn("_cell", cell)
+    table = counted(rows)
+    seen, most = table.agg(F.sum("_rows"), F.max("_rows")).first()
+    limit = max(CELL_ROWS, (seen or 0) // CROWDED_CELLS)
+    if (most or 0) <= limit:
+        return Cells(rows, table, None)
+    full = f"_rows > {limit} AND _lo < _hi" + ("" if number is None else " AND _hi - _lo < double('infinity')")
+    kind = "string" if number is None else "long"
+    path = F.array(F.col("_cell").cast(kind))
+    rows, table, depth = rows.withColumn("_cell", path), table.withColumn("_cell", path), 1
+    crowded = table.where(full)
+    while not crowded.isEmpty():
+        ends = F.broadcast(crowded.select(*keys, "_cell", "_rows", "_lo", "_hi"))  # at most CROWDED_CELLS rows
+        if number is None:
+            same = "aggregate(sequence(1, greatest(1, length(_lo))), 0, (n, i) -> IF(n = i - 1 AND substr(_lo, i, 1) = substr(_hi, i, 1), i, n))"
+            part = F.expr(f"substr(`{value}`, 1 + {same}, 2)")
+        else:
+            part = F.floor((v - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.expr(f"greatest({SLICES}, 2 * ceil(_rows / {limit}))")).cast("long")
+        inside = F.col("_rows").isNotNull()
+        rows = rows.join(ends, [*keys, "_cell"], "left").withColumn("_cell", F.when(inside, F.concat("_cell", F.array(part))).otherwise(F.col("_cell")))
+        rows = rows.drop("_rows", "_lo", "_hi")
+        depth += 1
+        finer = counted(rows.where(F.size("_cell") == depth))
+        table = table.where(f"NOT coalesce(size(_cell) = {depth - 1} AND {full}, false)").unionByName(finer)
+        crowded = finer.where(full)
+    return Cells(rows, table, limit)
+
+
+def with_cells(rows: DataFrame, keys: list[str], value: str, cell: Column | None = None) -> DataFrame:
+    """Rows with their settled ``_cell``."""
+    return settled_cells(rows, keys, value, None, cell).rows
 
 
 def present(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -72,34 +118,43 @@ def cumulate(
     """One row per (keys, value) with each total ``t``, its ``<t>_before`` (sum over strictly smaller values
     of the key) and ``<t>_all``; rows with a NULL or NaN key or value are left out.
 
-    ``cell`` must not decrease as the value grows; the default fits numbers, dates, timestamps and text. The
-    cell table comes from the rows themselves: its map-side combine leaves a few thousand cells per key and
-    task, so the large set of distinct values is shuffled for the ranking alone.
+    ``cell`` must not decrease as the value grows; the default fits numbers, dates, timestamps and text. Totals are
+    computed behind the exchange, so the rows that travel hold no more than the columns which the totals read.
     """
-    given = present(rows, [*keys, value])
-    based = given.select(*keys, value, *([cell.alias("_given")] if cell is not None else []), *[t.alias(name) for name, t in totals.items()])
-    base = with_cells(based, keys, value, F.col("_given") if cell is not None else None)
+    return cumulate_cells(settled_cells(present(rows, [*keys, value]), keys, value, totals, cell), keys, value, totals)
+
+
+def cumulate_cells(cells: Cells, keys: list[str], value: str, totals: dict[str, Column]) -> DataFrame:
+    """``cumulate`` over settled cells, whose table holds the totals."""
     names = list(totals)
-    cells = base.groupBy(*keys, "_cell").agg(*[F.sum(t).alias(f"_c_{t}") for t in names])
-    # A key has at most as many cells as the grid: these windows run over the cell table, not the data.
+    # A key has at most as many cells as the grid and its splits: these windows run over the cell table, not the data.
     by_key = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     upto = by_key.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cells = cells.select(
-        *keys, "_cell",
-        *[(F.sum(f"_c_{t}").over(upto) - F.col(f"_c_{t}")).alias(f"_o_{t}") for t in names],
-        *[F.sum(f"_c_{t}").over(by_key).alias(f"{t}_all") for t in names],
+    table = cells.table.select(
+        *keys, "_cell", "_rows", "_first", "_last", *names,
+        *[(F.sum(t).over(upto) - F.col(t)).alias(f"_o_{t}") for t in names],
+        *[F.sum(t).over(by_key).alias(f"{t}_all") for t in names],
     )
-    counts = base.groupBy(*keys, "_cell", value).agg(*[F.sum(t).alias(t) for t in names])
+    base, alone = cells.rows, None
+    if cells.limit is not None:
+        one = (F.col("_rows") > cells.limit) & (F.col("_first") == F.col("_last"))
+        # At most rows / limit cells, hence CROWDED_CELLS.
+        base = base.join(F.broadcast(cells.table.where(one).select(*keys, "_cell")), [*keys, "_cell"], "left_anti")
+        alone = table.where(one).select(
+            *keys, F.col("_first").alias(value), *names, *[F.col(f"_o_{t}").alias(f"{t}_before") for t in names], *[f"{t}_all" for t in names]
+        )
+    counts = base.repartition(*keys, "_cell").groupBy(*keys, "_cell", value).agg(*[F.sum(t).alias(n) for n, t in totals.items()])
     inner = (
         Window.partitionBy(*keys, "_cell").orderBy(value)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     ranked = counts.select("*", *[(F.sum(t).over(inner) - F.col(t)).alias(f"_i_{t}") for t in names])
-    return ranked.join(cells, [*keys, "_cell"]).select(
+    ranked = ranked.join(table.select(*keys, "_cell", *[f"_o_{t}" for t in names], *[f"{t}_all" for t in names]), [*keys, "_cell"]).select(
         *keys, value, *names,
         *[(F.col(f"_o_{t}") + F.col(f"_i_{t}")).alias(f"{t}_before") for t in names],
         *[f"{t}_all" for t in names],
     )
+    return ranked if alone is None else ranked.unionByName(alone)
 
 
 def ranked_scores(df: DataFrame, keys: list[str], score: str, target: str) -> DataFrame:
@@ -138,6 +193,30 @@ def discrimination(df: DataFrame, score: str, target: str, keys: list[str] | Non
     )
 
 
+def discrimination_of_groups(df: DataFrame, score: str, target: str, groups: list[tuple[str, Column]], keys: list[str]) -> DataFrame:
+    """(keys, group, n, n_pos, auc, gini) of named, possibly overlapping groups of rows, from one ranking per key.
+
+    The ranking carries positives and negatives of every group, so no row is copied per group; ``groups`` are few.
+    """
+    y, totals = F.col(target), {}
+    for i, (_, inside) in enumerate(groups):
+        totals[f"p{i}"] = F.when(inside & (y == 1), 1).otherwise(0)
+        totals[f"n{i}"] = F.when(inside & (y == 0), 1).otherwise(0)
+    any_group = F.lit(False)
+    for _, inside in groups:
+        any_group = any_group | F.coalesce(inside, F.lit(False))
+    r = cumulate(df.where(y.isNotNull() & any_group), keys, score, totals)
+    d = lambda name: F.col(name).cast("double")
+    row = r.groupBy(*keys).agg(*[
+        F.struct(F.max(f"p{i}_all").alias("p"), F.max(f"n{i}_all").alias("n"), F.sum(d(f"p{i}") * (d(f"n{i}_before") + d(f"n{i}") / 2)).alias("w")).alias(f"g{i}")
+        for i in range(len(groups))
+    ])
+    per = F.explode(F.array(*[F.struct(F.lit(name).alias("group"), F.col(f"g{i}.p"), F.col(f"g{i}.n"), F.col(f"g{i}.w")) for i, (name, _) in enumerate(groups)]))
+    row = row.select(*keys, per.alias("g")).select(*keys, "g.*").where("p + n > 0")
+    auc = F.when((F.col("p") > 0) & (F.col("n") > 0), F.col("w") / (d("p") * d("n")))
+    return row.select(*keys, "group", (F.col("p") + F.col("n")).alias("n"), F.col("p").alias("n_pos"), auc.alias("auc"), (auc * 2 - 1).alias("gini"))
+
+
 def roc_points(df: DataFrame, score: str, target: str, keys: list[str] | None = None) -> DataFrame:
     """One point per distinct score: shares of negatives and positives at or above it."""
     keys = keys or []
@@ -182,8 +261,8 @@ def exact_quantiles(df: DataFrame, features: list[str], probs: list[float], keys
         keys, features, "feature", "value"
     )
     by = [*keys, "feature"]
-    long = with_cells(present(long, ["value"]), by, "value")
-    cells = long.groupBy(*by, "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    long, cells, _ = settled_cells(present(long, ["value"]), by, "value")
+    cells = cells.withColumnRenamed("_rows", "_n")
     of_key = Window.partitionBy(*by)  # over the cell table
     upto = of_key.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cells = cells.select(
@@ -220,6 +299,24 @@ def _with_wanted(counted: DataFrame, probs: list[float]) -> DataFrame:
     )
 
 
+def bounds(rows: DataFrame, keys: list[str], value: str, wanted: str) -> DataFrame:
+    """(keys, bound): the largest value with fewer than ``wanted`` smaller rows in its key; absent where that is none.
+
+    ``wanted`` is SQL over ``_all``, the rows of the key. Rows up to the bound are the first ``wanted`` (and the ties of
+    the last). Cells are counted for all rows, and only those of one cell per key are put in order.
+    """
+    cells = settled_cells(present(rows, [*keys, value]), keys, value)
+    by_key = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))  # over the cell table
+    upto = by_key.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    table = cells.table.withColumns({"_before": F.sum("_rows").over(upto) - F.col("_rows"), "_all": F.sum("_rows").over(by_key)})
+    table = table.withColumn("_wanted", F.expr(f"least(_all, {wanted})")).where("_before < _wanted AND _wanted <= _before + _rows")
+    picked = local_if_small(table.select(*keys, "_cell", "_before", "_wanted"))
+    found = cells.rows.join(picked, [*keys, "_cell"]).groupBy(*keys, value, "_before", "_wanted").agg(F.count(F.lit(1)).alias("_n"))
+    inner = by_key.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = found.withColumn("_before", F.col("_before") + F.sum("_n").over(inner) - F.col("_n")).where("_before < _wanted")
+    return found.groupBy(*keys).agg(F.max(value).alias("bound"))
+
+
 def approx_quantiles(df: DataFrame, features: list[str], probs: list[float], accuracy: int = 10000) -> DataFrame:
     """Same shape from bounded sketches: one pass without unpivoting, for very wide or very large inputs."""
     row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, accuracy).alias(c) for c in features])

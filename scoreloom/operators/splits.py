@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import cumulate
+from .lookups import local_if_small
+from .ranking import bounds, cumulate, present
 
 SEED = 42
 
@@ -40,24 +41,27 @@ def _token(key: str, seed: int) -> Column:
     return F.concat(hash_token(key, seed), F.lit("|"), F.col(key).cast("string"))
 
 
-def _attach(df: DataFrame, ranks: DataFrame, key: str, target: str, seed: int, how: str = "inner") -> DataFrame:
-    """Join per-key results of ``class_rank`` back to the rows."""
+def _first_of_class(df: DataFrame, key: str, target: str, share: str, seed: int) -> tuple[DataFrame, Column]:
+    """Rows with ``_bound``, and whether a row is among the first round(share * class size) keys of its class in hash order.
+
+    Only the last token taken of each class is looked up; the rows themselves are compared with it where they are.
+    """
     tagged = df.withColumns({"_t": _class(target), "_token": _token(key, seed)})
-    return tagged.join(ranks, ["_t", "_token"], how).drop("_t", "_token")
+    last = bounds(tagged.select("_t", "_token"), ["_t"], "_token", f"round(_all * {share}, 0)").withColumnRenamed("bound", "_bound")
+    return tagged.join(local_if_small(last), "_t", "left"), F.coalesce(F.col("_token") <= F.col("_bound"), F.lit(False))
 
 
 def stratified_split(df: DataFrame, key: str, target: str, test_share: float = 0.2, seed: int = SEED) -> DataFrame:
-    """``is_test``: exactly round(share * class size) keys of each class, chosen by hash order."""
-    r = class_rank(df, key, target, seed).select(
-        "_t", "_token", (F.col("_rank") < F.round(F.col("_size") * F.lit(test_share), 0)).cast("int").alias("is_test"),
-    )
-    return _attach(df, r, key, target, seed)
+    """``is_test``: exactly round(share * class size) keys of each class, chosen by hash order. Rows without a key are left out."""
+    rows, taken = _first_of_class(df.where(F.col(key).isNotNull()), key, target, f"{float(test_share)!r}D", seed)
+    return rows.withColumn("is_test", taken.cast("int")).drop("_t", "_token", "_bound")
 
 
 def stratified_folds(df: DataFrame, key: str, target: str, k: int = 5, seed: int = SEED) -> DataFrame:
     """``fold`` 0..k-1 with class sizes equal up to one key."""
     r = class_rank(df, key, target, seed).select("_t", "_token", (F.col("_rank") % k).cast("int").alias("fold"))
-    return _attach(df, r, key, target, seed)
+    tagged = df.withColumns({"_t": _class(target), "_token": _token(key, seed)})
+    return tagged.join(r, ["_t", "_token"]).drop("_t", "_token")
 
 
 def hash_split(df: DataFrame, key: str, share: float, seed: int = SEED, out: str = "is_test") -> DataFrame:
@@ -71,21 +75,23 @@ def hash_folds(df: DataFrame, key: str, k: int = 5, seed: int = SEED) -> DataFra
 
 
 def ordered_split(df: DataFrame, order: str, test_share: float = 0.2) -> DataFrame:
-    """``is_test`` = 1 for the last share of rows by a unique order column: a number, date, timestamp or text."""
-    r = cumulate(df, [], order, {"_n": F.lit(1)}).select(
-        F.col(order).alias("_o"),
-        (F.col("_n_before") >= F.floor(F.col("_n_all") * F.lit(1.0 - test_share))).cast("int").alias("is_test"),
-    )
-    return df.join(r, df[order] == F.col("_o")).drop("_o")
+    """``is_test`` = 1 for the last share of rows by a unique order column: a number, date, timestamp or text.
+
+    The last training value is one literal, found among the rows of a single cell; no row is moved to be split.
+    """
+    rows = present(df, [order])
+    last = bounds(rows, [], order, f"floor(_all * {1.0 - test_share!r}D)").select("bound").collect()
+    if not last or last[0]["bound"] is None:
+        return rows.withColumn("is_test", F.lit(1))
+    return rows.withColumn("is_test", (F.col(order) > F.lit(last[0]["bound"])).cast("int"))
 
 
 def stratified_sample(df: DataFrame, key: str, target: str, n: int, seed: int = SEED) -> DataFrame:
     """About ``n`` rows with the class shares kept: exact per-class quotas by hash order."""
-    r = class_rank(df, key, target, seed)
     total = df.count()
     quota = min(1.0, n / total) if total else 0.0
-    kept = r.where(F.col("_rank") < F.round(F.col("_size") * F.lit(quota), 0)).select("_t", "_token")
-    return _attach(df, kept, key, target, seed, "left_semi")
+    rows, taken = _first_of_class(df, key, target, f"{quota!r}D", seed)
+    return rows.where(taken).drop("_t", "_token", "_bound")
 
 
 def class_counts(df: DataFrame, target: str) -> tuple[int, int]:

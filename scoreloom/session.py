@@ -59,3 +59,11 @@ def reliable(df):
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(root)
     return df.checkpoint(eager=True)
+
+
+def stored(df, name):
+    """Write a frame that several later jobs read below the checkpoint folder, and read it again."""
+    spark = df.sparkSession
+    path = fresh_checkpoint_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
