@@ -69,11 +69,17 @@ def named(outputs: dict[str, str]) -> list[Column]:
 class Rollup:
     """Collects per-child partials; each method returns the applicant-level merged expression.
 
-    Sums are weighted by ``p_copies``, the number of times the parent lists the loan for the applicant.
+    Sums are weighted by ``p_copies``, the number of times the parent lists the loan for the applicant. ``prefix`` keeps
+    the partials of several child tables apart when their rows are merged together.
     """
 
-    def __init__(self) -> None:
-        self._partials: dict[str, str] = {}
+    def __init__(self, prefix: str = "") -> None:
+        self.p = f"p_{prefix}"
+        self._partials: dict[str, str] = {f"{self.p}here": "max(1)"}
+
+    def loans(self) -> str:
+        """Number of distinct child keys: rows that carry partials of this child table."""
+        return f"count({self.p}here)"
 
     def partials(self) -> list[Column]:
         return named(self._partials)
@@ -83,22 +89,22 @@ class Rollup:
         return f"sum({name} * p_copies)" if merge == "sum" else f"{merge}({name})"
 
     def rows(self) -> str:
-        return self._keep("p_rows", "count(1)", "sum")
+        return self._keep(f"{self.p}rows", "count(1)", "sum")
 
     def count_if(self, name: str, p: str) -> str:
-        return self._keep(f"p_{name}_hits", f"count_if({p})", "sum")
+        return self._keep(f"{self.p}{name}_hits", f"count_if({p})", "sum")
 
     def count(self, name: str, x: str) -> str:
-        return self._keep(f"p_{name}_n", f"count({x})", "sum")
+        return self._keep(f"{self.p}{name}_n", f"count({x})", "sum")
 
     def sum(self, name: str, x: str) -> str:
-        return self._keep(f"p_{name}_sum", f"sum({x})", "sum")
+        return self._keep(f"{self.p}{name}_sum", f"sum({x})", "sum")
 
     def min(self, name: str, x: str) -> str:
-        return self._keep(f"p_{name}_min", f"min({x})", "min")
+        return self._keep(f"{self.p}{name}_min", f"min({x})", "min")
 
     def max(self, name: str, x: str) -> str:
-        return self._keep(f"p_{name}_max", f"max({x})", "max")
+        return self._keep(f"{self.p}{name}_max", f"max({x})", "max")
 
     def avg(self, name: str, x: str) -> str:
         return mean_of(self.sum(name, x), self.count(name, x))
@@ -106,24 +112,43 @@ class Rollup:
     def std(self, name: str, x: str) -> str:
         """Sample deviation over all rows from count, mean and centred square sum of each child key.
 
-        The part between child keys is a sum over (mean - centre) squared. It is taken from exact integer sums of
-        millionths, so nothing cancels however far the values lie from zero. Means beyond 1e13 do not fit and fall
-        back to doubles.
+        The part between child keys is a sum over (mean - centre) squared. Each mean is split exactly into whole steps
+        of 2**-20 and the rest of a step in units of 2**-60; sums of their products are exact decimals, and the centre,
+        a whole step, is taken off before anything becomes a double. So nothing cancels however far the values lie from
+        zero, and spreads down to 1e-14 are kept. Means beyond 6e10 do not fit and fall back to doubles.
         """
         n = self.count(name, x)
-        mean, inner, micro = f"p_{name}_mean", f"p_{name}_m2", f"p_{name}_micro"
+        mean, inner, hi, lo = (f"{self.p}{name}_{part}" for part in ("mean", "m2", "hi", "lo"))
+        steps = f"avg({double(x)}) * 1048576D"
+        fits = f"abs(avg({double(x)})) < 6e10D"
         self._partials.setdefault(mean, f"avg({double(x)})")
         self._partials.setdefault(inner, f"var_pop({double(x)}) * count({x})")
-        self._partials.setdefault(micro, f"try_cast(round(avg({double(x)}) * 1e6D) AS DECIMAL(20, 0))")
-        rows = f"CAST(p_{name}_n * p_copies AS DECIMAL(18, 0))"
-        s, q = f"try_sum(try_multiply({micro}, {rows}))", f"try_sum(try_multiply(try_multiply({micro}, {micro}), {rows}))"
-        count = f"CAST({n} AS DECIMAL(18, 0))"
-        centre = f"try_cast(round(CAST({s} AS DOUBLE) / CAST({n} AS DOUBLE)) AS DECIMAL(20, 0))"
-        twice = f"try_multiply(try_multiply({centre}, {s}), CAST(2 AS DECIMAL(1, 0)))"
-        around = f"try_add(try_subtract({q}, {twice}), try_multiply(try_multiply({centre}, {centre}), {count}))"
-        off = f"CAST(try_subtract({s}, try_multiply({centre}, {count})) AS DOUBLE)"
-        exact = f"(CAST({around} AS DOUBLE) - {off} * {off} / {double(n)}) * 1e-12D"
-        weighted = f"sum({mean} * p_{name}_n * p_copies)"
-        rough = f"sum({mean} * {mean} * p_{name}_n * p_copies) - {weighted} * {weighted} / {double(n)}"
-        between = f"greatest(0.0D, coalesce({exact}, {rough}))"
+        self._partials.setdefault(hi, f"CASE WHEN {fits} THEN CAST(floor({steps}) AS DECIMAL(17, 0)) END")
+        self._partials.setdefault(lo, f"CASE WHEN {fits} THEN CAST(floor(({steps} - floor({steps})) * 1099511627776D) AS DECIMAL(13, 0)) END")
+        rows = f"CAST({self.p}{name}_n * p_copies AS DECIMAL(18, 0))"
+        total = lambda *factors: f"try_sum({_product(*factors, rows)})"
+        count, whole = f"CAST({n} AS DECIMAL(18, 0))", "DECIMAL(20, 0)"
+        s, rest = total(hi), f"CAST({total(lo)} AS DOUBLE) * {_UNIT}"
+        centre = f"try_cast(round(CAST({s} AS DOUBLE) / CAST({n} AS DOUBLE)) AS {whole})"
+        twice = _product(centre, s, "CAST(2 AS DECIMAL(1, 0))")
+        around = f"CAST(try_add(try_subtract({total(hi, hi)}, {twice}), {_product(centre, centre, count)}) AS DOUBLE)"
+        cross = f"CAST(try_subtract({total(hi, lo)}, {_product(centre, total(lo))}) AS DOUBLE) * 2 * {_UNIT}"
+        small = f"CAST({total(lo, lo)} AS DOUBLE) * {_UNIT} * {_UNIT}"
+        off = f"(CAST(try_subtract({s}, {_product(centre, count)}) AS DOUBLE) + {rest})"
+        exact = f"({around} + {cross} + {small} - {off} * {off} / {double(n)}) / 1099511627776D"
+        weighted = f"sum({mean} * {self.p}{name}_n * p_copies)"
+        rough = f"sum({mean} * {mean} * {self.p}{name}_n * p_copies) - {weighted} * {weighted} / {double(n)}"
+        fit = f"count({mean}) = count({hi})"
+        between = f"greatest(0.0D, coalesce(CASE WHEN {fit} THEN {exact} END, {rough}))"
         return f"CASE WHEN {n} > 1 THEN sqrt((coalesce(sum({inner} * p_copies), 0.0D) + {between}) / ({double(n)} - 1)) END"
+
+
+_UNIT = "9.094947017729282e-13D"  # 2 ** -40
+
+
+def _product(*factors: str) -> str:
+    """Exact product of decimals, NULL where it does not fit."""
+    out = factors[0]
+    for f in factors[1:]:
+        out = f"try_multiply({out}, {f})"
+    return out

@@ -26,10 +26,46 @@ def _owners(parent: DataFrame, key: str) -> DataFrame:
     return parent.select(key, APPLICANT).repartition(key).groupBy(key, APPLICANT).agg(F.count(F.lit(1)).alias("p_copies"))
 
 
-def _per_applicant(child: DataFrame, loans: DataFrame, roll: Rollup, outputs: dict[str, str]) -> DataFrame:
-    """One row per (loan, applicant) after the join, hence ``count(1)`` is the number of distinct loans."""
-    per_loan = child.groupBy(LOAN).agg(*roll.partials())
-    return per_loan.join(_owners(loans, LOAN), LOAN).groupBy(APPLICANT).agg(*named(outputs))
+def _loan_rows(child: DataFrame, owners: DataFrame, roll: Rollup) -> DataFrame:
+    """Partials of a child table, one row per (loan, applicant)."""
+    return child.groupBy(LOAN).agg(*roll.partials()).join(owners, LOAN).drop(LOAN)
+
+
+def _per_applicant(child: DataFrame, loans: DataFrame, make) -> DataFrame:
+    r = Rollup()
+    outputs = make(r)
+    return _loan_rows(child, _owners(loans, LOAN), r).groupBy(APPLICANT).agg(*named(outputs))
+
+
+def loan_rows(
+    loans: DataFrame, cards: DataFrame | None = None, payments: DataFrame | None = None, snapshots: DataFrame | None = None
+) -> DataFrame | None:
+    """Rows per (loan, applicant) of all given child tables, each with the partials of its own table; None without any.
+
+    The owners of the loans are the same frame for all, so they are dealt once.
+    """
+    owners, out = _owners(loans, LOAN), None
+    for child, (prefix, make) in zip((cards, payments, snapshots), _LOAN_TABLES, strict=True):
+        if child is not None:
+            r = Rollup(prefix)
+            make(r)
+            part = _loan_rows(child, owners, r)
+            out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+def loan_histories(rows: DataFrame) -> DataFrame:
+    """The card, instalment and point-of-sale features of ``loan_rows`` from one grouping by applicant.
+
+    Features of a table in which an applicant has no row are NULL, as if each had been joined by itself.
+    """
+    outputs: dict[str, str] = {}
+    for prefix, make in _LOAN_TABLES:
+        r = Rollup(prefix)
+        made = make(r)
+        if f"{r.p}here" in rows.columns:
+            outputs |= {name: f"CASE WHEN {r.loans()} > 0 THEN {x} END" for name, x in made.items()}
+    return rows.groupBy(APPLICANT).agg(*named(outputs))
 
 
 def bureau_history(bureau: DataFrame) -> DataFrame:
@@ -58,7 +94,7 @@ def bureau_history(bureau: DataFrame) -> DataFrame:
         "active_loans_last_12m": f"count_if({recent} AND {active})",
         "avg_debt_last_12m": avg_if(recent, "AMT_CREDIT_SUM_DEBT"),
         "overdue_amount_last_12m": double(sum0_if(recent, "AMT_CREDIT_SUM_OVERDUE")),
-        "bureau_credit_type_count": "count(DISTINCT CREDIT_TYPE)",
+        "bureau_credit_type_count": "bigint(size(collect_set(CREDIT_TYPE)))",
         "avg_bureau_annuity": avg("AMT_ANNUITY"),
         "bureau_day_overdue_count": "count_if(CREDIT_DAY_OVERDUE > 0)",
         "max_bureau_day_overdue": "max(CREDIT_DAY_OVERDUE)",
@@ -66,11 +102,10 @@ def bureau_history(bureau: DataFrame) -> DataFrame:
     }))
 
 
-def bureau_balance_history(balance: DataFrame, bureau: DataFrame) -> DataFrame:
-    """Monthly status of external credits: history depth, delinquency mix, worst bucket.
+def account_rows(balance: DataFrame, bureau: DataFrame) -> DataFrame:
+    """Per (account, applicant) one row for each distinct month of the account; the first one carries its totals.
 
-    Rows collapse to one per account before the join; an account carries its distinct months, which
-    are as many as its history is long. Months of an applicant are counted from (applicant, month) pairs.
+    Raw rows collapse to one per account before the join; an account has as many months as its history is long.
     """
     accounts = balance.groupBy(ACCOUNT).agg(*named({
         "p_rows": "count(1)",
@@ -83,9 +118,16 @@ def bureau_balance_history(balance: DataFrame, bureau: DataFrame) -> DataFrame:
         "p_last": "max(MONTHS_BALANCE)",
         "p_months": "collect_set(MONTHS_BALANCE)",
     })).join(_owners(bureau, ACCOUNT), ACCOUNT)
-    stats = accounts.groupBy(APPLICANT).agg(*named({
+    totals = "struct(p_rows, p_dpd, p_closed, p_current, p_unknown, p_worst, p_first, p_last)"
+    rows = accounts.selectExpr(APPLICANT, "p_copies", f"{totals} AS t", "posexplode_outer(p_months) AS (_i, p_month)")
+    return rows.selectExpr(APPLICANT, "p_copies", "p_month", "CASE WHEN coalesce(_i, 0) = 0 THEN t END AS t").select(APPLICANT, "p_copies", "p_month", "t.*")
+
+
+def account_history(rows: DataFrame) -> DataFrame:
+    """Features of ``account_rows`` from one grouping by applicant: sets of months combine before they are exchanged."""
+    stats = rows.groupBy(APPLICANT).agg(*named({
         "bb_total_records": "sum(p_rows * p_copies)",
-        "bb_distinct_accounts": "count(1)",
+        "bb_distinct_accounts": "count(p_rows)",
         "bb_earliest_month": "min(p_first)",
         "bb_latest_month": "max(p_last)",
         "bb_dpd_count": "sum(p_dpd * p_copies)",
@@ -93,26 +135,26 @@ def bureau_balance_history(balance: DataFrame, bureau: DataFrame) -> DataFrame:
         "bb_current_count": "sum(p_current * p_copies)",
         "bb_unknown_count": "sum(p_unknown * p_copies)",
         "bb_worst_dpd_bucket": "max(p_worst)",
+        "bb_months_covered": "bigint(size(collect_set(p_month)))",
     }))
-    months = accounts.select(APPLICANT, F.explode("p_months").alias("_m")).distinct().groupBy(APPLICANT).agg(
-        F.count(F.lit(1)).alias("_months")
-    )
-    stats = stats.join(months, APPLICANT, "left").withColumn("bb_months_covered", F.coalesce("_months", F.lit(0))).drop("_months")
     return stats.select("*", *named({
         f"bb_{k}_ratio": f"round({share(f'bb_{k}_count', 'bb_total_records')}, 4)" for k in ("dpd", "closed", "current")
     }))
 
 
-def credit_card_history(cards: DataFrame, loans: DataFrame) -> DataFrame:
-    """Monthly card snapshots: utilisation, drawings, payments, days past due, trends."""
-    r = Rollup()
+def bureau_balance_history(balance: DataFrame, bureau: DataFrame) -> DataFrame:
+    """Monthly status of external credits: history depth, delinquency mix, worst bucket."""
+    return account_history(account_rows(balance, bureau))
+
+
+def _card_features(r: Rollup) -> dict[str, str]:
     balance, limit = "AMT_BALANCE", "AMT_CREDIT_LIMIT_ACTUAL"
     use = f"CASE WHEN {limit} > 0 THEN {double(balance)} / {double(limit)} END"
     recent, older = "MONTHS_BALANCE >= -6", "MONTHS_BALANCE < -6 AND MONTHS_BALANCE >= -18"
     when = lambda p, x: f"CASE WHEN {p} THEN {x} END"
     balance_6m = r.avg("bal6", when(recent, balance))
-    return _per_applicant(cards, loans, r, {
-        "cc_count": "count(1)",
+    return {
+        "cc_count": r.loans(),
         "cc_balance_records": r.rows(),
         "avg_cc_balance": r.avg("bal", balance),
         "max_cc_balance": double(r.max("bal", balance)),
@@ -135,12 +177,15 @@ def credit_card_history(cards: DataFrame, loans: DataFrame) -> DataFrame:
         "cc_dpd_last_12m": r.count_if("dpd12", "MONTHS_BALANCE >= -12 AND SK_DPD > 0"),
         "cc_balance_trend": f"({balance_6m}) - ({r.avg('balold', when(older, balance))})",
         "cc_utilisation_trend": f"({r.avg('use6', when(recent, use))}) - ({r.avg('useold', when(older, use))})",
-    })
+    }
 
 
-def installment_history(payments: DataFrame, loans: DataFrame) -> DataFrame:
-    """Scheduled payments: lateness, shortfall, recency, trend."""
-    r = Rollup()
+def credit_card_history(cards: DataFrame, loans: DataFrame) -> DataFrame:
+    """Monthly card snapshots: utilisation, drawings, payments, days past due, trends."""
+    return _per_applicant(cards, loans, _card_features)
+
+
+def _payment_features(r: Rollup) -> dict[str, str]:
     due_day, paid_day, due, paid = "DAYS_INSTALMENT", "DAYS_ENTRY_PAYMENT", "AMT_INSTALMENT", "AMT_PAYMENT"
     late, on_time = f"{paid_day} > {due_day}", f"{paid_day} <= {due_day}"
     recent, older = f"{due_day} >= -365", f"{due_day} < -365"
@@ -148,7 +193,7 @@ def installment_history(payments: DataFrame, loans: DataFrame) -> DataFrame:
     n_recent, late_recent = r.count_if("recent", recent), r.count_if("late12", f"{recent} AND {late}")
     n_older, late_older = r.count_if("older", older), r.count_if("lateold", f"{older} AND {late}")
     days_late, short = f"({paid_day} - {due_day})", f"({due} - {paid})"
-    return _per_applicant(payments, loans, r, {
+    return {
         "total_installments": n,
         "late_payments": n_late,
         "on_time_payments": r.count_if("ontime", on_time),
@@ -170,19 +215,22 @@ def installment_history(payments: DataFrame, loans: DataFrame) -> DataFrame:
         "late_ratio_trend": recent_minus_older(late_recent, n_recent, late_older, n_older),
         "early_payment_count": r.count_if("early", f"{paid_day} < {due_day} - 5"),
         "avg_days_early": r.avg("early", f"CASE WHEN {on_time} THEN {due_day} - {paid_day} END"),
-    })
+    }
 
 
-def pos_cash_history(snapshots: DataFrame, loans: DataFrame) -> DataFrame:
-    """Monthly point-of-sale and cash loan snapshots: completion, days past due, trend."""
-    r = Rollup()
+def installment_history(payments: DataFrame, loans: DataFrame) -> DataFrame:
+    """Scheduled payments: lateness, shortfall, recency, trend."""
+    return _per_applicant(payments, loans, _payment_features)
+
+
+def _snapshot_features(r: Rollup) -> dict[str, str]:
     past_due, recent, older = "SK_DPD > 0", "MONTHS_BALANCE >= -12", "MONTHS_BALANCE < -12"
     n, n_dpd = r.rows(), r.count_if("dpd", past_due)
     n_recent, dpd_recent = r.count_if("recent", recent), r.count_if("dpd12", f"{recent} AND {past_due}")
     n_older, dpd_older = r.count_if("older", older), r.count_if("dpdold", f"{older} AND {past_due}")
     completed = r.count_if("done", "NAME_CONTRACT_STATUS = 'Completed'")
-    loan_count, left = "count(1)", "CNT_INSTALMENT_FUTURE"
-    return _per_applicant(snapshots, loans, r, {
+    loan_count, left = r.loans(), "CNT_INSTALMENT_FUTURE"
+    return {
         "pos_loan_count": loan_count,
         "pos_balance_records": n,
         "completed_contracts": completed,
@@ -202,7 +250,16 @@ def pos_cash_history(snapshots: DataFrame, loans: DataFrame) -> DataFrame:
         "pos_records_last_12m": n_recent,
         "pos_dpd_rate_last_12m": share(dpd_recent, n_recent, "0.0D"),
         "pos_dpd_trend": recent_minus_older(dpd_recent, n_recent, dpd_older, n_older),
-    })
+    }
+
+
+def pos_cash_history(snapshots: DataFrame, loans: DataFrame) -> DataFrame:
+    """Monthly point-of-sale and cash loan snapshots: completion, days past due, trend."""
+    return _per_applicant(snapshots, loans, _snapshot_features)
+
+
+#: Prefix of the partials and features of the tables below a loan, in the order of the arguments of ``loan_rows``.
+_LOAN_TABLES = (("cc_", _card_features), ("inst_", _payment_features), ("pos_", _snapshot_features))
 
 
 def previous_application_history(loans: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from ..sources import roles
 from ..streaming import psi as stream_psi_ops
 from ..streaming import score as stream_score_ops
 from . import oracles as sql
-from .features import history_aggregates
+from .features import history_aggregates, merge_stored, store_histories
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -94,13 +94,17 @@ _ALL_CTES = [
 ]
 
 
-def _merged(spark, sf_dir):
-    return history.merge_features(roles.application(spark, sf_dir), history_aggregates(
+def _children(spark, sf_dir):
+    return dict(
         bureau=roles.bureau(spark, sf_dir), bureau_balance=roles.bureau_balance(spark, sf_dir),
         previous_application=roles.previous_application(spark, sf_dir),
         installments_payments=roles.installments(spark, sf_dir), pos_cash_balance=roles.pos_cash(spark, sf_dir),
         credit_card_balance=roles.credit_card(spark, sf_dir),
-    ))
+    )
+
+
+def _merged(spark, sf_dir):
+    return history.merge_features(roles.application(spark, sf_dir), history_aggregates(**_children(spark, sf_dir)))
 
 
 @query(sql.with_(_ALL_CTES, "SELECT * FROM merged"))
@@ -108,6 +112,14 @@ def feature_merge(spark, sf_dir):
     return rounded(std_rounded(_merged(spark, sf_dir)), cc_utilisation_trend=6)
 
 
+@query(ORACLES["feature_merge"])
+def feature_merge_stored(spark, sf_dir):
+    """The same from tables dealt by applicant."""
+    store = fresh_checkpoint_path(spark, "store")
+    store_histories(roles.application(spark, sf_dir), store, **_children(spark, sf_dir), count=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rounded(std_rounded(merge_stored(spark, store)), cc_utilisation_trend=6)
+
+
 # -- features ---------------------------------------------------------------------------------------
 
 _Y = "365.25::DOUBLE"

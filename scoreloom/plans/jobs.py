@@ -1,6 +1,6 @@
 """Batch jobs, started as ``spark-submit run_job.py JOB ...`` from the repository root.
 
-    features --input RAW --output FEATURES
+    features --input RAW --output FEATURES [--store STORE]
     train    --data FEATURES --output MODELS [--model scorecard|boosted|forest|stacking|all] [--grid]
     evaluate --data FEATURES --models MODELS --output REPORT
     predict  --input FEATURES --models MODELS --output SCORED [--model NAME]
@@ -110,7 +110,7 @@ def evaluate(spark: SparkSession, data: str, models_dir: str, output: str, holdo
         writers.write_table(metrics.expected_loss(scored, column, exposure), f"{output}/expected_loss/model={name}")
     segments = [f.name for f in scored.schema.fields if f.dataType.simpleString() == "string"]
     if segments:
-        writers.write_table(metrics.segment_auc(scored, segments, columns, TARGET), f"{output}/segments")
+        writers.write_table(metrics.segment_performance(scored, segments, columns, TARGET), f"{output}/segments")
     numeric = [f for f in features if f in feature_ops.numeric_columns(scored)]
     writers.write_table(metrics.vif(scored, numeric).orderBy(F.desc("vif"), "feature"), f"{output}/vif")
     return comparison
@@ -160,14 +160,14 @@ def drift(spark: SparkSession, baseline: str, current: str, output: str) -> Data
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="run_job.py")
     parser.add_argument("job", choices=["features", "train", "evaluate", "predict", "apply", "psi", "drift"])
-    for name in ("input", "output", "data", "models", "baseline", "current"):
+    for name in ("input", "output", "data", "models", "baseline", "current", "store"):
         parser.add_argument(f"--{name}")
     parser.add_argument("--model", default=None)
     parser.add_argument("--grid", action="store_true")
     a = parser.parse_args(argv)
     spark = build_session(f"scoreloom-{a.job}")
     if a.job == "features":
-        build_features(spark, a.input, a.output)
+        build_features(spark, a.input, a.output, store=a.store)
     elif a.job == "train":
         train(spark, a.data, a.output, a.model or "all", grid=a.grid)
     elif a.job == "evaluate":

@@ -170,8 +170,9 @@ def application(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max(F.when(urgent, s)).alias("OCCUPATION_TYPE"),
     )
     c = table(spark, sf_dir, "customer")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    # nations and regions are fixed lists of 25 and 5 rows
+    nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
+    region = F.broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
     base = c.join(nation, c["c_nationkey"] == nation["n_nationkey"]).join(
         region, nation["n_regionkey"] == region["r_regionkey"]
     ).select(
