@@ -163,11 +163,13 @@ def frequent_shingles(base: DataFrame, width: int = WIDTH, limit: int = FREQUENT
 def _screen(percent: int, across: bool):
     """Pairs of a posting that size and sketch allow.
 
-    across=False: for each member the one of smaller key that shares most signatures here, ties to the smallest.
-    across=True: all pairs of different labels. Both with the signatures they share here and those they need to share.
+    across=False: for each member the one of smaller key with the nearest sketch here, ties to the smallest.
+    across=True: all pairs of different labels, with the signatures they share here and those they need to share.
+    Pairs are made `PAIRS` at a time and reduced at once: the first kind keeps one row a member, the second is passed on.
     """
 
     def pairs(key, n, bits, label, block, group):
+        """Row numbers (smaller key, larger key) and sketch distances, at most about `PAIRS` at a time."""
         begin = np.r_[True, group[1:] != group[:-1]]
         at = np.arange(len(key))
         place = at - np.maximum.accumulate(np.where(begin, at, 0))
@@ -183,11 +185,47 @@ def _screen(percent: int, across: bool):
             i, j = i[ok], j[ok]
             apart = np.bitwise_count(bits[i] ^ bits[j]).sum(1, dtype=np.int64)
             ok = (100 + percent) * apart <= (100 - percent) * (n[i] + n[j])
-            i, j = i[ok], j[ok]
+            i, j, apart = i[ok], j[ok], apart[ok]
             if len(i):
-                yield np.stack([np.maximum(key[i], key[j]), np.minimum(key[i], key[j]), shared(np.minimum(n[i], n[j])), n[i] + n[j]], 1)
+                first = key[i] < key[j]
+                yield np.where(first, i, j), np.where(first, j, i), apart
             lo = hi
 
+    def rows(small, large, n, count):
+        both = n[:, 0] + n[:, 1]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (small, large, count, shared(n.min(1)), both)], ["a", "b", "n", "need", "total"])
+
+    def nearest(key, n, found):
+        far = np.iinfo(np.int64).max
+        best, of = np.full(len(key), far), np.full(len(key), -1)  # per row: distance and row of the nearest smaller key
+        for i, j, apart in found:
+            o = np.lexsort((key[i], apart, j))
+            o = o[np.r_[True, j[o[1:]] != j[o[:-1]]]]
+            i, j, apart = i[o], j[o], apart[o]
+            better = (apart < best[j]) | ((apart == best[j]) & (key[i] < key[of[j]]))
+            best[j[better]], of[j[better]] = apart[better], i[better]
+        j = np.flatnonzero(of >= 0)
+        o = j[np.lexsort((key[of[j]], best[j], key[j]))]  # a key may stand in several postings
+        if len(o):
+            o = o[np.r_[True, key[o[1:]] != key[o[:-1]]]]
+            sizes = np.stack([n[of[o]], n[o]], 1)
+            yield rows(key[of[o]], key[o], sizes, shared(sizes.min(1)))
+
+    def counted(key, n, found):
+        held: list[np.ndarray] = []
+
+        def merged():
+            bad, count = np.unique(np.concatenate(held), axis=0, return_counts=True)
+            held.clear()
+            return rows(bad[:, 0], bad[:, 1], bad[:, 2:], count)
+
+        for i, j, _ in found:
+            held.append(np.stack([key[i], key[j], n[i], n[j]], 1))
+            if sum(map(len, held)) >= 2 * PAIRS:
+                yield merged()
+        if held:
+            yield merged()
+
     def run(batches):
         held: list[pa.Table] = []
 
@@ -198,14 +236,8 @@ def _screen(percent: int, across: bool):
             block = np.stack([col(c) for c in ("block", "bi", "bj")], 1)
             ids = np.stack([col("sig"), block[:, 1].astype(np.int64), block[:, 2].astype(np.int64)], 1)
             group = np.r_[0, np.cumsum((ids[1:] != ids[:-1]).any(1))]
-            found = list(pairs(col("key"), col("n").astype(np.int64), bits, col("label"), block, group))
-            if found:
-                bad, count = np.unique(np.concatenate(found), axis=0, return_counts=True)
-                if not across:
-                    o = np.lexsort((bad[:, 1], -count, bad[:, 0]))
-                    o = o[np.r_[True, bad[o[1:], 0] != bad[o[:-1], 0]]]
-                    bad, count = bad[o], count[o]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (bad[:, 1], bad[:, 0], count, bad[:, 2], bad[:, 3])], ["a", "b", "n", "need", "total"])
+            key, n = col("key"), col("n").astype(np.int64)
+            yield from (counted if across else nearest)(key, n, pairs(key, n, bits, col("label"), block, group))
 
         for batch in batches:
             if not batch.num_rows:
@@ -229,7 +261,8 @@ def _candidates(postings: DataFrame, sketches: DataFrame, percent: int, across:
     """a < b: pairs worth verifying, from postings (sig, key, n, label, place, size) and sketches (key, s0, ...).
 
     Pairs of small postings are counted first and screened by sketch after that. Members of larger postings meet with
-    their sketches, block by block, so a posting may hold any share of the documents.
+    their sketches, block by block, so a posting may hold any share of the documents. To find each member one near
+    partner, its own block and the first one are enough; all blocks meet when different components are compared.
     """
     few = postings.where(f"size <= {SMALL}").groupBy("sig").agg(F.sort_array(F.collect_list(F.struct("key", "n", "label"))).alias("m"))
     few = few.selectExpr("posexplode(m) AS (p, y)", "m").selectExpr("y", "explode(slice(m, 1, p)) AS x")
@@ -237,7 +270,8 @@ def _candidates(postings: DataFrame, sketches: DataFrame, percent: int, across:
     few = few.selectExpr("x.key AS a", "y.key AS b", "1L AS n", f"bigint(1 + greatest(least(x.n, y.n) - {LONG}, 0) DIV {LONG_STEP}) AS need", "bigint(x.n + y.n) AS total")
 
     dealt = postings.where(f"size > {SMALL}").withColumns({"block": F.expr(f"int(place DIV {BLOCK})"), "blocks": F.expr(f"int((size - 1) DIV {BLOCK})")})
-    dealt = dealt.selectExpr("sig", "key", "n", "label", "block", "explode(sequence(0, blocks)) AS other")
+    others = "sequence(0, blocks)" if across else "IF(block = 0, sequence(0, blocks), array(0, block))"
+    dealt = dealt.selectExpr("sig", "key", "n", "label", "block", f"explode({others}) AS other")
     dealt = dealt.selectExpr("sig", "key", "n", "label", "block", "least(block, other) AS bi", "greatest(block, other) AS bj")
     rows = dealt.join(sketches, "key").repartition("sig", "bi", "bj").sortWithinPartitions("sig", "bi", "bj")
     rows = rows.select("sig", "key", "n", "block", "bi", "bj", "label", *SKETCH)
@@ -252,7 +286,7 @@ def _candidates(postings: DataFrame, sketches: DataFrame, percent: int, across:
     found = found.where(f"{100 + percent} * ({apart}) <= {100 - percent} * total")
     if across:
         return found.select("a", "b")
-    return found.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a")).select("a", "b")
+    return found.groupBy("b").agg(F.min_by("a", F.struct(F.expr(apart), "a")).alias("a")).select("a", "b")
 
 
 def verified(pairs: DataFrame, base: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
