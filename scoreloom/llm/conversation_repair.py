@@ -60,75 +60,98 @@ def arcs(kind: int, fault: int) -> tuple[np.ndarray, np.ndarray]:
     return cost, np.stack([np.arange(4), np.maximum(kept, 0), NEXT])
 
 
-_ARCS = {(k, f): arcs(k, f) for k in range(4) for f in range(4)}
+_COST, _TO = (np.stack([np.stack([arcs(k, f)[i] for f in range(4)]) for k in range(4)]) for i in (0, 1))  # [kind, fault, edit, state]
 
 
-def costs(kinds, faults, end: np.ndarray) -> np.ndarray:
-    """Cost to go [layer, state, ...] before each row, given that of the layer behind the last one."""
-    v = np.empty((len(kinds) + 1, *end.shape), np.int64)
-    v[-1] = end
-    for i in range(len(kinds) - 1, -1, -1):
-        cost, to = _ARCS[kinds[i], faults[i]]
-        v[i] = relaxed((cost.reshape(3, 4, *[1] * (end.ndim - 1)) + v[i + 1][to]).min(0))
-    return v
+class Rows:
+    """Kinds and faults of the rows of several conversations, one behind the other, and their layers of nodes.
 
-
-def ranked(kinds, faults, v: np.ndarray, last: bool):
-    """Edit (index in INITIALS) of each node and the doubled pointers of the least audits; nodes are layer * 4 + state.
-
-    The layer behind the last row holds exits, or, in the last block, the inserts that complete the pattern.
+    A conversation of m rows has m + 1 layers of four states; a node is layer * 4 + state.
     """
-    m = len(kinds)
-    code, end, cost = np.full((4, m + 1, 4), -1), np.zeros((4, m + 1, 4), np.int64), np.full((4, m + 1, 4), FAR)
-    if m:
-        c, to = (np.stack(x) for x in zip(*(_ARCS[k, f] for k, f in zip(kinds, faults, strict=True)), strict=True))
-        ahead = np.arange(1, m + 1)[:, None] * 4
+
+    def __init__(self, kinds, faults, sizes):
+        self.kinds, self.faults, self.sizes = (np.asarray(x, np.int64) for x in (kinds, faults, sizes))
+        self.first = np.r_[0, np.cumsum(self.sizes)]  # row
+        self.top = self.first + np.arange(len(self.first))  # layer of the first row
+        self.bottom = self.top[1:] - 1  # layer behind the last row
+        self.layer = np.arange(len(self.kinds)) + np.repeat(np.arange(len(self.sizes)), self.sizes)
+
+    def costs(self, ends: np.ndarray) -> np.ndarray:
+        """Cost to go [layer, state] of all nodes, given that of each conversation's last layer; all of them advance together."""
+        v = np.empty((len(self.kinds) + len(self.sizes), 4), np.int64)
+        v[self.bottom] = ends
+        order = np.argsort(-self.sizes, kind="stable")
+        active = np.searchsorted(-self.sizes[order], -np.arange(1, int(self.sizes.max(initial=0)) + 1), side="right")
+        for back, n in enumerate(active, 1):
+            c = order[:n]
+            row, layer = self.first[c + 1] - back, self.bottom[c] - back
+            cost, to = _COST[self.kinds[row], self.faults[row]], _TO[self.kinds[row], self.faults[row]]
+            ahead = np.take_along_axis(v[layer + 1][:, None].repeat(3, 1), to, 2)
+            v[layer] = relaxed((cost + ahead).min(1).T).T
+        return v
+
+    def ranked(self, v: np.ndarray, last: np.ndarray):
+        """Edit (index in INITIALS) of each node, -1 at the end of its path, and the doubled pointers of the least audits.
+
+        The layer behind the last row holds exits, or, where `last` says so, the inserts that complete the pattern.
+        """
+        layers = len(v)
+        cost, end = np.full((4, layers, 4), FAR), np.zeros((4, layers, 4), np.int64)
+        c, to = _COST[self.kinds, self.faults], _TO[self.kinds, self.faults]
         for e, i in enumerate((0, 2, 3)):  # Delete, Keep, Rerole
-            cost[i, :m], end[i, :m] = c[:, e] + np.take_along_axis(v[1:], to[:, e], 1), ahead + to[:, e]
-    inner = m + 1 if last else m
-    cost[1, :inner], end[1, :inner] = INSERT + v[:inner][:, NEXT], np.arange(inner)[:, None] * 4 + NEXT
-    good = (cost == v) & (v < FAR)
-    if last:
-        good[:, m, [0, 3]] = False  # the pattern is complete
-    good[:, inner:] = False
-    for i in range(4):
-        code[i][good[i]] = i
-    code, end, n = code.reshape(4, -1), end.reshape(4, -1), (m + 1) * 4
-    goal = np.arange(n)
-    first = np.where(code >= 0, code + 1, 9).min(0)
-    letter = np.where(first == 9, 0, first)  # 0: end of the path
-    to = np.where(letter > 0, end[np.maximum(letter - 1, 0), goal], goal)
-    rank, pointers = letter, [to]
-    for _ in range(max(1, int(3 * (m + 2)).bit_length())):
-        rank = np.unique(rank * (n + 5) + rank[pointers[-1]], return_inverse=True)[1]
-        pointers.append(pointers[-1][pointers[-1]])
-    # the least (initial, rank of the end) among the optimal arcs of each node
-    key = np.where(code >= 0, (code + 1) * (n + 5) + rank[end], 9 * (n + 5))
-    edit = np.where(key.min(0) < 9 * (n + 5), key.argmin(0), -1)
-    return edit, pointers
-
-
-def walk(start: int, pointers) -> np.ndarray:
-    """Nodes of the path from `start`, its end included, by doubling the known part."""
-    path = np.array([start])
-    for p in pointers:
-        path = np.concatenate([path, p[path]])
-        if path[-1] == path[-2]:
-            break
-    return path[: int(np.argmax(path == path[-1])) + 1]
+            ahead = self.layer[:, None] + 1
+            cost[i, self.layer] = c[:, e] + v[ahead, to[:, e]]
+            end[i, self.layer] = ahead * 4 + to[:, e]
+        cost[1], end[1] = INSERT + v[:, NEXT], np.arange(layers)[:, None] * 4 + NEXT
+        good = (cost == v) & (v < FAR)
+        closed = self.bottom[~last]
+        good[:, closed] = False
+        good[:, self.bottom[:, None], [0, 3]] = False  # the pattern is complete
+        code = np.where(good, np.arange(4)[:, None, None], 8).reshape(4, -1)
+        end, n = end.reshape(4, -1), layers * 4
+        first = code.min(0)
+        letter = np.where(first == 8, 0, first + 1)  # 0: end of the path
+        goal = np.arange(n)
+        to = np.where(letter > 0, end[np.minimum(first, 3), goal], goal)
+        rank, pointers = letter, [to]
+        for _ in range(max(1, int(3 * (int(self.sizes.max(initial=0)) + 2)).bit_length())):
+            rank = np.unique(rank * (n + 5) + rank[pointers[-1]], return_inverse=True)[1]
+            pointers.append(pointers[-1][pointers[-1]])
+        # the least (initial, rank of the end) among the optimal arcs of each node
+        key = code * (n + 5) + rank[end]
+        return np.where(first == 8, -1, key.argmin(0)), pointers
+
+
+TOGETHER = 64  # rows of conversations whose paths are read off in one matrix
+
+
+def walks(starts: np.ndarray, sizes: np.ndarray, pointers) -> list[np.ndarray]:
+    """Nodes of the paths from `starts`, their ends included, by doubling the known part."""
+    out: list = [None] * len(starts)
+    short = np.flatnonzero(sizes <= TOGETHER)
+    for some in (short, *np.flatnonzero(sizes > TOGETHER)[:, None]):
+        if not len(some):
+            continue
+        path = starts[some][:, None]
+        for p in pointers:
+            path = np.concatenate([path, p[path]], 1)
+            if (path[:, -1] == path[:, -2]).all():
+                break
+        ends = (path == path[:, -1:]).argmax(1)
+        for i, line, e in zip(some, path, ends, strict=True):
+            out[i] = line[: e + 1]
+    return out
 
 
 ROLES = ("", "", "user", "assistant")
 
 
-def piece(roles, texts, kinds, faults, turns, entry: int, end: np.ndarray, last: bool) -> tuple:
-    """Cost, audit, repaired lines and counts of the rows of a block that is entered in state `entry`."""
-    v = costs(kinds, faults, np.array(end))
-    edit, pointers = ranked(kinds, faults, v, last)
-    path = walk(entry, pointers)
+def piece(path, edit, top: int, roles, texts, faults, turns) -> tuple:
+    """Cost, audit, repaired lines and counts of the rows of a block along its path; `top` is the layer of the first row."""
     audit, lines, total = [], [], 0
-    for a, b in zip(path[:-1], path[1:], strict=True):
-        i, e, state = a // 4, edit[a], b % 4
+    nodes = path.tolist()
+    for a, b in zip(nodes, nodes[1:]):  # noqa: B905
+        i, e, state = a // 4 - top, edit[a], b % 4
         audit.append(INITIALS[e])
         if e == 1:
             total += INSERT
@@ -216,16 +239,14 @@ def _entries(outer, values, whole):
     return found
 
 
-def _live(frame: pd.DataFrame):
-    """(tree, block facts, kinds, faults) of each conversation of a superblock, damaged rows that are gone left out."""
-    for tree, g in frame.sort_values(["_tree", "_pos"]).groupby("_tree", sort=False):
-        n = int(g["_n"].iat[0])
-        g = g[~g["_gone"]]
-        yield tree, n, g, ["sua".find(x[:1]) if x[:1] else -1 for x in g["role"]], g["_fault"].tolist()
-
-
-def _kinds(kinds):
-    return [k if k >= 0 else 3 for k in kinds]
+def _live(frame: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame, Rows]:
+    """First rows of the conversations of a superblock, all rows that are not gone in order, and these as `Rows`."""
+    frame = frame.sort_values(["_tree", "_pos"], kind="stable")
+    heads = frame[~frame["_tree"].duplicated()]
+    live = frame[~frame["_gone"].to_numpy(bool)]
+    sizes = live["_tree"].value_counts().reindex(heads["_tree"], fill_value=0).to_numpy()
+    kinds = [k if x and (k := "sua".find(x[0])) >= 0 else 3 for x in live["role"]]
+    return heads, live, Rows(kinds, live["_fault"].to_numpy(), sizes)
 
 
 def repair(rows: DataFrame, size: int = SIZE) -> DataFrame:
@@ -250,15 +271,20 @@ def repair(rows: DataFrame, size: int = SIZE) -> DataFrame:
     bounds = _bounds(many, size) if not many.isEmpty() else None
 
     def solve(key: tuple, frame: pd.DataFrame, edges: pd.DataFrame | None = None) -> pd.DataFrame:
-        out = []
-        known = {} if edges is None else {t: (e, v, last) for t, e, v, last in zip(edges["_tree"], edges["entry"], edges["ahead"], edges["last"], strict=True)}
-        convs = dict(zip(frame["_tree"], frame["conv_id"], strict=True))
-        for tree, _, g, kinds, faults in _live(frame):
-            entry, end, last = known.get(tree) or (0, relaxed(np.array(ACCEPT)), True)
-            turns = [None if pd.isna(t) else int(t) for t in g["turn"]]
-            found = piece(list(g["role"]), list(g["text"]), _kinds(kinds), faults, turns, int(entry), np.array(list(end)), bool(last))
-            conv = convs[tree]
-            head = (None if pd.isna(conv) else int(conv), tree, key[1])
+        heads, live, r = _live(frame)
+        known = {} if edges is None else {t: (e, list(v), x) for t, e, v, x in zip(edges["_tree"], edges["entry"], edges["ahead"], edges["last"], strict=True)}
+        whole = (0, relaxed(np.array(ACCEPT)).tolist(), True)
+        entry, ends, last = zip(*[known.get(t, whole) for t in heads["_tree"]], strict=True)
+        v = r.costs(np.array(ends, np.int64))
+        edit, pointers = r.ranked(v, np.array(last, bool))
+        paths = walks(r.top[:-1] * 4 + np.array(entry, np.int64), r.sizes, pointers)
+        edit, out = edit.tolist(), []
+        roles, texts, faults = (live[c].tolist() for c in ("role", "text", "_fault"))
+        turns = [None if t is None else int(t) for t in live["turn"]]
+        for i, (tree, conv) in enumerate(zip(heads["_tree"], heads["conv_id"], strict=True)):
+            of = slice(r.first[i], r.first[i + 1])
+            found = piece(paths[i], edit, int(r.top[i]), roles[of], texts[of], faults[of], turns[of])
+            head = (None if conv is None else int(conv), tree, key[1])
             out.append(head + (joined([dict(zip(_PIECE, found, strict=True))]) if edges is None else found))
         names = [x.split()[0] for x in (RESULT if edges is None else PIECE).split(", ")]
         ints = ["conv_id", *([] if edges is None else ["low", "high"])]
@@ -278,9 +304,10 @@ def _bounds(many: DataFrame, size: int) -> DataFrame:
     """_tree, _anchor, _block, entry, ahead, last: how the least path enters each block and the cost to go behind it."""
 
     def matrix(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        unit = np.where(np.eye(4, dtype=bool), 0, FAR)
-        out = [(t, -(-n // size), key[1], costs(_kinds(k), f, unit)[0].ravel().tolist()) for t, n, _, k, f in _live(frame)]
-        return pd.DataFrame(out, columns=["_tree", "_n", "_pos", "value"])
+        heads, _, r = _live(frame)
+        units = [r.costs(np.where(np.arange(4) == end, 0, FAR)[None].repeat(len(heads), 0))[r.top[:-1]] for end in range(4)]
+        values = np.stack(units, 2).reshape(len(heads), 16).tolist()
+        return pd.DataFrame({"_tree": heads["_tree"], "_n": -(-heads["_n"] // size), "_pos": key[1], "value": values})
 
     schema = "_tree long, _n long, _pos long, value array<long>"
     matrices = stored(many.groupBy("_anchor", "_block").applyInPandas(matrix, schema), "repair-matrices")
@@ -290,13 +317,12 @@ def _bounds(many: DataFrame, size: int) -> DataFrame:
     ends = ends.selectExpr("_tree", "_n AS _m", "_tree AS _anchor", "_pos AS _block", "outer AS ahead", "_pos = _n - 1 AS last")
 
     def exits(key: tuple, frame: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
-        known, out = {t: (m, v, last) for t, m, v, last in zip(edges["_tree"], edges["_m"], edges["ahead"], edges["last"], strict=True)}, []
-        for tree, _, _, kinds, faults in _live(frame):
-            m, end, last = known[tree]
-            v = costs(_kinds(kinds), faults, np.array(list(end), np.int64))
-            _, pointers = ranked(_kinds(kinds), faults, v, bool(last))
-            out.append((tree, m, key[1], (pointers[-1][:4] % 4).tolist()))
-        return pd.DataFrame(out, columns=["_tree", "_n", "_pos", "value"])
+        heads, _, r = _live(frame)
+        known = {t: (m, list(v), x) for t, m, v, x in zip(edges["_tree"], edges["_m"], edges["ahead"], edges["last"], strict=True)}
+        m, ends, last = zip(*[known[t] for t in heads["_tree"]], strict=True)
+        _, pointers = r.ranked(r.costs(np.array(ends, np.int64)), np.array(last, bool))
+        values = [(pointers[-1][t * 4 : t * 4 + 4] % 4).tolist() for t in r.top[:-1]]
+        return pd.DataFrame({"_tree": heads["_tree"], "_n": m, "_pos": key[1], "value": values})
 
     maps = many.groupBy("_anchor", "_block").cogroup(ends.groupBy("_anchor", "_block")).applyInPandas(exits, schema)
     entries, _ = scan(stored(maps, "repair-maps"), "array<long>", "array<long>", _maps_up, _entries, [0], size)
