@@ -8,19 +8,23 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+import numpy as np
+import pyarrow as pa
+from pyspark.errors import AnalysisException
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from .features import medians
 from .ranking import discrimination
-from .scoring import linear_logit
+from .scoring import linear_logit, linear_probability
 from .splits import balanced_weight, positive_weight
 from .woe import WoeModel, fold_scaler
 
@@ -47,23 +51,87 @@ def _scaler(df: DataFrame, features: list[str]) -> tuple[dict[str, float], dict[
 
 
 def _standardised(df: DataFrame, features: list[str], means, stds, keep: list[str]) -> DataFrame:
-    scaled = df.select(*keep, *[((F.col(f) - means[f]) / stds[f]).alias(f) for f in features])
-    return VectorAssembler(inputCols=features, outputCol="vec").transform(scaled).select(*keep, "vec")
+    return df.select(*keep, F.array(*[((F.col(f) - means[f]) / stds[f]).cast("double") for f in features]).alias("vec"))
 
 
-def fit_logistic(df: DataFrame, target: str, c: float, weight: str | None = None, max_iter: int = 1000):
-    """Logistic regression minimising |w|^2 / 2 + C * sum(weight * loss) over the ``vec`` column."""
-    total = df.agg(F.sum(weight) if weight else F.count(F.lit(1))).first()[0]
-    lr = LogisticRegression(
-        featuresCol="vec", labelCol=target, regParam=1.0 / (c * float(total)), elasticNetParam=0.0,
-        standardization=False, maxIter=max_iter, tol=1e-8,
-    )
-    if weight:
-        lr = lr.setWeightCol(weight)
-    return lr.fit(df.withColumn(target, F.col(target).cast("double")))
+class Logistic(NamedTuple):
+    coefficients: list[float]
+    intercept: float
+
+
+def gram_sums(df: DataFrame, target: str, weight: str | None, beta: np.ndarray) -> np.ndarray:
+    """Per row of ``beta`` (intercept first): weighted loss, gradient and the upper triangle of the Hessian, over all rows.
+
+    Tasks multiply blocks of rows as matrices and emit one row per number; the numbers are added up by Spark.
+    """
+    models, k = beta.shape
+    upper = np.triu_indices(k)
+
+    def run(batches):
+        out = np.zeros((models, 1 + k + len(upper[0])))
+        for batch in batches:
+            vec, y, w = (batch.column(i) for i in range(3))
+            x = np.column_stack([np.ones(batch.num_rows), vec.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, k - 1)])
+            y, w = y.to_numpy(zero_copy_only=False)[:, None], w.to_numpy(zero_copy_only=False)[:, None]
+            z = x @ beta.T
+            p = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+            out[:, 0] += (w * (np.logaddexp(0, z) - y * z)).sum(0)
+            out[:, 1 : k + 1] += (w * (p - y)).T @ x
+            for i, s in enumerate((w * p * (1 - p)).T):
+                out[i, k + 1 :] += ((x * s[:, None]).T @ x)[upper]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(out.size)), pa.array(out.ravel())], names=["i", "v"])
+
+    rows = df.select("vec", F.col(target).cast("double").alias("y"), (F.col(weight) if weight else F.lit(1.0)).cast("double").alias("w"))
+    sums = rows.where("y IS NOT NULL").mapInArrow(run, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
+    out = np.zeros(models * (1 + k + len(upper[0])))
+    for i, v in sums:
+        out[i] = v
+    return out.reshape(models, -1)
+
+
+def fit_logistics(df: DataFrame, target: str, cs, weight: str | None = None, max_iter: int = 50, tol: float = 1e-10) -> list[Logistic]:
+    """Logistic regressions minimising |w|^2 / 2 + C * sum(weight * loss) over the ``vec`` column, one for each C.
+
+    Newton steps, halved whenever the objective rose; one pass over the rows serves a step of all of them.
+    """
+    first = df.select(F.size("vec")).first()
+    k = 1 + (first[0] if first else 0)
+    upper = np.triu_indices(k)
+    ridge = np.r_[0.0, np.ones(k - 1)]
+    beta = np.zeros((len(cs), k))
+    best, low, open_ = beta.copy(), np.full(len(cs), np.inf), np.ones(len(cs), bool)
+    for _ in range(max_iter):
+        at = np.flatnonzero(open_)
+        for i, row in zip(at, gram_sums(df, target, weight, beta[at]), strict=True):
+            objective = 0.5 * (ridge * beta[i]) @ beta[i] + cs[i] * row[0]
+            if objective > low[i] + 1e-12 * abs(low[i]):
+                beta[i] = (best[i] + beta[i]) / 2
+                continue
+            best[i], low[i] = beta[i], objective
+            hessian = np.zeros((k, k))
+            hessian[upper] = cs[i] * row[k + 1 :]
+            hessian = hessian + np.triu(hessian, 1).T + np.diag(ridge)
+            step = np.linalg.lstsq(hessian, cs[i] * row[1 : k + 1] + ridge * beta[i], rcond=None)[0]
+            beta[i] = best[i] - step
+            open_[i] = np.abs(step).max() > tol
+        if not open_.any():
+            break
+    return [Logistic([float(x) for x in b[1:]], float(b[0])) for b in best]
+
+
+def fit_logistic(df: DataFrame, target: str, c: float, weight: str | None = None) -> Logistic:
+    return fit_logistics(df, target, [c], weight)[0]
+
+
+def logistic_probability(model: Logistic) -> Column:
+    """Probability from the ``vec`` column."""
+    terms = F.zip_with("vec", F.array(*[F.lit(x) for x in model.coefficients]), lambda a, b: a * b)
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-F.aggregate(terms, F.lit(model.intercept), lambda a, b: a + b)))
 
 
 def _with_prob(model, df: DataFrame) -> DataFrame:
+    if isinstance(model, Logistic):
+        return df.withColumn(PROB, logistic_probability(model))
     out = model.transform(df)
     return out.withColumn(PROB, vector_to_array("probability")[1])
 
@@ -121,37 +189,36 @@ def train_scorecard(
         raise ValueError(f"no feature reaches an information value of {iv_floor}")
     keep = [key, target, fold]
     folds = sorted(r[0] for r in df.select(fold).distinct().collect())
-    by_c: dict[float, list[DataFrame]] = {c: [] for c in c_grid}
-    cached = []
+    stacked = None
     for k in folds:
         train, valid = df.where(F.col(fold) != k), df.where(F.col(fold) == k)
         _, _, _, (tr, va) = _encode(train, [valid], selected, target, keep, bins)
         tr = balanced_weight(tr, target).persist(StorageLevel.MEMORY_AND_DISK)
-        va = va.persist(StorageLevel.MEMORY_AND_DISK)
-        cached += [tr, va]
-        for c in c_grid:
-            model = fit_logistic(tr, target, c, "weight")
-            by_c[c].append(_with_prob(model, va).select(key, target, fold, PROB))
-    stacked = None
-    for c, parts in by_c.items():
-        for part in parts:
-            named = part.withColumn("model", F.lit(repr(c)))
-            stacked = named if stacked is None else stacked.unionByName(named)
+        fits = fit_logistics(tr, target, c_grid, "weight")
+        tr.unpersist()
+        part = va.select(*keep, *[logistic_probability(m).alias(f"c{i}") for i, m in enumerate(fits)])
+        part = part.unpivot(keep, [f"c{i}" for i in range(len(c_grid))], "model", PROB)
+        stacked = part if stacked is None else stacked.unionByName(part)
+    stacked = stacked.persist(StorageLevel.MEMORY_AND_DISK)
     rows = fold_metrics(stacked, target).collect()  # grid x folds rows
-    for frame in cached:
-        frame.unpersist()
-    means_by_c = {c: [r["auc"] for r in rows if r["model"] == repr(c) and r["auc"] is not None] for c in c_grid}
-    best = max(c_grid, key=lambda c: (sum(means_by_c[c]) / max(len(means_by_c[c]), 1), -c_grid.index(c)))
-    spark = df.sparkSession
-    cv = spark.createDataFrame(
-        [("scorecard", int(r["fold"]), r["auc"], r["gini"], r["ks"]) for r in rows if r["model"] == repr(best)],
+    stacked.unpersist()
+    aucs = [[r["auc"] for r in rows if r["model"] == f"c{i}" and r["auc"] is not None] for i in range(len(c_grid))]
+    best = max(range(len(c_grid)), key=lambda i: (sum(aucs[i]) / max(len(aucs[i]), 1), -i))
+    cv = df.sparkSession.createDataFrame(
+        [("scorecard", int(r["fold"]), r["auc"], r["gini"], r["ks"]) for r in rows if r["model"] == f"c{best}"],
         "model string, fold int, auc double, gini double, ks double",
     )
-    woe, means, stds, (full,) = _encode(df, [], selected, target, keep, bins)
-    model = fit_logistic(balanced_weight(full, target), target, best, "weight")
-    scaled = dict(zip(selected, (float(x) for x in model.coefficients)))
-    raw, intercept = fold_scaler(scaled, float(model.intercept), means, stds)
-    return Scorecard(woe, raw, intercept, best, cv)
+    return fit_scorecard(df, selected, target, c_grid[best], bins, cv)
+
+
+def fit_scorecard(df: DataFrame, features: list[str], target: str, c: float = 1.0, bins: int = 10, cv: DataFrame | None = None) -> Scorecard:
+    """Scorecard of given features at a given regularisation: balanced classes, coefficients on raw WoE."""
+    woe, means, stds, (full,) = _encode(df, [], features, target, [target], bins)
+    full = balanced_weight(full, target).persist(StorageLevel.MEMORY_AND_DISK)
+    model = fit_logistic(full, target, c, "weight")
+    full.unpersist()
+    raw, intercept = fold_scaler(dict(zip(features, model.coefficients)), model.intercept, means, stds)
+    return Scorecard(woe, raw, intercept, c, cv)
 
 
 def tree_frame(train: DataFrame, others: list[DataFrame], features: list[str], keep: list[str]) -> list[DataFrame]:
@@ -268,6 +335,30 @@ def grid_search(
     return df.sparkSession.createDataFrame(rows, "max_depth int, step_size double, mean_auc double")
 
 
+@dataclass
+class Linear:
+    """A linear model on given columns."""
+
+    coefficients: dict[str, float]
+    intercept: float
+
+    def predict(self, df: DataFrame, out: str = PROB) -> DataFrame:
+        return df.withColumn(out, linear_probability(self.coefficients, self.intercept))
+
+    def inputs(self) -> list[str]:
+        return list(self.coefficients)
+
+    def save(self, path: str) -> None:
+        rows = [(n, float(c)) for n, c in self.coefficients.items()] + [("(intercept)", float(self.intercept))]
+        TreeModel.spark().createDataFrame(rows, "feature string, coefficient double").coalesce(1).write.mode("overwrite").parquet(f"{path}/coefficients")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "Linear":
+        rows = {r["feature"]: r["coefficient"] for r in spark.read.parquet(f"{path}/coefficients").collect()}
+        intercept = rows.pop("(intercept)")
+        return cls(rows, intercept)
+
+
 @dataclass
 class Stacking:
     """Base tree models and the logistic model over their probabilities."""
@@ -324,7 +415,43 @@ def train_stacking(
     )
     means, stds = _scaler(wide, names)
     meta = fit_logistic(_standardised(wide, names, means, stds, keep), target, 1.0)
-    raw, intercept = fold_scaler(dict(zip(names, (float(x) for x in meta.coefficients))), float(meta.intercept), means, stds)
+    raw, intercept = fold_scaler(dict(zip(names, meta.coefficients)), meta.intercept, means, stds)
     wide.unpersist()
     bases = {n: fit_tree(df, estimators[n], features, target, key) for n in names}
     return Stacking(bases, raw, intercept, cv)
+
+
+#: Stored models by kind.
+KINDS = {"scorecard": Scorecard, "boosted": TreeModel, "forest": TreeModel, "stacking": Stacking, "linear": Linear}
+
+
+def publish(spark: SparkSession, registry: str, kind: str, path: str) -> int:
+    """Make a stored model the current one of a registry; the entry is written last, so a reader never sees half a model."""
+    known = versions(spark, registry)
+    version = max(known, default=0) + 1
+    spark.createDataFrame([(version, kind, path)], VERSIONS).coalesce(1).write.mode("append").json(f"{registry}/versions")
+    return version
+
+
+VERSIONS = "version int, kind string, path string"
+
+
+def versions(spark: SparkSession, registry: str) -> dict[int, tuple[str, str]]:
+    """Published models: version -> (kind, path)."""
+    try:
+        rows = spark.read.schema(VERSIONS).json(f"{registry}/versions").collect()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        rows = []
+    return {r["version"]: (r["kind"], r["path"]) for r in rows}
+
+
+def load_version(spark: SparkSession, registry: str, version: int | None = None):
+    """(version, model) of the given or the newest version."""
+    known = versions(spark, registry)
+    if not known:
+        raise ValueError(f"no model is published in {registry}")
+    version = max(known) if version is None else version
+    kind, path = known[version]
+    return version, KINDS[kind].load(spark, path)

@@ -138,6 +138,11 @@ def top(df: DataFrame, by: str, k: int, name: str = "feature") -> DataFrame:
     return df.where(F.col(by).isNotNull()).orderBy(F.desc(by), name).limit(k)
 
 
+def preview(df: DataFrame, key: str, n: int = 5) -> DataFrame:
+    """The first rows by key."""
+    return df.orderBy(key).limit(n)
+
+
 def corr_target(df: DataFrame, features: list[str], target: str) -> DataFrame:
     """Pearson correlation with the target over pairwise complete rows, all features in one aggregate."""
     y = F.col(target).cast("double")

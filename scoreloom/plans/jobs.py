@@ -5,6 +5,8 @@
     evaluate --data FEATURES --models MODELS --output REPORT
     predict  --input FEATURES --models MODELS --output SCORED [--model NAME]
     apply    --input APPLICANTS.csv --models MODELS --output OUT [--model NAME]
+    publish  --models MODELS --model NAME --output REGISTRY
+    stream   --input FEATURES_FOLDER --models REGISTRY --output SCORED
     psi      --baseline A --current B --output PSI
     drift    --baseline A --current B --output DRIFT
 """
@@ -22,11 +24,12 @@ from scoreloom.operators.ranking import roc_points
 from scoreloom.plans.features import build_features
 from scoreloom.session import build_session, reliable
 from scoreloom.sources import readers, writers
+from scoreloom.streaming import score as stream_score
 
 KEY, TARGET = "SK_ID_CURR", "TARGET"
 FOLDS = 5
 TREES = {"boosted": models.boosted, "forest": models.forest}
-KINDS = {"scorecard": models.Scorecard, "boosted": models.TreeModel, "forest": models.TreeModel, "stacking": models.Stacking}
+KINDS = {k: v for k, v in models.KINDS.items() if k != "linear"}
 
 
 def _folded(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
@@ -145,6 +148,13 @@ def apply(spark: SparkSession, source: str, models_dir: str, output: str, model:
     return summary
 
 
+def stream(spark: SparkSession, source: str, registry: str, output: str, available_now: bool = True):
+    """Score a growing folder of feature tables with the newest published model of each batch; returns the running query."""
+    schema = spark.read.parquet(source).schema
+    rows = spark.readStream.schema(schema).parquet(source)
+    return stream_score.start_model_stream(rows, registry, f"{output}/rows", f"{output}/state", available_now=available_now)
+
+
 def psi(spark: SparkSession, baseline: str, current: str, output: str) -> DataFrame:
     out = monitoring.psi_features(*readers.read_pair(spark, baseline, current))
     writers.write_table(out, output)
@@ -159,7 +169,7 @@ def drift(spark: SparkSession, baseline: str, current: str, output: str) -> Data
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="run_job.py")
-    parser.add_argument("job", choices=["features", "train", "evaluate", "predict", "apply", "psi", "drift"])
+    parser.add_argument("job", choices=["features", "train", "evaluate", "predict", "apply", "publish", "stream", "psi", "drift"])
     for name in ("input", "output", "data", "models", "baseline", "current", "store"):
         parser.add_argument(f"--{name}")
     parser.add_argument("--model", default=None)
@@ -176,6 +186,11 @@ def main(argv: list[str] | None = None) -> None:
         predict(spark, a.input, a.models, a.output, a.model or "scorecard")
     elif a.job == "apply":
         apply(spark, a.input, a.models, a.output, a.model or "scorecard").show()
+    elif a.job == "publish":
+        kind = a.model or "scorecard"
+        print(models.publish(spark, a.output, kind, f"{a.models}/{kind}"))
+    elif a.job == "stream":
+        stream(spark, a.input, a.models, a.output).awaitTermination()
     elif a.job == "psi":
         psi(spark, a.baseline, a.current, a.output).orderBy(F.desc("psi")).show(12)
     else:
