@@ -89,7 +89,7 @@ def gram_sums(df: DataFrame, target: str, weight: str | None, beta: np.ndarray)
     return out.reshape(models, -1)
 
 
-def fit_logistics(df: DataFrame, target: str, cs, weight: str | None = None, max_iter: int = 50, tol: float = 1e-10) -> list[Logistic]:
+def fit_logistics(df: DataFrame, target: str, cs, weight: str | None = None, max_iter: int = 50, tol: float = 1e-8) -> list[Logistic]:
     """Logistic regressions minimising |w|^2 / 2 + C * sum(weight * loss) over the ``vec`` column, one for each C.
 
     Newton steps, halved whenever the objective rose; one pass over the rows serves a step of all of them.
@@ -104,7 +104,7 @@ def fit_logistics(df: DataFrame, target: str, cs, weight: str | None = None, max
         at = np.flatnonzero(open_)
         for i, row in zip(at, gram_sums(df, target, weight, beta[at]), strict=True):
             objective = 0.5 * (ridge * beta[i]) @ beta[i] + cs[i] * row[0]
-            if objective > low[i] + 1e-12 * abs(low[i]):
+            if objective > low[i] + 1e-10 * abs(low[i]):  # more than rounding
                 beta[i] = (best[i] + beta[i]) / 2
                 continue
             best[i], low[i] = beta[i], objective

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scores as fs
 from ..operators import binning, encoding, fairness, features, history, metrics, monitoring, profile, ranking, scoring
 from ..operators import models, splits, woe
-from ..session import fresh_checkpoint_path, reliable
+from ..session import fresh_checkpoint_path, reliable, stored
 from ..sources import roles
 from ..streaming import psi as stream_psi_ops
 from ..streaming import score as stream_score_ops
@@ -1213,3 +1213,6 @@ def stream_psi(spark, sf_dir):
     out = stream_psi_ops.psi_by_window(stream_psi_ops.stored_counts(spark, f"{out}/rows"), stream_psi_ops.bin_counts(base, "value", lo, hi, 10))
     week = F.floor(F.unix_timestamp("window_start") / 604800).cast("long")
     return out.select(week.alias("week"), "n_expected", "n_actual", "psi", "status")
+
+
+from . import catalog_more  # noqa: E402, F401  registers its queries
