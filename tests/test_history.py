@@ -1,5 +1,8 @@
 """Edge cases of the history aggregates and hot keys."""
 
+import statistics
+from fractions import Fraction
+
 import duckdb
 import pandas as pd
 import pytest
@@ -99,3 +102,50 @@ def test_balance_plan_reads_balances_once(spark):
     row = out.first()
     assert (row.bb_distinct_accounts, row.bb_months_covered, row.bb_total_records, row.bb_worst_dpd_bucket) == (2, 2, 6, 3)
     assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("values", [(1e-7, 2e-7, 3e-7), (1e7, 1e7 + 1, 1e7 + 2), (-4.0, 1e9, 0.25), (1e12, 1e12 + 8, 5.0), (1 / 3, 1 / 3 + 1e-9, 1 / 3 - 1e-9), (0.0, 0.0, 0.0)])
+def test_deviation_between_loans_of_any_size(spark, values):
+    rows = [(i, -10, -10, 1.0, x) for i, x in enumerate(values)]
+    row = history.installment_history(spark.createDataFrame(rows, PAYMENTS), loans(spark, [(i, 7) for i in range(3)])).first()
+    assert row["std_payment_amount"] == pytest.approx(statistics.stdev(map(Fraction, values)), rel=1e-6)
+
+
+def test_loan_tables_in_one_grouping(spark):
+    """The joint grouping gives what each table gives by itself, and NULLs to applicants without rows in a table."""
+    owned = loans(spark, [(1, 7), (2, 7), (2, 7), (3, 8), (4, 9)])
+    payments = spark.createDataFrame([(1, -10, -8, 5.0, 4.0), (1, -400, -410, 5.0, 5.0), (2, -20, -20, 3.0, 3.0), (3, -5, None, 2.0, None)], PAYMENTS)
+    pos = spark.createDataFrame([(2, -1, 3.0, "Active", 0, 0), (4, -2, 0.0, "Completed", 5, 1)], "SK_ID_PREV long, MONTHS_BALANCE int, CNT_INSTALMENT_FUTURE double, NAME_CONTRACT_STATUS string, SK_DPD int, SK_DPD_DEF int")
+    both = {r.SK_ID_CURR: r.asDict() for r in history.loan_histories(history.loan_rows(owned, payments=payments, snapshots=pos)).collect()}
+    for alone in (history.installment_history(payments, owned), history.pos_cash_history(pos, owned)):
+        found = {r.SK_ID_CURR: r.asDict() for r in alone.collect()}
+        for who, row in both.items():
+            for name in alone.columns[1:]:
+                assert row[name] == (found[who][name] if who in found else None), (who, name)
+    assert history.loan_rows(owned) is None
+
+
+def test_stored_tables_meet_without_an_exchange(spark, tmp_path):
+    from scoreloom.plans import features as plans
+    from scoreloom.sources import buckets
+
+    base = spark.createDataFrame([(7, 1.0), (8, 2.0), (9, 3.0), (10, 4.0)], "SK_ID_CURR long, x double")
+    children = dict(
+        previous_application=loans(spark, [(1, 7), (2, 7), (3, 8)]),
+        installments_payments=spark.createDataFrame([(1, -10, -8, 5.0, 4.0), (3, -20, -20, 3.0, 3.0)], PAYMENTS),
+    )
+    direct = history.merge_features(base, plans.history_aggregates(**children))
+    store = str(tmp_path / "store")
+    plans.store_histories(base, store, **children, count=4)
+    for key, value in (("adaptive.enabled", "false"), ("autoBroadcastJoinThreshold", "-1")):
+        spark.conf.set(f"spark.sql.{key}", value)
+    try:
+        merged = plans.merge_stored(spark, store)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan
+    assert sorted(map(str, merged.select(direct.columns).collect())) == sorted(map(str, direct.collect()))
+    assert set(buckets.open_store(spark, store)) == {"base", "prev", "loans"}
+

@@ -7,6 +7,7 @@ import sys
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from scoreloom.operators import models
 from scoreloom.plans import jobs
@@ -77,3 +78,24 @@ def test_commands_start(data, tmp_path, job):
     )
     assert run.returncode == 0, run.stderr[-2000:]
     assert any(f.endswith(".parquet") for f in os.listdir(out))
+
+
+def test_stream_takes_the_newest_model(spark, data, tmp_path):
+    """Rows scored as a stream equal those of ``predict``; a model published between batches serves the next one."""
+    out, folder = str(tmp_path), str(tmp_path / "in")
+    jobs.train(spark, data, f"{out}/models", "scorecard")
+    assert models.publish(spark, f"{out}/registry", "scorecard", f"{out}/models/scorecard") == 1
+    df = spark.read.parquet(data)
+    df.where("SK_ID_CURR < 300").coalesce(1).write.parquet(folder)
+    jobs.stream(spark, folder, f"{out}/registry", f"{out}/scored").awaitTermination()
+    models.Linear({"a": 1.0}, -1.0).save(f"{out}/models/linear")
+    assert models.publish(spark, f"{out}/registry", "linear", f"{out}/models/linear") == 2
+    df.where("SK_ID_CURR >= 300").coalesce(1).write.mode("append").parquet(folder)
+    jobs.stream(spark, folder, f"{out}/registry", f"{out}/scored").awaitTermination()
+    got = spark.read.parquet(f"{out}/scored/rows")
+    assert {r.model_version: r.n for r in got.groupBy("model_version").agg(F.count("*").alias("n")).collect()} == {1: 300, 2: 300}
+    want = jobs.predict(spark, data, f"{out}/models", f"{out}/batch").select("SK_ID_CURR", "default_probability", "credit_score")
+    first = got.where("model_version = 1").select("SK_ID_CURR", "default_probability", "credit_score")
+    assert sorted(map(tuple, first.collect())) == sorted(map(tuple, want.where("SK_ID_CURR < 300").collect()))
+    with pytest.raises(ValueError, match="no model"):
+        models.load_version(spark, f"{out}/nothing")

@@ -38,6 +38,22 @@ def test_logistic_matches_newton(spark):
     assert [got.intercept, *got.coefficients] == pytest.approx(w, abs=1e-5)
 
 
+def test_fits_share_a_pass(spark):
+    """Several regularisations at once equal one at a time; separable classes and an empty frame end too."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 3))
+    y = (x[:, 0] > 0).astype(float)
+    df = spark.createDataFrame(pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "y": y, "w": rng.random(300)}))
+    vec = models._standardised(df, ["a", "b"], {"a": 0.0, "b": 0.0}, {"a": 1.0, "b": 1.0}, ["y", "w"])
+    cs = (0.01, 1.0, 100.0)
+    together = models.fit_logistics(vec, "y", cs, "w")
+    for c, fit in zip(cs, together):
+        alone = models.fit_logistic(vec, "y", c, "w")
+        assert [fit.intercept, *fit.coefficients] == pytest.approx([alone.intercept, *alone.coefficients], rel=1e-6, abs=1e-9)
+    assert together[2].coefficients[0] > together[0].coefficients[0] > 0
+    assert models.fit_logistic(vec.limit(0), "y", 1.0) == models.Logistic([], 0.0)
+
+
 def test_scorecard(spark, train, tmp_path):
     card = models.train_scorecard(train, ["a", "b", "c"], "y", "id", c_grid=(0.1, 1.0), bins=5)
     assert {"a", "b"} <= set(card.coefficients) and card.cv.count() == 2

@@ -170,6 +170,97 @@ def test_crowded_cells_are_split(spark, monkeypatch):
     assert edges == [1_700_000_000.0, 1_700_002_499.5, 1_700_004_999.0]
 
 
+def test_cells_settle_in_a_dense_cluster(spark, monkeypatch):
+    """Values that crowd again inside a slice of a crowded cell, a hot value among them, and long integers beyond 2**53."""
+    monkeypatch.setattr(ranking, "CELL_ROWS", 100)
+    x = np.r_[np.linspace(0.5, 0.50001, 1500), 0.5 + 1e-12 * np.arange(1500), np.full(700, 0.500003), 0.9]
+    df = spark.createDataFrame(pd.DataFrame({"x": x}))
+    cells = ranking.settled_cells(df, [], "x")
+    large = cells.table.where("_rows > 110").collect()
+    assert [(r["_first"], r["_last"]) for r in large] == [(0.500003, 0.500003)]
+    got = ranking.cumulate(df, [], "x", {"n": F.lit(1)}).toPandas()
+    values, counts = np.unique(x, return_counts=True)
+    got = got.sort_values("x")
+    assert got["x"].tolist() == values.tolist() and got["n"].tolist() == counts.tolist()
+    assert got["n_before"].tolist() == (np.cumsum(counts) - counts).tolist() and set(got["n_all"]) == {len(x)}
+    big = spark.range(400).selectExpr("9007199254740992 + id AS x")
+    ranks = ranking.cumulate(big, [], "x", {"n": F.lit(1)})
+    assert ranks.count() == 400 and ranks.where("n_before <> x - 9007199254740992").count() == 0
+
+
+def test_values_are_exchanged_once(spark, frame):
+    """Grouping by value and order inside the cell share one exchange; every other exchange is over the cell table."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = ranking.cumulate(spark.createDataFrame(frame), ["g"], "s", {"n": F.lit(1)})._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    dealt = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert sum("REPARTITION_BY_COL" in line for line in dealt) == 1
+    assert not any("ENSURE_REQUIREMENTS" in line and " s#" in line.split("hashpartitioning")[1] for line in dealt)
+
+
+def test_bounds(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "CELL_ROWS", 20)
+    df = spark.range(1000).selectExpr("id % 3 AS k", "id * 7919 % 1000 AS x")
+    got = {r.k: r.bound for r in ranking.bounds(df, ["k"], "x", "10").collect()}
+    rows = [(r.k, r.x) for r in df.collect()]
+    assert got == {k: sorted(x for j, x in rows if j == k)[9] for k in range(3)}
+    assert ranking.bounds(df, ["k"], "x", "0").count() == 0
+    all_rows = {r.k: r.bound for r in ranking.bounds(df, ["k"], "x", "_all + 5").collect()}
+    assert all_rows == {k: max(x for j, x in rows if j == k) for k in range(3)}
+    ties = spark.createDataFrame([(0.5,)] * 60 + [(0.7,)], "x double")
+    assert ranking.bounds(ties, [], "x", "3").first().bound == 0.5
+
+
+def test_segments_without_copies(spark, frame):
+    """One ranking serves all segment values and agrees with ranking every segment by itself; many values fall back to that."""
+    df = spark.createDataFrame(frame).withColumn("h", F.when(F.col("s") > 0, "up").otherwise(F.when(F.col("s") < -20, "down")))
+    out = metrics.segment_performance(df, ["g", "h", "absent"], {"m": "s", "r": "y"}, "y")
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Expand") == 1
+    got = {(r.model, r.segment, r.segment_value): (r.n, r.auc) for r in out.collect()}
+    for seg in "gh":
+        for v, auc in ((r[seg], r["auc"]) for r in ranking.discrimination(df.where(F.col(seg).isNotNull()), "s", "y", [seg]).collect()):
+            assert got["m", seg, v][1] == pytest.approx(auc, abs=1e-4) and got["r", seg, v][1] == 1.0
+    many = df.withColumn("t", (F.monotonically_increasing_id() % 90).cast("string"))
+    assert metrics.segment_performance(many, ["t"], {"m": "s"}, "y").count() > 60
+
+
+def test_drift_of_columns_together(spark):
+    rng = np.random.default_rng(4)
+    a = pd.DataFrame({"x": rng.normal(1e6, 1, 700), "c": 1.0, "h": np.where(np.arange(700) % 2 == 0, np.nan, rng.random(700)), "none": np.nan})
+    b = pd.DataFrame({"x": rng.normal(1e6 + 1, 2, 900), "c": 1.0, "h": rng.random(900), "none": np.nan})
+    out = monitoring.drift_table(*(spark.createDataFrame(d) for d in (a, b)))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Expand") <= 2
+    got = {r.feature: r for r in out.collect()}
+    for c in "xch":
+        r, p, q = got[c], a[c].dropna(), b[c].dropna()
+        want = (p.mean(), p.std(), p.min(), p.max(), a[c].isna().mean(), q.mean(), q.std(), q.min(), q.max(), b[c].isna().mean())
+        assert [r[f"{m}_{t}"] for t in ("base", "cur") for m in ("mean", "std", "min", "max", "missing")] == pytest.approx(want, rel=1e-9, abs=1e-9)
+        grid = np.unique(np.r_[p, q])
+        gap = np.abs(np.searchsorted(np.sort(p), grid, "right") / len(p) - np.searchsorted(np.sort(q), grid, "right") / len(q)).max()
+        assert r.ks == pytest.approx(gap) and (r.distinct_base, r.distinct_cur) == (p.nunique(), q.nunique())
+    psi = {r.feature: r.psi for r in monitoring.psi_features(*(features.nan_to_null(spark.createDataFrame(d)) for d in (a, b)), list("xch"), min_rows=1).collect()}
+    assert {c: got[c].psi for c in "xch"} == psi
+    assert got["none"].psi is None and got["none"].missing_cur == 1.0 and got["none"].ks is None
+
+
+def test_overlap_within_reach(spark, frame):
+    """Kernels cut at their reach add up to what all kernels on the whole grid do."""
+    rng = np.random.default_rng(2)
+    s = np.r_[rng.normal(0.2, 0.01, 2000), rng.normal(0.23, 0.01, 500)]
+    y = np.r_[np.zeros(2000), np.ones(500)].astype(int)
+    got = metrics.score_overlap(spark.createDataFrame(pd.DataFrame({"s": s, "y": y})), {"m": "s"}, "y").first().overlap
+    grid = np.linspace(0, 1, 1000)
+    f = []
+    for k in (0, 1):
+        x = s[y == k]
+        h = x.std(ddof=1) * len(x) ** -0.2
+        f.append(np.exp(-0.5 * ((grid[:, None] - x) / h) ** 2).sum(1) / (len(x) * h * np.sqrt(2 * np.pi)))
+    assert got == pytest.approx(np.trapezoid(np.minimum(*f), grid), rel=1e-9)
+
+
 def test_nan_counts_as_null(spark):
     from scoreloom.operators import ranking
 
