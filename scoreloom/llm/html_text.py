@@ -33,12 +33,15 @@ from scoreloom.llm.common import sliced
 
 # Element names and their roles in HTML.
 VOID = frozenset("area base basefont bgsound br col embed frame hr img input keygen link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template svg math object select canvas audio video".split())
+RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp".split())
+#: Elements without main text that end with their end tag; without one ahead the start tag is noise.
+EMBEDDED = frozenset("template svg math object select canvas audio video".split())
 BLOCK = frozenset(
     "address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form"
     " frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td"
     " tfoot th thead tr ul".split()
 )
+WALLS = BLOCK | EMBEDDED  # a start tag inside them ends no paragraph around them
 HEAD = frozenset("head title meta link base style script".split())
 NOT_TEXT = frozenset("nav footer aside form button dialog menu fieldset head label input datalist output progress meter map".split())
 ENDS_P = BLOCK - frozenset("br button body html".split())
@@ -69,7 +72,9 @@ PEER = 0.5  # density of a part beside a part of its kind that leads to the dens
 HEADING = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
 WITH_MAIN = frozenset("h1 h2 h3 h4 h5 h6 hgroup header p br hr figure time".split())
 _TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S,
+    r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+    # a quote opens a string only behind `=`; anywhere else it is a character like any other
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?+)*+)(?:>|\Z)", re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
 _SPACE = re.compile(r"[\s\xa0]+")
@@ -82,10 +87,11 @@ NONE, DOUBT, FIRM, NEVER = range(4)
 class Node:
     """An element; parts are texts and child elements in page order."""
 
-    __slots__ = ("tag", "parts", "skip", "link", "chars", "tags", "link_chars", "link_tags", "density", "total", "peak", "parent", "mark")
+    __slots__ = ("tag", "parts", "skip", "link", "chars", "tags", "link_chars", "link_tags", "density", "total", "peak", "parent", "mark", "depth")
 
     def __init__(self, tag: str, parent: Node | None, mark: int):
         self.tag, self.parent, self.mark = tag, parent, mark
+        self.depth = parent.depth + 1 if parent else 0
         self.skip = mark >= FIRM
         self.link = tag == "a"
         self.parts: list = []
@@ -101,14 +107,16 @@ def _attributes(text: str) -> dict[str, str]:
     return out
 
 
-def _marked(tag: str, raw: str, parent: Node) -> int:
-    """How far an element is marked as something other than main text."""
+def _marked(tag: str, raw: str, in_main: bool) -> int:
+    """How far an element is marked as something other than main text; `in_main` tells that a main part is open."""
+    if tag in EMBEDDED:
+        return NEVER
     if tag == "form":
         return FIRM
     if tag in NOT_TEXT:
         return NEVER
     if tag == "header":  # that of an article may hold its title
-        return NONE if _in_main(parent) else NEVER
+        return NONE if in_main else NEVER
     if not raw.strip() or tag in ("body", "html", "main", "h1"):
         return NONE
     at = _attributes(raw)
@@ -119,7 +127,7 @@ def _marked(tag: str, raw: str, parent: Node) -> int:
         return NEVER
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", at.get("style", ""), re.I):
         return NEVER
-    if any(map(TITLE.match, names)) and _in_main(parent):
+    if any(map(TITLE.match, names)) and in_main:
         names = [x for x in names if not TITLE.match(x)]
     return FIRM if any(map(MARKED.match, names)) else DOUBT if any(map(LAST.match, names)) else NONE
 
@@ -149,78 +157,101 @@ def _acquit(root: Node) -> None:
             while n and n not in main:
                 main.add(n)
                 n = n.parent
-    outside = {n for n in parts if not _below_mark(n)}
+    below_mark: set[Node] = set()
+    for n in nodes:  # parents first
+        if n.mark != NONE or n.parent in below_mark:
+            below_mark.add(n)
+    outside = set(parts) - below_mark
     for n in nodes:
         if n.mark != NONE and (n in main or n in heads or not outside and 2 * chars[n] > chars[root]):
             n.mark, n.skip = NONE, False
 
 
-def _below_mark(node: Node | None) -> bool:
-    while node and node.mark == NONE:
-        node = node.parent
-    return node is not None
+class Open:
+    """The open elements by name, so that what a tag closes is found at once however deep a page is."""
+
+    def __init__(self):
+        self.root = self.node = Node("html", None, NONE)
+        self.named: dict[str, list[Node]] = {}
+        self.blocks: list[Node] = []
+
+    def push(self, tag: str, raw: str) -> None:
+        child = Node(tag, self.node, _marked(tag, raw, any(self.named.get(t) for t in MAIN)))
+        self.node.parts.append(child)
+        if tag not in VOID:
+            self.node = child
+            self.named.setdefault(tag, []).append(child)
+            if tag in WALLS:
+                self.blocks.append(child)
 
+    def last(self, tags) -> Node | None:
+        """The innermost open element of these names."""
+        return max((self.named[t][-1] for t in tags if self.named.get(t)), key=lambda n: n.depth, default=None)
 
-def _in_main(node: Node | None) -> bool:
-    while node and node.tag not in MAIN:
-        node = node.parent
-    return node is not None
+    def close(self, to: Node) -> None:
+        """Close all elements down to `to` and that one too."""
+        end = to.parent
+        while self.node is not end:
+            tag = self.node.tag
+            self.named[tag].pop()
+            if tag in WALLS:
+                self.blocks.pop()
+            self.node = self.node.parent
 
 
 def tree(page: str) -> Node:
     """Element tree of a page, however broken; raw elements and comments are left out."""
-    root = node = Node("html", None, NONE)
+    o = Open()
     at = 0
+    missing: set[str] = set()  # names without an end tag ahead
     m = _TOKEN.search(page)
     while m:
         if m.start() > at:
-            node.parts.append(page[at : m.start()])
+            o.node.parts.append(page[at : m.start()])
         at = m.end()
         tag = (m[2] or "").lower()
         if not tag:
             if page.startswith("<![CDATA[", m.start()):
-                node.parts.append(page[m.start() + 9 : at].removesuffix("]]>").replace("&", "&amp;"))
+                o.node.parts.append(page[m.start() + 9 : at].removesuffix("]]>").replace("&", "&amp;"))
         elif m[1]:
-            open_ = node
-            while open_.parent and open_.tag != tag:
-                open_ = open_.parent
-            if open_.parent and open_.tag == tag:
-                node = open_.parent
+            if o.named.get(tag):
+                o.close(o.named[tag][-1])
             elif tag == "br":
-                node.parts.append(Node("br", node, NONE))
+                o.node.parts.append(Node("br", o.node, NONE))
         elif tag in RAW:
-            if not m[3].rstrip().endswith("/") or tag not in ("svg", "math"):
-                end = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = end.end() if end else len(page)
-        elif tag in ("html", "head", "body") and tag != "head":
-            if tag == "body":
-                while node.parent:
-                    node = node.parent
+            end = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
+            at = end.end() if end else len(page)
+        elif tag == "html":
+            pass
+        elif tag == "body":
+            if o.node.parent:
+                top = o.node
+                while top.parent.parent:
+                    top = top.parent
+                o.close(top)
         else:
+            if tag in EMBEDDED:
+                lacking = tag in missing or not re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I).search(page, at)
+                if lacking:
+                    missing.add(tag)
+                if lacking or m[3].rstrip().endswith("/"):
+                    m = _TOKEN.search(page, at)
+                    continue
             if tag in IMPLIED:
                 ends, stop = IMPLIED[tag]
-                open_ = node
-                while open_.parent and open_.tag not in stop:
-                    if open_.tag in ends:
-                        node = open_.parent
-                    open_ = open_.parent
-            if tag in ENDS_P:
-                open_ = node
-                while open_.parent and open_.tag not in BLOCK:
-                    open_ = open_.parent
-                if open_.tag == "p":
-                    node = open_.parent
-            if node.tag == "head" and tag not in HEAD:
-                node = node.parent
-            child = Node(tag, node, _marked(tag, m[3], node))
-            node.parts.append(child)
-            if tag not in VOID:
-                node = child
+                wall = o.last(stop | EMBEDDED)
+                while (old := o.last(ends)) and not (wall and wall.depth > old.depth):
+                    o.close(old)
+            if tag in ENDS_P and o.blocks and o.blocks[-1].tag == "p":
+                o.close(o.blocks[-1])
+            if o.node.tag == "head" and tag not in HEAD:
+                o.close(o.node)
+            o.push(tag, m[3])
         m = _TOKEN.search(page, at)
     if at < len(page):
-        node.parts.append(page[at:])
-    _acquit(root)
-    return root
+        o.node.parts.append(page[at:])
+    _acquit(o.root)
+    return o.root
 
 
 def _walk(root: Node) -> list[Node]:

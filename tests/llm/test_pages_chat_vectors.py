@@ -183,3 +183,84 @@ def test_markers():
     kinds = {"User: hi": "user", "### Response: ok": "assistant", "**System:** x": "system", "<|user|> y": "user", "[BOT] z": "assistant", "Anna: hey": "name", "> quoted": "sign", "plain line": "none", "Q: why?": "user", "A good day": "none"}
     assert {k: chat_format.marker(k)[0] for k in kinds} == kinds
     assert "**System:** x"[chat_format.marker("**System:** x")[1] :] == "x"
+
+
+def test_stray_quotes_and_unclosed_elements():
+    """A quote opens a string only behind `=`; elements without an end tag ahead don't take the rest of the page."""
+    from scoreloom.llm.html_text import main_text
+
+    words = "The long article has many words, and more sentences follow here. " * 6
+    two = f"{words.strip()}\n{words.strip()}"
+    for first in (
+        f'<p class="x"">{words}</p>', f"<p title=it's>{words}</p>", f"<p><img alt=Bob's>{words}</p>", f"<p><a href=/q?a='x></a>{words}</p>", f"<object data=x><p>{words}</p>",
+        f"<select><p>{words}</p>", f"<canvas><p>{words}</p>", f"<audio><video><p>{words}</p>", f"<svg><p>{words}</p>",
+    ):
+        assert main_text(f"<body><nav><a href=x>menu</a></nav><article>{first}<p>{words}</p></article></body>") == two, first
+    closed = f"<article><p>{words}</p><p>x <object><div>fallback</div></object>{words}</p><select><option>one<option>two</select><svg><text>pic</text></svg></article>"
+    assert main_text(closed) == f"{words.strip()}\nx {words.strip()}"
+
+
+def test_hostile_pages_take_little_time():
+    import time
+
+    from scoreloom.llm.html_text import main_text
+
+    begun = time.process_time()
+    for page in (
+        "<div>" * 20_000 + "x" + "</x>" * 20_000, "<b>" * 20_000 + "<hr>" * 20_000, "<li><ul>" * 100 + "<div>" * 20_000 + "<dd>" * 20_000, "<article>" * 10_000 + "a",
+        "<object>" * 20_000 + "x", "<p " + 'a="b" ' * 50_000 + ">x", "<a " + "=" * 100_000, "<svg>" * 5_000 + "</svg>", "<div class=menu>" * 5_000 + "<header>" * 5_000,
+    ):
+        main_text(page)
+    assert time.process_time() - begun < 10
+
+
+def test_densities_against_plain_sums():
+    """Counts, densities and sums of random trees, each computed from the whole subtree."""
+    import math
+    import random
+
+    from scoreloom.llm import html_text
+
+    rng = random.Random(8)
+
+    def page(depth):
+        out = []
+        for _ in range(rng.randint(0, 4)):
+            kind = rng.random()
+            if depth and kind < 0.6:
+                tag = rng.choice(["div", "a", "span", "section", "b"])
+                out.append(f"<{tag}>{page(depth - 1)}</{tag}>")
+            else:
+                out.append("word " * rng.randint(0, 12))
+        return "".join(out)
+
+    def below(n):
+        return [n, *(x for c in n.parts if isinstance(c, html_text.Node) and not c.skip for x in below(c))]
+
+    def text(n):
+        return "".join(p if isinstance(p, str) else text(p) for p in n.parts if isinstance(p, str) or not p.skip)
+
+    def in_links(n):
+        kids = [c for c in n.parts if isinstance(c, html_text.Node)]
+        return sum(len(text(c).replace(" ", "")) if c.link else in_links(c) for c in kids)
+
+    for _ in range(150):
+        root = html_text.tree("<body>" + page(5) + "</body>")
+        html_text._measure(html_text._walk(root))
+        size = lambda n: len(text(n).replace(" ", ""))
+        share = in_links(root) / max(1, size(root))
+        density = {}
+        for n in below(root):
+            c, t, lc, lt = size(n), max(1, len(below(n)) - 1), in_links(n), sum(x.link for x in below(n)[1:])
+            assert (n.chars, n.link_chars, n.tags, n.link_tags) == (c, lc, len(below(n)) - 1, lt)
+            density[n] = 0.0
+            if c:
+                base = math.log(c / max(1, c - lc) * lc + share * c + math.e)
+                density[n] = max(0.0, c / t * math.log(max(1.0, c * t / (max(1, lc) * max(1, lt)))) / math.log(base + math.e - 1))
+            assert abs(n.density - density[n]) < 1e-9 * (1 + density[n])
+        for n in below(root):
+            kids = [c for c in n.parts if isinstance(c, html_text.Node)]
+            own = size(n) - sum(map(size, kids))
+            want = sum(density[c] for c in kids) + density[n] * own / max(1, size(n))
+            assert abs(n.total - want) < 1e-9 * (1 + want)
+        assert max(below(root), key=lambda n: n.total).total == root.peak.total
