@@ -62,7 +62,8 @@ FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"))
+    # a token is the smallest segment, so as many segments as tokens are no limit
+    return packing.pack_documents(table(spark, sf_dir, "documents"), packing.Limits(segments=packing.Limits.tokens))
 
 
 QUERIES = {

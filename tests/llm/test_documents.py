@@ -295,3 +295,12 @@ def test_rules_awkward(spark):
     for y in ([], [1], [0]):
         flat = rule_ensemble.fit(cases.docs(spark), spark.createDataFrame([(1, v) for v in y], "doc_id long, quality int"))
         assert rule_ensemble.score(cases.docs(spark), flat).count() == len(cases.DOCS)
+
+
+def test_packing_of_tiny_texts_pads_little(spark):
+    """Three tokens each: without a segment limit hardly any padding, and no sequence that isn't full or a power of two."""
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "concat('ab ', id % 7) AS text")
+    limits = packing.Limits(segments=packing.Limits.tokens)
+    got = packing.pack_documents(docs.coalesce(2), limits).groupBy("sequence_id").agg({"length": "sum"}).toPandas()["sum(length)"]
+    padded = sum(n if n & (n - 1) == 0 else 1024 for n in got)
+    assert got.max() <= 1024 and padded - got.sum() < 0.01 * padded
