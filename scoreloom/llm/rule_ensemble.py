@@ -148,7 +148,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     """
     known = labels.select("doc_id", F.col(label).cast("int").alias("_y")).where("doc_id IS NOT NULL AND _y IN (0, 1)")
     n = known.count()
-    few = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(2**20)) < int(2**20 * min(1.0, sample / max(n, 1)))).limit(2 * sample)
+    few = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(2**20)) < int(2**20 * min(1.0, sample / max(n, 1))))
+    few = few.orderBy(F.xxhash64("doc_id", "_y"), "doc_id", "_y").limit(2 * sample)  # only ids with very many labels exceed it
     rows = statistics(docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")).select("doc_id", "_y", *[f"_s_{f}" for f in FEATURES]).toPandas()
     rows = rows.sort_values(list(rows.columns), kind="stable")
     return fit_rows(rows[[f"_s_{f}" for f in FEATURES]].to_numpy(float).reshape(-1, len(FEATURES)), rows["_y"].to_numpy(int))

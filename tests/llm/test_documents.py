@@ -304,3 +304,55 @@ def test_packing_of_tiny_texts_pads_little(spark):
     got = packing.pack_documents(docs.coalesce(2), limits).groupBy("sequence_id").agg({"length": "sum"}).toPandas()["sum(length)"]
     padded = sum(n if n & (n - 1) == 0 else 1024 for n in got)
     assert got.max() <= 1024 and padded - got.sum() < 0.01 * padded
+
+
+def test_lasso_is_optimal():
+    """Slopes of the loss on standardised rules: at most the penalty where a weight is 0, the penalty against its sign elsewhere."""
+    np = packing.np
+    rng = np.random.default_rng(6)
+    a = (rng.random((600, 12)) < rng.uniform(0.1, 0.9, 12)).astype(float)
+    y = (rng.random(600) < 1 / (1 + np.exp(-(2 * a[:, 0] - 1.5 * a[:, 3])))).astype(float)
+    bias, w = rule_ensemble.lasso(a, y, 0.02, steps=5000)
+    spread = a.std(0)
+    p = 1 / (1 + np.exp(-(bias + a @ w)))
+    slope = ((a - a.mean(0)) / spread).T @ (p - y) / len(y)
+    assert abs((p - y).mean()) < 1e-6 and 0 < (abs(w) > 1e-9).sum() < 12
+    for g, v in zip(slope, w * spread, strict=True):
+        assert abs(g + 0.02 * np.sign(v)) < 1e-4 if abs(v) > 1e-9 else abs(g) <= 0.02 + 1e-4
+
+
+def test_rules_follow_the_best_cuts():
+    """A tree's cuts against a search of all its features and bins; rules of sisters share the rows of their parent."""
+    np = packing.np
+    x = np.random.default_rng(2).normal(size=(300, 4))
+    y = ((x[:, 1] > 0.3) ^ (x[:, 2] > 0)).astype(int)
+    rng = np.random.default_rng(9)
+    rules = rule_ensemble.grow(x, y, rng, depth=2)
+    rng = np.random.default_rng(9)
+    rows = rng.integers(0, 300, 300)
+    some = rng.choice(4, 2, replace=False)
+
+    def impurity(v):
+        return v.mean() * (1 - v.mean()) * len(v)
+
+    def best(rows):
+        cuts = [(impurity(y[rows]) - impurity(y[rows][k]) - impurity(y[rows][~k]), -f, t) for f in some
+                for t in np.unique(np.quantile(x[rows, f], np.linspace(0, 1, rule_ensemble.BINS + 1)[1:-1])) if 5 <= (k := x[rows, f] <= t).sum() <= len(rows) - 5]
+        return max((c[0] for c in cuts), default=0)
+
+    for rule in rules:
+        f, upper, t = rule.parts[-1]
+        above = rows[rule_ensemble.Rule(rule.parts[:-1]).holds(x[rows])]
+        k = x[above, f] <= t
+        assert abs(impurity(y[above]) - impurity(y[above][k]) - impurity(y[above][~k]) - best(above)) < 1e-9
+        sister = rule_ensemble.Rule((*rule.parts[:-1], (f, not upper, t)))
+        assert sister in rules and (rule.holds(x) ^ sister.holds(x) == rule_ensemble.Rule(rule.parts[:-1]).holds(x)).all()
+
+
+def test_quality_of_empty_tables(spark):
+    none, labels = cases.docs(spark, []), spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    model = rule_ensemble.fit(none, labels)
+    assert not model.rules and rule_ensemble.score(none, model).count() == 0
+    assert rule_ensemble.fit(cases.docs(spark), labels.limit(0)).rules == []
+    many = spark.createDataFrame([(1, i % 2) for i in range(100)], "doc_id long, quality int")
+    assert rule_ensemble.fit(cases.docs(spark), many, sample=5) == rule_ensemble.fit(cases.docs(spark), many.repartition(3), sample=5)
