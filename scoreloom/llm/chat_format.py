@@ -133,8 +133,8 @@ def messages(lines: list[str], at: list[int], states: list[int]) -> list[tuple[s
 
 
 def render(turns: list[tuple[str, str]]) -> str:
-    """The canonical form: each turn between its role and an end mark, in order."""
-    return "".join(f"<|{role}|>\n{text}\n<|end|>\n" for role, text in turns)
+    """The canonical form: each turn between its role and an end mark, in order; marks inside a text are escaped as `<\\|`."""
+    return "".join(f"<|{role}|>\n{text.replace('<|', '<' + chr(92) + '|')}\n<|end|>\n" for role, text in turns)
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
@@ -145,7 +145,8 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     """
     known = labelled.select("text", "roles").dropna()
     n = known.count()
-    rows = known.where(F.pmod(F.xxhash64("text"), F.lit(2**20)) < int(2**20 * min(1.0, sample / max(n, 1)))).limit(2 * sample).collect()
+    rows = known.where(F.pmod(F.xxhash64("text"), F.lit(2**20)) < int(2**20 * min(1.0, sample / max(n, 1))))
+    rows = rows.orderBy(F.xxhash64("text", "roles"), "text").limit(2 * sample).collect()  # only texts that repeat very often exceed it
     names = {("+" if begins else "") + role: i for i, (role, begins) in enumerate(STATES)}
     sequences = []
     for text, roles in sorted((r.text, r.roles) for r in rows):

@@ -179,6 +179,24 @@ def test_transcripts(spark):
     assert chat_format.fit(raw.limit(0)).start.shape == (6,)
 
 
+def test_transcripts_keep_blank_lines(spark):
+    """Whole texts go in, blank lines and odd white space too, and come out as one turn; marks in a text are escaped."""
+    said = "first\n\n \t\u3000\nsecond <|end|>\n\nthird"
+    rows = [(1, 0, "user", "\n\nwhat is it?"), (1, 1, "assistant", said), (2, 0, "user", "\u00a0\n\t"), (3, 0, "user", "word " * 40_000), (3, 1, "assistant", "line\n" * 20_000)]
+    rows += [(c, t, "user" if t % 2 == 0 else "assistant", f"Is it {c}?" if t % 2 == 0 else f"It is.\n\nReally {c}.") for c in range(10, 60) for t in range(4)]
+    raw = queries_chat.transcripts(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    got = {r.conv_id: r for r in raw.collect()}
+    assert set(got) == {1, 3, *range(10, 60)}
+    first = got[1]
+    assert first.text.count("\n") == 2 + 1 + said.count("\n") and first.text.endswith(said[5:]) and first.text.startswith("\n\n")
+    assert first.roles == ["+user", "+assistant", "assistant", "assistant"] and len(got[3].roles) == 1 + 20_000
+    model = chat_format.fit(raw)
+    parsed = {r.conv_id: r for r in chat_format.parse(raw, model).collect()}
+    assert all(len(r.line_roles) == len(r.roles) for r in parsed.values())
+    turn = next(m.text for m in parsed[1].messages if "second" in m.text)
+    assert "\n\n" in turn and parsed[1].rendered.count("<|end|>") == len(parsed[1].messages)
+
+
 def test_markers():
     kinds = {"User: hi": "user", "### Response: ok": "assistant", "**System:** x": "system", "<|user|> y": "user", "[BOT] z": "assistant", "Anna: hey": "name", "> quoted": "sign", "plain line": "none", "Q: why?": "user", "A good day": "none"}
     assert {k: chat_format.marker(k)[0] for k in kinds} == kinds
