@@ -33,21 +33,44 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def placed(rows: DataFrame, order: list, name: str) -> DataFrame:
+    """`rows` in the order of the columns `order`, stored, with _part and _pos, the place among all rows from 0.
+
+    Rows that tie in all of `order` are dealt by where they were read, so that many equal rows don't meet in one task.
+    Only the row count of each range is collected.
+    """
+    spark = rows.sparkSession
+    rows = rows.withColumn("_tie", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
+    rows = stored(rows.withColumn("_at", F.monotonically_increasing_id()), name)
+    counts = sorted(rows.groupBy(F.expr("shiftright(_at, 33)").alias("p")).count().collect())
+    offsets, total = [], 0
+    for part, n in counts:
+        offsets.append((part, total))
+        total += n
+    offsets = F.broadcast(spark.createDataFrame(offsets, "_part long, _offset long"))
+    rows = rows.withColumn("_part", F.expr("shiftright(_at, 33)")).join(offsets, "_part")
+    return rows.withColumn("_pos", F.expr("_offset + (_at & 8589934591L)")).drop("_at", "_offset")
+
+
 def row_key(docs: DataFrame) -> tuple[DataFrame, bool]:
     """`docs` with `_key` and whether the ids are unique. `_key` is a long that is unique per distinct (doc_id, text) and sorts like (doc_id, text), NULL ids last.
 
     With unique non-NULL ids, the normal case, that is the id itself. Otherwise the distinct rows are numbered
-    by a range-partitioned sort, so that rows sharing an id are different documents and repeated rows are one.
+    by a range-partitioned sort, so that rows sharing an id are different documents and repeated rows are one; the numbers
+    come back by id and SHA-256 of the text, so texts are moved for the sort alone and never leave the JVM.
     """
     odd = (
         docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").limit(1).count()
     )
     if not odd:
         return docs.withColumn("_key", F.col("doc_id").cast("long")), True
-    order = docs.select("doc_id", "text").distinct().orderBy(F.col("doc_id").asc_nulls_last(), F.col("text"))
-    keys = order.rdd.zipWithIndex().map(lambda x: (x[0][0], x[0][1], x[1])).toDF("_key_id long, _key_text string, _key long")
-    keys = stored(keys, "row-keys")
-    return docs.join(keys, docs.doc_id.eqNullSafe(keys._key_id) & docs.text.eqNullSafe(keys._key_text)).drop("_key_id", "_key_text"), False
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    order = docs.select(F.col("doc_id").alias("_key_id"), F.col("text").alias("_key_text")).distinct()
+    keys = placed(order, [F.col("_key_id").asc_nulls_last(), "_key_text"], "row-keys")
+    keys = stored(keys.select("_key_id", F.col("_key_text").isNull().alias("_key_none"), F.sha2(F.coalesce("_key_text", F.lit("")), 256).alias("_key_sha"), F.col("_pos").alias("_key")), "row-keys")
+    same = docs.doc_id.eqNullSafe(keys._key_id) & (docs.text.isNull() == keys._key_none) & (digest == keys._key_sha)
+    return docs.join(keys, same).drop("_key_id", "_key_none", "_key_sha"), False
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

@@ -1,9 +1,10 @@
 """Benchmark decontamination with DataFrame and SQL functions only.
 
-A window is a run of `width` consecutive words of a benchmark item, or the whole item if it is shorter. The set of
-windows of a benchmark is small and its size is checked: up to `set_limit` distinct windows are shipped as a hash
-set inside the plan, so that documents are scanned once, without a shuffle. A larger benchmark is joined by shuffle
-on the windows instead; the results are the same.
+A window is a run of `width` consecutive words of a benchmark item, or the whole item if it is shorter. Up to `set_limit`
+distinct windows are shipped as a hash set inside the plan, so that documents are scanned once, without a shuffle. Up to
+`broadcast_limit` their 64-bit hashes, a few dozen bytes each, are broadcast: the windows of documents are looked up where
+they are read, and only hits go on to be verified word by word. A benchmark beyond that is joined by shuffle on the hashes.
+The results are the same each time.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WIDTH, SET_LIMIT = 13, 20_000
+WIDTH, SET_LIMIT, BROADCAST_LIMIT = 13, 20_000, 4_000_000
 WORDS = (
     "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
     r" r'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+', 0)"
@@ -32,7 +33,9 @@ def item_windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     )
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, set_limit: int = SET_LIMIT) -> DataFrame:
+def contamination(
+    docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, set_limit: int = SET_LIMIT, broadcast_limit: int = BROADCAST_LIMIT
+) -> DataFrame:
     """`docs` with n_words, spans (start, len of each occurring window, in words from 1), n_hit, items (sorted ids).
 
     NULL or empty texts have no words and no hits; an empty benchmark hits nothing; items with a NULL id count in
@@ -43,7 +46,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, set
     windows = item_windows(benchmark, width)
     found = windows.select("len", "win").distinct().limit(set_limit + 1).collect()
     if len(found) > set_limit:
-        return _by_shuffle(docs, windows, sorted(r[0] for r in windows.select("len").distinct().collect()))
+        return _by_hash(docs, windows, sorted(r[0] for r in windows.select("len").distinct().collect()), broadcast_limit)
     return docs.selectExpr("*", f"inline(array({_row(windows, found)}))")
 
 
@@ -94,22 +97,25 @@ def _row(windows: DataFrame, found: list) -> str:
     return _let(WORDS, "w", _let(spans, "sp", body))
 
 
-def _by_shuffle(docs: DataFrame, windows: DataFrame, lens: list[int]) -> DataFrame:
-    """The way for a benchmark of any size: document windows meet the benchmark's by a shuffle join."""
-    base = docs.selectExpr("*", f"{WORDS} AS _w", "xxhash64(doc_id, sha2(coalesce(text, ''), 256)) AS _row")
+def _by_hash(docs: DataFrame, windows: DataFrame, lens: list[int], broadcast_limit: int) -> DataFrame:
+    """The way for a benchmark of any size: hashes of document windows meet those of the benchmark, then the words of the hits."""
+    base = docs.selectExpr("*", f"{WORDS} AS _w", "sha2(coalesce(text, ''), 256) AS _row")
+    hashes = windows.selectExpr("xxhash64(len, transform(split(win, ' '), x -> xxhash64(x))) AS h").distinct()
+    if hashes.limit(broadcast_limit + 1).count() <= broadcast_limit:
+        hashes = F.broadcast(hashes)
     parts = ", ".join(
-        f"transform(filter(sequence(1, greatest(size(_w) - {n - 1}, 1)), i -> i + {n - 1} <= size(_w)),"
-        f" i -> struct(i AS start, {n} AS len, concat_ws(' ', slice(_w, i, {n})) AS win))"
+        f"transform(filter(sequence(1, greatest(size(_h) - {n - 1}, 1)), i -> i + {n - 1} <= size(_h)),"
+        f" i -> struct(i AS start, {n} AS len, xxhash64({n}, slice(_h, i, {n})) AS h))"
         for n in lens
     )
-    spots = base.select("_row", "_w").dropDuplicates(["_row"]).selectExpr("_row", f"inline(concat({parts}))")
-    spots = spots.join(windows.select("win", "len").distinct(), ["win", "len"])
-    spans = spots.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "len"))).alias("spans"))
-    items = (
-        spots.select("_row", "win").distinct().join(windows, "win").where("item IS NOT NULL")
-        .groupBy("_row").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    )
-    out = base.selectExpr("* EXCEPT (_w)", "bigint(size(_w)) AS n_words").join(spans, "_row", "left").join(items, "_row", "left")
+    words = base.selectExpr("_row", "transform(_w, x -> xxhash64(x)) AS _h").selectExpr("_row", f"inline(concat({parts}))")
+    hits = words.join(hashes, "h", "left_semi").select("_row", "start", "len").distinct()
+    hits = hits.groupBy("_row").agg(F.collect_list(F.struct("start", "len")).alias("_at"))
+    texts = base.select("_row", "_w").join(hits, "_row").dropDuplicates(["_row"])  # documents with hits only
+    spots = texts.selectExpr("_row", "inline(transform(_at, s -> struct(s.start AS start, s.len AS len, concat_ws(' ', slice(_w, s.start, s.len)) AS win)))")
+    spots = spots.join(windows, ["win", "len"])
+    found = spots.groupBy("_row").agg(F.array_sort(F.collect_set(F.struct("start", "len"))).alias("spans"), F.array_sort(F.collect_set("item")).alias("items"))
+    out = base.selectExpr("* EXCEPT (_w)", "bigint(size(_w)) AS n_words").join(found, "_row", "left")
     out = out.withColumns({"spans": F.coalesce("spans", F.expr(NO_SPANS)), "items": F.coalesce("items", F.expr(NO_ITEMS))})
     return out.selectExpr(*[f"`{c}`" for c in docs.columns], "n_words", "spans", f"{_covered('spans')} AS n_hit", "items")
 

@@ -18,8 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scoreloom.llm.common import stored
-from scoreloom.llm.superblocks import keyed, ordered, placed, scan, tops
+from scoreloom.llm.common import placed, stored
+from scoreloom.llm.superblocks import keyed, ordered, scan, tops
 
 FAN = 16
 LEVELS = 3  # of a superblock

@@ -14,31 +14,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scoreloom.llm.common import stored
+from scoreloom.llm.common import placed, stored
 
 SIZE = 4096
 
 
-def placed(rows: DataFrame, order: list, name: str) -> DataFrame:
-    """`rows` in the order of the columns `order`, stored, with _part and _pos, the place among all rows from 0.
-
-    Rows that tie in all of `order` are dealt by where they were read, so that many equal rows don't meet in one task.
-    Only the row count of each range is collected.
-    """
-    spark = rows.sparkSession
-    rows = rows.withColumn("_tie", F.monotonically_increasing_id())
-    rows = rows.repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
-    rows = stored(rows.withColumn("_at", F.monotonically_increasing_id()), name)
-    counts = sorted(rows.groupBy(F.expr("shiftright(_at, 33)").alias("p")).count().collect())
-    offsets, total = [], 0
-    for part, n in counts:
-        offsets.append((part, total))
-        total += n
-    offsets = F.broadcast(spark.createDataFrame(offsets, "_part long, _offset long"))
-    rows = rows.withColumn("_part", F.expr("shiftright(_at, 33)")).join(offsets, "_part")
-    return rows.withColumn("_pos", F.expr("_offset + (_at & 8589934591L)")).drop("_at", "_offset")
-
-
 def ordered(rows: DataFrame, group: str, order: list, name: str) -> DataFrame:
     """`rows` with _tree (the group: the place of its first row), _n (its rows) and _pos (place in it from 0).
 

@@ -28,9 +28,10 @@ def kept_columns(out, clashes):
         assert r[c] == f"keep {c}", c
 
 
-@pytest.mark.parametrize("limit", [20_000, 0])
-def test_contamination(spark, bench, limit):
-    out = decontamination.contamination(cases.docs(spark, clashes=True), bench, set_limit=limit)
+@pytest.mark.parametrize("limits", [(20_000, 0), (0, 1000), (0, 0)])
+def test_contamination(spark, bench, limits):
+    """The set in the plan, broadcast hashes and hashes by shuffle."""
+    out = decontamination.contamination(cases.docs(spark, clashes=True), bench, set_limit=limits[0], broadcast_limit=limits[1])
     want = Counter((i, n, h, tuple(x)) for i, t in cases.DOCS for n, h, x in [cases.contamination(t, ITEMS)])
     assert rows_of(out, "doc_id", "n_words", "n_hit", "items") == want
     kept_columns(out, ["key", "a", "w", "h", "n", "i", "score"])
@@ -40,7 +41,12 @@ def test_contamination_random(spark):
     rows = cases.texts(120)
     items = [(i, " ".join(t.split(" ")[5:40])) for i, t in rows[::9]] + [(900, "zz")]
     out = decontamination.contamination(cases.docs(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
-    assert rows_of(out, "doc_id", "n_words", "n_hit", "items") == Counter((i, n, h, tuple(x)) for i, t in rows for n, h, x in [cases.contamination(t, items)])
+    want = Counter((i, n, h, tuple(x)) for i, t in rows for n, h, x in [cases.contamination(t, items)])
+    assert rows_of(out, "doc_id", "n_words", "n_hit", "items") == want
+    large = decontamination.contamination(cases.docs(spark, rows), spark.createDataFrame(items, "item_id long, text string"), set_limit=0)
+    assert rows_of(large, "doc_id", "n_words", "n_hit", "items") == want
+    plan = large._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan and "Python" not in plan
 
 
 def test_contamination_empty(spark, bench):
@@ -356,3 +362,32 @@ def test_quality_of_empty_tables(spark):
     assert rule_ensemble.fit(cases.docs(spark), labels.limit(0)).rules == []
     many = spark.createDataFrame([(1, i % 2) for i in range(100)], "doc_id long, quality int")
     assert rule_ensemble.fit(cases.docs(spark), many, sample=5) == rule_ensemble.fit(cases.docs(spark), many.repartition(3), sample=5)
+
+
+@pytest.mark.parametrize(("members", "across"), [(20, False), (300, False), (8192, False), (300, True)])
+def test_screening_of_near_copies_is_bounded(members, across):
+    """Postings of near copies: one row a member, or all pairs of two labels, in little memory however large a posting is."""
+    import tracemalloc
+
+    np, pa = packing.np, jaccard.pa
+    rows = members if members > 4096 else 12_000 // members * members
+    rng = np.random.default_rng(1)
+    bits = np.repeat(rng.integers(-(2**62), 2**62, (rows // members, jaccard.WORDS)), members, 0)
+    bits[:, 0] ^= 1 << rng.integers(0, 60, rows)
+    key = rng.permutation(rows)
+    sig, zero = np.repeat(np.arange(rows // members), members), np.zeros(rows, np.int32)
+    names = ["sig", "key", "n", "block", "bi", "bj", "label", *jaccard.SKETCH]
+    columns = [sig, key, np.full(rows, 200, np.int32), zero, zero, zero, sig if not across else key % 2, *bits.T]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+    tracemalloc.start()
+    found = [r for b in jaccard._screen(85, across)([batch]) for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    assert tracemalloc.get_traced_memory()[1] < (250 << 20)
+    tracemalloc.stop()
+    low = {}
+    for s, k in zip(sig.tolist(), key.tolist(), strict=True):
+        low.setdefault(s, []).append(k)
+    if across:
+        assert len(found) == sum(len([k for k in g if k % 2]) * len([k for k in g if not k % 2]) for g in low.values())
+    else:
+        of = {k: min(g) for g in low.values() for k in g}
+        assert len(found) == rows - rows // members and all(a < b and of[a] == of[b] for a, b, *_ in found)
