@@ -19,6 +19,10 @@ MISSING_FLAG_COLUMNS = (
 )
 MISSING_FLAG_PREFIXES = ("bureau_", "bb_", "cc_", "inst_", "pos_", "prev_")
 EXT_WEIGHTS = (0.2, 0.5, 0.3)
+# Weights of the bureau risk score (debt, overdue, not current) and of payment discipline (on time, paid up), share of current
+# months where none is known, and the most that a payment counts against what was due.
+RISK_WEIGHTS, DISCIPLINE_WEIGHTS = (0.5, 0.3, 0.2), (0.5, 0.5)
+CURRENT_UNKNOWN, PAID_CAP = 0.5, 1.5
 DAYS_PER_YEAR = 365.25
 
 
@@ -162,16 +166,19 @@ def cross_table_features(df: DataFrame) -> DataFrame:
     if dpd_months:
         out["TOTAL_DPD_MONTHS"] = rowwise.row_sum([c(x) for x in dpd_months])
     if {"debt_to_credit_ratio", "overdue_count", "bureau_loan_count"} <= have:
-        current = F.coalesce(c("bb_current_ratio"), F.lit(0.5)) if "bb_current_ratio" in have else F.lit(0.5)
+        unknown = F.lit(CURRENT_UNKNOWN)
+        current = F.coalesce(c("bb_current_ratio"), unknown) if "bb_current_ratio" in have else unknown
+        debt, overdue, behind = RISK_WEIGHTS
         out["BUREAU_RISK_SCORE"] = (
-            F.coalesce(c("debt_to_credit_ratio"), F.lit(0.0)) * 0.5
-            + (c("overdue_count") / rowwise.clip(c("bureau_loan_count"), lower=1.0)) * 0.3
-            + (F.lit(1.0) - current) * 0.2
+            F.coalesce(c("debt_to_credit_ratio"), F.lit(0.0)) * debt
+            + (c("overdue_count") / rowwise.clip(c("bureau_loan_count"), lower=1.0)) * overdue
+            + (F.lit(1.0) - current) * behind
         )
     if {"late_payment_ratio", "payment_to_due_ratio"} <= have:
+        on_time, paid = DISCIPLINE_WEIGHTS
         out["PAYMENT_DISCIPLINE"] = (
-            (F.lit(1.0) - F.coalesce(c("late_payment_ratio"), F.lit(0.0))) * 0.5
-            + rowwise.clip(F.coalesce(c("payment_to_due_ratio"), F.lit(1.0)), upper=1.5) / 1.5 * 0.5
+            (F.lit(1.0) - F.coalesce(c("late_payment_ratio"), F.lit(0.0))) * on_time
+            + rowwise.clip(F.coalesce(c("payment_to_due_ratio"), F.lit(1.0)), upper=PAID_CAP) / PAID_CAP * paid
         )
     if {"total_credit_amount", "AMT_INCOME_TOTAL"} <= have:
         out["TOTAL_EXPOSURE_RATIO"] = _over(

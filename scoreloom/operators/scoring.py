@@ -59,6 +59,11 @@ FORM_CONSTANTS = {
     "late_ratio_trend": 0.0, "pos_dpd_rate_last_12m": 0.0, "approval_rate_last_12m": 0.4,
     "avg_utilisation_ratio": 0.23, "avg_drawing_count": 0.25,
 }
+# How a form's figures stand in for the credit history.
+FORM_CONTRACTS, FORM_CONTRACTS_PER_CREDIT = 20.0, 5
+FORM_LINES_PER_YEAR, FORM_LINES_PER_TWO_YEARS = 3, 2
+FORM_ANNUITY_SHARE, FORM_DEBT_SPREAD, FORM_DAYS_PER_OVERDUE = 0.25, 0.5, 30
+FORM_SETTLED_DAYS = -5 * 365.25
 
 
 def missing_required(df: DataFrame) -> list[str]:
@@ -162,16 +167,16 @@ def _form_features(c, loan: Column, annuity: Column, e: list[Column]) -> dict[st
     e1, e2, e3 = e
     w1, w2, w3 = EXT_WEIGHTS
     out = {
-        "DAYS_REGISTRATION": F.lit(-5 * 365.25), "DAYS_ID_PUBLISH": F.lit(-5 * 365.25),
+        "DAYS_REGISTRATION": F.lit(FORM_SETTLED_DAYS), "DAYS_ID_PUBLISH": F.lit(FORM_SETTLED_DAYS),
         "active_loans": active, "overdue_loan_count": overdue,
-        "active_contracts": F.greatest(F.lit(20.0), active * 5),
+        "active_contracts": F.greatest(F.lit(FORM_CONTRACTS), active * FORM_CONTRACTS_PER_CREDIT),
         "avg_debt": debt / at_least_one, "debt_to_credit_ratio": debt / F.greatest(loan, F.lit(1.0)),
-        "bureau_loans_last_12m": F.greatest(F.lit(1.0), F.floor(lines / 3).cast("double")),
-        "bureau_loans_last_24m": F.greatest(F.lit(1.0), F.floor(lines / 2).cast("double")),
+        "bureau_loans_last_12m": F.greatest(F.lit(1.0), F.floor(lines / FORM_LINES_PER_YEAR).cast("double")),
+        "bureau_loans_last_24m": F.greatest(F.lit(1.0), F.floor(lines / FORM_LINES_PER_TWO_YEARS).cast("double")),
         "active_loans_last_12m": active, "avg_debt_last_12m": debt / at_least_one,
         "bureau_credit_type_count": at_least_one,
-        "avg_bureau_annuity": F.when(lines > 0, annuity * 0.25).otherwise(0.0),
-        "std_debt_amount": debt * 0.5, "bureau_day_overdue_count": overdue, "max_bureau_day_overdue": overdue * 30,
+        "avg_bureau_annuity": F.when(lines > 0, annuity * FORM_ANNUITY_SHARE).otherwise(0.0),
+        "std_debt_amount": debt * FORM_DEBT_SPREAD, "bureau_day_overdue_count": overdue, "max_bureau_day_overdue": overdue * FORM_DAYS_PER_OVERDUE,
         "MISS_bureau_loan_count": F.when(lines > 0, 0.0).otherwise(1.0),
         "EXT_SRC_1x2x3": e1 * e2 * e3, "EXT_SRC_PROD": e1 * e2 * e3,
         "EXT_SOURCE_WEIGHTED": e1 * w1 + e2 * w2 + e3 * w3,
