@@ -17,7 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE, MOST_LISTS, ROUNDS, SEED = 20_000, 1024, 12, 5
+from scoreloom.llm.common import stored
+
+SAMPLE, MOST_LISTS, ROUNDS, SEED = 20_000, 4096, 12, 5
 BLOCK, QUERIES = 4096, 512  # vectors of a block of a list, queries of a block
 COLUMNS, EPSILON = 16, 2.1
 LEAST = 200  # vectors that the lists of a query hold at least
@@ -127,8 +129,13 @@ def _packed(rows: DataFrame, sizes: DataFrame, most: int) -> DataFrame:
     return dealt.groupBy("list", "part").applyInArrow(_pack, "list int, ids binary, vs binary")
 
 
-def nearest_in_block(index: Index, query: np.ndarray, own: int, ids: np.ndarray, v: np.ndarray, columns: list[np.ndarray], turned: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and exact distances of the k nearest of a block that no test abandons, ties to the smaller id."""
+def nearest_in_block(
+    query: np.ndarray, own: int, ids: np.ndarray, v: np.ndarray, columns: list[np.ndarray], turned: np.ndarray, k: int, known: float = np.inf
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and exact distances of the k nearest of a block that no test abandons, ties to the smaller id.
+
+    `known` is the k-th distance of the blocks before: nothing farther is of use.
+    """
     dim = v.shape[1]
     live = np.flatnonzero(ids != own)
     if not len(live):
@@ -136,7 +143,7 @@ def nearest_in_block(index: Index, query: np.ndarray, own: int, ids: np.ndarray,
     partial = np.zeros(len(live))
     head = live[: 4 * k]  # a first bound from a few vectors, measured in full
     some = np.sqrt(((v[head] - query) ** 2).sum(1))
-    bound = np.partition(some, k - 1)[k - 1] ** 2 if len(some) >= k else np.inf
+    bound = min(known, np.partition(some, k - 1)[k - 1] if len(some) >= k else np.inf) ** 2
     seen = 0
     for g in columns:
         width = g.shape[1]
@@ -160,9 +167,10 @@ def _scan(shared, dim: int, k: int):
 
     def run(batches):
         index = shared.value
+        best: dict[int, np.ndarray] = {}  # the k smallest distances of each query of this task
+        last = None
         for batch in batches:
             out: list[tuple] = []
-            last = None
             for ids, vs, qids, qvs in zip(*(batch.column(c) for c in ("ids", "vs", "qids", "qvs")), strict=True):
                 ids, vs = ids.as_py(), vs.as_py()
                 if last is None or last[0] != ids or last[1] != vs:
@@ -172,8 +180,11 @@ def _scan(shared, dim: int, k: int):
                 _, _, number, v, columns = last
                 q = np.frombuffer(qvs.as_py()).reshape(-1, dim)
                 for own, query, turned in zip(np.frombuffer(qids.as_py(), np.int64), q, q @ index.rotation, strict=True):
-                    found, score = nearest_in_block(index, query, own, number, v, columns, turned, k)
-                    out += zip([int(own)] * len(found), found.tolist(), score.tolist(), strict=True)
+                    own = int(own)
+                    so_far = best.get(own, np.zeros(0))
+                    found, score = nearest_in_block(query, own, number, v, columns, turned, k, so_far[-1] if len(so_far) == k else np.inf)
+                    best[own] = np.sort(np.concatenate([so_far, score]))[:k]
+                    out += zip([own] * len(found), found.tolist(), score.tolist(), strict=True)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["query_id", "vec_id", "score"])
 
@@ -184,31 +195,36 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, least: int = LEAST
     """query_id, rank, vec_id, score: for each row whose id is divisible by `every`, its k nearest other rows.
 
     vectors: vec_id, embedding. Vectors that are NULL, empty, zero or hold a NULL or non-finite component take no
-    part, nor do vectors of another length than most have; an empty table gives no rows. Equal distances are ordered
+    part; vectors are compared with those of their own length; an empty table gives no rows. Equal distances are ordered
     by id. Each list is split into blocks, so one list may hold any share of the vectors, and queries are dealt in
     blocks, too; per query and block only k rows travel on.
     """
     spark = vectors.sparkSession
-    clean = usable(vectors)
-    shape = clean.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(1).collect()
-    schema = "query_id long, vec_id long, score double"
-    if not shape:
-        return spark.createDataFrame([], schema).selectExpr("query_id", "int(1) AS rank", "vec_id", "score")
-    dim, n = shape[0]
-    clean = clean.where(F.size("v") == dim)
+    clean = stored(usable(vectors).withColumn("dim", F.size("v")), "vectors")
+    shapes = sorted((r["dim"], r["count"]) for r in clean.groupBy("dim").count().collect())  # a row per length
+    schema = "query_id long, rank int, vec_id long, score double"
+    out = None
+    for dim, n in shapes:
+        part = _search(clean.where(F.col("dim") == dim).select("vec_id", "v"), dim, n, every, k, least)
+        out = part if out is None else out.unionByName(part)
+    return spark.createDataFrame([], schema) if out is None else out
+
+
+def _search(clean: DataFrame, dim: int, n: int, every: int, k: int, least: int) -> DataFrame:
+    """`search` among n stored vectors of one length."""
+    spark = clean.sparkSession
     rotation, centroids, probes = train(clean, n, dim, k)
     first = spark.sparkContext.broadcast(Index(rotation, centroids, np.zeros(len(centroids))))
-    assigned = clean.select("vec_id", "v").mapInArrow(_assign(first), "list int, vec_id long, v array<double>")
-    sizes = assigned.groupBy("list").agg(F.count("*").alias("n")).collect()
+    assigned = stored(clean.mapInArrow(_assign(first), "list int, vec_id long, v array<double>"), "vector-lists")
     held = np.zeros(len(centroids), np.int64)
-    for r in sizes:
+    for r in assigned.groupBy("list").agg(F.count("*").alias("n")).collect():
         held[r["list"]] = r["n"]
     shared = spark.sparkContext.broadcast(Index(rotation, centroids, held))
-    asked = clean.where(F.col("vec_id") % every == 0).select("vec_id", "v").mapInArrow(_assign(shared, probes, least), "list int, vec_id long, v array<double>")
+    asked = clean.where(F.col("vec_id") % every == 0).mapInArrow(_assign(shared, probes, least), "list int, vec_id long, v array<double>")
     of_list = spark.createDataFrame([(i, int(x)) for i, x in enumerate(held)], "list int, n long")
     blocks = _packed(assigned, of_list, BLOCK)
     # a query probes few lists, so a list has at most about its share of the queries' probes
     questions = _packed(asked, of_list.withColumn("n", F.col("n") * probes), QUERIES * every).selectExpr("list", "ids AS qids", "vs AS qvs")
-    near = blocks.join(questions, "list").select("ids", "vs", "qids", "qvs").mapInArrow(_scan(shared, dim, k), schema)
+    near = blocks.join(questions, "list").select("ids", "vs", "qids", "qvs").mapInArrow(_scan(shared, dim, k), "query_id long, vec_id long, score double")
     best = near.groupBy("query_id").agg(F.expr(f"slice(array_sort(collect_list(struct(score, vec_id))), 1, {k})").alias("best"))
     return best.selectExpr("query_id", "posexplode(best) AS (p, b)").selectExpr("query_id", "p + 1 AS rank", "b.vec_id", "b.score")

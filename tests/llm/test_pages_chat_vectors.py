@@ -282,3 +282,16 @@ def test_densities_against_plain_sums():
             want = sum(density[c] for c in kids) + density[n] * own / max(1, size(n))
             assert abs(n.total - want) < 1e-9 * (1 + want)
         assert max(below(root), key=lambda n: n.total).total == root.peak.total
+
+
+def test_vectors_meet_those_of_their_length(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=6 if i % 3 else 4).tolist()) for i in range(60)] + [(1000, [1.0, 2.0])]
+    got = {}
+    for r in vector_search.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=20, k=5).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    by = dict(rows)
+    for q in (0, 20, 40):
+        far = sorted((float(np.sqrt(((np.array(v) - by[q]) ** 2).sum())), i) for i, v in rows if i != q and len(v) == len(by[q]))[:5]
+        assert [(i, round(s, 9)) for _, i, s in sorted(got[q])] == [(i, round(d, 9)) for d, i in far]
+    assert 1000 not in got
