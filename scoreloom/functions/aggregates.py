@@ -1,8 +1,7 @@
 """Aggregate shapes shared by the history features, written as SQL expression text.
 
-``Rollup`` splits an aggregate into a partial per child key (one row per loan) and a merge per
-applicant. The partials are computed before the child table meets its parent, so a loan with a huge
-number of snapshots is reduced map-side and never travels to a join as raw rows.
+``Rollup`` splits an aggregate into a partial per applicant and number of copies of the parent row, which sums a child
+table as it is, and a merge per applicant, which weighs the few partials by their copies.
 """
 
 from __future__ import annotations
@@ -67,7 +66,7 @@ def named(outputs: dict[str, str]) -> list[Column]:
 
 
 class Rollup:
-    """Collects per-child partials; each method returns the applicant-level merged expression.
+    """Collects partials; each method returns the applicant-level merged expression.
 
     Sums are weighted by ``p_copies``, the number of times the parent lists the loan for the applicant. ``prefix`` keeps
     the partials of several child tables apart when their rows are merged together.
@@ -76,10 +75,12 @@ class Rollup:
     def __init__(self, prefix: str = "") -> None:
         self.p = f"p_{prefix}"
         self._partials: dict[str, str] = {f"{self.p}here": "max(1)"}
+        self.counts_loans = False
 
     def loans(self) -> str:
-        """Number of distinct child keys: rows that carry partials of this child table."""
-        return f"count({self.p}here)"
+        """Number of distinct child keys, which ``counts_loans`` asks the rows to carry as ``<prefix>loans``."""
+        self.counts_loans = True
+        return f"sum({self.p}loans)"
 
     def partials(self) -> list[Column]:
         return named(self._partials)
@@ -110,18 +111,20 @@ class Rollup:
         return mean_of(self.sum(name, x), self.count(name, x))
 
     def std(self, name: str, x: str) -> str:
-        """Sample deviation over all rows from count, mean and centred square sum of each child key.
+        """Sample deviation over all rows from count, mean and centred square sum of each partial.
 
-        The part between child keys is a sum over (mean - centre) squared. Each mean is split exactly into whole steps
+        The part between partials is a sum over (mean - centre) squared. Each mean is split exactly into whole steps
         of 2**-20 and the rest of a step in units of 2**-60; sums of their products are exact decimals, and the centre,
         a whole step, is taken off before anything becomes a double. So nothing cancels however far the values lie from
-        zero, and spreads down to 1e-14 are kept. Means beyond 6e10 do not fit and fall back to doubles.
+        zero, and spreads down to 1e-14 are kept. Means beyond 6e10 do not fit and fall back to doubles. A single partial
+        has no part between.
         """
         n = self.count(name, x)
         mean, inner, hi, lo = (f"{self.p}{name}_{part}" for part in ("mean", "m2", "hi", "lo"))
-        steps = f"avg({double(x)}) * 1048576D"
-        fits = f"abs(avg({double(x)})) < 6e10D"
-        self._partials.setdefault(mean, f"avg({double(x)})")
+        average = avg(x)
+        steps = f"({average}) * 1048576D"
+        fits = f"abs({average}) < 6e10D"
+        self._partials.setdefault(mean, average)
         self._partials.setdefault(inner, f"var_pop({double(x)}) * count({x})")
         self._partials.setdefault(hi, f"CASE WHEN {fits} THEN CAST(floor({steps}) AS DECIMAL(17, 0)) END")
         self._partials.setdefault(lo, f"CASE WHEN {fits} THEN CAST(floor(({steps} - floor({steps})) * 1099511627776D) AS DECIMAL(13, 0)) END")
@@ -139,7 +142,7 @@ class Rollup:
         weighted = f"sum({mean} * {self.p}{name}_n * p_copies)"
         rough = f"sum({mean} * {mean} * {self.p}{name}_n * p_copies) - {weighted} * {weighted} / {double(n)}"
         fit = f"count({mean}) = count({hi})"
-        between = f"greatest(0.0D, coalesce(CASE WHEN {fit} THEN {exact} END, {rough}))"
+        between = f"CASE WHEN count({mean}) < 2 THEN 0.0D ELSE greatest(0.0D, coalesce(CASE WHEN {fit} THEN {exact} END, {rough})) END"
         return f"CASE WHEN {n} > 1 THEN sqrt((coalesce(sum({inner} * p_copies), 0.0D) + {between}) / ({double(n)} - 1)) END"
 
 

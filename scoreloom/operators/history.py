@@ -1,7 +1,8 @@
 """Six history aggregations, one row per applicant.
 
-Child tables that hang below a loan are first reduced to one row per loan, then joined to the loan's
-applicant and merged: the join moves loans instead of monthly rows, and no single loan can skew it.
+Child tables that hang below a loan travel once as the few columns that are read, meet the loan's applicant and are
+reduced to one row per applicant where they meet. Both sides of that join are plain exchanges on the loan, so adaptive
+execution splits a loan with very many rows, and an applicant's rows combine before they are exchanged.
 """
 
 from __future__ import annotations
@@ -21,14 +22,22 @@ ACCOUNT = "SK_ID_BUREAU"
 def _owners(parent: DataFrame, key: str) -> DataFrame:
     """Each (key, applicant) once with its number of copies, so a repeated parent row never multiplies the join.
 
-    Dealt by the key alone, which serves the grouping and the join that follows.
+    The grouping has an exchange of its own: the one by the key that the join adds is then free to be split.
     """
-    return parent.select(key, APPLICANT).repartition(key).groupBy(key, APPLICANT).agg(F.count(F.lit(1)).alias("p_copies"))
+    return parent.select(key, APPLICANT).groupBy(key, APPLICANT).agg(F.count(F.lit(1)).alias("p_copies"))
+
+
+def _held(child: DataFrame, owners: DataFrame, key: str, out: str) -> DataFrame:
+    """Number of an applicant's keys that have a row in the child table, per number of copies."""
+    return owners.join(child.select(key), key, "left_semi").groupBy(APPLICANT, "p_copies").agg(F.count(F.lit(1)).alias(out))
 
 
 def _loan_rows(child: DataFrame, owners: DataFrame, roll: Rollup) -> DataFrame:
-    """Partials of a child table, one row per (loan, applicant)."""
-    return child.groupBy(LOAN).agg(*roll.partials()).join(owners, LOAN).drop(LOAN)
+    """Partials of a child table per applicant and number of copies; loans are counted in rows of their own."""
+    rows = child.join(owners, LOAN).groupBy(APPLICANT, "p_copies").agg(*roll.partials())
+    if roll.counts_loans:
+        rows = rows.unionByName(_held(child, owners, LOAN, f"{roll.p}loans"), allowMissingColumns=True)
+    return rows
 
 
 def _per_applicant(child: DataFrame, loans: DataFrame, make) -> DataFrame:
@@ -40,7 +49,7 @@ def _per_applicant(child: DataFrame, loans: DataFrame, make) -> DataFrame:
 def loan_rows(
     loans: DataFrame, cards: DataFrame | None = None, payments: DataFrame | None = None, snapshots: DataFrame | None = None
 ) -> DataFrame | None:
-    """Rows per (loan, applicant) of all given child tables, each with the partials of its own table; None without any.
+    """Rows per (applicant, copies) of all given child tables, each with the partials of its own table; None without any.
 
     The owners of the loans are the same frame for all, so they are dealt once.
     """
@@ -54,18 +63,28 @@ def loan_rows(
     return out
 
 
+def loan_tables(rows: DataFrame) -> dict[str, DataFrame]:
+    """The card, instalment and point-of-sale features of ``loan_rows``, each from a grouping of its own rows."""
+    out = {}
+    for prefix, make in _LOAN_TABLES:
+        r = Rollup(prefix)
+        outputs = make(r)
+        own = [c for c in (f"{r.p}here", f"{r.p}loans") if c in rows.columns]
+        if own:
+            of_table = rows.where(" OR ".join(f"{c} IS NOT NULL" for c in own))
+            out[prefix.rstrip("_")] = of_table.groupBy(APPLICANT).agg(*named(outputs))
+    return out
+
+
 def loan_histories(rows: DataFrame) -> DataFrame:
-    """The card, instalment and point-of-sale features of ``loan_rows`` from one grouping by applicant.
+    """The features of all ``loan_tables`` in one row per applicant.
 
     Features of a table in which an applicant has no row are NULL, as if each had been joined by itself.
     """
-    outputs: dict[str, str] = {}
-    for prefix, make in _LOAN_TABLES:
-        r = Rollup(prefix)
-        made = make(r)
-        if f"{r.p}here" in rows.columns:
-            outputs |= {name: f"CASE WHEN {r.loans()} > 0 THEN {x} END" for name, x in made.items()}
-    return rows.groupBy(APPLICANT).agg(*named(outputs))
+    out = None
+    for part in loan_tables(rows).values():
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out.groupBy(APPLICANT).agg(*[F.max(c).alias(c) for c in out.columns if c != APPLICANT])
 
 
 def bureau_history(bureau: DataFrame) -> DataFrame:
@@ -103,33 +122,26 @@ def bureau_history(bureau: DataFrame) -> DataFrame:
 
 
 def account_rows(balance: DataFrame, bureau: DataFrame) -> DataFrame:
-    """Per (account, applicant) one row for each distinct month of the account; the first one carries its totals.
-
-    Raw rows collapse to one per account before the join; an account has as many months as its history is long.
-    """
-    accounts = balance.groupBy(ACCOUNT).agg(*named({
+    """Totals per applicant, number of copies and month, and rows of their own with the number of accounts."""
+    owners = _owners(bureau, ACCOUNT)
+    months = balance.join(owners, ACCOUNT).groupBy(APPLICANT, "p_copies", F.col("MONTHS_BALANCE").alias("p_month")).agg(*named({
         "p_rows": "count(1)",
         "p_dpd": "count_if(STATUS IN ('1', '2', '3', '4', '5'))",
         "p_closed": "count_if(STATUS = 'C')",
         "p_current": "count_if(STATUS = '0')",
         "p_unknown": "count_if(STATUS = 'X')",
         "p_worst": "max(CASE WHEN STATUS IN ('1', '2', '3', '4', '5') THEN CAST(STATUS AS INT) ELSE 0 END)",
-        "p_first": "min(MONTHS_BALANCE)",
-        "p_last": "max(MONTHS_BALANCE)",
-        "p_months": "collect_set(MONTHS_BALANCE)",
-    })).join(_owners(bureau, ACCOUNT), ACCOUNT)
-    totals = "struct(p_rows, p_dpd, p_closed, p_current, p_unknown, p_worst, p_first, p_last)"
-    rows = accounts.selectExpr(APPLICANT, "p_copies", f"{totals} AS t", "posexplode_outer(p_months) AS (_i, p_month)")
-    return rows.selectExpr(APPLICANT, "p_copies", "p_month", "CASE WHEN coalesce(_i, 0) = 0 THEN t END AS t").select(APPLICANT, "p_copies", "p_month", "t.*")
+    }))
+    return months.unionByName(_held(balance, owners, ACCOUNT, "p_accounts"), allowMissingColumns=True)
 
 
 def account_history(rows: DataFrame) -> DataFrame:
     """Features of ``account_rows`` from one grouping by applicant: sets of months combine before they are exchanged."""
     stats = rows.groupBy(APPLICANT).agg(*named({
         "bb_total_records": "sum(p_rows * p_copies)",
-        "bb_distinct_accounts": "count(p_rows)",
-        "bb_earliest_month": "min(p_first)",
-        "bb_latest_month": "max(p_last)",
+        "bb_distinct_accounts": "sum(p_accounts)",
+        "bb_earliest_month": "min(p_month)",
+        "bb_latest_month": "max(p_month)",
         "bb_dpd_count": "sum(p_dpd * p_copies)",
         "bb_closed_count": "sum(p_closed * p_copies)",
         "bb_current_count": "sum(p_current * p_copies)",

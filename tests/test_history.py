@@ -149,3 +149,42 @@ def test_stored_tables_meet_without_an_exchange(spark, tmp_path):
     assert sorted(map(str, merged.select(direct.columns).collect())) == sorted(map(str, direct.collect()))
     assert set(buckets.open_store(spark, store)) == {"base", "prev", "loans"}
 
+
+
+def _moved(df):
+    """Attributes of every exchange of the plan that is run without broadcasts, one list per exchange."""
+    spark = df.sparkSession
+    for key, value in (("adaptive.enabled", "false"), ("autoBroadcastJoinThreshold", "-1")):
+        spark.conf.set(f"spark.sql.{key}", value)
+    try:
+        plan = df._jdf.queryExecution().executedPlan()
+        found, queue = [], [plan]
+        while queue:
+            node = queue.pop()
+            if node.nodeName() == "Exchange":
+                found.append([node.output().apply(i).name() for i in range(node.output().size())])
+            queue += [node.children().apply(i) for i in range(node.children().size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    return found
+
+
+def test_child_rows_travel_as_read(spark, sf_dir):
+    """By the loan move the nine columns of a card row, not the buffers of its aggregates; those move by applicant."""
+    from scoreloom.plans import catalog
+
+    by_loan = [names for names in _moved(catalog.credit_card_agg(spark, sf_dir)) if "SK_ID_CURR" not in names]
+    assert by_loan and max(map(len, by_loan)) == 9
+
+
+def test_stored_loans_are_a_row_per_applicant(spark):
+    """The table below the loans does not grow with the loans of an applicant; copies of a loan keep their weight."""
+    owned = loans(spark, [(i, 7) for i in range(50)] + [(50, 7), (50, 7), (51, 8)])
+    payments = spark.createDataFrame([(i, -10 - i, -8, 5.0, float(i)) for i in range(52)], PAYMENTS)
+    rows = history.loan_rows(owned, payments=payments)
+    assert rows.count() == 3  # 7 with one copy, 7 with two, 8
+    row = {r.SK_ID_CURR: r for r in history.loan_tables(rows)["inst"].collect()}[7]
+    paid = [*range(50), 50, 50]
+    assert (row.total_installments, row.total_paid) == (52, sum(paid))
+    assert row.std_payment_amount == pytest.approx(statistics.stdev(paid), rel=1e-12)
