@@ -24,7 +24,7 @@ def history_aggregates(
     if loans is not None:
         below = history.loan_rows(loans, credit_card_balance, installments_payments, pos_cash_balance)
         if below is not None:
-            out["loans"] = history.loan_histories(below)
+            out |= history.loan_tables(below)
         out["prev"] = history.previous_application_history(loans)
     return out
 
@@ -42,9 +42,9 @@ def store_histories(
     previous_application: DataFrame | None = None, installments_payments: DataFrame | None = None,
     pos_cash_balance: DataFrame | None = None, credit_card_balance: DataFrame | None = None, count: int = BUCKETS,
 ) -> None:
-    """Tables dealt by applicant: base, credits and loans as they are, the tables below them reduced to a row per loan or account month.
+    """Tables dealt by applicant: base, credits and loans as they are, the tables below them reduced to a row per applicant or month.
 
-    A loan with any number of payments is one row here, so a bucket grows with loans, not with their history.
+    A loan with any number of payments adds to a row here, so a bucket grows with applicants, not with their history.
     """
     frames = {"base": base, "bureau": bureau, "prev": previous_application}
     if bureau is not None and bureau_balance is not None:
@@ -57,12 +57,11 @@ def store_histories(
 def merge_stored(spark: SparkSession, store: str) -> DataFrame:
     """The merged features of a store: every grouping and join is by the key the tables are dealt by."""
     made = {
-        "bureau": history.bureau_history, "accounts": history.account_history, "loans": history.loan_histories,
-        "prev": history.previous_application_history,
+        "bureau": lambda df: {"bureau": history.bureau_history(df)}, "accounts": lambda df: {"bb": history.account_history(df)},
+        "loans": history.loan_tables, "prev": lambda df: {"prev": history.previous_application_history(df)},
     }
     tables = buckets.open_store(spark, store)
-    names = {"accounts": "bb"}
-    return history.merge_features(tables["base"], {names.get(k, k): f(tables[k]) for k, f in made.items() if k in tables})
+    return history.merge_features(tables["base"], {name: x for k, f in made.items() if k in tables for name, x in f(tables[k]).items()})
 
 
 def finished_features(merged: DataFrame) -> DataFrame:
