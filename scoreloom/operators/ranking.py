@@ -22,6 +22,7 @@ CELLS_PER_DECADE = 5000
 CELL_ROWS = 50_000  # rows of a cell beyond which it is split, or the share of all rows below, if that is more
 CROWDED_CELLS = 50_000  # cells that are split at once at most; they are broadcast
 SLICES = 64  # of a crowded cell, at least
+TASK_ROWS = 500_000  # that the exchange by cell deals to a task on average
 _EXPONENT_SHIFT = 330  # above the largest decimal exponent of a double, keeps cell numbers positive
 
 
@@ -44,12 +45,13 @@ def number_of(df: DataFrame, column: str) -> Column | None:
 
 
 class Cells(NamedTuple):
-    """Rows with ``_cell``, the stored table of cells with ``_rows``, ``_first``, ``_last`` and the totals, and the rows
-    that only a cell of one value may exceed (None if no cell does)."""
+    """Rows with ``_cell``, the stored table of cells with ``_rows``, ``_first``, ``_last`` and the totals, the rows
+    that only a cell of one value may exceed (None if no cell does), and the number of all rows."""
 
     rows: DataFrame
     table: DataFrame
     limit: int | None
+    count: int
 
 
 def settled_cells(
@@ -77,7 +79,7 @@ def settled_cells(
     seen, most = table.agg(F.sum("_rows"), F.max("_rows")).first()
     limit = max(CELL_ROWS, (seen or 0) // CROWDED_CELLS)
     if (most or 0) <= limit:
-        return Cells(rows, table, None)
+        return Cells(rows, table, None, seen or 0)
     full = f"_rows > {limit} AND _lo < _hi" + ("" if number is None else " AND _hi - _lo < double('infinity')")
     kind = "string" if number is None else "long"
     path = F.array(F.col("_cell").cast(kind))
@@ -97,7 +99,7 @@ def settled_cells(
         finer = counted(rows.where(F.size("_cell") == depth))
         table = table.where(f"NOT coalesce(size(_cell) = {depth - 1} AND {full}, false)").unionByName(finer)
         crowded = finer.where(full)
-    return Cells(rows, table, limit)
+    return Cells(rows, table, limit, seen)
 
 
 def with_cells(rows: DataFrame, keys: list[str], value: str, cell: Column | None = None) -> DataFrame:
@@ -143,7 +145,8 @@ def cumulate_cells(cells: Cells, keys: list[str], value: str, totals: dict[str,
         alone = table.where(one).select(
             *keys, F.col("_first").alias(value), *names, *[F.col(f"_o_{t}").alias(f"{t}_before") for t in names], *[f"{t}_all" for t in names]
         )
-    counts = base.repartition(*keys, "_cell").groupBy(*keys, "_cell", value).agg(*[F.sum(t).alias(n) for n, t in totals.items()])
+    # Sorted runs of narrow rows compress so well that parts sized by their bytes would hold too many of them.
+    counts = base.repartition(-(-cells.count // TASK_ROWS) or 1, *keys, "_cell").groupBy(*keys, "_cell", value).agg(*[F.sum(t).alias(n) for n, t in totals.items()])
     inner = (
         Window.partitionBy(*keys, "_cell").orderBy(value)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -261,7 +264,7 @@ def exact_quantiles(df: DataFrame, features: list[str], probs: list[float], keys
         keys, features, "feature", "value"
     )
     by = [*keys, "feature"]
-    long, cells, _ = settled_cells(present(long, ["value"]), by, "value")
+    long, cells, *_ = settled_cells(present(long, ["value"]), by, "value")
     cells = cells.withColumnRenamed("_rows", "_n")
     of_key = Window.partitionBy(*by)  # over the cell table
     upto = of_key.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -278,3 +278,13 @@ def test_ordered_split_by_time_and_text(spark):
     df = df.withColumn("d", F.col("t").cast("date"))
     for c in ("t", "s", "d"):
         assert {r.id for r in splits.ordered_split(df, c).where("is_test = 1").collect()} == set(range(80, 100))
+
+
+def test_ranking_tasks_are_sized_by_rows(spark, monkeypatch):
+    """Equal rows compress to next to nothing, so the number of parts follows the rows and is not merged by bytes."""
+    monkeypatch.setattr(ranking, "TASK_ROWS", 1000)
+    df = spark.range(9500).selectExpr("cast(id % 400 as double) AS s", "cast(id % 2 as int) AS y")
+    ranked = ranking.ranked_scores(df, [], "s", "y")
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and ", 10), REPARTITION_BY_NUM" in plan
+    assert (ranked.count(), ranked.selectExpr("sum(pos + neg)").first()[0]) == (400, 9500)
