@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scores import BASE_ODDS, BASE_SCORE, PDO, iv_label, scale
 from ..session import reliable
-from .binning import number, quantile_edges, right_closed_bin, right_closed_pick, sql_double
+from .binning import number, quantile_edges, right_closed_pick, sql_double
 from .encoding import category_counts
 from .lookups import CategoryLookup
 
@@ -27,6 +29,33 @@ def _with_woe(stats: DataFrame, total_events: Column, total_non_events: Column,
     return out.select(*COLUMNS)
 
 
+def bin_counts(df: DataFrame, edges: dict[str, list[float]], target: str) -> DataFrame:
+    """(feature, bin, events, non_events) of right-closed bins, the first one closed on both sides.
+
+    Tasks look up whole columns in the edges of a feature and emit one row per bin, so no row is copied per feature.
+    """
+    names, cuts = list(edges), [np.array(e, float) for e in edges.values()]
+
+    def run(batches):
+        sums = [np.zeros((2, len(c) - 1), np.int64) for c in cuts]
+        for batch in batches:
+            y = batch.column(0).to_numpy(zero_copy_only=False)
+            for i, c in enumerate(cuts):
+                x = batch.column(i + 1).to_numpy(zero_copy_only=False).astype(float)  # NULL becomes NaN, which no bin holds
+                inside = (x >= c[0]) & (x <= c[-1])
+                at = np.searchsorted(c[1:-1], x[inside], side="left")
+                for k in (0, 1):
+                    sums[i][k] += np.bincount(at[y[inside] == 1 - k], minlength=len(c) - 1)
+        rows = [(f, b, int(e), int(n)) for f, s in zip(names, sums, strict=True) for b, (e, n) in enumerate(s.T) if e or n]
+        columns = zip([pa.string(), pa.int32(), pa.int64(), pa.int64()], zip(*rows) if rows else [()] * 4, strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for t, v in columns], names=["feature", "bin", "events", "non_events"])
+
+    y = F.col(target)
+    read = df.where(y.isNotNull()).select(y.cast("int").alias("_y"), *[F.expr(number(f)).cast("double").alias(f"_{i}") for i, f in enumerate(names)])
+    found = read.mapInArrow(run, "feature string, bin int, events long, non_events long")
+    return found.groupBy("feature", "bin").agg(F.sum("events").alias("events"), F.sum("non_events").alias("non_events"))
+
+
 def fit_numeric(
     df: DataFrame, features: list[str], target: str, bins: int = 10, r: float = REGULARIZATION
 ) -> DataFrame:
@@ -40,20 +69,7 @@ def fit_numeric(
         (f, i, float(e[i]), float(e[i + 1])) for f, e in edges.items() for i in range(len(e) - 1)
     ]
     grid = spark.createDataFrame(grid_rows, "feature string, bin int, lo double, hi double")
-    y = F.col(target)
-    binned = df.where(y.isNotNull()).select(
-        y.cast("int").alias("_y"),
-        *[right_closed_bin(number(f), e).alias(f) for f, e in edges.items()],
-    )
-    if edges:
-        counted = (
-            binned.unpivot(["_y"], list(edges), "feature", "bin")
-            .where(F.col("bin").isNotNull())
-            .groupBy("feature", "bin")
-            .agg(F.count_if(F.col("_y") == 1).alias("events"), F.count_if(F.col("_y") == 0).alias("non_events"))
-        )
-    else:
-        counted = spark.createDataFrame([], "feature string, bin int, events long, non_events long")
+    counted = bin_counts(df, edges, target)
     # Bounded by features x bins on both sides.
     stats = grid.join(F.broadcast(counted), ["feature", "bin"], "left").select(
         "feature", F.lit("numeric").alias("kind"), "bin", "lo", "hi", F.lit(None).cast("string").alias("category"),

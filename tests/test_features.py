@@ -250,3 +250,23 @@ def test_drift_without_shared_columns(spark):
 
     a, b = spark.createDataFrame([(1.0,)], "a double"), spark.createDataFrame([(1.0,)], "b double")
     assert monitoring.drift_table(a, b).count() == 0
+
+
+def test_bins_are_counted_without_copies_of_rows(spark):
+    """Counts per bin equal the bins as expressions: edges, values outside, NULL, NaN and infinities; no row per feature."""
+    from pyspark.sql import functions as F
+
+    from scoreloom.operators import binning, woe
+
+    values = [0.0, -0.0, 1.0, 1.5, 2.0, 3.0, 3.5, -9.0, None, float("nan"), float("inf"), float("-inf")]
+    df = spark.createDataFrame([(i % 2 if i % 7 else None, v, i) for i, v in enumerate(values * 3)], "y int, a double, b long")
+    edges = {"a": [0.0, 1.0, 2.0, 3.0], "b": [2.0, 20.0]}
+    counted = woe.bin_counts(df, edges, "y")
+    assert "Expand" not in counted._jdf.queryExecution().executedPlan().toString()
+    got = {(r.feature, r.bin): (r.events, r.non_events) for r in counted.collect()}
+    want = {}
+    for f, e in edges.items():
+        rows = df.where("y IS NOT NULL").select("y", binning.right_closed_bin(binning.number(f), e).alias("bin")).where("bin IS NOT NULL")
+        want |= {(f, r.bin): (r.p, r.n) for r in rows.groupBy("bin").agg(F.expr("count_if(y = 1)").alias("p"), F.expr("count_if(y = 0)").alias("n")).collect()}
+    assert got == want and len(got) == 4
+    assert woe.bin_counts(df, {}, "y").count() == 0
