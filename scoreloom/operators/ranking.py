@@ -146,7 +146,8 @@ def cumulate_cells(cells: Cells, keys: list[str], value: str, totals: dict[str,
             *keys, F.col("_first").alias(value), *names, *[F.col(f"_o_{t}").alias(f"{t}_before") for t in names], *[f"{t}_all" for t in names]
         )
     # Sorted runs of narrow rows compress so well that parts sized by their bytes would hold too many of them.
-    counts = base.repartition(-(-cells.count // TASK_ROWS) or 1, *keys, "_cell").groupBy(*keys, "_cell", value).agg(*[F.sum(t).alias(n) for n, t in totals.items()])
+    parts = [-(-cells.count // TASK_ROWS)] if cells.count > TASK_ROWS else []
+    counts = base.repartition(*parts, *keys, "_cell").groupBy(*keys, "_cell", value).agg(*[F.sum(t).alias(n) for n, t in totals.items()])
     inner = (
         Window.partitionBy(*keys, "_cell").orderBy(value)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
