@@ -10,8 +10,11 @@ depend only on the values, recomputing a lost task always gives the same placeme
 
 from __future__ import annotations
 
+from math import ceil, floor
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +26,9 @@ CELL_ROWS = 50_000  # rows of a cell beyond which it is split, or the share of a
 CROWDED_CELLS = 50_000  # cells that are split at once at most; they are broadcast
 SLICES = 64  # of a crowded cell, at least
 TASK_ROWS = 500_000  # that the exchange by cell deals to a task on average
+LISTED_ROWS = 5_000_000  # of all cells with a wanted quantile, up to which their values are listed
+MERGED_CELLS = 100_000  # that a task holds of a column before it adds up those of its blocks
+FIRST_BITS, NEXT_BITS = 16, 10  # of a double in its order, that make the cells of the first and of a further pass
 _EXPONENT_SHIFT = 330  # above the largest decimal exponent of a double, keeps cell numbers positive
 
 
@@ -256,11 +262,12 @@ def two_sample_ks(df: DataFrame, features: list[str], flag: str) -> DataFrame:
 def exact_quantiles(df: DataFrame, features: list[str], probs: list[float], keys: list[str] | None = None) -> DataFrame:
     """Frame (keys, feature, edges) of exact linear-interpolated quantiles, all features in one plan.
 
-    Selection in two passes: rows are counted per cell, the prefix sums of the cells tell which cells
-    hold a wanted order statistic, and only the rows of those cells (at most two per quantile) are
-    counted by value. No pass shuffles more than cell counts and the values of the picked cells.
+    Rows are counted per cell, the prefix sums of the cells tell which cells hold a wanted order statistic, and only
+    the rows of those cells (at most two per quantile) are counted by value. No pass shuffles more than cell counts and
+    the values of the picked cells. Without keys the counts are made in blocks of rows, so no row is copied per feature.
     """
-    keys = keys or []
+    if not keys:
+        return _column_quantiles(df, features, probs)
     long = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in features]).unpivot(
         keys, features, "feature", "value"
     )
@@ -273,8 +280,7 @@ def exact_quantiles(df: DataFrame, features: list[str], probs: list[float], keys
         *by, "_cell", "_n", (F.sum("_n").over(upto) - F.col("_n")).alias("_before"), F.sum("_n").over(of_key).alias("_all")
     )
     picked = _with_wanted(cells, probs).where(F.size("_w") > 0).select(*by, "_cell", "_before", "_all")
-    # Without keys the picked cells number at most 2 x quantiles x features.
-    picked = local_if_small(picked) if keys else F.broadcast(picked)
+    picked = local_if_small(picked)
     values = long.join(picked, [*by, "_cell"]).groupBy(*by, "_cell", "_before", "_all", "value").agg(
         F.count(F.lit(1)).alias("_n")
     )
@@ -294,6 +300,110 @@ def exact_quantiles(df: DataFrame, features: list[str], probs: list[float], keys
     return points.groupBy(*by).agg(F.transform(listed, lambda s: s["v"]).alias("edges"))
 
 
+def _leading_bits(df: DataFrame, features: list[str], shift: int, parents: dict[int, list[int]] | None, above: int) -> DataFrame:
+    """(feature, parent, cell, n, lo, hi): rows per column number and leading bits of the value in its order.
+
+    A double's bits are turned into an integer of the same order; a cell is that integer without its last ``shift`` bits.
+    With ``parents`` only rows are counted whose cell without the last ``above`` bits is one of its column's.
+    """
+    first = np.int64(shift)
+    inside = None if parents is None else {i: np.array(sorted(p), np.int64) for i, p in parents.items()}
+    chosen = list(range(len(features))) if parents is None else sorted(parents)
+
+    def heads(k):
+        """Where the cells of sorted integers begin."""
+        return np.flatnonzero(np.diff(k >> first, prepend=~(k[0] >> first)))
+
+    def merged(parts):
+        n, lo, hi = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(lo)
+        n, lo, hi = n[order], lo[order], hi[order]
+        at = heads(lo)
+        return np.add.reduceat(n, at), lo[at], np.maximum.reduceat(hi, at)
+
+    def run(batches):
+        parts, held = {i: [] for i in chosen}, dict.fromkeys(chosen, 0)
+        for batch in batches:
+            for c, i in enumerate(chosen):
+                x = batch.column(c).to_numpy(zero_copy_only=False).astype(float)
+                k = (x[~np.isnan(x)] + 0.0).view(np.int64)  # adding 0 makes a negative zero a plain one
+                k = k ^ ((k >> np.int64(63)) & np.int64(2**63 - 1))
+                if inside is not None:
+                    cell, known = k >> np.int64(above), inside[i]
+                    k = k[known[np.minimum(np.searchsorted(known, cell), len(known) - 1)] == cell]
+                if not len(k):
+                    continue
+                k.sort()
+                at = heads(k)
+                ends = np.r_[at[1:], len(k)]
+                parts[i].append((ends - at, k[at], k[ends - 1]))
+                held[i] += len(at)
+                if held[i] > max(MERGED_CELLS, len(parts[i][0][0])):
+                    parts[i], held[i] = [merged(parts[i])], 0
+        for i in chosen:
+            if parts[i]:
+                n, lo, hi = merged(parts[i])
+                cell = lo >> first
+                parent = cell if inside is None else cell >> np.int64(above - shift)
+                columns = [pa.array(np.full(len(cell), i, np.int32)), *(pa.array(v) for v in (parent, cell, n, lo, hi))]
+                yield pa.RecordBatch.from_arrays(columns, names=["feature", "parent", "cell", "n", "lo", "hi"])
+
+    read = df.select(*[F.col(features[i]).cast("double").alias(f"_{i}") for i in chosen])
+    found = read.mapInArrow(run, "feature int, parent long, cell long, n long, lo long, hi long")
+    return found.groupBy("feature", "parent", "cell").agg(F.sum("n").alias("_n"), F.min("lo").alias("_lo"), F.max("hi").alias("_hi"))
+
+
+def _column_quantiles(df: DataFrame, features: list[str], probs: list[float]) -> DataFrame:
+    """``exact_quantiles`` without keys: passes over finer and finer leading bits, until each wanted cell holds one value.
+
+    Per pass at most two cells per quantile reach the driver.
+    """
+    spark, found = df.sparkSession, {}
+    shift, above, parents, starts = 64 - FIRST_BITS, 64, None, None
+    while True:
+        counted = _leading_bits(df, features, shift, parents, above)
+        if starts is None:
+            group = Window.partitionBy("feature")
+            counted = counted.withColumns({"_start": F.lit(0).cast("long"), "_all": F.sum("_n").over(group)})
+        else:
+            group = Window.partitionBy("feature", "parent")
+            known = spark.createDataFrame(starts, "feature int, parent long, _start long, _all long")
+            counted = counted.join(F.broadcast(known), ["feature", "parent"])
+        upto = group.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        counted = counted.withColumn("_before", F.col("_start") + F.sum("_n").over(upto) - F.col("_n"))
+        # At most 2 x quantiles x features rows.
+        picked = _with_wanted(counted, probs).where(F.size("_w") > 0).select("feature", "cell", "_n", "_lo", "_hi", "_before", "_all").collect()
+        for r in picked:
+            if r["_lo"] == r["_hi"]:
+                for i, q in enumerate(probs):
+                    h = (r["_all"] - 1) * float(q)
+                    for end, rank in enumerate((floor(h), ceil(h))):
+                        if r["_before"] <= rank < r["_before"] + r["_n"]:
+                            found[r["feature"], i, end] = r["_lo"], h - floor(h)
+        rest = [r for r in picked if r["_lo"] != r["_hi"]]
+        if not rest:
+            break
+        parents, starts = {}, []
+        for r in rest:
+            parents.setdefault(r["feature"], []).append(r["cell"])
+            starts.append((r["feature"], r["cell"], r["_before"], r["_all"]))
+        few = sum(r["_n"] for r in rest) <= LISTED_ROWS and max(r["_n"] for r in rest) <= TASK_ROWS
+        shift, above = (0 if few else max(0, shift - NEXT_BITS)), shift
+    order = sorted({(i, q) for i, q, _ in found})
+    edges: dict[str, list[float]] = {}
+    for i, q in order:
+        (lo, part), (hi, _) = found[i, q, 0], found[i, q, 1]
+        lo, hi = _double_of(lo), _double_of(hi)
+        edges.setdefault(features[i], []).append(lo + (hi - lo) * part)
+    return spark.createDataFrame(list(edges.items()), "feature string, edges array<double>")
+
+
+def _double_of(k: int) -> float:
+    """The double of an integer of the same order."""
+    bits = np.array([k], np.int64)
+    return float((bits ^ ((bits >> np.int64(63)) & np.int64(2**63 - 1))).view(float)[0])
+
+
 def _with_wanted(counted: DataFrame, probs: list[float]) -> DataFrame:
     """Add ``_w``: the quantiles (index i, fractional rank h) whose neighbours fall in this row's run of ranks."""
     wanted = ", ".join(f"named_struct('i', {i}, 'h', (_all - 1) * {float(q)!r}D)" for i, q in enumerate(probs))

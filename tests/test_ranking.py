@@ -288,3 +288,23 @@ def test_ranking_tasks_are_sized_by_rows(spark, monkeypatch):
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in plan and ", 10), REPARTITION_BY_NUM" in plan
     assert (ranked.count(), ranked.selectExpr("sum(pos + neg)").first()[0]) == (400, 9500)
+
+
+def test_quantiles_of_columns_are_counted_where_the_rows_are(spark, monkeypatch):
+    """Without keys no row is copied per feature; close values, ties, signs, infinities and several passes stay exact."""
+    rng = np.random.default_rng(5)
+    n = 3000
+    pdf = pd.DataFrame({
+        "near": 1e9 + rng.normal(size=n) * 1e-3, "signed": rng.normal(size=n), "tied": rng.integers(-3, 4, n).astype(float),
+        "wide": rng.normal(size=n) * 10.0 ** rng.integers(-200, 200, n), "holes": np.where(rng.random(n) < 0.5, np.nan, rng.random(n)),
+        "ends": rng.choice([-np.inf, -0.0, 0.0, 1.0, np.inf], n, p=[0.04, 0.3, 0.3, 0.32, 0.04]),
+    })
+    df = spark.createDataFrame(pdf).repartition(3)
+    monkeypatch.setattr(ranking, "settled_cells", None)  # the way with keys
+    monkeypatch.setattr(ranking, "LISTED_ROWS", 50)
+    monkeypatch.setattr(ranking, "MERGED_CELLS", 20)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = {r["feature"]: r["edges"] for r in ranking.exact_quantiles(df, list(pdf), probs).collect()}
+    assert got.pop("ends")[1:5] == [0.0, 0.0, 0.0, 1.0]
+    for name, edges in got.items():
+        assert edges == pytest.approx(np.quantile(pdf[name].dropna(), probs), rel=1e-13), name
