@@ -119,6 +119,10 @@ class WoeModel:
             table = table.unionByName(p)
         return cls(table, [*numeric, *categorical])
 
+    def only(self, features: list[str]) -> "WoeModel":
+        """The encoder of some of its features."""
+        return WoeModel(self.table.where(F.col("feature").isin(features)), features)
+
     def numeric_bins(self) -> dict[str, list[tuple[float, float, float]]]:
         """(lo, hi, woe) per numeric feature in bin order: at most features x bins rows."""
         rows = self.table.where(F.col("kind") == "numeric").select("feature", "bin", "lo", "hi", "woe").collect()

@@ -1,5 +1,7 @@
 """Training on a frame with real signal, persistence and the streaming forms."""
 
+import time
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -89,3 +91,35 @@ def test_checkpoint_folder_of_the_session_is_used(spark):
 
     assert checkpoint_root(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir").rstrip("/")
     assert reliable(spark.range(5)).count() == 5
+
+
+def test_scorecard_reads_the_bins_of_all_rows_once(spark, train, monkeypatch):
+    """One encoder per fold and one of all rows, which selects and is final; folds overlap."""
+    fits, open_now, most = [], [], []
+    fit, scaler = models.WoeModel.fit.__func__, models._scaler
+    monkeypatch.setattr(models.WoeModel, "fit", classmethod(lambda cls, df, *a, **k: fits.append(1) or fit(cls, df, *a, **k)))
+
+    def slow(*a):
+        open_now.append(1)
+        most.append(len(open_now))
+        out = scaler(*a)
+        time.sleep(1)
+        open_now.pop()
+        return out
+
+    monkeypatch.setattr(models, "_scaler", slow)
+    card = models.train_scorecard(train, ["a", "b", "c"], "y", "id", c_grid=(0.1, 1.0), bins=5)
+    assert len(fits) == 3 and max(most) == 2
+    again = models.fit_scorecard(train, list(card.coefficients), "y", card.best_c, 5)
+    assert card.coefficients == pytest.approx(again.coefficients) and card.intercept == pytest.approx(again.intercept)
+
+
+def test_learners_share_the_filling(spark, train, monkeypatch):
+    """Medians are found once per fold and once of all rows, not once per learner."""
+    calls, medians = [], models.medians
+    monkeypatch.setattr(models, "medians", lambda *a: calls.append(1) or medians(*a))
+    bases = {"boosted": models.boosted(max_iter=2, max_depth=2), "forest": models.forest(trees=2, max_depth=2)}
+    stack = models.train_stacking(train, bases, ["a", "b", "c"], "y", "id")
+    assert len(calls) == 3 and set(stack.bases) == set(bases)
+    alone = models.fit_tree(train, bases["boosted"], ["a", "b", "c"], "y", "id")
+    assert alone.model.toDebugString == stack.bases["boosted"].model.toDebugString.replace(stack.bases["boosted"].model.uid, alone.model.uid)
